@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from skuflow.operators import extract as X
 from skuflow.operators import orders as ops
 from skuflow.operators import retention as R
+from skuflow.operators import stock_flow as SF
 from skuflow.operators import sunset as SU
 from skuflow.sources.fixtures import from_testdata
 
@@ -140,3 +141,82 @@ def retention_null_audit(spark, sf_dir):
 @query
 def sunset_table(spark, sf_dir):
     return SU.sunset_table(_ox(spark, sf_dir), _ix(spark, sf_dir))
+
+
+# --------------------------------------------------------------- stock flow
+def _ex(spark, sf_dir):
+    return X.extract_stock_lines(_src(spark, sf_dir))
+
+
+def _lines(spark, sf_dir):
+    return SF.stock_lines(_ex(spark, sf_dir))
+
+
+@query
+def order_tiers(spark, sf_dir):
+    return SF.order_tiers(_ex(spark, sf_dir))
+
+
+@query
+def tier_pick(spark, sf_dir):
+    return SF.tier_pick(_ex(spark, sf_dir))
+
+
+@query
+def sku_resolve(spark, sf_dir):
+    return SF.resolve_skus(_ex(spark, sf_dir))
+
+
+@query
+def line_dedup(spark, sf_dir):
+    return _lines(spark, sf_dir)
+
+
+@query
+def adjacency_reset(spark, sf_dir):
+    return SF.flag_lines(_lines(spark, sf_dir)).select(
+        "brand", "order_id", "variant_id", "product_id", "unit_price", "units_total", "product_name",
+        "variant_name", "final_sku", "reset")
+
+
+@query
+def bundle_explode(spark, sf_dir):
+    return SF.explode_bundles(SF.flag_lines(_lines(spark, sf_dir))).select(
+        "brand", "order_id", "created_at", F.col("quantity").cast("int").alias("quantity"), "warehouse_sku",
+        "bundle_sku")
+
+
+@query
+def bundle_flag(spark, sf_dir):
+    return SF.order_summary(_lines(spark, sf_dir)).select("brand", "order_id", "is_bundle")
+
+
+@query
+def bundle_sku_clean(spark, sf_dir):
+    from skuflow.functions.sku import clean_bundle_sku
+    b = SF.explode_bundles(SF.flag_lines(_lines(spark, sf_dir))).where(F.col("bundle_sku").isNotNull())
+    return b.select("brand", "order_id", "bundle_sku",
+                    clean_bundle_sku("bundle_sku").alias("clean_bundle_sku")).distinct()
+
+
+@query
+def bundle_header_pick(spark, sf_dir):
+    s = SF.order_summary(_lines(spark, sf_dir)).where(F.col("is_bundle"))
+    return s.select("brand", "order_id", F.col("header.bundle_variant_id").alias("bundle_variant_id"),
+                    F.col("header.bundle_product_id").alias("bundle_product_id"),
+                    F.col("header.bundle_quantity").cast("int").alias("bundle_quantity"))
+
+
+@query
+def report_non_bundle(spark, sf_dir):
+    return SF.report_non_bundle(_lines(spark, sf_dir))
+
+
+@query
+def report_only_bundle(spark, sf_dir):
+    return SF.report_only_bundle(SF.order_summary(_lines(spark, sf_dir)))
+
+
+@query
+def report_merged(spark, sf_dir):
+    return SF.report_merged(SF.report_non_bundle(_lines(spark, sf_dir)))
