@@ -29,6 +29,13 @@ def brand_filter(brands=None) -> Column:
     return F.col("brand").isin(*chosen)
 
 
+def export_table_name(brand: str, kind: str) -> str:
+    """``report_<brand>_<kind>`` for one brand."""
+    if kind not in ("non_bundle", "only_bundle"):
+        raise ValueError(f"unknown report kind {kind!r}")
+    return f"report_{validate_brand(brand).lower()}_{kind}"
+
+
 def report_table_name(brand_col: Column, kind: str) -> Column:
     """Per-brand export table name, e.g. ``report_abc_non_bundle``."""
     if kind not in ("non_bundle", "only_bundle"):

@@ -220,3 +220,27 @@ def report_only_bundle(spark, sf_dir):
 @query
 def report_merged(spark, sf_dir):
     return SF.report_merged(SF.report_non_bundle(_lines(spark, sf_dir)))
+
+
+# ------------------------------------------------------- snapshot / publish
+@query
+def snapshot_distinct(spark, sf_dir):
+    from skuflow.sources.snapshot import snapshot_counts
+    return snapshot_counts(_src(spark, sf_dir))
+
+
+@query
+def snapshot_gate(spark, sf_dir):
+    from skuflow.sources.snapshot import expected_tables, gate, snapshot_counts
+    return gate(snapshot_counts(_src(spark, sf_dir)), expected_tables(spark))
+
+
+@query
+def publish_roundtrip(spark, sf_dir):
+    """Write the non-bundle report to the shared folder (brand-partitioned)
+    and read it back."""
+    from skuflow.session import scratch_path
+    from skuflow.sources.sinks import write_report
+    path = scratch_path(spark, "publish-roundtrip")
+    write_report(SF.report_non_bundle(_lines(spark, sf_dir)), path, sort_within=["order_id"])
+    return spark.read.parquet(path).select("brand", "order_id", "created_at", "quantity", "warehouse_sku")
