@@ -55,22 +55,28 @@ def tier_picks(ex: DataFrame) -> DataFrame:
     """For every line, the order's largest tier with ``count <= quantity``
     (J19, P17, O2): an as-of match inside the order.
 
-    The order's quantities and tier counts are merged into one sequence
-    ordered by value (tiers before quantities on equal values); a running
-    ``max(struct(count, sku))`` then holds, at each quantity, the best tier
-    reachable.  Linear in the order's rows, no pairs.
-
-    Returns ``ex`` with ``pick`` (struct count, sku; NULL when none).
+    Each line contributes a query entry at its quantity and, when it carries a
+    tier, a tier entry at the tier count (one ``inline`` pass, no union).  In
+    value order -- tiers before queries on equal values -- a running
+    ``max(struct(count, sku))`` holds at each query the best reachable tier.
+    Linear in the order's lines, no pairs.  ``any_tier_sku`` (A14) rides on
+    the same window partition.
+
+    Returns ``ex`` with ``pick`` (struct count, sku; NULL when none) and
+    ``any_tier_sku``.
     """
     tier = F.struct(F.col("count").alias("count"), F.col(SCPI).alias("sku"))
-    lines = ex.withColumn("_v", F.col("quantity")).withColumn("_kind", F.lit(1)) \
-        .withColumn("_tier", F.lit(None).cast(ex.select(tier.alias("t")).schema["t"].dataType))
-    tiers = (ex.where(F.col(SCPI).isNotNull() & F.col("count").isNotNull())
-             .select(*KEY, F.col("count").alias("_v"), F.lit(0).alias("_kind"), tier.alias("_tier")))
-    both = lines.unionByName(tiers, allowMissingColumns=True)
-    w = (Window.partitionBy(*KEY).orderBy(F.col("_v").asc_nulls_first(), F.col("_kind"))
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (both.withColumn("pick", F.max("_tier").over(w))
+    has_tier = F.col(SCPI).isNotNull() & F.col("count").isNotNull()
+    entry_query = F.struct(F.lit(1).alias("_kind"), F.col("quantity").alias("_v"),
+                           F.when(F.lit(False), tier).alias("_tier"))
+    entry_tier = F.struct(F.lit(0).alias("_kind"), F.col("count").alias("_v"), tier.alias("_tier"))
+    entries = F.filter(F.array(entry_query, F.when(has_tier, entry_tier)), lambda e: e.isNotNull())
+    x = ex.select("*", F.inline(entries))
+    key = Window.partitionBy(*KEY)
+    running = key.orderBy(F.col("_v").asc_nulls_first(), F.col("_kind")) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (x.withColumn("pick", F.max("_tier").over(running))
+            .withColumn("any_tier_sku", F.max(F.col(SCPI).isNotNull()).over(key))
             .where(F.col("_kind") == 1).drop("_v", "_kind", "_tier"))
 
 
@@ -94,9 +100,8 @@ def resolve_skus(ex: DataFrame) -> DataFrame:
 
     Columns :data:`RESOLVED_COLUMNS`.
     """
-    any_tier_sku = F.max(F.col(SCPI).isNotNull()).over(Window.partitionBy(*KEY))
-    x = tier_picks(ex).withColumn("_any_tier", any_tier_sku)
-    rule1 = F.col(SCP).isNull() & ~F.col("_any_tier")
+    x = tier_picks(ex)
+    rule1 = F.col(SCP).isNull() & ~F.col("any_tier_sku")
     pick = F.col("pick")
     raw = F.when(pick.isNotNull(), pick["sku"]).otherwise(F.coalesce(F.col(SCP), F.col("mint_soft_sku")))
     return x.select(
@@ -149,15 +154,7 @@ def bundle_source() -> Column:
     return F.when(has_pipe(SCPI), F.col(SCPI)).when(has_pipe(SCP), F.col(SCP))
 
 
-def order_summary(lines: DataFrame) -> DataFrame:
-    """Per-order facts over deduped lines, one aggregate:
-
-    * ``has_sku``: some line has a tier or pricing SKU;
-    * ``first_bare``: line key of the first line with neither (W4 reset target);
-    * ``is_bundle``: some line's SKU holds ``|`` (A9, W8);
-    * ``header``: the bundle header line, lowest SKU priority then line order
-      (F10, W6, A12).
-    """
+def _summary_exprs() -> dict[str, Column]:
     bare = F.col(SCPI).isNull() & F.col(SCP).isNull()
     header = F.struct(F.col("created_at").alias("created_at"),
                       F.col("product_id").alias("bundle_product_id"),
@@ -166,22 +163,36 @@ def order_summary(lines: DataFrame) -> DataFrame:
                       F.col("variant_name").alias("bundle_variant_name"),
                       F.col("original_quantity").alias("bundle_quantity"),
                       clean_bundle_sku(bundle_source()).alias("bundle_sku"))
-    return lines.groupBy(*KEY).agg(
-        F.bool_or(~bare).alias("has_sku"),
-        F.min(F.when(bare, line_key())).alias("first_bare"),
-        F.bool_or(has_pipe(SCPI) | has_pipe(SCP)).alias("is_bundle"),
-        F.min_by(header, _ordered(sku_priority(SCP, SCPI), line_key())).alias("header"))
-
-
-def flag_lines(lines: DataFrame, summary: DataFrame | None = None) -> DataFrame:
-    """Deduped lines with the per-order summary attached and the adjacency
-    reset decided (W4): a line with neither SKU directly after a line with one
-    takes the mint SKU.  In the pinned line order that is exactly the first
-    bare line of an order that has SKU lines, so no lag window is needed."""
-    s = order_summary(lines) if summary is None else summary
+    return {"has_sku": F.bool_or(~bare),
+            "first_bare": F.min(F.when(bare, line_key())),
+            "is_bundle": F.bool_or(has_pipe(SCPI) | has_pipe(SCP)),
+            "header": F.min_by(header, _ordered(sku_priority(SCP, SCPI), line_key()))}
+
+
+def order_summary(lines: DataFrame) -> DataFrame:
+    """Per-order facts over deduped lines, one aggregate (one row per order):
+
+    * ``has_sku``: some line has a tier or pricing SKU;
+    * ``first_bare``: line key of the first line with neither (W4 reset target);
+    * ``is_bundle``: some line's SKU holds ``|`` (A9, W8);
+    * ``header``: the bundle header line, lowest SKU priority then line order
+      (F10, W6, A12).
+    """
+    return lines.groupBy(*KEY).agg(*[c.alias(n) for n, c in _summary_exprs().items()])
+
+
+def flag_lines(lines: DataFrame) -> DataFrame:
+    """Deduped lines with the :func:`order_summary` facts attached as window
+    aggregates over the (brand, order_id) partitioning the lines already have
+    (no self-join), and the adjacency reset decided (W4): a line with neither
+    SKU directly after a line with one takes the mint SKU.  In the pinned line
+    order that is exactly the first bare line of an order that has SKU lines,
+    so no lag or ordered window is needed."""
+    w = Window.partitionBy(*KEY)
+    x = lines.select("*", *[c.over(w).alias(n) for n, c in _summary_exprs().items()])
     bare = F.col(SCPI).isNull() & F.col(SCP).isNull()
     reset = bare & F.col("has_sku") & (line_key() == F.col("first_bare"))
-    return lines.join(s, KEY).withColumn("reset", reset)
+    return x.withColumn("reset", reset)
 
 
 def explode_bundles(flagged: DataFrame) -> DataFrame:
@@ -210,12 +221,12 @@ def stock_lines(ex: DataFrame) -> DataFrame:
     return dedup_lines(resolve_skus(ex))
 
 
-def report_non_bundle(lines: DataFrame, summary: DataFrame | None = None) -> DataFrame:
+def report_non_bundle(lines: DataFrame) -> DataFrame:
     """C6 (U1): every exploded line -- bundle orders included.
 
     brand, order_id, created_at, quantity, warehouse_sku
     """
-    return explode_bundles(flag_lines(lines, summary)).select(
+    return explode_bundles(flag_lines(lines)).select(
         *KEY, "created_at", F.col("quantity").cast("int").alias("quantity"), "warehouse_sku")
 
 

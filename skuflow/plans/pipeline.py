@@ -55,7 +55,7 @@ def build_reports(sources: Sources, brands=None, cut_lineage: bool = False) -> R
         checkpoint_dir(lines.sparkSession)
         lines = lines.checkpoint(eager=True)
     summary = SF.order_summary(lines)
-    non_bundle = SF.report_non_bundle(lines, summary)
+    non_bundle = SF.report_non_bundle(lines)
     base = R.retention_base(ox, ix)
     return Reports(
         retention_table=R.fill_retention(base),
