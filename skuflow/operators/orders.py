@@ -95,11 +95,6 @@ def second_order_by_customer(orders: DataFrame) -> DataFrame:
         F.col("is_subscription").alias("second_is_subscription"))
 
 
-def items_of_orders(items_x: DataFrame, order_keys: DataFrame) -> DataFrame:
-    """Items restricted to the orders in ``order_keys`` (brand, order_id)."""
-    return items_x.join(order_keys.select("brand", "order_id").distinct(), ["brand", "order_id"], "left_semi")
-
-
 def item_rank_order() -> list[Column]:
     """Item order inside an order: id, then name (NULLs last) for the
     translation fan-out rows that share an id (pinned tie-break)."""
@@ -136,23 +131,25 @@ def first_two_items(items_x: DataFrame) -> DataFrame:
                       F.col("_f.quantity").alias("first_product_quantity"), "second_product_name")
 
 
-def same_product_by_id(items_x: DataFrame, firsts: DataFrame) -> DataFrame:
+def same_product_by_id(items_x: DataFrame, firsts: DataFrame, keep=()) -> DataFrame:
     """Retention's same-product test (J10, J11, W7): does the order hold another
     item id whose name equals the first item's name?  NULL equals NULL here.
 
     Aggregated per (order, name) as min(id) != max(id): the first item's own
     group contains it, so the group has another id exactly when the flag holds.
-    No pairs are formed.  ``firsts``: brand, order_id, first_product_name.
+    No pairs are formed.  ``firsts``: brand, order_id, first_product_name and
+    the ``keep`` columns, which are passed through.
 
-    brand, order_id, same_product
+    brand, order_id, first_product_name, *keep, same_product
     """
     groups = items_x.groupBy("brand", "order_id", "product_name").agg(
         (F.min("id") != F.max("id")).alias("same_product"))
-    f = firsts.select("brand", "order_id", "first_product_name")
+    f = firsts.select("brand", "order_id", "first_product_name", *keep)
     cond = ((f["brand"] == groups["brand"]) & (f["order_id"] == groups["order_id"])
             & f["first_product_name"].eqNullSafe(groups["product_name"]))
     return f.join(groups, cond, "left").select(
-        f["brand"], f["order_id"], F.coalesce(groups["same_product"], F.lit(False)).alias("same_product"))
+        f["brand"], f["order_id"], f["first_product_name"], *[f[k] for k in keep],
+        F.coalesce(groups["same_product"], F.lit(False)).alias("same_product"))
 
 
 def first_nonnull_item(items_x: DataFrame) -> DataFrame:
@@ -174,18 +171,20 @@ def first_nonnull_item(items_x: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("first_order_total_item_count"))
 
 
-def same_product_by_rows(items_x: DataFrame, firsts: DataFrame) -> DataFrame:
+def same_product_by_rows(items_x: DataFrame, firsts: DataFrame, keep=()) -> DataFrame:
     """Sunset's same-product test (A8): more than one item row of the order has
     the first product name (NULL never matches), and the order has more than
     one row.  ``firsts``: brand, order_id, first_product_name,
-    first_order_total_item_count.
+    first_order_total_item_count and the ``keep`` columns (passed through).
 
-    brand, order_id, same_product
+    brand, order_id, first_product_name, first_order_total_item_count, *keep,
+    same_product
     """
     counts = items_x.where(F.col("product_name").isNotNull()) \
         .groupBy("brand", "order_id", "product_name").agg(F.count(F.lit(1)).alias("_n"))
-    f = firsts.select("brand", "order_id", "first_product_name", "first_order_total_item_count")
+    f = firsts.select("brand", "order_id", "first_product_name", "first_order_total_item_count", *keep)
     joined = f.join(counts.withColumnRenamed("product_name", "first_product_name"),
                     ["brand", "order_id", "first_product_name"], "left")
     flag = (F.col("first_order_total_item_count") > 1) & (F.coalesce(F.col("_n"), F.lit(0)) > 1)
-    return joined.select("brand", "order_id", flag.alias("same_product"))
+    return joined.select("brand", "order_id", "first_product_name", "first_order_total_item_count", *keep,
+                         flag.alias("same_product"))

@@ -2,9 +2,11 @@
 
 Plan shape: one partial aggregate per email over all valid orders (first
 order with items, order count, subscription of the first order), a top-2
-window per email for the second order, and per-order item facts computed only
-for the first/second orders (a semi join cuts the item table first).  No
-Python, no pairs, no unbounded group collection.
+window per email for the second order, and per-order item facts from partial
+aggregates and a top-2 window over the item table, joined to the email rows
+by order id.  The item side does not depend on the order side, so each input
+is scanned and shuffled once (AQE reuses identical stages).  No Python, no
+pairs, no unbounded group collection.
 """
 
 from __future__ import annotations
@@ -22,6 +24,20 @@ RETENTION_COLUMNS = (
 )
 
 
+def first_order_item_facts(items_x: DataFrame) -> DataFrame:
+    """Per-order item facts retention needs, from three partial aggregates
+    over the item table (no dependency on the order side):
+
+    brand, order_id, first_product_name, first_product_variant,
+    first_product_quantity, second_product_name, same_product,
+    total_items_count
+    """
+    two = ops.first_two_items(items_x)
+    same = ops.same_product_by_id(items_x, two, keep=["first_product_variant", "first_product_quantity",
+                                                      "second_product_name"])
+    return same.join(ops.item_order_counts(items_x), ["brand", "order_id"])
+
+
 def retention_base(orders_x: DataFrame, items_x: DataFrame) -> DataFrame:
     """Retention rows before missing values are filled.
 
@@ -29,26 +45,16 @@ def retention_base(orders_x: DataFrame, items_x: DataFrame) -> DataFrame:
     NaN, plus ``second_order_id``.
     """
     counts = ops.item_order_counts(items_x).withColumnRenamed("order_id", "id")
-    with_counts = orders_x.join(counts, ["brand", "id"], "left")
-    firsts = ops.email_first_orders(with_counts, F.col("total_items_count").isNotNull())
-    second = ops.second_order_by_email(orders_x)
-    base = firsts.join(second, ["brand", "email"], "left")
-
-    wanted = (base.select("brand", F.col("first_order_id").alias("order_id"))
-              .unionByName(base.where(F.col("second_order_id").isNotNull())
-                           .select("brand", F.col("second_order_id").alias("order_id"))))
-    items = ops.items_of_orders(items_x, wanted)
-    two = ops.first_two_items(items)
-    same = ops.same_product_by_id(items, two)
-    order_facts = (two.join(same, ["brand", "order_id"], "left")
-                   .join(ops.item_order_counts(items), ["brand", "order_id"], "left"))
-
-    f = order_facts.select(
+    firsts = ops.email_first_orders(orders_x.join(counts, ["brand", "id"], "left"),
+                                    F.col("total_items_count").isNotNull())
+    base = firsts.join(ops.second_order_by_email(orders_x), ["brand", "email"], "left")
+
+    f = first_order_item_facts(items_x).select(
         "brand", F.col("order_id").alias("first_order_id"), "first_product_name", "first_product_variant",
         "first_product_quantity", F.col("total_items_count").alias("first_order_total_item_count"),
         F.col("second_product_name").alias("first_order_second_product_name"), "same_product")
-    s = order_facts.select("brand", F.col("order_id").alias("second_order_id"),
-                           F.col("first_product_name").alias("first_item_from_second_order"))
+    s = ops.first_two_items(items_x).select("brand", F.col("order_id").alias("second_order_id"),
+                                            F.col("first_product_name").alias("first_item_from_second_order"))
     total = F.coalesce(F.col("first_order_total_item_count"), F.lit(0))
     in_first = F.coalesce(F.col("first_order_second_product_name"), F.lit(""))
     from_second = F.coalesce(F.col("first_item_from_second_order"), F.lit(""))

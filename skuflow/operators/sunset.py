@@ -45,14 +45,11 @@ def order_pairs(orders_x: DataFrame) -> DataFrame:
 
 def sunset_table(orders_x: DataFrame, items_x: DataFrame) -> DataFrame:
     """15 report columns plus ``brand``; pairs whose first or second order
-    has no items are dropped (J18)."""
+    has no items are dropped (J18).  Item facts are per-order partial
+    aggregates over the whole item table, joined by order id."""
     pairs = order_pairs(orders_x)
-    wanted = (pairs.select("brand", F.col("first_order_id").alias("order_id"))
-              .unionByName(pairs.select("brand", F.col("second_order_id").alias("order_id"))))
-    items = ops.items_of_orders(items_x, wanted)
-    facts = ops.first_nonnull_item(items)
-    same = ops.same_product_by_rows(items, facts)
-    first = (facts.join(same, ["brand", "order_id"])
+    facts = ops.first_nonnull_item(items_x)
+    first = (ops.same_product_by_rows(items_x, facts, keep=["first_product_variant", "first_product_quantity"])
              .withColumnRenamed("order_id", "first_order_id"))
     second = facts.select("brand", F.col("order_id").alias("second_order_id"),
                           F.col("first_product_name").alias("second_order_first_product_name"))
