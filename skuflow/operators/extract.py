@@ -1,9 +1,10 @@
 """Extracts (S8, J1-J4, P1-P5, P7, A10): the three row sets the reports start from.
 
 Joins to catalog tables (variant, product, translation, pricing) are done on the
-catalog first, so the large item table meets one pre-joined catalog once.  Spark
-broadcasts that catalog when its estimated/runtime size is under the configured
-threshold, otherwise AQE plans a sort-merge join and splits skewed (hot
+catalog first, so the large item table meets one pre-joined catalog once.  The
+catalog is broadcast only after its size has been measured below the session's
+broadcast threshold (:func:`skuflow.operators.joins.broadcast_if_bounded`);
+otherwise the join stays a sort-merge join and AQE splits skewed (hot
 variant) partitions.
 """
 
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skuflow.functions.sku import effective_name
+from skuflow.operators.joins import broadcast_if_bounded, is_bounded
 from skuflow.sources.tables import Sources
 
 # Order states and payment states the reports keep.
@@ -58,7 +60,7 @@ def extract_items(src: Sources) -> DataFrame:
     """
     items = src.sylius_order_item.select("brand", "order_id", "id", "variant_id", "product_name",
                                          "variant_name", "quantity")
-    return items.join(item_catalog(src), ["brand", "variant_id"]).select(
+    return items.join(broadcast_if_bounded(item_catalog(src)), ["brand", "variant_id"]).select(
         "brand", "order_id", "id",
         effective_name("product_name", "translation_name").alias("product_name"),
         "variant_name", "quantity", "product_id")
@@ -94,13 +96,19 @@ def extract_stock_lines(src: Sources) -> DataFrame:
     orders, products with a mint SKU; the item id is not kept, so identical
     lines collapse.
 
-    The rows are hash-partitioned by (brand, order_id) before the order join,
-    so the join, the DISTINCT and every later per-order step share that one
-    exchange.
+    The rows are hash-partitioned by (brand, order_id) once; the order join,
+    the DISTINCT and every later per-order step share that exchange.  With a
+    broadcastable catalog the narrow item rows are shuffled *before* the
+    catalog join fans them out per tier; a catalog too large to broadcast is
+    joined first (sort-merge on variant) and the result shuffled by order.
     """
     items = src.sylius_order_item.select("brand", "order_id", "variant_id", "product_name", "variant_name",
                                          "quantity", "unit_price", "units_total")
-    lines = items.join(stock_catalog(src), ["brand", "variant_id"]).repartition("brand", "order_id")
+    catalog = stock_catalog(src)
+    if is_bounded(catalog):
+        lines = items.repartition("brand", "order_id").join(F.broadcast(catalog), ["brand", "variant_id"])
+    else:
+        lines = items.join(catalog, ["brand", "variant_id"]).repartition("brand", "order_id")
     o = (src.sylius_order.where(F.col("payment_state").isin(*STOCK_PAYMENT_STATES))
          .select("brand", F.col("id").alias("order_id"), "created_at", "updated_at", "payment_state"))
     return lines.join(o, ["brand", "order_id"]).select(*STOCK_COLUMNS).distinct()

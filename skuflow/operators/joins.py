@@ -1,0 +1,52 @@
+"""Join helpers: broadcast only behind a measured size bound."""
+
+from __future__ import annotations
+
+import re
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+DEFAULT_LIMIT = 64 * 1024 * 1024
+
+
+def _threshold(df: DataFrame) -> int:
+    raw = str(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", str(DEFAULT_LIMIT)))
+    m = re.fullmatch(r"\s*(-?\d+)\s*([kmgt]?)b?\s*", raw.lower())
+    if not m:
+        return DEFAULT_LIMIT
+    mult = {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}[m.group(2)]
+    return int(m.group(1)) * mult
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Upper estimate of ``df``'s in-memory size from one aggregate pass:
+    rows x fixed-width columns plus the summed length of string columns."""
+    fixed, strings = 16, []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, T.StringType):
+            strings.append(F.coalesce(F.length(F.col(f.name)), F.lit(0)).cast("bigint"))
+            fixed += 8
+        elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            strings.append(F.coalesce(F.length(F.to_json(F.col(f.name))), F.lit(0)).cast("bigint"))
+            fixed += 8
+        else:
+            fixed += 8
+    text = F.sum(sum(strings[1:], strings[0])) if strings else F.lit(0)
+    row = df.agg(F.count(F.lit(1)).alias("n"), text.alias("s")).first()
+    return int(row["n"]) * fixed + int(row["s"] or 0)
+
+
+def is_bounded(df: DataFrame, limit: int | None = None) -> bool:
+    """Whether ``df`` measures within ``limit`` (default: the session's
+    broadcast threshold; a non-positive threshold disables broadcasting)."""
+    limit = _threshold(df) if limit is None else limit
+    return limit > 0 and measured_bytes(df) <= limit
+
+
+def broadcast_if_bounded(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """``broadcast(df)`` when its measured size is within ``limit``; otherwise
+    ``df`` unchanged, leaving a sort-merge join whose skewed partitions AQE
+    splits."""
+    return F.broadcast(df) if is_bounded(df, limit) else df
