@@ -46,7 +46,7 @@ def main() -> None:
     timings, exchanges = {}, {}
     for name in HEADLINE:
         timings[name] = round(min(run_once(reports[name]) for _ in range(repeat)), 3)
-        exchanges[name] = PI.summary(reports[name])["shuffle_exchanges"]
+        exchanges[name] = PI.summary(reports[name])["distinct_shuffles"]
     m = re.search(r"sf([0-9.]+)$", sf_dir)
     print(json.dumps({
         "metric": "report_wall_seconds_total",
@@ -55,7 +55,7 @@ def main() -> None:
         "queries": timings,
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
-        "static_shuffle_exchanges": exchanges,
+        "distinct_shuffles": exchanges,
     }))
     spark.stop()
 

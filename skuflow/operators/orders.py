@@ -1,5 +1,5 @@
 """Order- and item-level building blocks shared by the retention and sunset
-reports (A1-A7, W1-W3, J5, J10, A8).
+reports (A1-A8, W1-W3, W7, J5, J10, J11).
 
 Skew notes.  Per-email and per-customer work is either a partial (map-side)
 aggregate or a ``row_number() <= k`` filter, which Catalyst plans as a
@@ -112,79 +112,57 @@ def ranked_items(items_x: DataFrame, max_rank: int = 2) -> DataFrame:
             .where(F.col("rn") <= max_rank))
 
 
-def first_two_items(items_x: DataFrame) -> DataFrame:
-    """First and second item of every order, one row per order.
+def order_item_summary(items_x: DataFrame) -> DataFrame:
+    """Every per-order item fact both reports need, as one two-level partial
+    aggregate (no join, no window):
 
-    brand, order_id, first_id, first_product_name, first_product_variant,
-    first_product_quantity, second_product_name
-    """
-    r = ranked_items(items_x, 2)
-    first = F.when(F.col("rn") == 1, F.struct(
-        F.col("id").alias("id"), F.col("product_name").alias("name"),
-        F.col("variant_name").alias("variant"), F.col("quantity").alias("quantity")))
-    agg = r.groupBy("brand", "order_id").agg(
-        F.max(first).alias("_f"),
-        F.max(F.when(F.col("rn") == 2, F.col("product_name"))).alias("second_product_name"))
-    return agg.select("brand", "order_id",
-                      F.col("_f.id").alias("first_id"), F.col("_f.name").alias("first_product_name"),
-                      F.col("_f.variant").alias("first_product_variant"),
-                      F.col("_f.quantity").alias("first_product_quantity"), "second_product_name")
-
-
-def same_product_by_id(items_x: DataFrame, firsts: DataFrame, keep=()) -> DataFrame:
-    """Retention's same-product test (J10, J11, W7): does the order hold another
-    item id whose name equals the first item's name?  NULL equals NULL here.
-
-    Aggregated per (order, name) as min(id) != max(id): the first item's own
-    group contains it, so the group has another id exactly when the flag holds.
-    No pairs are formed.  ``firsts``: brand, order_id, first_product_name and
-    the ``keep`` columns, which are passed through.
-
-    brand, order_id, first_product_name, *keep, same_product
-    """
-    groups = items_x.groupBy("brand", "order_id", "product_name").agg(
-        (F.min("id") != F.max("id")).alias("same_product"))
-    f = firsts.select("brand", "order_id", "first_product_name", *keep)
-    cond = ((f["brand"] == groups["brand"]) & (f["order_id"] == groups["order_id"])
-            & f["first_product_name"].eqNullSafe(groups["product_name"]))
-    return f.join(groups, cond, "left").select(
-        f["brand"], f["order_id"], f["first_product_name"], *[f[k] for k in keep],
-        F.coalesce(groups["same_product"], F.lit(False)).alias("same_product"))
+    level 1, per (order, product_name): row count, min/max item id, the
+    variant/quantity of the group's first row, and the first non-NULL
+    variant/quantity with their item ids;
+    level 2, per order: the group whose first row comes first in item order
+    (id, then name NULLS LAST) holds the order's first item, so ``min_by``
+    over the groups yields it.
 
-
-def first_nonnull_item(items_x: DataFrame) -> DataFrame:
-    """Per order, the first non-NULL value of each item column in item order,
-    taken column by column (A6), and the item-row count (A7).
-
-    brand, order_id, first_product_name, first_product_variant,
-    first_product_quantity, first_order_total_item_count
+    brand, order_id, total_items_count (A3, A7),
+    first_name / first_variant / first_quantity (rank-1 item, W1),
+    same_by_id (J10: another id shares the first item's name, NULL = NULL),
+    nn_name / nn_variant / nn_quantity (first non-NULL per column, A6),
+    nn_name_rows (rows named like ``nn_name``, for A8)
     """
     idc, pn = F.col("id"), F.col("product_name")
-
-    def first_of(c: Column) -> Column:
-        return F.min_by(c, F.when(c.isNotNull(), F.struct(idc, pn.isNull(), pn)))
-
-    return items_x.groupBy("brand", "order_id").agg(
-        first_of(pn).alias("first_product_name"),
-        first_of(F.col("variant_name")).alias("first_product_variant"),
-        first_of(F.col("quantity")).alias("first_product_quantity"),
-        F.count(F.lit(1)).alias("first_order_total_item_count"))
-
-
-def same_product_by_rows(items_x: DataFrame, firsts: DataFrame, keep=()) -> DataFrame:
-    """Sunset's same-product test (A8): more than one item row of the order has
-    the first product name (NULL never matches), and the order has more than
-    one row.  ``firsts``: brand, order_id, first_product_name,
-    first_order_total_item_count and the ``keep`` columns (passed through).
-
-    brand, order_id, first_product_name, first_order_total_item_count, *keep,
-    same_product
-    """
-    counts = items_x.where(F.col("product_name").isNotNull()) \
-        .groupBy("brand", "order_id", "product_name").agg(F.count(F.lit(1)).alias("_n"))
-    f = firsts.select("brand", "order_id", "first_product_name", "first_order_total_item_count", *keep)
-    joined = f.join(counts.withColumnRenamed("product_name", "first_product_name"),
-                    ["brand", "order_id", "first_product_name"], "left")
-    flag = (F.col("first_order_total_item_count") > 1) & (F.coalesce(F.col("_n"), F.lit(0)) > 1)
-    return joined.select("brand", "order_id", "first_product_name", "first_order_total_item_count", *keep,
-                         flag.alias("same_product"))
+    vn, q = F.col("variant_name"), F.col("quantity")
+    groups = items_x.groupBy("brand", "order_id", "product_name").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min(idc).alias("min_id"),
+        F.max(idc).alias("max_id"),
+        F.min_by(F.struct(vn.alias("v"), q.alias("q")), idc).alias("head"),
+        F.min(F.when(vn.isNotNull(), F.struct(idc.alias("id"), vn.alias("v")))).alias("nn_v"),
+        F.min(F.when(q.isNotNull(), F.struct(idc.alias("id"), q.alias("q")))).alias("nn_q"))
+    g_pn = F.col("product_name")
+    order_key = F.struct(F.col("min_id"), g_pn.isNull(), F.coalesce(g_pn, F.lit("")))
+    named_key = F.when(g_pn.isNotNull(), F.struct(F.col("min_id"), g_pn))
+
+    def first_nonnull(col: str, field: str) -> Column:
+        c = F.col(col)
+        return F.min(F.when(c.isNotNull(), F.struct(c["id"], g_pn.isNull(), F.coalesce(g_pn, F.lit("")),
+                                                   c[field].alias("val")))).getField("val")
+
+    agg = groups.groupBy("brand", "order_id").agg(
+        F.sum("n").alias("total_items_count"),
+        F.min_by(F.struct(g_pn.alias("name"), F.col("head.v").alias("variant"), F.col("head.q").alias("quantity"),
+                          (F.col("min_id") != F.col("max_id")).alias("same")), order_key).alias("_first"),
+        F.min_by(g_pn, named_key).alias("nn_name"),
+        F.min_by(F.col("n"), named_key).alias("nn_name_rows"),
+        first_nonnull("nn_v", "v").alias("nn_variant"),
+        first_nonnull("nn_q", "q").alias("nn_quantity"))
+    return agg.select(
+        "brand", "order_id", "total_items_count",
+        F.col("_first.name").alias("first_name"), F.col("_first.variant").alias("first_variant"),
+        F.col("_first.quantity").alias("first_quantity"), F.col("_first.same").alias("same_by_id"),
+        "nn_name", "nn_variant", "nn_quantity", "nn_name_rows")
+
+
+def second_item_names(items_x: DataFrame) -> DataFrame:
+    """Name of each order's rank-2 item (W1 = 2).  brand, order_id, second_product_name"""
+    return ranked_items(items_x, 2).where(F.col("rn") == 2).select(
+        "brand", "order_id", F.col("product_name").alias("second_product_name"))

@@ -2,9 +2,9 @@
 
 Plan shape: one partial aggregate per email over all valid orders (first
 order with items, order count, subscription of the first order), a top-2
-window per email for the second order, and per-order item facts from partial
-aggregates and a top-2 window over the item table, joined to the email rows
-by order id.  The item side does not depend on the order side, so each input
+window per email for the second order, and per-order item facts from one
+two-level partial aggregate plus a top-2 window over the item table, joined
+to the email rows by order id.  The item side does not depend on the order side, so each input
 is scanned and shuffled once (AQE reuses identical stages).  No Python, no
 pairs, no unbounded group collection.
 """
@@ -24,37 +24,27 @@ RETENTION_COLUMNS = (
 )
 
 
-def first_order_item_facts(items_x: DataFrame) -> DataFrame:
-    """Per-order item facts retention needs, from three partial aggregates
-    over the item table (no dependency on the order side):
-
-    brand, order_id, first_product_name, first_product_variant,
-    first_product_quantity, second_product_name, same_product,
-    total_items_count
-    """
-    two = ops.first_two_items(items_x)
-    same = ops.same_product_by_id(items_x, two, keep=["first_product_variant", "first_product_quantity",
-                                                      "second_product_name"])
-    return same.join(ops.item_order_counts(items_x), ["brand", "order_id"])
-
-
 def retention_base(orders_x: DataFrame, items_x: DataFrame) -> DataFrame:
     """Retention rows before missing values are filled.
 
     Columns of :data:`RETENTION_COLUMNS`, with NULL where the reference has
     NaN, plus ``second_order_id``.
     """
-    counts = ops.item_order_counts(items_x).withColumnRenamed("order_id", "id")
+    summary = ops.order_item_summary(items_x)
+    counts = summary.select("brand", F.col("order_id").alias("id"), "total_items_count")
     firsts = ops.email_first_orders(orders_x.join(counts, ["brand", "id"], "left"),
                                     F.col("total_items_count").isNotNull())
     base = firsts.join(ops.second_order_by_email(orders_x), ["brand", "email"], "left")
 
-    f = first_order_item_facts(items_x).select(
-        "brand", F.col("order_id").alias("first_order_id"), "first_product_name", "first_product_variant",
-        "first_product_quantity", F.col("total_items_count").alias("first_order_total_item_count"),
-        F.col("second_product_name").alias("first_order_second_product_name"), "same_product")
-    s = ops.first_two_items(items_x).select("brand", F.col("order_id").alias("second_order_id"),
-                                            F.col("first_product_name").alias("first_item_from_second_order"))
+    f = summary.join(ops.second_item_names(items_x), ["brand", "order_id"], "left").select(
+        "brand", F.col("order_id").alias("first_order_id"), F.col("first_name").alias("first_product_name"),
+        F.col("first_variant").alias("first_product_variant"),
+        F.col("first_quantity").alias("first_product_quantity"),
+        F.col("total_items_count").alias("first_order_total_item_count"),
+        F.col("second_product_name").alias("first_order_second_product_name"),
+        F.col("same_by_id").alias("same_product"))
+    s = summary.select("brand", F.col("order_id").alias("second_order_id"),
+                       F.col("first_name").alias("first_item_from_second_order"))
     total = F.coalesce(F.col("first_order_total_item_count"), F.lit(0))
     in_first = F.coalesce(F.col("first_order_second_product_name"), F.lit(""))
     from_second = F.coalesce(F.col("first_item_from_second_order"), F.lit(""))

@@ -45,14 +45,19 @@ def order_pairs(orders_x: DataFrame) -> DataFrame:
 
 def sunset_table(orders_x: DataFrame, items_x: DataFrame) -> DataFrame:
     """15 report columns plus ``brand``; pairs whose first or second order
-    has no items are dropped (J18).  Item facts are per-order partial
-    aggregates over the whole item table, joined by order id."""
+    has no items are dropped (J18).  Item facts come from the per-order
+    summary aggregate (first non-NULL value per column, A6-A8), joined by
+    order id."""
     pairs = order_pairs(orders_x)
-    facts = ops.first_nonnull_item(items_x)
-    first = (ops.same_product_by_rows(items_x, facts, keep=["first_product_variant", "first_product_quantity"])
-             .withColumnRenamed("order_id", "first_order_id"))
-    second = facts.select("brand", F.col("order_id").alias("second_order_id"),
-                          F.col("first_product_name").alias("second_order_first_product_name"))
+    summary = ops.order_item_summary(items_x)
+    total = F.col("total_items_count")
+    first = summary.select(
+        "brand", F.col("order_id").alias("first_order_id"), F.col("nn_name").alias("first_product_name"),
+        F.col("nn_variant").alias("first_product_variant"), F.col("nn_quantity").alias("first_product_quantity"),
+        total.alias("first_order_total_item_count"),
+        ((total > 1) & (F.coalesce(F.col("nn_name_rows"), F.lit(0)) > 1)).alias("same_product"))
+    second = summary.select("brand", F.col("order_id").alias("second_order_id"),
+                            F.col("nn_name").alias("second_order_first_product_name"))
     return (pairs.join(first, ["brand", "first_order_id"])
             .join(second, ["brand", "second_order_id"])
             .select("brand", "email", "customer_id", "first_order_date", "second_order_date",

@@ -32,6 +32,29 @@ def exchanges(plan: str) -> list[str]:
             and "BroadcastExchange" not in ln and "ReusedExchange" not in ln]
 
 
+def _subtrees(plan: str) -> dict[str, str]:
+    """Exchange line -> normalised text of the subtree below it."""
+    lines = plan.splitlines()
+    out = {}
+    for i, ln in enumerate(lines):
+        if not re.search(r"\bExchange hashpartitioning|\bExchange SinglePartition|\bExchange rangepartitioning", ln):
+            continue
+        indent = len(ln) - len(ln.lstrip(" :+-"))
+        body = [ln]
+        for nxt in lines[i + 1:]:
+            if len(nxt) - len(nxt.lstrip(" :+-")) <= indent:
+                break
+            body.append(nxt.strip(" :+-"))
+        out[f"{i}"] = re.sub(r"#\d+L?|plan_id=\d+", "", "\n".join(x.strip(" :+-") for x in body))
+    return out
+
+
+def distinct_shuffles(plan: str) -> int:
+    """Shuffles counted once per distinct subtree: identical exchanges are
+    computed once (exchange/stage reuse)."""
+    return len(set(_subtrees(plan).values()))
+
+
 def python_nodes(plan: str) -> list[str]:
     return [ln.strip() for ln in plan.splitlines() if any(n in ln for n in PYTHON_NODES)]
 
@@ -41,6 +64,7 @@ def summary(df: DataFrame) -> dict[str, int]:
     plan = plan_text(df)
     return {
         "shuffle_exchanges": len(exchanges(plan)),
+        "distinct_shuffles": distinct_shuffles(plan),
         "broadcast_exchanges": plan.count("BroadcastExchange"),
         "sort_merge_joins": plan.count("SortMergeJoin"),
         "windows": len(re.findall(r"\bWindow \[", plan)),

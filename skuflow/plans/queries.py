@@ -88,16 +88,16 @@ def item_count_window(spark, sf_dir):
 
 @query
 def same_product_flag_retention(spark, sf_dir):
-    ix = _ix(spark, sf_dir)
-    return ops.same_product_by_id(ix, ops.first_two_items(ix)).select(
-        "brand", "order_id", F.col("same_product").alias("bought_upsell_more_of_the_same"))
+    s = ops.order_item_summary(_ix(spark, sf_dir))
+    return s.select("brand", "order_id", ((F.col("total_items_count") > 1) & F.col("same_by_id"))
+                    .alias("bought_upsell_more_of_the_same"))
 
 
 @query
 def same_product_flag_sunset(spark, sf_dir):
-    ix = _ix(spark, sf_dir)
-    return ops.same_product_by_rows(ix, ops.first_nonnull_item(ix)).select(
-        "brand", "order_id", F.col("same_product").alias("bought_upsell_more_of_the_same"))
+    s = ops.order_item_summary(_ix(spark, sf_dir))
+    flag = (F.col("total_items_count") > 1) & (F.coalesce(F.col("nn_name_rows"), F.lit(0)) > 1)
+    return s.select("brand", "order_id", flag.alias("bought_upsell_more_of_the_same"))
 
 
 @query
@@ -113,7 +113,10 @@ def second_order_by_customer(spark, sf_dir):
 
 @query
 def first_nonnull_item(spark, sf_dir):
-    return ops.first_nonnull_item(_ix(spark, sf_dir))
+    return ops.order_item_summary(_ix(spark, sf_dir)).select(
+        "brand", "order_id", F.col("nn_name").alias("first_product_name"),
+        F.col("nn_variant").alias("first_product_variant"), F.col("nn_quantity").alias("first_product_quantity"),
+        F.col("total_items_count").alias("first_order_total_item_count"))
 
 
 @query
