@@ -1,0 +1,2 @@
+"""Intentionally empty: the reports are full refreshes of batch snapshots; the
+source jobs have no event-time window, watermark or state to rebuild here."""
