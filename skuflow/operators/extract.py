@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skuflow.functions.sku import effective_name
+from skuflow.operators import salting as S
 from skuflow.operators.joins import broadcast_if_bounded, is_bounded
 from skuflow.sources.tables import Sources
 
@@ -94,21 +95,55 @@ STOCK_COLUMNS = ("brand", "order_id", "created_at", "updated_at", "payment_state
 def extract_stock_lines(src: Sources) -> DataFrame:
     """Distinct stock lines (``ex``): one row per (item x pricing tier), paid
     orders, products with a mint SKU; the item id is not kept, so identical
-    lines collapse.
-
-    The rows are hash-partitioned by (brand, order_id) once; the order join,
-    the DISTINCT and every later per-order step share that exchange.  With a
-    broadcastable catalog the narrow item rows are shuffled *before* the
-    catalog join fans them out per tier; a catalog too large to broadcast is
-    joined first (sort-merge on variant) and the result shuffled by order.
+    lines collapse.  Columns :data:`STOCK_COLUMNS` (plus ``salt``/``n_salts``
+    when some order is hot).
+
+    The line rows move once.  Normally they are hash-partitioned by (brand,
+    order_id) and every per-order step reuses that.  When an order exceeds
+    the per-task row limit (:mod:`skuflow.operators.salting`), the key is
+    (brand, order_id, salt), the orders are replicated to their salts for the
+    join, and the per-order steps combine partials across salts.  With a broadcastable
+    catalog the narrow item rows are shuffled *before* the catalog join fans
+    them out per tier; a catalog too large to broadcast is joined first
+    (sort-merge on variant, AQE skew split) and the result shuffled.
     """
+    spark = src.sylius_order_item.sparkSession
     items = src.sylius_order_item.select("brand", "order_id", "variant_id", "product_name", "variant_name",
                                          "quantity", "unit_price", "units_total")
-    catalog = stock_catalog(src)
-    if is_bounded(catalog):
-        lines = items.repartition("brand", "order_id").join(F.broadcast(catalog), ["brand", "variant_id"])
-    else:
-        lines = items.join(catalog, ["brand", "variant_id"]).repartition("brand", "order_id")
     o = (src.sylius_order.where(F.col("payment_state").isin(*STOCK_PAYMENT_STATES))
          .select("brand", F.col("id").alias("order_id"), "created_at", "updated_at", "payment_state"))
-    return lines.join(o, ["brand", "order_id"]).select(*STOCK_COLUMNS).distinct()
+    catalog = stock_catalog(src)
+    small_catalog = is_bounded(catalog)
+    hot = S.hot_table(items)
+    if hot is None:                      # no hot order: co-locate each order, key (brand, order_id)
+        if small_catalog:
+            lines = items.repartition("brand", "order_id").join(F.broadcast(catalog), ["brand", "variant_id"])
+        else:
+            lines = items.join(catalog, ["brand", "variant_id"]).repartition("brand", "order_id")
+        return lines.join(o, ["brand", "order_id"]).select(*STOCK_COLUMNS).distinct()
+    n = S.partitions(spark)
+    salted = S.assign_salts(items, hot)
+    if small_catalog:
+        lines = salted.repartition(n, *S.SALT_KEY).join(F.broadcast(catalog), ["brand", "variant_id"])
+    else:
+        lines = salted.join(catalog, ["brand", "variant_id"]).repartition(n, *S.SALT_KEY)
+    o_salted = S.replicate(o.join(hot, ["brand", "order_id"], "left")
+                           .withColumn("n_salts", F.coalesce(F.col("n_salts"), F.lit(1)))).drop("n_salts")
+    return lines.join(o_salted, S.SALT_KEY).select(*STOCK_COLUMNS, "salt", "n_salts").distinct()
+
+
+def order_tier_set(src: Sources) -> DataFrame:
+    """Every (order, tier count, tier SKU) of the order's items, straight from
+    items x catalog on the map side and pre-aggregated before any shuffle:
+    brand, order_id, count, scpi_promotion_warehouse_sku, n_salts.  Tiers of
+    orders that fail the payment filter are harmless -- they meet no line."""
+    items = src.sylius_order_item.select("brand", "order_id", "variant_id")
+    catalog = stock_catalog(src).where(F.col("scpi_promotion_warehouse_sku").isNotNull()) \
+        .select("brand", "variant_id", "count", "scpi_promotion_warehouse_sku")
+    hot = S.hot_table(src.sylius_order_item)
+    tiers = items.join(broadcast_if_bounded(catalog), ["brand", "variant_id"]) \
+        .groupBy("brand", "order_id", "count", "scpi_promotion_warehouse_sku").agg(F.lit(1).alias("_one"))
+    if hot is None:
+        return tiers.drop("_one").withColumn("n_salts", F.lit(1))
+    return tiers.drop("_one").join(hot, ["brand", "order_id"], "left") \
+        .withColumn("n_salts", F.coalesce(F.col("n_salts"), F.lit(1)))

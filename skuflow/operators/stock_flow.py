@@ -1,12 +1,14 @@
 """Stock-flow reports (C3-C8): SKU resolution, line dedup, bundle explode,
 bundle flag, the per-brand non-bundle / only-bundle reports and the merge.
 
-Every step is keyed by (brand, order_id).  The stock lines arrive hash-
-partitioned on that key (see :func:`skuflow.operators.extract.extract_stock_lines`),
-so aggregates, windows and the joins back to per-order summaries below run
-without another exchange.  Per-order work is expressed as aggregates, a
-``max_by`` dedup and one running-max window over (quantity, tier) values;
-nothing collects an order's rows into an array.
+Every step is keyed by (brand, order_id, salt) -- salt 0 unless the order is
+hot (:mod:`skuflow.operators.salting`).  The stock lines arrive hash-
+partitioned on that key (see :func:`skuflow.operators.extract.extract_stock_lines`)
+and never move again: order-level facts (the tier set, the summary) are
+partial aggregates combined per order and replicated back to the order's
+salts.  Per-order work is aggregates, a ``max_by`` dedup and one running-max
+window over (value, tier) entries; nothing collects an order's rows into an
+array, and no order -- however large -- is processed by a single task.
 
 Pinned orders (the source job leaves these to unstable sorts):
 
@@ -24,6 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skuflow.operators import salting as S
 from skuflow.functions.sku import (clean_bundle_sku, has_pipe, nonzero_qty, override_quantity, sku_code,
                                    sku_priority, split_bundle)
 
@@ -51,44 +54,64 @@ def order_tiers(ex: DataFrame) -> DataFrame:
             .distinct())
 
 
-def tier_picks(ex: DataFrame) -> DataFrame:
+def tier_picks(ex: DataFrame, tiers: DataFrame | None = None) -> DataFrame:
     """For every line, the order's largest tier with ``count <= quantity``
     (J19, P17, O2): an as-of match inside the order.
 
-    Each line contributes a query entry at its quantity and, when it carries a
-    tier, a tier entry at the tier count (one ``inline`` pass, no union).  In
-    value order -- tiers before queries on equal values -- a running
-    ``max(struct(count, sku))`` holds at each query the best reachable tier.
-    Linear in the order's lines, no pairs.  ``any_tier_sku`` (A14) rides on
-    the same window partition.
+    Lines and the order's tiers become entries ordered by value (tiers before
+    lines on equal values); a running ``max(struct(count, sku))`` holds at
+    each line the best reachable tier.  Linear, no pairs.  Co-located orders
+    get their tier entries from the lines themselves (one ``inline`` pass);
+    salted orders get the order's distinct tiers (a partial aggregate;
+    ``tiers`` from :func:`skuflow.operators.extract.order_tier_set` when
+    given, taken map-side before any shuffle) replicated to each salt, so the
+    line rows stay in place.
+    ``any_tier_sku`` (A14): the order has a line with a tier SKU.
 
     Returns ``ex`` with ``pick`` (struct count, sku; NULL when none) and
     ``any_tier_sku``.
     """
     tier = F.struct(F.col("count").alias("count"), F.col(SCPI).alias("sku"))
-    has_tier = F.col(SCPI).isNotNull() & F.col("count").isNotNull()
-    entry_query = F.struct(F.lit(1).alias("_kind"), F.col("quantity").alias("_v"),
-                           F.when(F.lit(False), tier).alias("_tier"))
-    entry_tier = F.struct(F.lit(0).alias("_kind"), F.col("count").alias("_v"), tier.alias("_tier"))
-    entries = F.filter(F.array(entry_query, F.when(has_tier, entry_tier)), lambda e: e.isNotNull())
-    x = ex.select("*", F.inline(entries))
-    key = Window.partitionBy(*KEY)
-    running = key.orderBy(F.col("_v").asc_nulls_first(), F.col("_kind")) \
+    no_tier = F.when(F.lit(False), tier)
+    if S.is_salted(ex):
+        key = S.SALT_KEY
+        if tiers is None:
+            tiers = (ex.where(F.col(SCPI).isNotNull())
+                     .groupBy(*KEY, "count", SCPI).agg(F.max("n_salts").alias("n_salts")))
+        entries = S.replicate(tiers).select(
+            *key, F.col("count").alias("_v"), F.lit(0).alias("_kind"),
+            F.when(F.col("count").isNotNull(), tier).alias("_tier"))
+        lines = ex.withColumn("_v", F.col("quantity")).withColumn("_kind", F.lit(1)).withColumn("_tier", no_tier)
+        x = lines.unionByName(entries, allowMissingColumns=True)
+        any_tier = F.coalesce(F.max(F.col("_kind") == 0).over(Window.partitionBy(*key)), F.lit(False))
+    else:
+        key = KEY
+        has_tier = F.col(SCPI).isNotNull() & F.col("count").isNotNull()
+        entry_query = F.struct(F.lit(1).alias("_kind"), F.col("quantity").alias("_v"), no_tier.alias("_tier"))
+        entry_tier = F.struct(F.lit(0).alias("_kind"), F.col("count").alias("_v"), tier.alias("_tier"))
+        entries = F.filter(F.array(entry_query, F.when(has_tier, entry_tier)), lambda e: e.isNotNull())
+        x = ex.select("*", F.inline(entries))
+        any_tier = F.max(F.col(SCPI).isNotNull()).over(Window.partitionBy(*key))
+    running = Window.partitionBy(*key).orderBy(F.col("_v").asc_nulls_first(), F.col("_kind")) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (x.withColumn("pick", F.max("_tier").over(running))
-            .withColumn("any_tier_sku", F.max(F.col(SCPI).isNotNull()).over(key))
+            .withColumn("any_tier_sku", any_tier)
             .where(F.col("_kind") == 1).drop("_v", "_kind", "_tier"))
 
 
-def tier_pick(ex: DataFrame) -> DataFrame:
+def _salt_cols(df: DataFrame) -> list[str]:
+    return ["salt", "n_salts"] if S.is_salted(df) else []
+
+
+def tier_pick(ex: DataFrame, tiers: DataFrame | None = None) -> DataFrame:
     """Distinct (order, quantity) -> picked tier; brand, order_id, quantity,
     pick_count, pick_sku."""
-    return (tier_picks(ex).select(*KEY, "quantity", F.col("pick.count").alias("pick_count"),
+    return (tier_picks(ex, tiers).select(*KEY, "quantity", F.col("pick.count").alias("pick_count"),
                                   F.col("pick.sku").alias("pick_sku")).distinct())
 
 
 # -------------------------------------------------------------- resolution
-def resolve_skus(ex: DataFrame) -> DataFrame:
+def resolve_skus(ex: DataFrame, tiers: DataFrame | None = None) -> DataFrame:
     """C3 per line (F1, F2, F12, A14):
 
     1. no pricing SKU and no tier SKU anywhere in the order -> the mint SKU,
@@ -100,7 +123,7 @@ def resolve_skus(ex: DataFrame) -> DataFrame:
 
     Columns :data:`RESOLVED_COLUMNS`.
     """
-    x = tier_picks(ex)
+    x = tier_picks(ex, tiers)
     rule1 = F.col(SCP).isNull() & ~F.col("any_tier_sku")
     pick = F.col("pick")
     raw = F.when(pick.isNotNull(), pick["sku"]).otherwise(F.coalesce(F.col(SCP), F.col("mint_soft_sku")))
@@ -113,7 +136,7 @@ def resolve_skus(ex: DataFrame) -> DataFrame:
         F.when(rule1, F.col("mint_soft_sku")).otherwise(sku_code(raw)).alias("final_sku"),
         F.when(~rule1 & pick.isNotNull(), pick["count"]).otherwise(F.lit(0)).alias("applied_count"),
         F.col("count").alias("tier_count"),
-        "mint_soft_sku", "product_id", "variant_id", "product_name", "variant_name")
+        "mint_soft_sku", "product_id", "variant_id", "product_name", "variant_name", *_salt_cols(x))
 
 
 def dedup_lines(resolved: DataFrame) -> DataFrame:
@@ -121,12 +144,14 @@ def dedup_lines(resolved: DataFrame) -> DataFrame:
     names, final_sku); NULL keys are equal.  The survivor has the greatest tier
     SKU (then the pinned order); it also decides the quantity.  A ``max_by``
     aggregate: partial on the map side, no sort of the group."""
+    keys = DEDUP_KEYS + _salt_cols(resolved)      # salt is a function of the dedup keys
     rest = [c for c in RESOLVED_COLUMNS if c not in DEDUP_KEYS]
     rank = _ordered(F.col(SCPI).isNotNull(), F.col(SCPI), F.col("tier_count").isNotNull(), F.col("tier_count"),
                     F.col("original_quantity").isNotNull(), F.col("original_quantity"),
                     F.col(SCP).isNotNull(), F.col(SCP))
-    agg = resolved.groupBy(*DEDUP_KEYS).agg(F.max_by(F.struct(*rest), rank).alias("_s"))
-    return agg.select(*[F.col(c) if c in DEDUP_KEYS else F.col(f"_s.{c}").alias(c) for c in RESOLVED_COLUMNS])
+    agg = resolved.groupBy(*keys).agg(F.max_by(F.struct(*rest), rank).alias("_s"))
+    return agg.select(*[F.col(c) if c in DEDUP_KEYS else F.col(f"_s.{c}").alias(c) for c in RESOLVED_COLUMNS],
+                      *_salt_cols(resolved))
 
 
 def _nl(c: str, default) -> list[Column]:
@@ -154,45 +179,69 @@ def bundle_source() -> Column:
     return F.when(has_pipe(SCPI), F.col(SCPI)).when(has_pipe(SCP), F.col(SCP))
 
 
-def _summary_exprs() -> dict[str, Column]:
+def _header() -> Column:
+    return F.struct(F.col("created_at").alias("created_at"),
+                    F.col("product_id").alias("bundle_product_id"),
+                    F.col("product_name").alias("bundle_product_name"),
+                    F.col("variant_id").alias("bundle_variant_id"),
+                    F.col("variant_name").alias("bundle_variant_name"),
+                    F.col("original_quantity").alias("bundle_quantity"),
+                    clean_bundle_sku(bundle_source()).alias("bundle_sku"))
+
+
+def _fact_aggs() -> dict[str, Column]:
     bare = F.col(SCPI).isNull() & F.col(SCP).isNull()
-    header = F.struct(F.col("created_at").alias("created_at"),
-                      F.col("product_id").alias("bundle_product_id"),
-                      F.col("product_name").alias("bundle_product_name"),
-                      F.col("variant_id").alias("bundle_variant_id"),
-                      F.col("variant_name").alias("bundle_variant_name"),
-                      F.col("original_quantity").alias("bundle_quantity"),
-                      clean_bundle_sku(bundle_source()).alias("bundle_sku"))
     return {"has_sku": F.bool_or(~bare),
             "first_bare": F.min(F.when(bare, line_key())),
             "is_bundle": F.bool_or(has_pipe(SCPI) | has_pipe(SCP)),
-            "header": F.min_by(header, _ordered(sku_priority(SCP, SCPI), line_key()))}
+            "kh": F.min(F.struct(_ordered(sku_priority(SCP, SCPI), line_key()).alias("k"), _header().alias("h")))}
 
 
 def order_summary(lines: DataFrame) -> DataFrame:
-    """Per-order facts over deduped lines, one aggregate (one row per order):
+    """Per-order facts over deduped lines, one row per order:
 
     * ``has_sku``: some line has a tier or pricing SKU;
     * ``first_bare``: line key of the first line with neither (W4 reset target);
     * ``is_bundle``: some line's SKU holds ``|`` (A9, W8);
     * ``header``: the bundle header line, lowest SKU priority then line order
       (F10, W6, A12).
+
+    Salted lines: a partial aggregate per (order, salt) in place, then one per
+    order over those partials (a few rows per order); plus ``n_salts``.
     """
-    return lines.groupBy(*KEY).agg(*[c.alias(n) for n, c in _summary_exprs().items()])
-
-
-def flag_lines(lines: DataFrame) -> DataFrame:
-    """Deduped lines with the :func:`order_summary` facts attached as window
-    aggregates over the (brand, order_id) partitioning the lines already have
-    (no self-join), and the adjacency reset decided (W4): a line with neither
-    SKU directly after a line with one takes the mint SKU.  In the pinned line
-    order that is exactly the first bare line of an order that has SKU lines,
-    so no lag or ordered window is needed."""
-    w = Window.partitionBy(*KEY)
-    x = lines.select("*", *[c.over(w).alias(n) for n, c in _summary_exprs().items()])
+    aggs = [c.alias(n) for n, c in _fact_aggs().items()]
+    if not S.is_salted(lines):
+        return lines.groupBy(*KEY).agg(*aggs).withColumn("header", F.col("kh.h")).drop("kh")
+    partial = lines.groupBy(*S.SALT_KEY).agg(*aggs, F.max("n_salts").alias("n_salts"))
+    return partial.groupBy(*KEY).agg(
+        F.bool_or("has_sku").alias("has_sku"),
+        F.min("first_bare").alias("first_bare"),
+        F.bool_or("is_bundle").alias("is_bundle"),
+        F.min("kh").getField("h").alias("header"),
+        F.max("n_salts").alias("n_salts"))
+
+
+def flag_lines(lines: DataFrame, summary: DataFrame | None = None) -> DataFrame:
+    """Deduped lines with the :func:`order_summary` facts attached and the
+    adjacency reset decided (W4): a line with neither SKU directly after a
+    line with one takes the mint SKU.  In the pinned line order that is
+    exactly the first bare line of an order that has SKU lines, so no lag or
+    ordered window is needed.
+
+    Co-located orders: the facts are window aggregates over the existing
+    (brand, order_id) partitioning (``summary`` is not needed).  Salted
+    orders: the combined facts are replicated to the order's salts and
+    joined on (brand, order_id, salt), so the lines do not move."""
     bare = F.col(SCPI).isNull() & F.col(SCP).isNull()
     reset = bare & F.col("has_sku") & (line_key() == F.col("first_bare"))
-    return x.withColumn("reset", reset)
+    if not S.is_salted(lines):
+        w = Window.partitionBy(*KEY)
+        x = lines.select("*", *[c.over(w).alias(n) for n, c in _fact_aggs().items()]) \
+            .withColumn("header", F.col("kh.h")).drop("kh")
+        return x.withColumn("reset", reset)
+    s = order_summary(lines) if summary is None else summary
+    facts = S.replicate(s).drop("n_salts")
+    return lines.join(facts, S.SALT_KEY).withColumn("reset", reset)
 
 
 def explode_bundles(flagged: DataFrame) -> DataFrame:
@@ -216,17 +265,17 @@ def explode_bundles(flagged: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- reports
-def stock_lines(ex: DataFrame) -> DataFrame:
+def stock_lines(ex: DataFrame, tiers: DataFrame | None = None) -> DataFrame:
     """Resolved and deduped lines."""
-    return dedup_lines(resolve_skus(ex))
+    return dedup_lines(resolve_skus(ex, tiers))
 
 
-def report_non_bundle(lines: DataFrame) -> DataFrame:
+def report_non_bundle(lines: DataFrame, summary: DataFrame | None = None) -> DataFrame:
     """C6 (U1): every exploded line -- bundle orders included.
 
     brand, order_id, created_at, quantity, warehouse_sku
     """
-    return explode_bundles(flag_lines(lines)).select(
+    return explode_bundles(flag_lines(lines, summary)).select(
         *KEY, "created_at", F.col("quantity").cast("int").alias("quantity"), "warehouse_sku")
 
 

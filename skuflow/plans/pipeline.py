@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from skuflow.brands import validate_brands
 from skuflow.operators import extract as X
 from skuflow.operators import retention as R
+from skuflow.operators import salting as S
 from skuflow.operators import stock_flow as SF
 from skuflow.operators import sunset as SU
 from skuflow.session import checkpoint_dir
@@ -50,12 +51,13 @@ def build_reports(sources: Sources, brands=None, cut_lineage: bool = False) -> R
     if brands is not None:
         sources = sources.for_brands(validate_brands(brands))
     ox, ix = X.extract_orders(sources), X.extract_items(sources)
-    lines = SF.stock_lines(X.extract_stock_lines(sources))
+    ex = X.extract_stock_lines(sources)
+    lines = SF.stock_lines(ex, X.order_tier_set(sources) if S.is_salted(ex) else None)
     if cut_lineage:
         checkpoint_dir(lines.sparkSession)
         lines = lines.checkpoint(eager=True)
     summary = SF.order_summary(lines)
-    non_bundle = SF.report_non_bundle(lines)
+    non_bundle = SF.report_non_bundle(lines, summary)
     base = R.retention_base(ox, ix)
     return Reports(
         retention_table=R.fill_retention(base),

@@ -52,7 +52,7 @@ def extract_items(spark, sf_dir):
 
 @query
 def extract_stock_lines(spark, sf_dir):
-    return X.extract_stock_lines(_src(spark, sf_dir))
+    return X.extract_stock_lines(_src(spark, sf_dir)).select(*X.STOCK_COLUMNS)
 
 
 # ------------------------------------------------------------ order blocks
@@ -148,8 +148,14 @@ def _ex(spark, sf_dir):
     return X.extract_stock_lines(_src(spark, sf_dir))
 
 
+def _tiers(spark, sf_dir, ex):
+    from skuflow.operators.salting import is_salted
+    return X.order_tier_set(_src(spark, sf_dir)) if is_salted(ex) else None
+
+
 def _lines(spark, sf_dir):
-    return SF.stock_lines(_ex(spark, sf_dir))
+    ex = _ex(spark, sf_dir)
+    return SF.stock_lines(ex, _tiers(spark, sf_dir, ex))
 
 
 @query
@@ -159,17 +165,19 @@ def order_tiers(spark, sf_dir):
 
 @query
 def tier_pick(spark, sf_dir):
-    return SF.tier_pick(_ex(spark, sf_dir))
+    ex = _ex(spark, sf_dir)
+    return SF.tier_pick(ex, _tiers(spark, sf_dir, ex))
 
 
 @query
 def sku_resolve(spark, sf_dir):
-    return SF.resolve_skus(_ex(spark, sf_dir))
+    ex = _ex(spark, sf_dir)
+    return SF.resolve_skus(ex, _tiers(spark, sf_dir, ex)).select(*SF.RESOLVED_COLUMNS)
 
 
 @query
 def line_dedup(spark, sf_dir):
-    return _lines(spark, sf_dir)
+    return _lines(spark, sf_dir).select(*SF.RESOLVED_COLUMNS)
 
 
 @query
