@@ -52,13 +52,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 
     Read from the session (``spark.checkpoint.dir``, or a directory already set
-    on the context).  Only when nothing is configured -- local tests -- a
-    scratch folder is created and registered.
+    on the context).  Only when nothing is configured on a ``local`` master
+    -- tests -- a scratch folder is created and registered; on a cluster an
+    unset folder is an error, never a machine-local fallback.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set; point it at a folder shared by the cluster")
         configured = tempfile.mkdtemp(prefix="skuflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if spark.sparkContext.getCheckpointDir() is None:
