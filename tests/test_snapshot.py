@@ -61,3 +61,17 @@ def test_publish_writes_all_reports(spark, tmp_root):
     assert back.count() == counts["report_only_bundle"]
     merged = spark.read.parquet(f"{tmp_root}/out/report_merged")
     assert merged.columns == ["order_id", "created_at", "quantity", "warehouse_sku"]
+
+
+def test_per_brand_exports(spark):
+    from skuflow.brands import export_table_name
+    from skuflow.sources.sinks import per_brand_exports
+
+    rep = pipeline.build_reports(from_testdata(spark, SF_SMALL)).report_non_bundle
+    outs = per_brand_exports(rep, "non_bundle")
+    assert sorted(outs) == [export_table_name(b, "non_bundle") for b in ("ABC", "DEF", "GHI", "JKL", "MNO")]
+    assert export_table_name("ABC", "only_bundle") == "report_abc_only_bundle"
+    assert sum(df.count() for df in outs.values()) == rep.count()
+    assert all("brand" not in df.columns for df in outs.values())
+    with pytest.raises(ValueError):
+        export_table_name("ABC", "other")
