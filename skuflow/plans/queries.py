@@ -78,7 +78,8 @@ def first_order_per_email(spark, sf_dir):
 
 @query
 def item_rank(spark, sf_dir):
-    return ops.ranked_items(_ix(spark, sf_dir), 2).select("brand", "order_id", "id", "product_name", "rn")
+    return ops.ranked_items(_ix(spark, sf_dir), 2).select("brand", "order_id", "id", "product_name",
+                                                          F.col("rn").cast("bigint").alias("rn"))
 
 
 @query
