@@ -24,12 +24,30 @@ IX_SCHEMA = ("brand string, order_id bigint, id bigint, product_name string, var
              "quantity int, product_id bigint")
 
 
-def ex_df(spark, *lines):
+@pytest.fixture(params=["colocated", "salted"])
+def mode(request):
+    return request.param
+
+
+def _salt(ex, mode):
+    """The same lines as a hot order split over 3 salts (salted mode)."""
+    if mode == "colocated":
+        return ex
+    from skuflow.operators import salting as S
+    x = ex.withColumn("n_salts", F.lit(3)).withColumn("salt", S.line_salt(F.col("n_salts")))
+    return x.repartition(S.partitions(ex.sparkSession), *S.SALT_KEY)
+
+
+def ex_df(spark, *lines, mode="colocated"):
+    return _salt(_ex_df(spark, *lines), mode)
+
+
+def _ex_df(spark, *lines):
     rows = []
     for ln in lines:
         v = ln.get("variant", 10)
         q = ln.get("qty", 1)
-        rows.append(("ABC", ln.get("order", 1), T0, T0, "paid", q, 100, 100 * q, v, v,
+        rows.append(("ABC", ln.get("order", 1), T0, T0, "paid", q, 100, None if q is None else 100 * q, v, v,
                      ln.get("name", f"p{v}"), ln.get("vname", f"v{v}"), ln.get("scp"), ln.get("scpi"),
                      ln.get("count"), ln.get("mint", f"M{v}")))
     return spark.createDataFrame(rows, EX_SCHEMA)
@@ -42,25 +60,25 @@ def one(df):
 
 
 # ----------------------------------------------------------- stock flow
-def test_m1_mint_unsplit_without_any_sku(spark):
-    r = one(SF.stock_lines(ex_df(spark, dict(qty=5, mint="M#2"))))
+def test_m1_mint_unsplit_without_any_sku(spark, mode):
+    r = one(SF.stock_lines(ex_df(spark, dict(qty=5, mint="M#2"), mode=mode)))
     assert (r.final_sku, r.quantity, r.applied_count) == ("M#2", 5, 0)
 
 
-def test_m2_largest_reachable_tier(spark):
-    ex = ex_df(spark, dict(qty=5, scpi="A", count=2), dict(qty=5, scpi="B#9", count=4))
+def test_m2_largest_reachable_tier(spark, mode):
+    ex = ex_df(spark, dict(qty=5, scpi="A", count=2), dict(qty=5, scpi="B#9", count=4), mode=mode)
     r = one(SF.stock_lines(ex))
     assert (r.final_sku, r.applied_count, r.quantity) == ("B", 4, 9)
 
 
-def test_m3_no_tier_reachable_falls_back_to_mint(spark):
-    ex = ex_df(spark, dict(qty=1, scpi="A", count=2, mint="M#2"), dict(qty=1, scpi="B#9", count=4, mint="M#2"))
+def test_m3_no_tier_reachable_falls_back_to_mint(spark, mode):
+    ex = ex_df(spark, dict(qty=1, scpi="A", count=2, mint="M#2"), dict(qty=1, scpi="B#9", count=4, mint="M#2"), mode=mode)
     r = one(SF.stock_lines(ex))
     assert (r.final_sku, r.applied_count, r.quantity) == ("M", 0, 2)
 
 
-def test_m4_m5_order_level_tier_then_adjacency_reset(spark):
-    ex = ex_df(spark, dict(variant=20, qty=5, mint="MX"), dict(variant=30, qty=3, scpi="A#7", count=2))
+def test_m4_m5_order_level_tier_then_adjacency_reset(spark, mode):
+    ex = ex_df(spark, dict(variant=20, qty=5, mint="MX"), dict(variant=30, qty=3, scpi="A#7", count=2), mode=mode)
     lines = {r.variant_id: r for r in SF.stock_lines(ex).collect()}
     assert (lines[20].final_sku, lines[20].quantity) == ("A", 5)      # M4: tier of another line, qty kept
     assert (lines[30].final_sku, lines[30].quantity) == ("A", 7)
@@ -68,13 +86,13 @@ def test_m4_m5_order_level_tier_then_adjacency_reset(spark):
     assert rep == {("MX", 5), ("A", 7)}                                # M5: bare line after a SKU line
 
 
-def test_m6_pricing_multiplier_needs_own_tier(spark):
-    r = one(SF.stock_lines(ex_df(spark, dict(qty=4, scp="S#3"))))
+def test_m6_pricing_multiplier_needs_own_tier(spark, mode):
+    r = one(SF.stock_lines(ex_df(spark, dict(qty=4, scp="S#3"), mode=mode)))
     assert (r.final_sku, r.quantity) == ("S", 4)
 
 
-def test_m7_bundle_explode(spark):
-    ex = ex_df(spark, dict(qty=6, scpi="A#4|B#0|C|D#x", count=1))
+def test_m7_bundle_explode(spark, mode):
+    ex = ex_df(spark, dict(qty=6, scpi="A#4|B#0|C|D#x", count=1), mode=mode)
     lines = SF.stock_lines(ex)
     parts = SF.explode_bundles(SF.flag_lines(lines)).collect()
     assert sorted((r.warehouse_sku, r.quantity) for r in parts) == [("A", 4), ("B", 6), ("C", 6), ("D", 6)]
@@ -83,24 +101,37 @@ def test_m7_bundle_explode(spark):
     assert (h.bundle_sku, h.bundle_quantity) == ("A|B|C|D", 6)
 
 
-def test_m8_pricing_bundle_when_tier_has_no_pipe(spark):
-    ex = ex_df(spark, dict(qty=5, scpi="P", count=1, scp="A#1|B#2"))
+def test_m8_pricing_bundle_when_tier_has_no_pipe(spark, mode):
+    ex = ex_df(spark, dict(qty=5, scpi="P", count=1, scp="A#1|B#2"), mode=mode)
     rep = sorted((r.warehouse_sku, r.quantity) for r in SF.report_non_bundle(SF.stock_lines(ex)).collect())
     assert rep == [("A", 1), ("B", 2)]
 
 
-def test_m9_header_may_be_a_non_bundle_line(spark):
+def test_m9_header_may_be_a_non_bundle_line(spark, mode):
     ex = ex_df(spark, dict(variant=40, qty=2, scp="S1", scpi="T1", count=1),
-               dict(variant=50, qty=2, scp="X#1|Y"))
+               dict(variant=50, qty=2, scp="X#1|Y"), mode=mode)
     h = one(SF.report_only_bundle(SF.order_summary(SF.stock_lines(ex))))
     assert (h.bundle_variant_id, h.bundle_sku) == (40, None)
 
 
-def test_non_bundle_order_has_no_header(spark):
-    ex = ex_df(spark, dict(qty=2, scp="S1"))
+def test_non_bundle_order_has_no_header(spark, mode):
+    ex = ex_df(spark, dict(qty=2, scp="S1"), mode=mode)
     assert SF.report_only_bundle(SF.order_summary(SF.stock_lines(ex))).count() == 0
 
 
+def test_tier_edge_cases(spark, mode):
+    # tier with NULL count: not reachable, but the order does have a tier SKU;
+    # empty tier SKU: reachable, gives an empty code, no quantity override;
+    # NULL quantity: reaches no tier.
+    ex = ex_df(spark, dict(variant=10, qty=5, scpi="T#4", count=None, mint="M#3"),
+               dict(variant=20, qty=5, scpi="", count=1, mint="N"),
+               dict(variant=30, qty=None, mint="Q#2", scp="S#7"), mode=mode)
+    got = {r.variant_id: (r.final_sku, r.quantity, r.applied_count) for r in SF.stock_lines(ex).collect()}
+    assert got[10] == ("", 5, 1)       # best reachable tier is the empty SKU of line 20 (count 1 <= 5)
+    assert got[20] == ("", 5, 1)       # own tier SKU is empty: no override
+    assert got[30] == ("S", None, 0)   # NULL quantity: no tier; pricing SKU; own tier SKU NULL: no override
+
+
 # ------------------------------------------------------ retention / sunset
 def ox_df(spark, *orders):
     rows = [("ABC", o["id"], o.get("cust", 1), o.get("at", T0 + dt.timedelta(hours=o["id"])), "fulfilled",
