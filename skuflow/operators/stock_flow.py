@@ -143,7 +143,8 @@ def dedup_lines(resolved: DataFrame) -> DataFrame:
     """One line per (order, unit_price, units_total, product, variant,
     names, final_sku); NULL keys are equal.  The survivor has the greatest tier
     SKU (then the pinned order); it also decides the quantity.  A ``max_by``
-    aggregate: partial on the map side, no sort of the group."""
+    aggregate, partial on the map side (sort-based, since the kept row is a
+    struct); no window over the order."""
     keys = DEDUP_KEYS + _salt_cols(resolved)      # salt is a function of the dedup keys
     rest = [c for c in RESOLVED_COLUMNS if c not in DEDUP_KEYS]
     rank = _ordered(F.col(SCPI).isNotNull(), F.col(SCPI), F.col("tier_count").isNotNull(), F.col("tier_count"),
@@ -275,10 +276,28 @@ def report_non_bundle(lines: DataFrame, summary: DataFrame | None = None) -> Dat
 
     brand, order_id, created_at, quantity, warehouse_sku
     """
-    return explode_bundles(flag_lines(lines, summary)).select(
+    return non_bundle_rows(flag_lines(lines, summary))
+
+
+def non_bundle_rows(flagged: DataFrame) -> DataFrame:
+    """C6 from lines that already carry their order facts (:func:`flag_lines`)."""
+    return explode_bundles(flagged).select(
         *KEY, "created_at", F.col("quantity").cast("int").alias("quantity"), "warehouse_sku")
 
 
+def bundle_headers(flagged: DataFrame) -> DataFrame:
+    """C7 from lines that already carry their order facts: every line of a
+    bundle order holds the same header, so one partial aggregate per order
+    over the bundle orders' lines suffices."""
+    h = F.col("header")
+    return (flagged.where(F.col("is_bundle")).groupBy(*KEY).agg(F.any_value("header").alias("header"))
+            .select(*KEY, h["created_at"].alias("created_at"), h["bundle_product_id"].alias("bundle_product_id"),
+                    h["bundle_product_name"].alias("bundle_product_name"),
+                    h["bundle_variant_id"].alias("bundle_variant_id"),
+                    h["bundle_variant_name"].alias("bundle_variant_name"),
+                    h["bundle_quantity"].cast("int").alias("bundle_quantity"), h["bundle_sku"].alias("bundle_sku")))
+
+
 def report_only_bundle(summary: DataFrame) -> DataFrame:
     """One header row per bundle order, straight from the per-order
     summary.  ``bundle_sku`` is NULL when the header line is not itself a

@@ -45,8 +45,9 @@ class Reports:
 def build_reports(sources: Sources, brands=None, cut_lineage: bool = False) -> Reports:
     """Lazy report frames for ``brands`` (all when None).
 
-    With ``cut_lineage`` the deduped stock lines -- shared by both stock-flow
-    reports -- are checkpointed once (an action) into the shared folder.
+    With ``cut_lineage`` the stock lines with their per-order facts -- shared
+    by both stock-flow reports -- are checkpointed once (an action) into the
+    shared folder.
     """
     if brands is not None:
         sources = sources.for_brands(validate_brands(brands))
@@ -54,16 +55,20 @@ def build_reports(sources: Sources, brands=None, cut_lineage: bool = False) -> R
     ex = X.extract_stock_lines(sources)
     lines = SF.stock_lines(ex, X.order_tier_set(sources) if S.is_salted(ex) else None)
     if cut_lineage:
+        # Cut after the per-order facts are attached: both stock-flow reports
+        # then read the checkpoint without regrouping the lines.
         checkpoint_dir(lines.sparkSession)
-        lines = lines.checkpoint(eager=True)
-    summary = SF.order_summary(lines)
-    non_bundle = SF.report_non_bundle(lines, summary)
+        flagged = SF.flag_lines(lines).checkpoint(eager=True)
+        non_bundle, only_bundle = SF.non_bundle_rows(flagged), SF.bundle_headers(flagged)
+    else:
+        summary = SF.order_summary(lines)
+        non_bundle, only_bundle = SF.report_non_bundle(lines, summary), SF.report_only_bundle(summary)
     base = R.retention_base(ox, ix)
     return Reports(
         retention_table=R.fill_retention(base),
         sunset_table=SU.sunset_table(ox, ix),
         report_non_bundle=non_bundle,
-        report_only_bundle=SF.report_only_bundle(summary),
+        report_only_bundle=only_bundle,
         report_merged=SF.report_merged(non_bundle),
         quality={"retention_missing_first_items": R.missing_first_items(base)},
     )

@@ -75,3 +75,11 @@ def test_per_brand_exports(spark):
     assert all("brand" not in df.columns for df in outs.values())
     with pytest.raises(ValueError):
         export_table_name("ABC", "other")
+
+
+def test_checkpointed_reports_equal_lazy_ones(spark):
+    src = from_testdata(spark, SF_SMALL)
+    lazy = pipeline.build_reports(src)
+    cut = pipeline.build_reports(src, cut_lineage=True)
+    for name in ("report_non_bundle", "report_only_bundle", "report_merged"):
+        assert _digest(lazy.as_dict()[name]) == _digest(cut.as_dict()[name])
