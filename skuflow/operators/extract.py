@@ -122,7 +122,9 @@ def extract_stock_lines(src: Sources) -> DataFrame:
             lines = items.join(catalog, ["brand", "variant_id"]).repartition("brand", "order_id")
         return lines.join(o, ["brand", "order_id"]).select(*STOCK_COLUMNS).distinct()
     n = S.partitions(spark)
-    salted = S.assign_salts(items, hot)
+    # NULL keys never join; stating it here keeps every branch's line scan
+    # identical (no per-branch inferred filters), so the salted shuffle is reused.
+    salted = S.assign_salts(items.where(F.col("brand").isNotNull() & F.col("order_id").isNotNull()), hot)
     if small_catalog:
         lines = salted.repartition(n, *S.SALT_KEY).join(F.broadcast(catalog), ["brand", "variant_id"])
     else:

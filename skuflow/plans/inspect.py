@@ -16,9 +16,15 @@ PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "
 def plan_text(df: DataFrame, mode: str = "simple", adaptive: bool = True) -> str:
     """``df.explain(mode)`` as a string.  Before execution an adaptive plan
     prints its initial (static) physical plan, which is what we inspect."""
+    conf = df.sparkSession.conf
+    old = conf.get("spark.sql.maxMetadataStringLength")
+    conf.set("spark.sql.maxMetadataStringLength", "1000000")   # untruncated scan filters
     buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain(mode=mode)
+    try:
+        with contextlib.redirect_stdout(buf):
+            df.explain(mode=mode)
+    finally:
+        conf.set("spark.sql.maxMetadataStringLength", old)
     return buf.getvalue()
 
 
