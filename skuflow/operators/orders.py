@@ -188,3 +188,27 @@ def same_product_by_rows(items_x: DataFrame, firsts: DataFrame, keep=()) -> Data
     flag = (F.col("first_order_total_item_count") > 1) & (F.coalesce(F.col("_n"), F.lit(0)) > 1)
     return joined.select("brand", "order_id", "first_product_name", "first_order_total_item_count", *keep,
                          flag.alias("same_product"))
+
+
+def attach_order_facts(rows: DataFrame, key: list[str], roles: dict[int, str], facts: DataFrame,
+                       keep: list[str], how: str = "left") -> DataFrame:
+    """Join per-order ``facts`` (keyed brand, order_id) to ``rows`` for several
+    order-id columns at once.
+
+    Each row becomes one row per role (``roles``: role number -> order-id
+    column), the facts are joined once on (brand, order_id), and the roles are
+    folded back per ``key`` -- one pass over the facts instead of one join
+    (and one copy of the facts plan) per role.  ``keep`` are the row columns
+    to carry (equal across a row's roles).  ``how="inner"`` drops a role row
+    whose order has no facts.
+
+    Returns ``key``, ``keep`` and, per role r, a struct column ``role_<r>``
+    holding the fact columns (NULL when the role found no facts).
+    """
+    fact_cols = [c for c in facts.columns if c not in ("brand", "order_id")]
+    long = rows.select(*key, *keep, F.inline(F.array(*[
+        F.struct(F.lit(r).alias("_role"), F.col(c).alias("order_id")) for r, c in roles.items()])))
+    j = long.join(facts.withColumn("_hit", F.lit(True)), ["brand", "order_id"], how)
+    per_role = [F.max(F.when((F.col("_role") == r) & F.col("_hit"),
+                             F.struct(*[F.col(c) for c in fact_cols]))).alias(f"role_{r}") for r in roles]
+    return j.groupBy(*key).agg(*[F.max(c).alias(c) for c in keep], *per_role)

@@ -49,26 +49,26 @@ def retention_base(orders_x: DataFrame, items_x: DataFrame) -> DataFrame:
                                     F.col("total_items_count").isNotNull())
     base = firsts.join(ops.second_order_by_email(orders_x), ["brand", "email"], "left")
 
-    f = first_order_item_facts(items_x).select(
-        "brand", F.col("order_id").alias("first_order_id"), "first_product_name", "first_product_variant",
-        "first_product_quantity", F.col("total_items_count").alias("first_order_total_item_count"),
-        F.col("second_product_name").alias("first_order_second_product_name"), "same_product")
-    s = ops.first_two_items(items_x).select("brand", F.col("order_id").alias("second_order_id"),
-                                            F.col("first_product_name").alias("first_item_from_second_order"))
-    total = F.coalesce(F.col("first_order_total_item_count"), F.lit(0))
-    in_first = F.coalesce(F.col("first_order_second_product_name"), F.lit(""))
-    from_second = F.coalesce(F.col("first_item_from_second_order"), F.lit(""))
-    return (base.join(f, ["brand", "first_order_id"], "left")
-            .join(s, ["brand", "second_order_id"], "left")
-            .select("brand", "email", "customer_id", "first_order_date", "order_count", "first_order_id",
-                    "first_product_name", "first_product_variant", "first_product_quantity",
-                    "first_order_total_item_count",
-                    F.col("first_is_subscription").alias("first_order_subscription"),
-                    ((total > 1) & F.coalesce(F.col("same_product"), F.lit(False)))
-                    .alias("bought_upsell_more_of_the_same"),
-                    (total > 1).alias("bought_any_upsell"),
-                    F.when(in_first != "", in_first).otherwise(from_second).alias("second_item_product_name"),
-                    "second_order_id"))
+    facts = first_order_item_facts(items_x)
+    keep = ["customer_id", "first_order_date", "order_count", "first_order_id", "first_is_subscription",
+            "second_order_id"]
+    x = ops.attach_order_facts(base, ["brand", "email"], {1: "first_order_id", 2: "second_order_id"},
+                               facts, keep, how="left")
+    f, s = F.col("role_1"), F.col("role_2")
+    total = F.coalesce(f["total_items_count"], F.lit(0))
+    in_first = F.coalesce(f["second_product_name"], F.lit(""))
+    from_second = F.coalesce(s["first_product_name"], F.lit(""))
+    return x.select(
+        "brand", "email", "customer_id", "first_order_date", "order_count", "first_order_id",
+        f["first_product_name"].alias("first_product_name"),
+        f["first_product_variant"].alias("first_product_variant"),
+        f["first_product_quantity"].alias("first_product_quantity"),
+        f["total_items_count"].alias("first_order_total_item_count"),
+        F.col("first_is_subscription").alias("first_order_subscription"),
+        ((total > 1) & F.coalesce(f["same_product"], F.lit(False))).alias("bought_upsell_more_of_the_same"),
+        (total > 1).alias("bought_any_upsell"),
+        F.when(in_first != "", in_first).otherwise(from_second).alias("second_item_product_name"),
+        "second_order_id")
 
 
 def fill_retention(base: DataFrame) -> DataFrame:

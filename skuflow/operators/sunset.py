@@ -46,19 +46,23 @@ def order_pairs(orders_x: DataFrame) -> DataFrame:
 def sunset_table(orders_x: DataFrame, items_x: DataFrame) -> DataFrame:
     """15 report columns plus ``brand``; pairs whose first or second order
     has no items are dropped (J18).  Item facts are per-order partial
-    aggregates over the whole item table, joined by order id."""
+    aggregates over the whole item table, attached to both orders of a pair
+    in one join (:func:`skuflow.operators.orders.attach_order_facts`)."""
     pairs = order_pairs(orders_x)
-    facts = ops.first_nonnull_item(items_x)
-    first = (ops.same_product_by_rows(items_x, facts, keep=["first_product_variant", "first_product_quantity"])
-             .withColumnRenamed("order_id", "first_order_id"))
-    second = facts.select("brand", F.col("order_id").alias("second_order_id"),
-                          F.col("first_product_name").alias("second_order_first_product_name"))
-    return (pairs.join(first, ["brand", "first_order_id"])
-            .join(second, ["brand", "second_order_id"])
-            .select("brand", "email", "customer_id", "first_order_date", "second_order_date",
-                    "days_between_first_and_second_order", "first_order_id", "second_order_id",
-                    "order_count", "first_product_name", "first_product_variant", "first_product_quantity",
-                    "first_order_total_item_count",
-                    F.col("second_is_subscription").alias("first_order_subscription"),
-                    "second_order_first_product_name",
-                    F.col("same_product").alias("bought_upsell_more_of_the_same")))
+    facts = ops.same_product_by_rows(items_x, ops.first_nonnull_item(items_x),
+                                     keep=["first_product_variant", "first_product_quantity"])
+    keep = ["customer_id", "first_order_date", "second_order_date", "days_between_first_and_second_order",
+            "first_order_id", "second_order_id", "order_count", "second_is_subscription"]
+    x = ops.attach_order_facts(pairs, ["brand", "email"], {1: "first_order_id", 2: "second_order_id"},
+                               facts, keep, how="inner")
+    f, s = F.col("role_1"), F.col("role_2")
+    return x.where(f.isNotNull() & s.isNotNull()).select(
+        "brand", "email", "customer_id", "first_order_date", "second_order_date",
+        "days_between_first_and_second_order", "first_order_id", "second_order_id", "order_count",
+        f["first_product_name"].alias("first_product_name"),
+        f["first_product_variant"].alias("first_product_variant"),
+        f["first_product_quantity"].alias("first_product_quantity"),
+        f["first_order_total_item_count"].alias("first_order_total_item_count"),
+        F.col("second_is_subscription").alias("first_order_subscription"),
+        s["first_product_name"].alias("second_order_first_product_name"),
+        f["same_product"].alias("bought_upsell_more_of_the_same"))
