@@ -142,14 +142,18 @@ def same_product_by_id(items_x: DataFrame, firsts: DataFrame, keep=()) -> DataFr
 
     brand, order_id, first_product_name, *keep, same_product
     """
-    groups = items_x.groupBy("brand", "order_id", "product_name").agg(
+    # Names are keyed as (value or '', is NULL): the same groups as grouping by
+    # the nullable name, and the join below uses exactly these keys, so it
+    # reuses the aggregate's partitioning.
+    def name_key(c):
+        return [F.coalesce(F.col(c), F.lit("")).alias("_nk"), F.col(c).isNull().alias("_nn")]
+
+    groups = items_x.groupBy("brand", "order_id", *name_key("product_name")).agg(
         (F.min("id") != F.max("id")).alias("same_product"))
-    f = firsts.select("brand", "order_id", "first_product_name", *keep)
-    cond = ((f["brand"] == groups["brand"]) & (f["order_id"] == groups["order_id"])
-            & f["first_product_name"].eqNullSafe(groups["product_name"]))
-    return f.join(groups, cond, "left").select(
-        f["brand"], f["order_id"], f["first_product_name"], *[f[k] for k in keep],
-        F.coalesce(groups["same_product"], F.lit(False)).alias("same_product"))
+    f = firsts.select("brand", "order_id", "first_product_name", *keep, *name_key("first_product_name"))
+    return f.join(groups, ["brand", "order_id", "_nk", "_nn"], "left").select(
+        "brand", "order_id", "first_product_name", *keep,
+        F.coalesce(F.col("same_product"), F.lit(False)).alias("same_product"))
 
 
 def first_nonnull_item(items_x: DataFrame) -> DataFrame:
