@@ -83,3 +83,17 @@ def test_checkpointed_reports_equal_lazy_ones(spark):
     cut = pipeline.build_reports(src, cut_lineage=True)
     for name in ("report_non_bundle", "report_only_bundle", "report_merged"):
         assert _digest(lazy.as_dict()[name]) == _digest(cut.as_dict()[name])
+
+
+def test_empty_report_keeps_old_data(spark, tmp_root):
+    from skuflow.sources.sinks import write_report
+
+    rep = pipeline.build_reports(from_testdata(spark, SF_SMALL)).report_only_bundle
+    path = f"{tmp_root}/only_bundle"
+    assert write_report(rep, path) is True
+    n = spark.read.parquet(path).count()
+    assert write_report(rep.where("false"), path) is False          # S9: skipped, old rows stay
+    assert spark.read.parquet(path).count() == n
+    one_brand = rep.where("brand = 'ABC'")
+    assert write_report(one_brand, path) is True                     # dynamic overwrite: other brands stay
+    assert spark.read.parquet(path).count() == n
