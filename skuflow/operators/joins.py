@@ -26,10 +26,10 @@ def measured_bytes(df: DataFrame) -> int:
     fixed, strings = 16, []
     for f in df.schema.fields:
         if isinstance(f.dataType, T.StringType):
-            strings.append(F.coalesce(F.length(F.col(f.name)), F.lit(0)).cast("bigint"))
+            strings.append(F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)).cast("bigint"))
             fixed += 8
         elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
-            strings.append(F.coalesce(F.length(F.to_json(F.col(f.name))), F.lit(0)).cast("bigint"))
+            strings.append(F.coalesce(F.octet_length(F.to_json(F.col(f.name))), F.lit(0)).cast("bigint"))
             fixed += 8
         else:
             fixed += 8
