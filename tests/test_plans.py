@@ -20,6 +20,7 @@ def test_no_python_no_cartesian(reports, name):
     plan = PI.plan_text(reports.as_dict()[name])
     assert not PI.python_nodes(plan), name
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert "SinglePartition" not in plan            # no global window / single-task exchange
 
 
 def test_stock_flow_chain_single_order_exchange(spark, reports):
