@@ -28,6 +28,7 @@ def test_stock_flow_chain_single_order_exchange(spark, reports):
     partitioning: in the static plan the only hash exchanges keyed on
     order_id are the repartition of the lines and the order side of the join."""
     plan = PI.plan_text(reports.report_non_bundle, adaptive=False)
+    assert PI.distinct_shuffles(plan) == 1              # the line rows move once
     keyed = [e for e in PI.hash_exchanges(plan) if "order_id" in e]
     assert len(keyed) <= 2, keyed
     assert "Window" in plan or "window" in plan.lower()
