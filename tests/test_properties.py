@@ -52,3 +52,41 @@ def test_nulls_stay_null(spark):
         sku_code("s").alias("c"), sku_qty("s").alias("q"), clean_bundle_sku("s").alias("k"),
         F.coalesce(has_pipe("s"), F.lit(None)).alias("p")).first()
     assert (r["c"], r["q"], r["k"], r["p"]) == (None, None, None, False)
+
+
+# ---------------------------------------------------------------- tier pick
+line = st.tuples(st.integers(1, 3),                                   # order
+                 st.one_of(st.none(), st.integers(0, 12)),            # quantity
+                 st.one_of(st.none(), st.integers(0, 12)),            # tier count
+                 st.one_of(st.none(), st.sampled_from(["", "A", "B#2", "C|D", "A#9"])))  # tier SKU
+
+
+def _brute(rows):
+    picks = {}
+    for i, (o, q, _, _) in enumerate(rows):
+        tiers = [(c, s) for (o2, _, c, s) in rows if o2 == o and s is not None and c is not None]
+        ok = [t for t in tiers if q is not None and t[0] <= q]
+        picks[i] = max(ok) if ok else None
+    anys = {o: any(s is not None for (o2, _, _, s) in rows if o2 == o) for (o, _, _, _) in rows}
+    return picks, anys
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(line, min_size=1, max_size=25), st.sampled_from(["colocated", "salted"]))
+def test_tier_pick_matches_brute_force(spark, rows, mode):
+    from skuflow.operators import salting as S
+    from skuflow.operators import stock_flow as SF
+
+    data = [("ABC", o, q, c, s, i) for i, (o, q, c, s) in enumerate(rows)]
+    ex = spark.createDataFrame(data, "brand string, order_id bigint, quantity int, count int, "
+                                     "scpi_promotion_warehouse_sku string, variant_id bigint")
+    if mode == "salted":
+        ex = (ex.withColumn("unit_price", F.lit(1).cast("bigint")).withColumn("units_total", F.lit(1).cast("bigint"))
+              .withColumn("product_name", F.lit("p")).withColumn("variant_name", F.lit("v"))
+              .withColumn("n_salts", F.lit(3)))
+        ex = ex.withColumn("salt", S.line_salt(F.col("n_salts"))).repartition(S.partitions(spark), *S.SALT_KEY)
+    got = {r["variant_id"]: ((r["pick"]["count"], r["pick"]["sku"]) if r["pick"] else None, r["any_tier_sku"])
+           for r in SF.tier_picks(ex).collect()}
+    picks, anys = _brute(rows)
+    for i, (o, _, _, _) in enumerate(rows):
+        assert got[i] == (picks[i], anys[o]), (i, rows)
