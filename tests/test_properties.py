@@ -90,3 +90,48 @@ def test_tier_pick_matches_brute_force(spark, rows, mode):
     picks, anys = _brute(rows)
     for i, (o, _, _, _) in enumerate(rows):
         assert got[i] == (picks[i], anys[o]), (i, rows)
+
+
+# ------------------------------------------------- adjacency reset / header
+sku = st.one_of(st.none(), st.sampled_from(["", "A", "B#2", "C|D", "Z"]))
+stock_line = st.tuples(st.integers(1, 3), sku, sku,                       # order, tier SKU, pricing SKU
+                       st.one_of(st.none(), st.sampled_from(["n1", "n2"])))  # product name
+
+
+def _line_key(scpi, scp, variant_id, name):
+    return (scpi is None, scpi or "", scp is None, variant_id, name is None, name or "")
+
+
+def _priority(scpi, scp):
+    return 0 if (scp is not None and scpi is not None) else 1 if scpi is not None else 2 if scp is not None else 3
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(stock_line, min_size=1, max_size=25), st.sampled_from(["colocated", "salted"]))
+def test_reset_and_header_match_brute_force(spark, rows, mode):
+    import datetime as dt
+
+    from skuflow.operators import salting as S
+    from skuflow.operators import stock_flow as SF
+
+    t0 = dt.datetime(2020, 1, 1)
+    data = [("ABC", o, t0, 1, 1, 1, scp, scpi, "F", 7, i, name, "v", "M") for i, (o, scpi, scp, name) in enumerate(rows)]
+    lines = spark.createDataFrame(data, "brand string, order_id bigint, created_at timestamp_ntz, "
+                                        "original_quantity int, unit_price bigint, units_total bigint, "
+                                        "scp_promotion_warehouse_sku string, scpi_promotion_warehouse_sku string, "
+                                        "final_sku string, product_id bigint, variant_id bigint, product_name string, "
+                                        "variant_name string, mint_soft_sku string")
+    if mode == "salted":
+        lines = lines.withColumn("n_salts", F.lit(3)).withColumn("salt", S.line_salt(F.col("n_salts"))) \
+            .repartition(S.partitions(spark), *S.SALT_KEY)
+    got = {r["variant_id"]: (r["reset"], r["is_bundle"], r["header"]["bundle_variant_id"])
+           for r in SF.flag_lines(lines).collect()}
+    for o in {r[0] for r in rows}:
+        members = sorted((_line_key(scpi, scp, i, name), i, scpi, scp)
+                         for i, (o2, scpi, scp, name) in enumerate(rows) if o2 == o)
+        bundle = any("|" in (x or "") for (_, _, scpi, scp) in members for x in (scpi, scp))
+        header = min((_priority(scpi, scp), k, i) for (k, i, scpi, scp) in members)[2]
+        for pos, (_, i, scpi, scp) in enumerate(members):
+            prev = members[pos - 1] if pos else None
+            reset = scpi is None and scp is None and prev is not None and (prev[2] is not None or prev[3] is not None)
+            assert got[i] == (reset, bundle, header), (o, i, rows)
