@@ -13,7 +13,7 @@ PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "
                 "FlatMapCoGroupsInPandas", "AggregateInPandas", "WindowInPandas", "PythonUDF")
 
 
-def plan_text(df: DataFrame, mode: str = "simple", adaptive: bool = True) -> str:
+def plan_text(df: DataFrame, mode: str = "simple") -> str:
     """``df.explain(mode)`` as a string.  Before execution an adaptive plan
     prints its initial (static) physical plan, which is what we inspect."""
     conf = df.sparkSession.conf

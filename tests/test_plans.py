@@ -27,7 +27,7 @@ def test_stock_flow_chain_single_order_exchange(spark, reports):
     """Everything after the order join reuses the (brand, order_id) hash
     partitioning: in the static plan the only hash exchanges keyed on
     order_id are the repartition of the lines and the order side of the join."""
-    plan = PI.plan_text(reports.report_non_bundle, adaptive=False)
+    plan = PI.plan_text(reports.report_non_bundle)
     assert PI.distinct_shuffles(plan) == 1              # the line rows move once
     keyed = [e for e in PI.hash_exchanges(plan) if "order_id" in e]
     assert len(keyed) <= 2, keyed
@@ -35,14 +35,14 @@ def test_stock_flow_chain_single_order_exchange(spark, reports):
 
 
 def test_top_k_windows_use_group_limit(reports):
-    plan = PI.plan_text(reports.retention_table, adaptive=False)
+    plan = PI.plan_text(reports.retention_table)
     assert "WindowGroupLimit" in plan
 
 
 def test_filters_and_columns_reach_the_scan(spark):
     src = from_testdata(spark, SF_MID)
     from skuflow.operators.extract import extract_orders
-    plan = PI.plan_text(extract_orders(src), adaptive=False)
+    plan = PI.plan_text(extract_orders(src))
     assert "PushedFilters" in plan
     orders_scan = [ln for ln in plan.splitlines() if "ReadSchema" in ln and "o_orderkey" in ln]
     assert orders_scan and "o_clerk" not in orders_scan[0]
