@@ -97,3 +97,19 @@ def test_empty_report_keeps_old_data(spark, tmp_root):
     one_brand = rep.where("brand = 'ABC'")
     assert write_report(one_brand, path) is True                     # dynamic overwrite: other brands stay
     assert spark.read.parquet(path).count() == n
+
+
+def test_schema_conformance(spark):
+    from pyspark.sql import functions as F
+
+    from skuflow.sources.tables import check_schema, conform
+
+    src = from_testdata(spark, SF_SMALL)
+    for name, df in src.as_dict().items():
+        check_schema(name, df)                                   # S2: declared columns and types
+    wide = src.sylius_customer.withColumn("extra", F.lit(1))
+    assert conform("sylius_customer", wide).columns == ["brand", "id", "email"]
+    with pytest.raises(ValueError):
+        conform("sylius_customer", src.sylius_customer.drop("email"))
+    with pytest.raises(ValueError):
+        check_schema("sylius_customer", src.sylius_customer.withColumn("id", F.col("id").cast("string")))
