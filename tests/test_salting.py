@@ -77,3 +77,15 @@ def test_salted_lines_move_once(spark, limit):
     for i, ln in enumerate(lines):
         if ln.strip(" :+-").startswith("Union"):
             assert "Exchange" not in lines[i - 1]
+
+
+def test_pipeline_checkpoint_path_salted(spark, limit):
+    from skuflow.plans import pipeline
+
+    src = from_testdata(spark, SF_SMALL)
+    limit(10 ** 9)
+    plain = pipeline.build_reports(src)
+    want = {n: _hash(plain.as_dict()[n]) for n in ("report_non_bundle", "report_only_bundle")}
+    limit(2)
+    cut = pipeline.build_reports(src, cut_lineage=True)
+    assert {n: _hash(cut.as_dict()[n]) for n in want} == want
