@@ -234,3 +234,16 @@ def test_sunset_second_order_is_per_customer(spark):
 def test_m18_unknown_brand(spark):
     with pytest.raises(ValueError):
         validate_brand("XYZ")
+
+
+def test_a1_min_id_and_min_date_are_independent(spark):
+    # Email shared by customers 1 and 2; order 5 (customer 2) has the smaller
+    # id, order 9 (customer 1) the earlier date.
+    early, late = dt.datetime(2020, 1, 1), dt.datetime(2020, 3, 1)
+    ox = ox_df(spark, dict(id=9, cust=1, at=early), dict(id=5, cust=2, at=late, sub=True))
+    ix = ix_df(spark, dict(order=9, id=1, name="a"), dict(order=5, id=2, name="b"))
+    r = one(R.retention_table(ox, ix))
+    assert (r.first_order_id, r.first_order_date, r.customer_id) == (5, early, 2)
+    assert (r.first_order_subscription, r.first_product_name, r.order_count) == (True, "b", 2)
+    # second order by (created_at, id) is order 5 -- the first order itself
+    assert r.second_item_product_name == "b"
