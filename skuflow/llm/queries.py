@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skuflow.llm import packing
+from skuflow.llm import packing, sentencepieces
 from skuflow.llm.common import read_table
 
 
@@ -21,8 +21,14 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pieces_digest(packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("byte_bpe_50k.tiktoken")))
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return sentencepieces.digest(sentencepieces.encode(docs, tokenizer_path("piece_bpe_32k.model")))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": op5_packing,
+    "op7_sentencepiece": op7_sentencepiece,
 }
 
 ORACLE_SQL: dict[str, str] = {}
