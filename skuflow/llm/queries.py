@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skuflow.llm import packing, sentencepieces
+from skuflow.llm import learning, packing, quality, sentencepieces
 from skuflow.llm.common import read_table
 
 
@@ -26,9 +26,15 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.digest(sentencepieces.encode(docs, tokenizer_path("piece_bpe_32k.model")))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return learning.decisions(quality.classify(docs, labels, lambda i: learning.bucket(i, 5) != 0), 5, 0)
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": op5_packing,
     "op7_sentencepiece": op7_sentencepiece,
+    "op8_quality": op8_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {}
