@@ -42,7 +42,8 @@ def fit(sample: DataFrame, learn: Callable[[list[bytes], np.ndarray], object]) -
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
     one = sample.select("doc_id", "text", "label").repartition(1)
-    return pickle.loads(one.mapInArrow(run, "model binary").first()[0])
+    row = one.mapInArrow(run, "model binary").first()
+    return pickle.loads(row[0]) if row else learn([], np.zeros(0, np.int64))   # no rows: no task ran
 
 
 def score(docs: DataFrame, scorer: Callable[[list[bytes]], np.ndarray], id_col: str = "doc_id", text_col: str = "text",

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skuflow.llm import learning, packing, quality, sentencepieces
+from skuflow.llm import learning, packing, quality, sentencepieces, toxicity
 from skuflow.llm.common import read_table
 
 
@@ -31,10 +31,16 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return learning.decisions(quality.classify(docs, labels, lambda i: learning.bucket(i, 5) != 0), 5, 0)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return learning.decisions(toxicity.classify(docs, labels, lambda i: learning.bucket(i, 4) != 2), 4, 2)
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": op5_packing,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_quality": op8_quality,
+    "op9_toxicity": op9_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}
