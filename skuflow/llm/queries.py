@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skuflow.llm import learning, packing, quality, sentencepieces, toxicity
+from skuflow.llm import learning, packing, quality, sentencepieces, substrings, toxicity
 from skuflow.llm.common import read_table
 
 
@@ -16,6 +16,11 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substrings.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return packing.pieces_digest(packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("byte_bpe_50k.tiktoken")))
@@ -37,6 +42,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op5_packing": op5_packing,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_quality": op8_quality,
