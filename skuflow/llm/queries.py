@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from skuflow.llm import learning, packing, quality, sentencepieces, substrings, toxicity
+from skuflow.llm import learning, packing, quality, sentencepieces, shingle_join, substrings, toxicity
 from skuflow.llm.common import read_table
 
 
@@ -26,6 +27,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pieces_digest(packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("byte_bpe_50k.tiktoken")))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = shingle_join.link(read_table(spark, sf_dir, "documents"), words=4, percent=85)
+    return out.select("doc_id", F.col("n_shingles").cast("long"), "component_id")
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return sentencepieces.digest(sentencepieces.encode(docs, tokenizer_path("piece_bpe_32k.model")))
@@ -44,6 +50,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op5_packing": op5_packing,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
