@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skuflow.llm import learning, packing, quality, sentencepieces, shingle_join, substrings, toxicity
+from skuflow.llm import learning, packing, pii, quality, sentencepieces, shingle_join, substrings, toxicity
 from skuflow.llm.common import read_table
 
 
@@ -17,6 +17,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(read_table(spark, sf_dir, "documents")))
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substrings.remove_repeats(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -48,6 +52,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op5_packing": op5_packing,
     "op6_jaccard_join": op6_jaccard_join,
