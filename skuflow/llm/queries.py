@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skuflow.llm import learning, packing, pii, quality, sentencepieces, shingle_join, substrings, toxicity
+from skuflow.llm import learning, packing, pii, quality, sentencepieces, shingle_join, substrings, toxicity, vector_join
 from skuflow.llm.common import read_table
 
 
@@ -26,6 +26,10 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op4_vector_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_join.link(read_table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return packing.pieces_digest(packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("byte_bpe_50k.tiktoken")))
@@ -54,6 +58,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op4_vector_join": op4_vector_join,
     "op5_packing": op5_packing,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_sentencepiece": op7_sentencepiece,
