@@ -66,6 +66,26 @@ def score(docs: DataFrame, scorer: Callable[[list[bytes]], np.ndarray], id_col:
     return texts_of(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double")
 
 
+def keep(docs: DataFrame, accepts: Callable[[list[bytes]], np.ndarray], text_col: str = "text", chunk_bytes: int = 4_000_000) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose text ``accepts``; a null text is empty."""
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [(t or "").encode() for t in batch.column(place).to_pylist()]
+            ok, at = np.zeros(len(texts), bool), 0
+            while at < len(texts):
+                size, to = 0, at
+                while to < len(texts) and (to == at or size + len(texts[to]) <= chunk_bytes):
+                    size += len(texts[to])
+                    to += 1
+                ok[at:to] = accepts(texts[at:to])
+                at = to
+            yield batch.filter(pa.array(ok))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def decisions(scored: DataFrame, modulus: int, remainder: int, threshold: float = 0.3) -> DataFrame:
     return scored.select("doc_id", (bucket(F.col("doc_id"), modulus) == remainder).alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))

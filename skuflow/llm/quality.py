@@ -18,7 +18,7 @@ and repeated ids, further columns and empty tables need no special care.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 
 from skuflow.llm.common import Words, mix
 from skuflow.llm.learning import fit, labelled_sample, logistic_curve, score
@@ -142,7 +142,12 @@ def predict(model: dict, texts: list[bytes]) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(margin, -35, 35)))
 
 
+def learn_from(docs: DataFrame, labels: DataFrame, train, label_col: str = "quality", max_rows: int = MAX_ROWS) -> dict:
+    """The model; ``train(id column)`` says which labelled rows may be learnt from.  Runs now."""
+    return fit(labelled_sample(docs, labels, label_col, train, max_rows), learn)
+
+
 def classify(docs: DataFrame, labels: DataFrame, train, label_col: str = "quality", max_rows: int = MAX_ROWS) -> DataFrame:
-    """(doc_id, score) of every row of ``docs``; ``train(id column)`` says which labelled rows may be learnt from."""
-    model = fit(labelled_sample(docs, labels, label_col, train, max_rows), learn)
+    """(doc_id, score) of every row of ``docs``; the model is fitted now, the scores when they are read."""
+    model = learn_from(docs, labels, train, label_col, max_rows)
     return score(docs, lambda texts: predict(model, texts))

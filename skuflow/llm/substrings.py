@@ -341,8 +341,8 @@ def _cut(texts: DataFrame) -> DataFrame:
         run, "t1 long, t2 long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row of ``docs``: doc_id, t1, t2, n_bytes, n_removed, n_spans, kept (bytes), kept_sha256."""
+def _texts_and_cuts(docs: DataFrame, length: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``docs`` with their text's hash, and per text what is left of it."""
     if length < GRAM + 16:
         raise ValueError(f"length must be at least {GRAM + 16}")
     own = texts_of(docs, id_col, text_col).select(
@@ -364,4 +364,23 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
              .select("t1", "t2", (F.col("at") - F.col("last")).alias("s"), (F.col("at") - F.col("first") + length).alias("e"))
              .union(found.where("not mixed").select("t1", "t2", F.col("at") - F.col("hi"), F.col("at") - F.col("lo") + length)))
     spans = spans.groupBy("t1", "t2").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
-    return own.select("doc_id", "t1", "t2").join(_cut(texts.join(spans, ["t1", "t2"], "left")), ["t1", "t2"])
+    return own, _cut(texts.join(spans, ["t1", "t2"], "left"))
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row of ``docs``: doc_id, t1, t2, n_bytes, n_removed, n_spans, kept (bytes), kept_sha256."""
+    own, cut = _texts_and_cuts(docs, length, id_col, text_col)
+    return own.select("doc_id", "t1", "t2").join(cut, ["t1", "t2"])
+
+
+def cut_texts(docs: DataFrame, length: int = LENGTH, text_col: str = "text") -> DataFrame:
+    """(t1, t2, text): per distinct text (by its two-part hash) what is left of it as a string;
+    bytes of characters that were cut in half are left out."""
+    _, cut = _texts_and_cuts(docs, length, docs.columns[0], text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [k.decode("utf-8", "ignore") for k in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["t1", "t2", "text"])
+
+    return cut.select("t1", "t2", "kept").mapInArrow(run, "t1 long, t2 long, text string")
