@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skuflow.llm import learning, packing, pii, quality, sentencepieces, shingle_join, substrings, toxicity, vector_join
+from skuflow.llm import learning, packing, pii, quality, search, sentencepieces, shingle_join, substrings, toxicity, vector_join
 from skuflow.llm.common import read_table
 
 
@@ -55,6 +55,14 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return learning.decisions(toxicity.classify(docs, labels, lambda i: learning.bucket(i, 4) != 2), 4, 2)
 
 
+def op10_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every benchmark item whose id is divisible by 20."""
+    index = search.build(read_table(spark, sf_dir, "documents"))
+    asked = read_table(spark, sf_dir, "benchmark").where("item_id % 20 = 0")
+    out = search.search(index, asked, k=10, id_col="item_id")
+    return out.select(F.col("query").alias("item_id"), F.col("rank").cast("long"), "doc_id", F.round("score", search.DIGITS).alias("score"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -64,6 +72,20 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_sentencepiece": op7_sentencepiece,
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
+    "op10_search": op10_search,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_WORDS = r"""list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '')"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op10_search": f"""
+        with d as (select row_number() over () as row, doc_id, {_WORDS} as words from documents),
+        stats as (select count(*) as n, avg(len(words)) as average from d),
+        tf as (select row, term, count(*) as tf from (select row, unnest(words) as term from d) group by all),
+        df as (select term, count(*) as df from tf group by term),
+        q as (select item_id, term, count(*) as c from (select item_id, unnest({_WORDS}) as term from benchmark where item_id % 20 = 0) group by all),
+        s as (select item_id, row, round(sum(c * ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(words) / average))), 6) as score
+              from q join df using (term) join tf using (term) join d using (row), stats group by all),
+        r as (select item_id, row_number() over (partition by item_id order by score desc, doc_id nulls last) as rank, doc_id, score from s join d using (row))
+        select item_id, rank, doc_id, score from r where rank <= 10""",
+}
