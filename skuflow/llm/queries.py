@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skuflow.llm import learning, packing, pii, quality, search, sentencepieces, shingle_join, substrings, toxicity, vector_join
+from skuflow.llm import learning, licences, packing, pii, quality, search, sentencepieces, shingle_join, substrings, toxicity, vector_join
 from skuflow.llm.common import read_table
 
 
@@ -26,6 +26,10 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(read_table(spark, sf_dir, "documents"))
+
+
 def op4_vector_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_join.link(read_table(spark, sf_dir, "embeddings"), cosine=0.9)
 
@@ -66,6 +70,7 @@ def op10_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_licences": op3_licences,
     "op4_vector_join": op4_vector_join,
     "op5_packing": op5_packing,
     "op6_jaccard_join": op6_jaccard_join,
