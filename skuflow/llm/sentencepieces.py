@@ -9,7 +9,9 @@ skipped.  Symbols that are no piece become their UTF-8 byte pieces.
 No piece of a vocabulary trained on white-space units has U+2581 behind another
 character, so no merge crosses such a place: the agenda runs once per distinct
 unit (blanks and the word behind them), and a bounded cache in each Python
-worker keeps the ids.  Every unit that enters the cache is checked against the
+worker keeps the ids.  The new units of a batch work off their agendas in step:
+one row of pair ranks per unit, each round merges every unit's best pair; long
+units and those with unknown characters use a heap each.  Every unit that enters the cache is checked against the
 sentencepiece library, one call for each Arrow batch; a difference raises.
 Decoding is the library's, batch by batch.  Map-only: nothing is shuffled.
 
@@ -23,6 +25,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
+from itertools import chain
 from operator import add
 
 import numpy as np
@@ -36,6 +39,9 @@ BLANK = "▁"
 SCHEMA = "doc_id long, ids array<int>, decoded string"
 #: Units kept by one Python worker; the cache starts anew beyond it (results do not depend on it).
 CACHE_UNITS = 1_000_000
+#: Characters of the longest unit whose agenda is worked off in step with others.
+WIDEST = 64
+NONE = 2 ** 31 - 1
 
 
 class AgendaEncoder:
@@ -57,57 +63,126 @@ class AgendaEncoder:
         self.order = {p: -lib.get_score(i) for p, i in zip(pieces, plain)}
         self.bytes = [lib.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.check, self.cache = check, {}
+        self._tables(pieces, plain)
+
+    def _tables(self, pieces: list[str], plain: list[int]) -> None:
+        """For the agendas in step: ids of characters, and rank and result of every pair of pieces whose join is one."""
+        self.char = np.full(0x110000, -1, np.int32)
+        for p, i in zip(pieces, plain):
+            if len(p) == 1:
+                self.char[ord(p)] = i
+        ranks = {o: r for r, o in enumerate(sorted(set(self.order.values())))}
+        self.span = max(plain, default=0) + 1
+        found = sorted((self.ids[p[:k]] * self.span + self.ids[p[k:]], ranks[self.order[p]], i)
+                       for p, i in zip(pieces, plain) for k in range(1, len(p)) if p[:k] in self.ids and p[k:] in self.ids)
+        self.pair, self.rank, self.join = (np.array(c, t) for c, t in zip(zip(*found) if found else ((), (), ()), (np.int64, np.int32, np.int32)))
+
+    def _rank(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank of each pair (NONE: no merge) and its place in the table."""
+        key = a.astype(np.int64) * self.span + b
+        at = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
+        return np.where((self.pair[at] == key) & (b >= 0), self.rank[at], NONE), at
+
+    def in_step(self, symbols: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Merge the rows of ``symbols`` (character ids, -1 behind the end); merged-away places become -1."""
+        n, width = symbols.shape
+        out = symbols.copy()
+        after = np.tile(np.arange(1, width + 1), (n, 1))
+        before = after - 2
+        rank = np.full((n, width), NONE, np.int32)
+        inside = np.arange(width - 1)[None] < length[:, None] - 1
+        r, k = np.nonzero(inside)
+        rank[r, k] = self._rank(out[r, k], out[r, k + 1])[0]
+        row = np.arange(n)
+        while len(row):
+            left = rank[row].argmin(1)                    # the best score; the leftmost of equal ones
+            open_ = rank[row, left] < NONE
+            row, left = row[open_], left[open_]
+            right = after[row, left]
+            end = after[row, right]
+            out[row, left] = self.join[self._rank(out[row, left], out[row, right])[1]]
+            out[row, right], rank[row, right], after[row, left] = -1, NONE, end
+            more = end < length[row]
+            before[row[more], end[more]] = left[more]
+            rank[row, left] = np.where(more, self._rank(out[row, left], out[row, np.minimum(end, width - 1)])[0], NONE)
+            prev = before[row, left]
+            had = prev >= 0
+            rank[row[had], prev[had]] = self._rank(out[row[had], prev[had]], out[row[had], left[had]])[0]
+        return out
+
+    def units(self, fresh: list[str]) -> list[bytes]:
+        """Ids of each unit as little-endian 32-bit numbers."""
+        size = np.array([len(u) for u in fresh], np.int64)
+        codes = self.char[np.frombuffer("".join(fresh).encode("utf-32-le"), "<u4")]
+        stop = np.cumsum(size)
+        first = stop - size
+        unknown = np.concatenate([[0], np.cumsum(codes < 0)])
+        alone = (size > WIDEST) | (unknown[stop] > unknown[first])
+        out: list = [None] * len(fresh)
+        for i in np.flatnonzero(alone).tolist():
+            out[i] = array("i", self.unit(fresh[i])).tobytes()
+        low = 0
+        for width in (6, 10, 16, 32, WIDEST):
+            rows = np.flatnonzero(~alone & (size > low) & (size <= width))
+            low = width
+            for part in np.array_split(rows, max(1, len(rows) // 20_000)):
+                if not len(part):
+                    continue
+                place = first[part][:, None] + np.arange(width)
+                inside = np.arange(width) < size[part][:, None]
+                merged = self.in_step(np.where(inside, codes[np.minimum(place, len(codes) - 1)], -1), size[part])
+                left = merged >= 0
+                flat, ends = merged[left].astype("<i4").tobytes(), (4 * np.cumsum(left.sum(1))).tolist()
+                for i, a, b in zip(part.tolist(), [0, *ends], ends):
+                    out[i] = flat[a:b]
+        return out
 
     def unit(self, text: str) -> list[int]:
         """Ids of one unit by the agenda."""
         if text in self.ids and len(text) == 1:
             return [self.ids[text]]
-        order, symbols, n = self.order.get, list(text), len(text)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        agenda = [(rank, i, p) for i, p in enumerate(map(add, text, text[1:])) if (rank := order(p)) is not None]
+        order, ids, n = self.order.get, self.ids.get, len(text)
+        # a symbol is text[i:after[i]]; after[i] is -1 once it has merged into the one before it
+        after, before = list(range(1, n + 2)), list(range(-1, n))
+        agenda = [(rank, i, i + 2) for i, rank in enumerate(map(order, map(add, text, text[1:]))) if rank is not None]
         heapify(agenda)
         while agenda:
-            _, left, joined = heappop(agenda)
+            _, left, end = heappop(agenda)
             right = after[left]
-            if right >= n or not symbols[left] or symbols[left] + symbols[right] != joined:
-                continue
-            symbols[left], symbols[right] = joined, ""
-            after[left] = nxt = after[right]
-            if nxt < n:
-                before[nxt] = left
-                p = joined + symbols[nxt]
-                if (rank := order(p)) is not None:
-                    heappush(agenda, (rank, left, p))
+            if right < 0 or right >= n or after[right] != end:
+                continue                                   # one of the two has changed since
+            after[left], after[right] = end, -1
+            before[end] = left
+            if end < n:
+                stop = after[end]
+                if (rank := order(text[left:stop])) is not None:
+                    heappush(agenda, (rank, left, stop))
             prev = before[left]
-            if prev >= 0:
-                p = symbols[prev] + joined
-                if (rank := order(p)) is not None:
-                    heappush(agenda, (rank, prev, p))
-        out: list[int] = []
-        for s in filter(None, symbols):
-            if (i := self.ids.get(s)) is not None:
-                out.append(i)
+            if prev >= 0 and (rank := order(text[prev:end])) is not None:
+                heappush(agenda, (rank, prev, end))
+        out, i = [], 0
+        while i < n:
+            s = text[i:after[i]]
+            if (piece := ids(s)) is not None:
+                out.append(piece)
             else:
                 out.extend(self.bytes[b] for b in s.encode())
+            i = after[i]
         return out
 
     def batch(self, texts: list[str]) -> list[list[bytes]]:
         """For each text its units' ids as little-endian 32-bit numbers."""
         if len(self.cache) > CACHE_UNITS:
             self.cache.clear()
-        cache, fresh = self.cache, []
+        cache = self.cache
         units = [self._unit.findall(BLANK + t.replace(" ", BLANK)) if t else [] for t in texts]
-        for row in units:
-            for u in row:
-                if u not in cache:
-                    cache[u] = array("i", self.unit(u)).tobytes()
-                    fresh.append(u)
-        if self.check and fresh:
-            whole = [u for u in fresh if u[0] == BLANK]
-            told = self.library.encode([u[1:] for u in whole], num_threads=1)
-            for u, ids in zip(whole, told):
-                if len(u) > 1 and array("i", ids).tobytes() != cache[u]:
-                    raise ValueError(f"the agenda and the library differ on {u[:80]!r}")
+        fresh = list({u for row in units for u in row if u not in cache})
+        cache.update(zip(fresh, self.units(fresh)))
+        if self.check:
+            whole = [u for u in fresh if u[0] == BLANK and len(u) > 1]   # the library adds the first blank itself
+            told = self.library.encode([u[1:] for u in whole], num_threads=1) if whole else []
+            if array("i", chain.from_iterable(told)).tobytes() != b"".join(cache[u] for u in whole):
+                raise ValueError("the agenda and the library differ")
         return [[cache[u] for u in row] for row in units]
 
 
@@ -120,8 +195,8 @@ def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _ENCODERS.get(model_file) or _ENCODERS.setdefault(model_file, AgendaEncoder(model_file, check))
         for whole in batches:
-            for at in range(0, max(1, whole.num_rows), 500):
-                batch = whole.slice(at, 500)
+            for at in range(0, max(1, whole.num_rows), 1000):
+                batch = whole.slice(at, 1000)
                 rows = encoder.batch(batch.column(1).to_pylist())
                 joined = [b"".join(r) for r in rows]
                 values = np.frombuffer(b"".join(joined), "<i4")
