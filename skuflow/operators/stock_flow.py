@@ -6,19 +6,18 @@ hot (:mod:`skuflow.operators.salting`).  The stock lines arrive hash-
 partitioned on that key (see :func:`skuflow.operators.extract.extract_stock_lines`)
 and never move again: order-level facts (the tier set, the summary) are
 partial aggregates combined per order and replicated back to the order's
-salts.  Per-order work is aggregates, a ``max_by`` dedup and one running-max
-window over (value, tier) entries; nothing collects an order's rows into an
-array, and no order -- however large -- is processed by a single task.
+salts.  Per-order work is aggregates, a ``max_by`` dedup, one running-max
+window over (value, tier) entries and one ``lag`` in line order; nothing
+collects an order's rows into an array.
 
 Pinned orders (the source job leaves these to unstable sorts):
 
 * tier pick: the largest ``(count, sku)`` with ``count <= quantity``;
 * dedup survivor: ``tier sku DESC NULLS LAST, tier count DESC NULLS LAST,
   original quantity DESC, pricing sku DESC NULLS LAST``;
-* line order inside an order (:func:`line_key`): rows with a tier SKU first
-  (by that SKU), then rows with only a pricing SKU, then rows with neither;
-  ties by variant_id, product_id, unit_price, units_total, product_name,
-  variant_name, final_sku, all NULLS LAST.
+* line order inside an order (:func:`line_order`, :func:`line_key`): tier SKU
+  DESC NULLS LAST, then variant_id, product_id, unit_price, units_total,
+  product_name, variant_name, final_sku, all ascending NULLS LAST.
 """
 
 from __future__ import annotations
@@ -165,13 +164,25 @@ def _ordered(*cols: Column) -> Column:
     return F.struct(*[c.alias(f"k{i}") for i, c in enumerate(cols)])
 
 
+LINE_TIES = {"variant_id": 0, "product_id": 0, "unit_price": 0, "units_total": 0, "product_name": "",
+             "variant_name": "", "final_sku": ""}
+
+
+def line_order() -> list[Column]:
+    """Pinned line order inside an order, as sort columns (see module doc)."""
+    return [F.col(SCPI).desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in LINE_TIES]]
+
+
+def _descending(text: Column) -> Column:
+    """A string that sorts ascending as ``text`` sorts descending: its complemented
+    hex digits, closed by a character above them (a prefix then comes later)."""
+    return F.concat(F.translate(F.hex(text), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("Z"))
+
+
 def line_key() -> Column:
-    """Pinned line order inside an order, as an ascending struct without NULL
-    fields (see module doc)."""
-    return _ordered(*_nl(SCPI, ""), F.col(SCP).isNull(),
-                    *_nl("variant_id", 0), *_nl("product_id", 0), *_nl("unit_price", 0),
-                    *_nl("units_total", 0), *_nl("product_name", ""), *_nl("variant_name", ""),
-                    *_nl("final_sku", ""))
+    """:func:`line_order` as an ascending struct without NULL fields, for aggregates."""
+    return _ordered(F.col(SCPI).isNull(), F.coalesce(_descending(F.col(SCPI)), F.lit("")),
+                    *[k for c, default in LINE_TIES.items() for k in _nl(c, default)])
 
 
 def bundle_source() -> Column:
@@ -191,18 +202,13 @@ def _header() -> Column:
 
 
 def _fact_aggs() -> dict[str, Column]:
-    bare = F.col(SCPI).isNull() & F.col(SCP).isNull()
-    return {"has_sku": F.bool_or(~bare),
-            "first_bare": F.min(F.when(bare, line_key())),
-            "is_bundle": F.bool_or(has_pipe(SCPI) | has_pipe(SCP)),
+    return {"is_bundle": F.bool_or(has_pipe(SCPI) | has_pipe(SCP)),
             "kh": F.min(F.struct(_ordered(sku_priority(SCP, SCPI), line_key()).alias("k"), _header().alias("h")))}
 
 
 def order_summary(lines: DataFrame) -> DataFrame:
     """Per-order facts over deduped lines, one row per order:
 
-    * ``has_sku``: some line has a tier or pricing SKU;
-    * ``first_bare``: line key of the first line with neither (W4 reset target);
     * ``is_bundle``: some line's SKU holds ``|`` (A9, W8);
     * ``header``: the bundle header line, lowest SKU priority then line order
       (F10, W6, A12).
@@ -215,34 +221,60 @@ def order_summary(lines: DataFrame) -> DataFrame:
         return lines.groupBy(*KEY).agg(*aggs).withColumn("header", F.col("kh.h")).drop("kh")
     partial = lines.groupBy(*S.SALT_KEY).agg(*aggs, F.max("n_salts").alias("n_salts"))
     return partial.groupBy(*KEY).agg(
-        F.bool_or("has_sku").alias("has_sku"),
-        F.min("first_bare").alias("first_bare"),
         F.bool_or("is_bundle").alias("is_bundle"),
         F.min("kh").getField("h").alias("header"),
         F.max("n_salts").alias("n_salts"))
 
 
+def _bare() -> Column:
+    return F.col(SCPI).isNull() & F.col(SCP).isNull()
+
+
+def _previous_across_tasks(lines: DataFrame) -> DataFrame:
+    """``after_sku`` for lines whose orders may span tasks: the lines are dealt
+    over tasks by ranges of (brand, order, line order) and written; ``lag``
+    looks back inside a range, and the first line of a range takes the last
+    line of the range before it (one row per range)."""
+    from skuflow.session import scratch_path
+
+    spark = lines.sparkSession
+    told = F.struct("brand", "order_id", (~_bare()).alias("sku"))
+    ranged = (lines.repartitionByRange(S.partitions(spark), "brand", "order_id", *line_order())
+              .withColumn("_range", F.spark_partition_id()))
+    path = scratch_path(spark, "line-ranges")
+    ranged.write.mode("overwrite").parquet(path)
+    ranged = spark.read.schema(ranged.schema).parquet(path)
+    order = _ordered(F.col("brand"), F.col("order_id"), line_key())
+    ends = ranged.groupBy("_range").agg(F.max_by(told, order).alias("_end"))
+    before = ends.select("_range", F.lag("_end").over(Window.orderBy("_range")).alias("_end"))   # a row per range
+    local = F.lag(told).over(Window.partitionBy("_range").orderBy("brand", "order_id", *line_order()))
+    x = ranged.withColumn("_prev", local).join(F.broadcast(before), "_range")
+    prev = F.coalesce(F.col("_prev"), F.col("_end"))
+    same = (prev["brand"] == F.col("brand")) & (prev["order_id"] == F.col("order_id"))
+    return x.withColumn("after_sku", F.coalesce(same & prev["sku"], F.lit(False))).drop("_prev", "_end", "_range")
+
+
 def flag_lines(lines: DataFrame, summary: DataFrame | None = None) -> DataFrame:
     """Deduped lines with the :func:`order_summary` facts attached and the
-    adjacency reset decided (W4): a line with neither SKU directly after a
-    line with one takes the mint SKU.  In the pinned line order that is
-    exactly the first bare line of an order that has SKU lines, so no lag or
-    ordered window is needed.
+    adjacency reset decided (W4): a line with neither SKU whose predecessor in
+    the pinned line order has one takes the mint SKU.  An order may hold several.
 
-    Co-located orders: the facts are window aggregates over the existing
+    Co-located orders: facts and predecessor are windows over the existing
     (brand, order_id) partitioning (``summary`` is not needed).  Salted
-    orders: the combined facts are replicated to the order's salts and
-    joined on (brand, order_id, salt), so the lines do not move."""
-    bare = F.col(SCPI).isNull() & F.col(SCP).isNull()
-    reset = bare & F.col("has_sku") & (line_key() == F.col("first_bare"))
+    orders: the combined facts are replicated to the order's salts and joined
+    on (brand, order_id, salt); the predecessor comes from
+    :func:`_previous_across_tasks`."""
     if not S.is_salted(lines):
         w = Window.partitionBy(*KEY)
-        x = lines.select("*", *[c.over(w).alias(n) for n, c in _fact_aggs().items()]) \
-            .withColumn("header", F.col("kh.h")).drop("kh")
-        return x.withColumn("reset", reset)
-    s = order_summary(lines) if summary is None else summary
-    facts = S.replicate(s).drop("n_salts")
-    return lines.join(facts, S.SALT_KEY).withColumn("reset", reset)
+        by_line = w.orderBy(*line_order())
+        first = w.orderBy(sku_priority(SCP, SCPI), *line_order())
+        x = lines.select("*", F.coalesce(F.lag(~_bare()).over(by_line), F.lit(False)).alias("after_sku"),
+                         F.first(_header()).over(first).alias("header"),
+                         F.bool_or(has_pipe(SCPI) | has_pipe(SCP)).over(w).alias("is_bundle"))
+    else:
+        s = order_summary(lines) if summary is None else summary
+        x = _previous_across_tasks(lines).join(S.replicate(s).drop("n_salts"), S.SALT_KEY)
+    return x.withColumn("reset", _bare() & F.col("after_sku")).drop("after_sku")
 
 
 def explode_bundles(flagged: DataFrame) -> DataFrame:

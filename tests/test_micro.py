@@ -114,6 +114,26 @@ def test_m9_header_may_be_a_non_bundle_line(spark, mode):
     assert (h.bundle_variant_id, h.bundle_sku) == (40, None)
 
 
+def test_an_order_may_hold_several_resets(spark, mode):
+    # line order: tier SKU descending, then by variant; bare lines 20 and 50 follow lines with a SKU, 60 follows a bare one
+    ex = ex_df(spark, dict(variant=90, qty=1, scpi="A", count=9, mint="M90"), dict(variant=20, qty=1, mint="M20#7"),
+               dict(variant=30, qty=1, scp="S30"), dict(variant=50, qty=1, mint="M50"), dict(variant=60, qty=1, mint="M60"),
+               dict(variant=80, qty=1, scpi="B", count=9, mint="M80"), mode=mode)
+    got = {r.variant_id: r.reset for r in SF.flag_lines(SF.stock_lines(ex)).collect()}
+    assert got == {80: False, 90: False, 20: True, 30: False, 50: True, 60: False}
+
+
+def test_headers_of_equal_priority_go_by_line_order(spark, mode):
+    # both lines hold a tier SKU only: the greater tier SKU comes first, whatever the variant
+    ex = ex_df(spark, dict(variant=10, qty=2, scpi="A|X", count=9), dict(variant=70, qty=3, scpi="AB|X", count=9), mode=mode)
+    h = one(SF.report_only_bundle(SF.order_summary(SF.stock_lines(ex))))
+    flagged = SF.bundle_headers(SF.flag_lines(SF.stock_lines(ex)))
+    assert (h.bundle_variant_id, h.bundle_sku) == (10, "A|X") == (one(flagged).bundle_variant_id, one(flagged).bundle_sku)
+    ex = ex_df(spark, dict(variant=10, qty=2, scpi="A", count=9, scp="X|Y"), dict(variant=70, qty=3, scpi="AB", count=9, scp="X|Z"), mode=mode)
+    h = one(SF.report_only_bundle(SF.order_summary(SF.stock_lines(ex))))
+    assert (h.bundle_variant_id, h.bundle_sku) == (70, "X|Z")
+
+
 def test_non_bundle_order_has_no_header(spark, mode):
     ex = ex_df(spark, dict(qty=2, scp="S1"), mode=mode)
     assert SF.report_only_bundle(SF.order_summary(SF.stock_lines(ex))).count() == 0

@@ -99,7 +99,8 @@ stock_line = st.tuples(st.integers(1, 3), sku, sku,                       # orde
 
 
 def _line_key(scpi, scp, variant_id, name):
-    return (scpi is None, scpi or "", scp is None, variant_id, name is None, name or "")
+    # tier SKU descending (a prefix comes after the longer text), nulls last
+    return (scpi is None, [-ord(c) for c in scpi or ""] + [1], variant_id, name is None, name or "")
 
 
 def _priority(scpi, scp):
