@@ -34,10 +34,3 @@ def export_table_name(brand: str, kind: str) -> str:
     if kind not in ("non_bundle", "only_bundle"):
         raise ValueError(f"unknown report kind {kind!r}")
     return f"report_{validate_brand(brand).lower()}_{kind}"
-
-
-def report_table_name(brand_col: Column, kind: str) -> Column:
-    """Per-brand export table name, e.g. ``report_abc_non_bundle``."""
-    if kind not in ("non_bundle", "only_bundle"):
-        raise ValueError(f"unknown report kind {kind!r}")
-    return F.concat(F.lit("report_"), F.lower(brand_col), F.lit(f"_{kind}"))

@@ -267,9 +267,8 @@ def flag_lines(lines: DataFrame, summary: DataFrame | None = None) -> DataFrame:
     if not S.is_salted(lines):
         w = Window.partitionBy(*KEY)
         by_line = w.orderBy(*line_order())
-        first = w.orderBy(sku_priority(SCP, SCPI), *line_order())
         x = lines.select("*", F.coalesce(F.lag(~_bare()).over(by_line), F.lit(False)).alias("after_sku"),
-                         F.first(_header()).over(first).alias("header"),
+                         F.first(_header()).over(header_order()).alias("header"),
                          F.bool_or(has_pipe(SCPI) | has_pipe(SCP)).over(w).alias("is_bundle"))
     else:
         s = order_summary(lines) if summary is None else summary
@@ -317,17 +316,26 @@ def non_bundle_rows(flagged: DataFrame) -> DataFrame:
         *KEY, "created_at", F.col("quantity").cast("int").alias("quantity"), "warehouse_sku")
 
 
+def header_order():
+    """Window over an order's lines in the order that picks its bundle header."""
+    return Window.partitionBy(*KEY).orderBy(sku_priority(SCP, SCPI), *line_order())
+
+
 def bundle_headers(flagged: DataFrame) -> DataFrame:
     """C7 from lines that already carry their order facts: every line of a
     bundle order holds the same header, so one partial aggregate per order
     over the bundle orders' lines suffices."""
+    return header_rows(flagged.where(F.col("is_bundle")).groupBy(*KEY).agg(F.any_value("header").alias("header")))
+
+
+def header_rows(orders: DataFrame) -> DataFrame:
+    """C7 from one row per bundle order with its ``header``."""
     h = F.col("header")
-    return (flagged.where(F.col("is_bundle")).groupBy(*KEY).agg(F.any_value("header").alias("header"))
-            .select(*KEY, h["created_at"].alias("created_at"), h["bundle_product_id"].alias("bundle_product_id"),
-                    h["bundle_product_name"].alias("bundle_product_name"),
-                    h["bundle_variant_id"].alias("bundle_variant_id"),
-                    h["bundle_variant_name"].alias("bundle_variant_name"),
-                    h["bundle_quantity"].cast("int").alias("bundle_quantity"), h["bundle_sku"].alias("bundle_sku")))
+    return orders.select(*KEY, h["created_at"].alias("created_at"), h["bundle_product_id"].alias("bundle_product_id"),
+                         h["bundle_product_name"].alias("bundle_product_name"),
+                         h["bundle_variant_id"].alias("bundle_variant_id"),
+                         h["bundle_variant_name"].alias("bundle_variant_name"),
+                         h["bundle_quantity"].cast("int").alias("bundle_quantity"), h["bundle_sku"].alias("bundle_sku"))
 
 
 def report_only_bundle(summary: DataFrame) -> DataFrame:
@@ -338,12 +346,7 @@ def report_only_bundle(summary: DataFrame) -> DataFrame:
     brand, order_id, created_at, bundle_product_id, bundle_product_name,
     bundle_variant_id, bundle_variant_name, bundle_quantity, bundle_sku
     """
-    h = F.col("header")
-    return summary.where(F.col("is_bundle")).select(
-        *KEY, h["created_at"].alias("created_at"), h["bundle_product_id"].alias("bundle_product_id"),
-        h["bundle_product_name"].alias("bundle_product_name"), h["bundle_variant_id"].alias("bundle_variant_id"),
-        h["bundle_variant_name"].alias("bundle_variant_name"),
-        h["bundle_quantity"].cast("int").alias("bundle_quantity"), h["bundle_sku"].alias("bundle_sku"))
+    return header_rows(summary.where(F.col("is_bundle")))
 
 
 def report_merged(non_bundle: DataFrame) -> DataFrame:

@@ -6,7 +6,9 @@
 With ``--testdata`` the source tables are built from the test tables and
 snapshotted into ``--stage`` (stage -> audit -> gate -> promote); the reports
 then read the live snapshot.  Without it, the reports read whatever is live
-under ``--stage``.  Prints the gate and the rows written per report as JSON.
+under ``--stage``.  A brand that fails the gate ends the job with an error
+before any report is written (the other brands have been promoted).  Prints
+the gate and the rows written per report as JSON.
 """
 
 from __future__ import annotations

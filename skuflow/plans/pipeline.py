@@ -4,28 +4,33 @@
     live sources -> extracts -> reports -> sinks  (this module)
 
 Brands are a column, not a loop: one plan serves every brand and a brand
-list only adds a partition filter.  Intermediates that feed more than one
-output are cut with a reliable ``checkpoint()`` into the shared checkpoint
-folder, so a lost executor recomputes from there, not from the sources.
+list only adds a partition filter.  The stock lines, which feed two reports,
+are written once into the shared folder as a table of the run, so a lost
+executor recomputes from there, not from the sources.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skuflow.brands import validate_brands
+from skuflow.brands import BRANDS, validate_brands
 from skuflow.operators import extract as X
+from skuflow.operators import orders as O
 from skuflow.operators import retention as R
 from skuflow.operators import salting as S
 from skuflow.operators import stock_flow as SF
 from skuflow.operators import sunset as SU
-from skuflow.session import checkpoint_dir
-from skuflow.sources.sinks import write_report
+from skuflow.session import scratch_path
+from skuflow.sources.sinks import per_brand_exports, publish_version, read_report, write_table
+from skuflow.sources.snapshot import new_run_id
 from skuflow.sources.tables import Sources
 
+#: Reports whose old rows stay when a run has none for a brand (S9); the others are always replaced.
+KEEP_OLD_WHEN_EMPTY = ("retention_table", "sunset_table")
+
 
 @dataclass
 class Reports:
@@ -42,12 +47,23 @@ class Reports:
                 "report_merged": self.report_merged}
 
 
+def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
+    """Rows of each stage per brand, in one job: brand, stage, n_rows."""
+    parts = [df.groupBy("brand").agg(F.count(F.lit(1)).alias("n_rows")).select("brand", F.lit(n).alias("stage"), "n_rows")
+             for n, df in stages.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def build_reports(sources: Sources, brands=None, cut_lineage: bool = False) -> Reports:
-    """Lazy report frames for ``brands`` (all when None).
+    """Report frames for ``brands`` (all when None).  Building them runs the size
+    checks of catalogues and orders; the reports themselves run when written.
 
     With ``cut_lineage`` the stock lines with their per-order facts -- shared
-    by both stock-flow reports -- are checkpointed once (an action) into the
-    shared folder.
+    by both stock-flow reports -- are written once into the shared folder,
+    without the order's header on every line; the headers are a table of their own.
     """
     if brands is not None:
         sources = sources.for_brands(validate_brands(brands))
@@ -55,52 +71,62 @@ def build_reports(sources: Sources, brands=None, cut_lineage: bool = False) -> R
     ex = X.extract_stock_lines(sources)
     lines = SF.stock_lines(ex, X.order_tier_set(sources) if S.is_salted(ex) else None)
     if cut_lineage:
-        # Cut after the per-order facts are attached: both stock-flow reports
-        # then read the checkpoint without regrouping the lines.
-        checkpoint_dir(lines.sparkSession)
-        flagged = SF.flag_lines(lines).checkpoint(eager=True)
-        non_bundle, only_bundle = SF.non_bundle_rows(flagged), SF.bundle_headers(flagged)
+        spark = lines.sparkSession
+        path = scratch_path(spark, "stock-lines")
+        flagged = SF.flag_lines(lines)
+        # the header stays on the order's lines of the lowest rank only
+        head = F.row_number().over(SF.header_order()) == 1
+        flagged = flagged.withColumn("header", F.when(F.col("is_bundle") & head, F.col("header")))
+        flagged.write.parquet(path)
+        flagged = spark.read.schema(flagged.schema).parquet(path)
+        non_bundle = SF.non_bundle_rows(flagged)
+        only_bundle = SF.header_rows(flagged.where(F.col("header").isNotNull()))
     else:
         summary = SF.order_summary(lines)
         non_bundle, only_bundle = SF.report_non_bundle(lines, summary), SF.report_only_bundle(summary)
     base = R.retention_base(ox, ix)
+    retention = R.fill_retention(base)
     return Reports(
-        retention_table=R.fill_retention(base),
+        retention_table=retention,
         sunset_table=SU.sunset_table(ox, ix),
         report_non_bundle=non_bundle,
         report_only_bundle=only_bundle,
         report_merged=SF.report_merged(non_bundle),
-        quality={"retention_missing_first_items": R.missing_first_items(base)},
+        quality={"retention_missing_first_items": R.missing_first_items(base),
+                 "retention_null_audit": R.null_audit(retention),
+                 "stage_counts": stage_counts({"orders": ox, "items": ix, "orders_with_items": O.orders_with_items(ox, ix),
+                                               "stock_lines": ex, "report_lines": lines})},
     )
 
 
-def publish(spark: SparkSession, reports: Reports, out_root: str, skip_empty: bool = False) -> dict[str, int]:
-    """Write every report (brand-partitioned, dynamic overwrite) and return
-    row counts gathered by ``observe`` during the writes (P18) -- no extra
-    pass over the data.  The merged report is read back from the written
-    non-bundle report, as the cross-brand merge runs after all brands.
-
-    ``skip_empty`` keeps old data when a report comes out empty (S9); it costs
-    one extra evaluation per report, so it is off by default -- the snapshot
-    gate already refuses empty sources."""
-    root = out_root.rstrip("/")
+def publish(spark: SparkSession, reports: Reports, out_root: str, brands=None, run_id: str | None = None) -> dict[str, int]:
+    """Write every report as a new version and make it current; returns the rows
+    of each.  Stock-flow reports are replaced for every brand of the run, also
+    by nothing; retention and sunset keep their rows where a run has none (S9).
+    The merged report is read from the published non-bundle report, as the
+    cross-brand merge runs after all brands; the per-brand exports and the
+    quality reports are written beside it."""
+    root, run_id = out_root.rstrip("/"), run_id or new_run_id()
+    chosen = validate_brands(brands) if brands is not None else BRANDS
     counts: dict[str, int] = {}
     for name, df in reports.as_dict().items():
-        if name == "report_merged":
-            continue
-        obs = Observation(name)
-        wrote = write_report(df.observe(obs, F.count(F.lit(1)).alias("rows")), f"{root}/{name}",
-                             skip_if_empty=skip_empty,
-                             sort_within=["order_id"] if name.startswith("report_") else None)
-        counts[name] = obs.get["rows"] if wrote else 0
-    merged = SF.report_merged(spark.read.parquet(f"{root}/report_non_bundle"))
-    obs = Observation("report_merged")
-    wrote = write_report(merged.observe(obs, F.count(F.lit(1)).alias("rows")), f"{root}/report_merged",
-                         partition_by=None, skip_if_empty=skip_empty)
-    counts["report_merged"] = obs.get["rows"] if wrote else 0
+        if name != "report_merged":
+            rows = publish_version(df, f"{root}/{name}", run_id, chosen, keep_old_when_empty=name in KEEP_OLD_WHEN_EMPTY,
+                                   sort_within=["order_id"] if name.startswith("report_") else None)
+            counts[name] = sum(rows.values())
+    for kind in ("non_bundle", "only_bundle"):
+        name = f"report_{kind}"
+        current = read_report(spark, f"{root}/{name}", reports.as_dict()[name].schema, chosen)
+        for table, df in per_brand_exports(current, kind, chosen).items():
+            write_table(df, f"{root}/exports/{table}", run_id)
+    current = read_report(spark, f"{root}/report_non_bundle", reports.report_non_bundle.schema)
+    merged = write_table(SF.report_merged(current), f"{root}/report_merged", run_id)
+    counts["report_merged"] = spark.read.parquet(merged).count()
+    for name, df in reports.quality.items():
+        write_table(df, f"{root}/{name}", run_id)
     return counts
 
 
 def run(spark: SparkSession, sources: Sources, out_root: str, brands=None) -> dict[str, int]:
     """Build and publish all reports; returns rows written per report."""
-    return publish(spark, build_reports(sources, brands, cut_lineage=True), out_root)
+    return publish(spark, build_reports(sources, brands, cut_lineage=True), out_root, brands)

@@ -232,10 +232,27 @@ def report_merged(spark, sf_dir):
 
 
 # ------------------------------------------------------- snapshot / publish
+def _repeats(spark, sf_dir):
+    from skuflow.sources.fixtures import with_repeats
+    return with_repeats(_src(spark, sf_dir))
+
+
 @query
 def snapshot_distinct(spark, sf_dir):
+    """Rows per (brand, table) of a snapshot over sources with repeated rows."""
     from skuflow.sources.snapshot import snapshot_counts
-    return snapshot_counts(_src(spark, sf_dir))
+    return snapshot_counts(_repeats(spark, sf_dir))
+
+
+@query
+def snapshot_rows(spark, sf_dir):
+    """A staged table's rows: all columns as found, a nested one as text, repeats gone."""
+    from skuflow.session import scratch_path
+    from skuflow.sources.snapshot import new_run_id, stage
+    from skuflow.sources.tables import Sources
+    src = _repeats(spark, sf_dir)
+    path = stage(spark, src, scratch_path(spark, "snapshot-rows"), new_run_id())["sylius_product_translation"]
+    return spark.read.parquet(path).select("brand", "id", "translatable_id", "locale", "name", "origin")
 
 
 @query
@@ -244,12 +261,56 @@ def snapshot_gate(spark, sf_dir):
     return gate(snapshot_counts(_src(spark, sf_dir)), expected_tables(spark))
 
 
+def _without_pricing(spark, sf_dir, brand):
+    """The sources after ``brand`` has lost its prices and price tiers."""
+    gone = ("sylius_channel_pricing", "sylius_channel_pricing_item")
+    return _src(spark, sf_dir).map(lambda n, t: t.where(F.col("brand") != brand) if n in gone else t)
+
+
+@query
+def snapshot_gate_failing(spark, sf_dir):
+    """The gate when one brand's price tables are empty: that brand does not pass."""
+    from skuflow.sources.snapshot import expected_tables, gate, snapshot_counts
+    return gate(snapshot_counts(_without_pricing(spark, sf_dir, "DEF")), expected_tables(spark))
+
+
 @query
 def publish_roundtrip(spark, sf_dir):
-    """Write the non-bundle report to the shared folder (brand-partitioned)
-    and read it back."""
+    """Publish the non-bundle report to the shared folder and read it back."""
     from skuflow.session import scratch_path
-    from skuflow.sources.sinks import write_report
+    from skuflow.sources.sinks import publish_version, read_report
     path = scratch_path(spark, "publish-roundtrip")
-    write_report(SF.report_non_bundle(_lines(spark, sf_dir)), path, sort_within=["order_id"])
-    return spark.read.parquet(path).select("brand", "order_id", "created_at", "quantity", "warehouse_sku")
+    report = SF.report_non_bundle(_lines(spark, sf_dir))
+    publish_version(report, path, "run-1", sort_within=["order_id"])
+    return read_report(spark, path, report.schema)
+
+
+@query
+def publish_twice(spark, sf_dir):
+    """The only-bundle report after a second run in which one brand lost its prices: that
+    brand's rows are gone, the others' are those of the second run."""
+    from skuflow.session import scratch_path
+    from skuflow.sources.sinks import publish_version, read_report
+    path = scratch_path(spark, "publish-twice")
+    for run_id, src in (("run-1", _src(spark, sf_dir)), ("run-2", _without_pricing(spark, sf_dir, "ABC"))):
+        report = SF.report_only_bundle(SF.order_summary(SF.stock_lines(X.extract_stock_lines(src))))
+        publish_version(report, path, run_id)
+    return read_report(spark, path, report.schema)
+
+
+@query
+def per_brand_exports(spark, sf_dir):
+    """The per-brand export tables of the non-bundle report, under their names."""
+    from skuflow.sources.sinks import per_brand_exports as exports
+    out = None
+    for name, df in exports(SF.report_non_bundle(_lines(spark, sf_dir)), "non_bundle").items():
+        own = df.select(F.lit(name).alias("table_name"), "order_id", "created_at", "quantity", "warehouse_sku")
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+@query
+def stage_counts(spark, sf_dir):
+    """Rows per brand after each stage of the refresh."""
+    from skuflow.plans.pipeline import build_reports
+    return build_reports(_src(spark, sf_dir)).quality["stage_counts"]

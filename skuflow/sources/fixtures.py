@@ -30,6 +30,7 @@ MINT_NULL_MOD = 26           # partkey % 26 = 0 -> mint_soft_sku NULL
 MINT_QTY_MOD = 34            # partkey % 34 = 0 -> 'MS-<id>#2'
 TRANSLATION_NULL_MOD = 22    # partkey % 22 = 0 -> translation name NULL
 TRANSLATION_DE_MOD = 38      # partkey % 38 = 0 -> second translation 'de <name>'
+TRANSLATION_FR_MOD = 46      # p_partkey % 46 = 0 -> a 'fr' row with the English name
 PRICING_MOD, PRICING_REM = 5, 1          # channel pricing for partkey % 5 = 1
 PRICING_ITEM_MOD, PRICING_ITEM_REM = 10, 1  # pricing items for partkey % 10 = 1
 TIER_COUNTS = {1: 2, 2: 10, 3: 25}       # tier t -> count
@@ -131,11 +132,14 @@ def products(part: DataFrame) -> DataFrame:
 def product_translations(part: DataFrame) -> DataFrame:
     pk = F.col("p_partkey")
     first = part.where(pk % 2 == 0).select(
-        pk.alias("translatable_id"),
+        (pk * 10).alias("id"), pk.alias("translatable_id"), F.lit("en").alias("locale"),
         F.when(pk % TRANSLATION_NULL_MOD == 0, F.lit(None).cast("string")).otherwise(F.col("p_name")).alias("name"))
     second = part.where(pk % TRANSLATION_DE_MOD == 0).select(
-        pk.alias("translatable_id"), F.concat(F.lit("de "), F.col("p_name")).alias("name"))
-    return _per_brand(first.unionByName(second)).select("brand", "translatable_id", "name")
+        (pk * 10 + 1).alias("id"), pk.alias("translatable_id"), F.lit("de").alias("locale"),
+        F.concat(F.lit("de "), F.col("p_name")).alias("name"))
+    same = part.where(pk % TRANSLATION_FR_MOD == 0).select(       # a second locale of one name
+        (pk * 10 + 2).alias("id"), pk.alias("translatable_id"), F.lit("fr").alias("locale"), F.col("p_name").alias("name"))
+    return _per_brand(first.unionByName(second).unionByName(same)).select("brand", "id", "translatable_id", "locale", "name")
 
 
 def channel_pricings(part: DataFrame) -> DataFrame:
@@ -189,3 +193,14 @@ def from_testdata(spark: SparkSession, sf_dir: str) -> Sources:
         sylius_channel_pricing=channel_pricings(part),
         sylius_channel_pricing_item=channel_pricing_items(part),
     )
+
+
+def with_repeats(src: Sources) -> Sources:
+    """The sources as a shop database may hold them: every fifth row twice, and
+    a nested column on the translations (what a snapshot must normalise)."""
+    def spoil(name: str, t: DataFrame) -> DataFrame:
+        if name == "sylius_product_translation":
+            t = t.withColumn("origin", F.struct(F.col("id").alias("id"), F.col("locale").alias("locale")))
+        return t.unionByName(t.where(F.col("id") % 5 == 0))
+
+    return src.map(spoil)

@@ -1,35 +1,69 @@
 """Report sinks (S9-S13): full-refresh writes.
 
-Reports are written as parquet partitioned by brand with dynamic partition
-overwrite, so refreshing some brands leaves the others untouched.  An empty
-result does not replace existing data (S9).  ``write_jdbc`` is the same
-refresh into a database table (truncate + batched inserts of 7000 rows).
+A report is published as versions: every run writes its rows, partitioned by
+brand, to a path of its own, and then flips one manifest entry per brand
+(``<report>/_manifest/brand=<B>/v=<time>``) to it.  Readers follow the newest
+entry of each brand.  A brand without rows in a run is flipped as well --
+what was published before is gone -- unless the report is one that keeps its
+old rows when a run comes out empty (S9).  ``write_jdbc`` is the same refresh
+into a database table (truncate + batched inserts of 7000 rows).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import time
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skuflow.brands import BRANDS, export_table_name
+from skuflow.brands import BRANDS, export_table_name, validate_brands
 
 # Fixed value: rows per insert batch of the database load.
 INSERT_BATCH = 7000
+MANIFEST = "_manifest"
 
 
-def write_report(df: DataFrame, path: str, partition_by: str | None = "brand",
-                 skip_if_empty: bool = True, sort_within: list[str] | None = None) -> bool:
-    """Overwrite the report at ``path``; returns False when skipped because
-    ``df`` is empty.  ``sort_within`` orders rows inside each output file (O4)
-    without a global sort."""
-    if skip_if_empty and df.isEmpty():
-        return False
+def publish_version(df: DataFrame, path: str, run_id: str, brands=BRANDS, keep_old_when_empty: bool = False,
+                    sort_within: list[str] | None = None) -> dict[str, int]:
+    """Write ``df`` (with a ``brand`` column) as version ``run_id`` of the report
+    at ``path`` and make it current for ``brands``; returns the rows per brand.
+
+    Rows are counted on the written files.  With ``keep_old_when_empty`` a
+    brand without rows keeps its current version.  ``sort_within`` orders rows
+    inside each output file (O4) without a global sort."""
+    spark, root = df.sparkSession, path.rstrip("/")
     out = df.sortWithinPartitions(*sort_within) if sort_within else df
-    w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
-    return True
+    out.write.mode("errorifexists").partitionBy("brand").parquet(f"{root}/{run_id}")
+    written = spark.read.schema("brand string").parquet(f"{root}/{run_id}")
+    rows = {r["brand"]: r["n"] for r in written.groupBy("brand").agg(F.count(F.lit(1)).alias("n")).collect()}   # a row per brand
+    counts = {b: rows.get(b, 0) for b in brands}
+    for b, n in counts.items():
+        if n or not keep_old_when_empty:
+            (spark.createDataFrame([(run_id,)], "run_id string").coalesce(1)
+             .write.mode("errorifexists").parquet(f"{root}/{MANIFEST}/brand={b}/v={time.time_ns()}"))
+    return counts
+
+
+def read_report(spark: SparkSession, path: str, schema, brands=BRANDS) -> DataFrame:
+    """The current rows of the report at ``path`` for ``brands``: each brand's
+    newest version, pruned to its partition.  ``schema``: the report's own."""
+    root = path.rstrip("/")
+    m = spark.read.schema("run_id string, brand string, v long").parquet(f"{root}/{MANIFEST}")
+    newest = m.where(F.col("brand").isin(*brands)).groupBy("brand").agg(F.max_by("run_id", "v").alias("run_id"))
+    by_run: dict[str, list[str]] = {}
+    for r in newest.collect():                                              # a row per brand
+        by_run.setdefault(r["run_id"], []).append(r["brand"])
+    out = spark.createDataFrame([], schema)
+    for run_id, bs in sorted(by_run.items()):
+        own = spark.read.schema(schema).parquet(f"{root}/{run_id}").where(F.col("brand").isin(*bs))
+        out = out.unionByName(own)
+    return out
+
+
+def write_table(df: DataFrame, path: str, run_id: str) -> str:
+    """Write a table without brands as ``<path>/<run_id>``; returns that path."""
+    df.write.mode("errorifexists").parquet(f"{path.rstrip('/')}/{run_id}")
+    return f"{path.rstrip('/')}/{run_id}"
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,
@@ -47,6 +81,6 @@ def per_brand_exports(df: DataFrame, kind: str, brands=BRANDS) -> dict[str, Data
     """The per-brand export tables (``report_<brand>_<kind>``) as frames
     without the brand column; each is a partition-pruned filter."""
     out = {}
-    for b in brands:
+    for b in validate_brands(brands):
         out[export_table_name(b, kind)] = df.where(F.col("brand") == b).drop("brand")
     return out

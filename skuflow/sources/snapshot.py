@@ -1,11 +1,13 @@
 """Snapshot, audit, gate and promote.
 
-A run copies every source table into an immutable staged version
-``<stage_root>/<run_id>/<table>/brand=<B>/`` (whole-row DISTINCT, declared
-columns, complex types as text).  The audit counts rows per (brand, table);
-the gate passes a brand only when every expected table landed with rows; the
-promote step records, per passing brand, which run is live in a small
-manifest.  Readers resolve the manifest and prune to each brand's partition,
+A run copies every table it is given -- the eight the reports read and any
+other listed one -- with all columns as found into an immutable staged version
+``<stage_root>/<run_id>/<table>/brand=<B>/`` (complex types as text, then
+whole-row DISTINCT).  The audit counts rows per (brand, table) and raises if a
+table did not land; the gate passes a brand only when every expected table has
+rows; the promote step records, per passing brand, which run is live, in a
+manifest entry of its own.  Readers resolve the newest entry of each brand,
+prune to the brand's partition and project onto the columns the reports read,
 so a failed brand keeps serving its previous snapshot.
 
 No table is dropped or renamed in place: versions are append-only paths.
@@ -26,6 +28,18 @@ from skuflow.sources.tables import SOURCE_TABLES, Sources, conform
 MANIFEST = "_manifest"
 
 
+class TableMissing(RuntimeError):
+    """A table of the run did not land."""
+
+
+class GateFailed(RuntimeError):
+    """Some brands did not pass the gate; the others have been promoted."""
+
+    def __init__(self, run_id: str, brands: list[str]):
+        super().__init__(f"{run_id}: not promoted: {', '.join(brands)}")
+        self.run_id, self.brands = run_id, brands
+
+
 def normalise_types(df: DataFrame) -> DataFrame:
     """Landing normalisation (S4): nested/JSON-like columns become JSON text;
     everything else keeps its type."""
@@ -39,9 +53,9 @@ def normalise_types(df: DataFrame) -> DataFrame:
 
 
 def snapshot_frame(name: str, df: DataFrame) -> DataFrame:
-    """The rows a snapshot of table ``name`` holds: declared columns in order
-    (S2), normalised (S4), whole-row distinct (S3, U3)."""
-    return normalise_types(conform(name, df)).distinct()
+    """The rows a snapshot of table ``name`` holds: all columns as found (S2),
+    normalised (S4), whole-row distinct (S3, U3)."""
+    return normalise_types(df).distinct()
 
 
 def snapshot_counts(sources: Sources) -> DataFrame:
@@ -49,9 +63,9 @@ def snapshot_counts(sources: Sources) -> DataFrame:
 
     brand, table_name, n_rows
     """
-    parts = [snapshot_frame(n, sources.table(n)).groupBy("brand")
+    parts = [snapshot_frame(n, t).groupBy("brand")
              .agg(F.count(F.lit(1)).alias("n_rows")).withColumn("table_name", F.lit(n))
-             for n in SOURCE_TABLES]
+             for n, t in sources.as_dict().items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -89,100 +103,105 @@ def stage(spark: SparkSession, sources: Sources, stage_root: str, run_id: str,
           max_parallel: int = 4) -> dict[str, str]:
     """Write every table's snapshot frame under ``<stage_root>/<run_id>``,
     partitioned by brand.  Tables are submitted as concurrent Spark jobs."""
-    paths = {n: f"{stage_root.rstrip('/')}/{run_id}/{n}" for n in SOURCE_TABLES}
+    tables = sources.as_dict()
+    paths = {n: f"{stage_root.rstrip('/')}/{run_id}/{n}" for n in tables}
 
     def write(n: str) -> str:
-        (snapshot_frame(n, sources.table(n)).write.mode("errorifexists")
+        (snapshot_frame(n, tables[n]).write.mode("errorifexists")
          .partitionBy("brand").parquet(paths[n]))
         return n
 
     with ThreadPoolExecutor(max_workers=max_parallel) as pool:
-        list(pool.map(write, SOURCE_TABLES))
+        list(pool.map(write, tables))
     return paths
 
 
-def _try_read(spark: SparkSession, path: str) -> DataFrame | None:
-    """The parquet dataset at ``path``, or None when nothing landed there."""
+def _read_landed(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
+    """The parquet dataset at ``path``, or None when the path does not exist.
+    Any other failure is raised."""
     from pyspark.errors import AnalysisException
 
     try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
+    except AnalysisException as e:
+        if (e.getCondition() or "").startswith("PATH_NOT_FOUND"):
+            return None
+        raise
 
 
-def staged_counts(spark: SparkSession, stage_root: str, run_id: str) -> DataFrame:
-    """S5 audit of a staged run: rows per (brand, table) that landed."""
+def staged_counts(spark: SparkSession, stage_root: str, run_id: str, tables=SOURCE_TABLES) -> DataFrame:
+    """S5 audit of a staged run: rows per (brand, table) that landed.  Raises
+    :class:`TableMissing` when a table of ``tables`` has not landed at all."""
     parts = []
-    for n in SOURCE_TABLES:
-        df = _try_read(spark, f"{stage_root.rstrip('/')}/{run_id}/{n}")
+    for n in tables:
+        df = _read_landed(spark, f"{stage_root.rstrip('/')}/{run_id}/{n}", "brand string")
         if df is None:
-            continue
+            raise TableMissing(f"{run_id}: {n} did not land")
         parts.append(df.groupBy("brand")
                      .agg(F.count(F.lit(1)).alias("n_rows")).withColumn("table_name", F.lit(n)))
-    schema = "brand string, table_name string, n_rows bigint"
-    out = spark.createDataFrame([], schema)
-    for p in parts:
-        out = out.unionByName(p.select("brand", "table_name", "n_rows"))
-    return out
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("brand", "table_name", "n_rows")
 
 
-def promote(spark: SparkSession, stage_root: str, run_id: str, passed_brands) -> str:
+def promote(spark: SparkSession, stage_root: str, run_id: str, passed_brands) -> list[str]:
     """Make ``run_id`` live for ``passed_brands``; other brands keep their
-    current run.  Writes a new manifest version (brand, run_id); returns its
-    path.  The manifest has one row per brand."""
-    root = stage_root.rstrip("/")
-    current = live_runs(spark, root)
-    chosen = set(validate_brands(passed_brands))
-    rows = {b: r for b, r in current.items() if b not in chosen}
-    rows.update({b: run_id for b in chosen})
-    version = f"{root}/{MANIFEST}/v={time.time_ns()}"
-    spark.createDataFrame(sorted(rows.items()), "brand string, run_id string") \
-        .coalesce(1).write.mode("errorifexists").parquet(version)
-    return version
+    current run.  Writes one manifest entry per brand, each at a path of its
+    own, so concurrent runs do not touch each other's; returns the paths."""
+    out = []
+    for b in validate_brands(passed_brands):
+        path = f"{stage_root.rstrip('/')}/{MANIFEST}/brand={b}/v={time.time_ns()}"
+        spark.createDataFrame([(run_id,)], "run_id string").coalesce(1).write.mode("errorifexists").parquet(path)
+        out.append(path)
+    return out
 
 
 def live_runs(spark: SparkSession, stage_root: str) -> dict[str, str]:
-    """brand -> live run id from the newest manifest version (at most one row
-    per brand, so collecting it is bounded)."""
-    m = _try_read(spark, f"{stage_root.rstrip('/')}/{MANIFEST}")
+    """brand -> live run id: each brand's newest manifest entry (at most one
+    row per brand, so collecting it is bounded)."""
+    m = _read_landed(spark, f"{stage_root.rstrip('/')}/{MANIFEST}", "run_id string, brand string, v long")
     if m is None:
         return {}
-    newest = m.agg(F.max("v")).first()[0]
-    return {r["brand"]: r["run_id"] for r in m.where(F.col("v") == newest).select("brand", "run_id").collect()}
+    newest = m.groupBy("brand").agg(F.max_by("run_id", "v").alias("run_id"))
+    return {r["brand"]: r["run_id"] for r in newest.collect()}
 
 
 def read_live(spark: SparkSession, stage_root: str, brands=None) -> Sources:
-    """The live snapshot of every table as one brand-keyed DataFrame each.
-    A brand filter prunes to the brand's partition of its live run."""
+    """The live snapshot of the report tables as one brand-keyed DataFrame each,
+    projected onto the columns the reports read.  A brand filter prunes to the
+    brand's partition of its live run.  Raises when a brand (of ``brands``, or
+    of all) has no live run."""
     runs = live_runs(spark, stage_root)
-    if brands is not None:
-        runs = {b: r for b, r in runs.items() if b in set(validate_brands(brands))}
-    if not runs:
-        raise ValueError(f"no live snapshot under {stage_root}")
+    chosen = validate_brands(brands) if brands is not None else BRANDS
+    if missing := [b for b in chosen if b not in runs]:
+        raise ValueError(f"no live snapshot of {', '.join(missing)} under {stage_root}")
     by_run: dict[str, list[str]] = {}
-    for b, r in runs.items():
-        by_run.setdefault(r, []).append(b)
+    for b in chosen:
+        by_run.setdefault(runs[b], []).append(b)
     tables = {}
     for n in SOURCE_TABLES:
-        frames = [spark.read.parquet(f"{stage_root.rstrip('/')}/{r}/{n}").where(F.col("brand").isin(*bs))
+        frames = [conform(n, spark.read.parquet(f"{stage_root.rstrip('/')}/{r}/{n}").where(F.col("brand").isin(*bs)))
                   for r, bs in sorted(by_run.items())]
         df = frames[0]
         for f in frames[1:]:
             df = df.unionByName(f)
-        tables[n] = conform(n, df)
+        tables[n] = df
     return Sources(**tables)
 
 
-def snapshot_and_promote(spark: SparkSession, sources: Sources, stage_root: str,
-                         brands=None) -> tuple[str, DataFrame]:
+def snapshot_and_promote(spark: SparkSession, sources: Sources, stage_root: str, brands=None,
+                         allow_failed: bool = False) -> tuple[str, DataFrame]:
     """S1-S7 end to end: stage, audit, gate, promote the brands that pass.
-    Returns (run_id, gate DataFrame)."""
+    Returns (run_id, gate DataFrame); raises :class:`GateFailed` when a brand
+    did not pass, unless ``allow_failed``."""
     run_id = new_run_id()
     chosen = validate_brands(brands) if brands is not None else BRANDS
+    tables = tuple(sources.as_dict())
     stage(spark, sources.for_brands(chosen), stage_root, run_id)
-    g = gate(staged_counts(spark, stage_root, run_id), expected_tables(spark, chosen))
-    passed = [r["brand"] for r in g.where("passed").select("brand").collect()]
-    if passed:
-        promote(spark, stage_root, run_id, passed)
+    g = gate(staged_counts(spark, stage_root, run_id, tables), expected_tables(spark, chosen, tables))
+    passed = {r["brand"]: r["passed"] for r in g.select("brand", "passed").collect()}
+    promote(spark, stage_root, run_id, [b for b in chosen if passed[b]])
+    if not all(passed.values()) and not allow_failed:
+        raise GateFailed(run_id, [b for b in chosen if not passed[b]])
     return run_id, g

@@ -1,14 +1,14 @@
 """The brand-keyed source tables the reports read.
 
-``Sources`` is the unit every operator takes: eight DataFrames, each with a
-``brand`` column.  They come either from a promoted snapshot
+``Sources`` is the unit every operator takes: the eight tables the reports
+query, each with a ``brand`` column, and whatever else a snapshot copies.  They come either from a promoted snapshot
 (:func:`skuflow.sources.snapshot.read_live`) or from the driver's test tables
 (:func:`skuflow.sources.fixtures.from_testdata`).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -25,6 +25,26 @@ SOURCE_TABLES = (
     "sylius_channel_pricing_item",
 )
 
+# The tables a brand's refresh copies besides its orders.
+LISTED_TABLES = (
+    "processing_first_item_cost",
+    "processing_second_item_cost",
+    "product_cost",
+    "sylius_product_variant",
+    "sylius_product",
+    "sylius_order_tasks",
+    "sylius_order_item",
+    "sylius_order_action_history",
+    "sylius_admin_user",
+    "sylius_customer",
+    "sylius_promotion_coupon",
+    "sylius_payment",
+    "sylius_rbac_administration_role",
+    "sylius_product_translation",
+    "sylius_channel_pricing",
+    "sylius_channel_pricing_item",
+)
+
 S, L, I, B, TS = T.StringType(), T.LongType(), T.IntegerType(), T.BooleanType(), T.TimestampNTZType()
 
 
@@ -59,19 +79,31 @@ class Sources:
     sylius_product_translation: DataFrame
     sylius_channel_pricing: DataFrame
     sylius_channel_pricing_item: DataFrame
+    others: dict[str, DataFrame] = field(default_factory=dict)    # listed tables no report reads
+
+    @classmethod
+    def of(cls, tables: dict[str, DataFrame]) -> "Sources":
+        """From name -> table; names beyond the eight must be listed ones."""
+        others = {n: t for n, t in tables.items() if n not in SOURCE_TABLES}
+        if unknown := set(others) - set(LISTED_TABLES):
+            raise ValueError(f"not a listed table: {', '.join(sorted(unknown))}")
+        return cls(**{n: tables[n] for n in SOURCE_TABLES}, others=others)
 
     def as_dict(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+        return {**{n: getattr(self, n) for n in SOURCE_TABLES}, **self.others}
 
     def table(self, name: str) -> DataFrame:
-        return getattr(self, name)
+        return self.as_dict()[name]
+
+    def map(self, f) -> "Sources":
+        return Sources.of({n: f(n, t) for n, t in self.as_dict().items()})
 
     def for_brands(self, brands) -> "Sources":
         """Restrict every table to ``brands`` (partition pruning on staged data)."""
         from skuflow.brands import brand_filter
 
         pred = brand_filter(brands)
-        return Sources(**{k: v.where(pred) for k, v in self.as_dict().items()})
+        return self.map(lambda _, t: t.where(pred))
 
 
 def check_schema(name: str, df: DataFrame) -> None:

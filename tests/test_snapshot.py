@@ -35,11 +35,60 @@ def test_m17_empty_table_blocks_promotion(spark, tmp_root):
     first, _ = S.snapshot_and_promote(spark, src, root)
     tables = src.as_dict()
     tables["sylius_channel_pricing"] = tables["sylius_channel_pricing"].where(F.col("brand") != "DEF")
-    run2, g = S.snapshot_and_promote(spark, Sources(**tables), root)
-    passed = {r.brand: r.passed for r in g.collect()}
-    assert passed["DEF"] is False and passed["ABC"] is True
+    with pytest.raises(S.GateFailed) as failed:                      # loud, after the others are promoted
+        S.snapshot_and_promote(spark, Sources.of(tables), root)
+    assert failed.value.brands == ["DEF"]
     live = S.live_runs(spark, root)
-    assert live["DEF"] == first and live["ABC"] == run2
+    assert live["DEF"] == first and live["ABC"] == failed.value.run_id
+    run3, g = S.snapshot_and_promote(spark, Sources.of(tables), root, allow_failed=True)
+    passed = {r.brand: r.passed for r in g.collect()}
+    assert passed["DEF"] is False and passed["ABC"] is True and S.live_runs(spark, root)["ABC"] == run3
+
+
+def test_missing_brands_and_tables_raise(spark, tmp_root):
+    src = from_testdata(spark, SF_SMALL)
+    root = f"{tmp_root}/stage"
+    run_id, _ = S.snapshot_and_promote(spark, src, root, brands=["ABC"])
+    assert S.read_live(spark, root, brands=["ABC"]).sylius_order.count() > 0
+    for brands in (None, ["ABC", "DEF"]):
+        with pytest.raises(ValueError, match="DEF"):
+            S.read_live(spark, root, brands=brands)
+    with pytest.raises(S.TableMissing, match="product_cost"):
+        S.staged_counts(spark, root, run_id, (*SOURCE_TABLES, "product_cost")).count()
+
+
+def test_entries_of_concurrent_runs_do_not_meet(spark, tmp_root):
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda b: S.promote(spark, tmp_root, f"run-{b}", [b]), ("ABC", "DEF", "GHI", "JKL")))
+    assert S.live_runs(spark, tmp_root) == {b: f"run-{b}" for b in ("ABC", "DEF", "GHI", "JKL")}
+
+
+def test_only_a_missing_path_counts_as_nothing_landed(spark, tmp_root):
+    import os
+
+    assert S.live_runs(spark, f"{tmp_root}/none") == {}
+    os.makedirs(f"{tmp_root}/bad/{S.MANIFEST}/brand=ABC/v=1")
+    with open(f"{tmp_root}/bad/{S.MANIFEST}/brand=ABC/v=1/part-0.parquet", "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception, match="(?i)parquet|read"):
+        S.live_runs(spark, f"{tmp_root}/bad")
+
+
+def test_listed_tables_are_copied_with_all_columns(spark, tmp_root):
+    src = from_testdata(spark, SF_SMALL)
+    extra = src.sylius_customer.select("brand", "id", F.lit(1.5).alias("cost"), F.array(F.lit(1)).alias("parts"))
+    both = Sources.of({**src.as_dict(), "product_cost": extra.unionByName(extra)})
+    run_id, g = S.snapshot_and_promote(spark, both, f"{tmp_root}/stage")
+    assert {r.tables_expected for r in g.collect()} == {len(SOURCE_TABLES) + 1}
+    back = spark.read.parquet(f"{tmp_root}/stage/{run_id}/product_cost")
+    assert back.count() == extra.count() and dict(back.dtypes)["parts"] == "string"
+    names = spark.read.parquet(f"{tmp_root}/stage/{run_id}/sylius_product_translation")
+    assert names.count() == src.sylius_product_translation.count()      # two locales of one name stay two rows
+    assert names.select("brand", "translatable_id", "name").distinct().count() < names.count()
+    with pytest.raises(ValueError):
+        Sources.of({**src.as_dict(), "unlisted": extra})
 
 
 def test_brand_list_prunes_and_validates(spark, tmp_root):
@@ -56,11 +105,33 @@ def test_publish_writes_all_reports(spark, tmp_root):
     reps = pipeline.build_reports(src)
     assert counts["report_merged"] == counts["report_non_bundle"] == reps.report_non_bundle.count()
     assert counts["retention_table"] == reps.retention_table.count()
-    back = spark.read.parquet(f"{tmp_root}/out/report_only_bundle")
-    assert sorted(back.columns) == sorted(reps.report_only_bundle.columns)
-    assert back.count() == counts["report_only_bundle"]
-    merged = spark.read.parquet(f"{tmp_root}/out/report_merged")
+    from skuflow.sources.sinks import read_report
+
+    back = read_report(spark, f"{tmp_root}/out/report_only_bundle", reps.report_only_bundle.schema)
+    assert _digest(back) == _digest(reps.report_only_bundle)
+    merged = spark.read.parquet(f"{tmp_root}/out/report_merged/*")
     assert merged.columns == ["order_id", "created_at", "quantity", "warehouse_sku"]
+    exports = sum(spark.read.parquet(f"{tmp_root}/out/exports/report_{b}_non_bundle/*").count() for b in ("abc", "def", "ghi", "jkl", "mno"))
+    assert exports == counts["report_non_bundle"]
+    assert spark.read.parquet(f"{tmp_root}/out/retention_null_audit/*").count() == 5 * 13
+    assert spark.read.parquet(f"{tmp_root}/out/stage_counts/*").where("stage = 'report_lines'").count() == 5
+    assert "customer_id" in spark.read.parquet(f"{tmp_root}/out/retention_missing_first_items/*").columns
+
+
+def test_second_run_replaces_stock_reports_and_keeps_empty_customer_reports(spark, tmp_root):
+    from skuflow.sources.sinks import read_report
+
+    src = from_testdata(spark, SF_SMALL)
+    first = pipeline.run(spark, src, f"{tmp_root}/out")
+    gone = ("sylius_channel_pricing", "sylius_channel_pricing_item", "sylius_order_item")
+    less = src.map(lambda n, t: t.where("brand <> 'ABC'") if n in gone else t)
+    second = pipeline.run(spark, less, f"{tmp_root}/out")
+    reps = pipeline.build_reports(src)
+    read = lambda n: read_report(spark, f"{tmp_root}/out/{n}", reps.as_dict()[n].schema)
+    for n in ("report_non_bundle", "report_only_bundle"):
+        assert read(n).where("brand = 'ABC'").count() == 0 and second[n] < first[n]
+    assert second["report_merged"] == second["report_non_bundle"] == read("report_non_bundle").count()
+    assert read("retention_table").where("brand = 'ABC'").count() == reps.retention_table.where("brand = 'ABC'").count() > 0
 
 
 def test_per_brand_exports(spark):
@@ -85,18 +156,18 @@ def test_checkpointed_reports_equal_lazy_ones(spark):
         assert _digest(lazy.as_dict()[name]) == _digest(cut.as_dict()[name])
 
 
-def test_empty_report_keeps_old_data(spark, tmp_root):
-    from skuflow.sources.sinks import write_report
+def test_versions_of_a_report(spark, tmp_root):
+    from skuflow.sources.sinks import publish_version, read_report
 
-    rep = pipeline.build_reports(from_testdata(spark, SF_SMALL)).report_only_bundle
-    path = f"{tmp_root}/only_bundle"
-    assert write_report(rep, path) is True
-    n = spark.read.parquet(path).count()
-    assert write_report(rep.where("false"), path) is False          # S9: skipped, old rows stay
-    assert spark.read.parquet(path).count() == n
-    one_brand = rep.where("brand = 'ABC'")
-    assert write_report(one_brand, path) is True                     # dynamic overwrite: other brands stay
-    assert spark.read.parquet(path).count() == n
+    rep = pipeline.build_reports(from_testdata(spark, SF_SMALL)).retention_table
+    path, n = f"{tmp_root}/retention", rep.count()
+    publish_version(rep, path, "run-1", keep_old_when_empty=True)
+    publish_version(rep.where("false"), path, "run-2", keep_old_when_empty=True)        # S9: old rows stay
+    assert read_report(spark, path, rep.schema).count() == n
+    publish_version(rep.where("brand = 'ABC'"), path, "run-3", brands=["ABC"])           # other brands untouched
+    assert read_report(spark, path, rep.schema).count() == n
+    publish_version(rep.where("brand = 'DEF'"), path, "run-4", brands=["ABC", "DEF"])    # ABC replaced by nothing
+    assert read_report(spark, path, rep.schema).where("brand = 'ABC'").count() == 0
 
 
 def test_schema_conformance(spark):
