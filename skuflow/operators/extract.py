@@ -24,18 +24,26 @@ RETENTION_PAYMENT_STATES = ("paid", "partially_refunded", "refunded")
 STOCK_PAYMENT_STATES = ("paid", "partially_paid", "partially_refunded", "refunded")
 
 
+def valid_orders(src: Sources) -> DataFrame:
+    """Valid paid orders, without their customers.
+
+    brand, id, customer_id, created_at, state, is_subscription, created_from_order_id
+    """
+    return (src.sylius_order
+            .where(F.col("state").isin(*VALID_STATES)
+                   & F.col("payment_state").isin(*RETENTION_PAYMENT_STATES)
+                   & (F.col("total") > 0))
+            .select("brand", "id", "customer_id", "created_at", "state", "is_subscription",
+                    "created_from_order_id"))
+
+
 def extract_orders(src: Sources) -> DataFrame:
-    """Valid paid orders with the customer's email (``orders_x``).
+    """:func:`valid_orders` with the customer's email (``orders_x``).
 
     brand, id, customer_id, created_at, state, is_subscription,
     created_from_order_id, email
     """
-    o = (src.sylius_order
-         .where(F.col("state").isin(*VALID_STATES)
-                & F.col("payment_state").isin(*RETENTION_PAYMENT_STATES)
-                & (F.col("total") > 0))
-         .select("brand", "id", "customer_id", "created_at", "state", "is_subscription",
-                 "created_from_order_id"))
+    o = valid_orders(src)
     c = src.sylius_customer.select("brand", F.col("id").alias("customer_id"), "email")
     return o.join(c, ["brand", "customer_id"], "left").select(
         "brand", "id", "customer_id", "created_at", "state", "is_subscription",
@@ -92,17 +100,27 @@ STOCK_COLUMNS = ("brand", "order_id", "created_at", "updated_at", "payment_state
                  "scp_promotion_warehouse_sku", "scpi_promotion_warehouse_sku", "count", "mint_soft_sku")
 
 
-def extract_stock_lines(src: Sources) -> DataFrame:
+def hot_orders(src: Sources) -> DataFrame | None:
+    """Orders with more stock lines than one task should hold, or None; measured
+    now, in one pass over the item keys.  A line counts once per price tier of
+    its variant."""
+    fan = stock_catalog(src).groupBy("brand", "variant_id").agg(F.count(F.lit(1)).alias("fan"))
+    return S.hot_table(src.sylius_order_item.select("brand", "order_id", "variant_id"), broadcast_if_bounded(fan))
+
+
+def extract_stock_lines(src: Sources, hot: DataFrame | None | str = "measure") -> DataFrame:
     """Distinct stock lines (``ex``): one row per (item x pricing tier), paid
     orders, products with a mint SKU; the item id is not kept, so identical
     lines collapse.  Columns :data:`STOCK_COLUMNS` (plus ``salt``/``n_salts``
-    when some order is hot).
-
-    The line rows move once.  Normally they are hash-partitioned by (brand,
-    order_id) and every per-order step reuses that.  When an order exceeds
-    the per-task row limit (:mod:`skuflow.operators.salting`), the key is
-    (brand, order_id, salt), the orders are replicated to their salts for the
-    join, and the per-order steps combine partials across salts.  With a broadcastable
+    when some order is hot).  ``hot``: the result of :func:`hot_orders`, or
+    ``"measure"`` to run it now.
+
+    Normally the line rows move once, hash-partitioned by (brand, order_id),
+    and every per-order step reuses that.  When an order exceeds the per-task
+    row limit (:mod:`skuflow.operators.salting`), identical lines are collapsed
+    first (on the map side, then over all tasks), the key is (brand, order_id,
+    salt), the orders are replicated to their salts for the join, and the
+    per-order steps combine partials across salts.  With a broadcastable
     catalog the narrow item rows are shuffled *before* the catalog join fans
     them out per tier; a catalog too large to broadcast is joined first
     (sort-merge on variant, AQE skew split) and the result shuffled.
@@ -114,7 +132,8 @@ def extract_stock_lines(src: Sources) -> DataFrame:
          .select("brand", F.col("id").alias("order_id"), "created_at", "updated_at", "payment_state"))
     catalog = stock_catalog(src)
     small_catalog = is_bounded(catalog)
-    hot = S.hot_table(items)
+    if isinstance(hot, str):
+        hot = hot_orders(src)
     if hot is None:                      # no hot order: co-locate each order, key (brand, order_id)
         if small_catalog:
             lines = items.repartition("brand", "order_id").join(F.broadcast(catalog), ["brand", "variant_id"])
@@ -124,7 +143,8 @@ def extract_stock_lines(src: Sources) -> DataFrame:
     n = S.partitions(spark)
     # NULL keys never join; stating it here keeps every branch's line scan
     # identical (no per-branch inferred filters), so the salted shuffle is reused.
-    salted = S.assign_salts(items.where(F.col("brand").isNotNull() & F.col("order_id").isNotNull()), hot)
+    # A hot order may be one line many times over: DISTINCT before the salts.
+    salted = S.assign_salts(items.where(F.col("brand").isNotNull() & F.col("order_id").isNotNull()).distinct(), hot)
     if small_catalog:
         lines = salted.repartition(n, *S.SALT_KEY).join(F.broadcast(catalog), ["brand", "variant_id"])
     else:
@@ -134,7 +154,7 @@ def extract_stock_lines(src: Sources) -> DataFrame:
     return lines.join(o_salted, S.SALT_KEY).select(*STOCK_COLUMNS, "salt", "n_salts").distinct()
 
 
-def order_tier_set(src: Sources) -> DataFrame:
+def order_tier_set(src: Sources, hot: DataFrame | None | str = "measure") -> DataFrame:
     """Every (order, tier count, tier SKU) of the order's items, straight from
     items x catalog on the map side and pre-aggregated before any shuffle:
     brand, order_id, count, scpi_promotion_warehouse_sku, n_salts.  Tiers of
@@ -142,7 +162,8 @@ def order_tier_set(src: Sources) -> DataFrame:
     items = src.sylius_order_item.select("brand", "order_id", "variant_id")
     catalog = stock_catalog(src).where(F.col("scpi_promotion_warehouse_sku").isNotNull()) \
         .select("brand", "variant_id", "count", "scpi_promotion_warehouse_sku")
-    hot = S.hot_table(src.sylius_order_item)
+    if isinstance(hot, str):
+        hot = hot_orders(src)
     tiers = items.join(broadcast_if_bounded(catalog), ["brand", "variant_id"]) \
         .groupBy("brand", "order_id", "count", "scpi_promotion_warehouse_sku").agg(F.lit(1).alias("_one"))
     if hot is None:

@@ -39,22 +39,27 @@ def partitions(spark: SparkSession) -> int:
 
 
 def hot_orders(order_keys: DataFrame, limit: int) -> DataFrame:
-    """Orders with more than ``limit`` rows: brand, order_id, n_salts.
-    At most ``rows / limit`` rows by construction."""
-    counts = order_keys.groupBy("brand", "order_id").agg(F.count(F.lit(1)).alias("_n"))
+    """Orders with more than ``limit`` rows (rows weigh ``fan`` where there is
+    such a column): brand, order_id, n_salts.  At most ``rows / limit`` rows by
+    construction."""
+    rows = F.sum("fan") if "fan" in order_keys.columns else F.count(F.lit(1))
+    counts = order_keys.groupBy("brand", "order_id").agg(rows.alias("_n"))
     return counts.where(F.col("_n") > limit).select(
         "brand", "order_id", F.ceil(F.col("_n") / F.lit(limit)).cast("int").alias("n_salts"))
 
 
-def hot_table(items: DataFrame) -> DataFrame | None:
-    """The hot-order table for ``items``, or None when no order is hot.
+def hot_table(items: DataFrame, fan: DataFrame | None = None) -> DataFrame | None:
+    """The hot-order table for ``items``, or None when no order is hot.  ``fan``
+    (brand, variant_id, fan): the rows an item of a variant becomes.
 
     One aggregate pass measures it; it is broadcast when within the broadcast
     threshold (always, unless the limit is set absurdly low), else joined by
     sort-merge."""
     from skuflow.operators.joins import measured_bytes, _threshold
 
-    hot = hot_orders(items.select("brand", "order_id"), rows_per_task(items.sparkSession))
+    keys = items.select("brand", "order_id") if fan is None else \
+        items.join(fan, ["brand", "variant_id"]).select("brand", "order_id", "fan")
+    hot = hot_orders(keys, rows_per_task(items.sparkSession))
     size = measured_bytes(hot)
     if size == 0:
         return None

@@ -28,27 +28,30 @@ def non_subscription(orders_x: DataFrame) -> Column:
     return (~F.coalesce(F.col("is_subscription"), F.lit(False))) & F.col("created_from_order_id").isNull()
 
 
-def order_pairs(orders_x: DataFrame) -> DataFrame:
+def order_pairs(orders_x: DataFrame, orders: DataFrame | None = None) -> DataFrame:
     """First order per email joined to the second order of its customer (J15,
-    J16) with the whole days between them (F6).
+    J16) with the whole days between them (F6).  The second order needs no
+    email: taken from ``orders`` (the same orders before the customer join), the
+    limit per customer applies before any shuffle, so a guest customer's orders
+    never meet in one task.
 
     brand, email, customer_id, first_order_id, first_order_date, order_count,
     second_order_id, second_order_date, second_is_subscription,
     days_between_first_and_second_order
     """
     firsts = ops.email_first_orders(orders_x, non_subscription(orders_x)).drop("first_is_subscription")
-    seconds = ops.second_order_by_customer(orders_x.where(non_subscription(orders_x)))
+    seconds = ops.second_order_by_customer((orders_x if orders is None else orders).where(non_subscription(orders_x)))
     return firsts.join(seconds, ["brand", "customer_id"]).withColumn(
         "days_between_first_and_second_order",
         floor_days_between("first_order_date", "second_order_date"))
 
 
-def sunset_table(orders_x: DataFrame, items_x: DataFrame) -> DataFrame:
+def sunset_table(orders_x: DataFrame, items_x: DataFrame, orders: DataFrame | None = None) -> DataFrame:
     """15 report columns plus ``brand``; pairs whose first or second order
     has no items are dropped (J18).  Item facts are per-order partial
     aggregates over the whole item table, attached to both orders of a pair
     in one join (:func:`skuflow.operators.orders.attach_order_facts`)."""
-    pairs = order_pairs(orders_x)
+    pairs = order_pairs(orders_x, orders)
     facts = ops.same_product_by_rows(items_x, ops.first_nonnull_item(items_x),
                                      keep=["first_product_variant", "first_product_quantity"])
     keep = ["customer_id", "first_order_date", "second_order_date", "days_between_first_and_second_order",

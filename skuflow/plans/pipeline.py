@@ -20,7 +20,6 @@ from skuflow.brands import BRANDS, validate_brands
 from skuflow.operators import extract as X
 from skuflow.operators import orders as O
 from skuflow.operators import retention as R
-from skuflow.operators import salting as S
 from skuflow.operators import stock_flow as SF
 from skuflow.operators import sunset as SU
 from skuflow.session import scratch_path
@@ -68,8 +67,9 @@ def build_reports(sources: Sources, brands=None, cut_lineage: bool = False) -> R
     if brands is not None:
         sources = sources.for_brands(validate_brands(brands))
     ox, ix = X.extract_orders(sources), X.extract_items(sources)
-    ex = X.extract_stock_lines(sources)
-    lines = SF.stock_lines(ex, X.order_tier_set(sources) if S.is_salted(ex) else None)
+    hot = X.hot_orders(sources)
+    ex = X.extract_stock_lines(sources, hot)
+    lines = SF.stock_lines(ex, X.order_tier_set(sources, hot) if hot is not None else None)
     if cut_lineage:
         spark = lines.sparkSession
         path = scratch_path(spark, "stock-lines")
@@ -88,7 +88,7 @@ def build_reports(sources: Sources, brands=None, cut_lineage: bool = False) -> R
     retention = R.fill_retention(base)
     return Reports(
         retention_table=retention,
-        sunset_table=SU.sunset_table(ox, ix),
+        sunset_table=SU.sunset_table(ox, ix, X.valid_orders(sources)),
         report_non_bundle=non_bundle,
         report_only_bundle=only_bundle,
         report_merged=SF.report_merged(non_bundle),

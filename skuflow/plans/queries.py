@@ -141,7 +141,7 @@ def retention_null_audit(spark, sf_dir):
 
 @query
 def sunset_table(spark, sf_dir):
-    return SU.sunset_table(_ox(spark, sf_dir), _ix(spark, sf_dir))
+    return SU.sunset_table(_ox(spark, sf_dir), _ix(spark, sf_dir), X.valid_orders(_src(spark, sf_dir)))
 
 
 # --------------------------------------------------------------- stock flow

@@ -89,3 +89,53 @@ def test_pipeline_checkpoint_path_salted(spark, limit):
     limit(2)
     cut = pipeline.build_reports(src, cut_lineage=True)
     assert {n: _hash(cut.as_dict()[n]) for n in want} == want
+
+
+def _one_order(spark, src, rows):
+    """The sources with the given (variant, price) lines as the only items of one paid order."""
+    order = src.sylius_order.where("payment_state = 'paid'").select("brand", "id").first()
+    items = spark.createDataFrame([(order["brand"], i, order["id"], v, "p", "v", 3, price, price) for i, (v, price) in enumerate(rows)],
+                                  src.sylius_order_item.select("brand", "id", "order_id", "variant_id", "product_name", "variant_name",
+                                                               "quantity", "unit_price", "units_total").schema)
+    return src.map(lambda n, t: items if n == "sylius_order_item" else t)
+
+
+def test_identical_lines_never_meet_in_one_task(spark, limit):
+    src = from_testdata(spark, SF_SMALL)
+    variant = X.stock_catalog(src).where("scpi_promotion_warehouse_sku is not null").select("variant_id").first()[0]
+    src = _one_order(spark, src, [(variant, 10)] * 20_000)
+    src = src.map(lambda n, t: t.repartition(4) if n == "sylius_order_item" else t)
+    limit(1000)
+    ex = X.extract_stock_lines(src)
+    assert S.is_salted(ex)
+    narrow = src.sylius_order_item.select("brand", "order_id", "variant_id", "product_name", "variant_name", "quantity", "unit_price", "units_total")
+    plan = PI.plan_text(narrow.distinct()).splitlines()
+    moved = next(i for i, line in enumerate(plan) if "Exchange hashpartitioning" in line)
+    assert "HashAggregate" in plan[moved + 1]                       # combined on the map side before they move
+    assert narrow.distinct().count() == 1
+    fan = X.stock_catalog(src).where(F.col("variant_id") == variant).groupBy("brand").count().first()["count"]
+    assert ex.count() == fan
+
+
+def test_tiers_count_towards_the_limit(spark, limit):
+    src = from_testdata(spark, SF_SMALL)
+    fan = X.stock_catalog(src).groupBy("brand", "variant_id").count()
+    variant, n = fan.orderBy(F.col("count").desc(), "variant_id").select("variant_id", "count").first()
+    src = _one_order(spark, src, [(variant, k) for k in range(100)])
+    limit(100)
+    ex = X.extract_stock_lines(src)
+    assert n > 1 and S.is_salted(ex)
+    assert ex.select("salt").distinct().count() > 1
+
+
+def test_second_order_per_customer_is_limited_before_it_moves(spark):
+    from skuflow.operators import sunset as SU
+
+    src = from_testdata(spark, SF_SMALL)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = PI.plan_text(SU.order_pairs(X.extract_orders(src), X.valid_orders(src)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("WindowGroupLimit") == 2
