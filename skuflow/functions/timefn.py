@@ -14,4 +14,4 @@ def floor_days_between(start, end) -> Column:
     start = F.col(start) if isinstance(start, str) else start
     end = F.col(end) if isinstance(end, str) else end
     us = F.timestamp_diff("MICROSECOND", start, end)
-    return ((us - F.pmod(us, F.lit(MICROS_PER_DAY))) / F.lit(MICROS_PER_DAY)).cast("bigint")
+    return F.call_function("div", us - F.pmod(us, F.lit(MICROS_PER_DAY)), F.lit(MICROS_PER_DAY)).cast("bigint")
