@@ -350,7 +350,8 @@ def _texts_and_cuts(docs: DataFrame, length: int, id_col: str, text_col: str) ->
     runs = anchor_runs(own, length)
     shared = (runs.groupBy("h").agg(F.sum("k").alias("n"), F.min("run").alias("r0"), F.max("run").alias("r1"))
               .where("n > 1").select("h", (F.col("r0") != F.col("r1")).alias("mixed")))
-    found = written(runs.join(shared, "h"), "repeat-runs")
+    # written, so that the join meets two plain exchanges and a hot anchor's rows can be split
+    found = written(runs.join(written(shared, "repeat-anchors"), "h"), "repeat-runs")
     # one text per hash; every later step takes it from the same exchange
     texts = own.groupBy("t1", "t2").agg(F.first("text").alias("text"))
     mixed = (found.where("mixed").groupBy("h", "run")
