@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +38,7 @@ from skuflow.llm.common import components, written
 
 BLOCKS = 4
 #: Vectors of one chunk; two chunks are one unit of work.
-CHUNK = 8192
+CHUNK = 16_384
 
 
 def rotation(dim: int, seed: int = 11) -> np.ndarray:
@@ -102,13 +103,14 @@ def _compare(units: DataFrame, cosine: float, blocks: int) -> DataFrame:
         parts, limits = split(dim, blocks), shares(dim, blocks, budget)
         left, right = (np.flatnonzero(side != 2), np.flatnonzero(side != 1))   # side 0: a chunk with itself
         own = x[:, parts[block]].astype(np.float32)
-        norm = (own * own).sum(1)
+        norm, one = (own * own).sum(1, keepdims=True), np.ones((len(rep), 1), np.float32)
+        # one product gives the squared distances: |a|^2 * 1 + 1 * |b|^2 - 2 ab
+        near, far = np.hstack([own, norm, one])[left], np.ascontiguousarray(np.hstack([-2 * own, one, norm])[right].T)
         links, pi, pj = np.zeros(len(rep), np.int64), [], []
         for at in range(0, len(left), 256):
-            a = left[at:at + 256]
-            d = norm[a][:, None] + norm[right][None] - 2 * (own[a] @ own[right].T)
-            u, v = np.nonzero(d <= limits[block] + 1e-5)            # rounding in single precision
-            i, j = a[u], right[v]
+            d = (near[at:at + 256] @ far).ravel()
+            u, v = np.divmod(np.flatnonzero(d <= np.float32(limits[block] + 1e-5)), len(right))    # rounding in single precision
+            i, j = left[at + u], right[v]
             if side[0] == 0:
                 i, j = i[i < j], j[i < j]
             for k in range(0, len(i), 100_000):
