@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -17,12 +19,28 @@ from pyspark.sql import functions as F
 TABLES = "/{name}.parquet"
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python this package, once per context: they need not have it installed,
+    nor share a folder with the driver."""
+    context = spark.sparkContext
+    if getattr(context, "_skuflow_shipped", False):
+        return
+    root = Path(__file__).resolve().parent.parent
+    target = Path(tempfile.mkdtemp(prefix="skuflow-ship-")) / "skuflow_code.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    context.addPyFile(str(target))
+    context._skuflow_shipped = True
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(sf_dir.rstrip("/") + TABLES.format(name=name))
 
 
 def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id long, text string): the two columns an operator works on; a null text is empty."""
+    ship(docs.sparkSession)
     return docs.select(docs[id_col].cast("long").alias("doc_id"),
                        F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
 
@@ -44,8 +62,10 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: cuts the
     lineage, survives lost executors, and is computed once."""
     spark = df.sparkSession
+    ship(spark)
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()   # lets Spark's cleaner drop the finished step's shuffle files
     return spark.read.schema(df.schema).parquet(path)
 
 

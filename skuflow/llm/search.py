@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skuflow.llm.common import Words, texts_of, written
+from skuflow.llm.common import Words, ship, texts_of, written
 
 K1, B = 1.2, 0.75
 SHARD_DOCS, SHARD_BYTES = 20_000, 48_000_000
@@ -117,6 +117,7 @@ def _query_terms(queries: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(doc[at])), pa.array(code[at].view(np.int64)),
                                               pa.array(np.diff(np.concatenate([at, [len(doc)]])))], ["query", "term", "weight"])
 
+    ship(queries.sparkSession)
     return queries.mapInArrow(run, "query long, term long, weight long")
 
 
