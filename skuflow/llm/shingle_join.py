@@ -14,11 +14,14 @@ Two documents link when ``100 * intersection >= percent * union``.
    Parts of no or one shingle would meet by chance; ``T`` has some slack, and a
    set with fewer such parts than the slack leaves them out: any partner then
    shares one of the other parts as well.
-4. Sets that share a part first meet the smallest one of theirs, and the pairs
-   are verified on whole sets.  Whoever shares a part and is still in different
-   classes is then compared by a 512-bit parity sketch, whose Hamming distance
-   bounds the symmetric difference from below, and verified on whole sets too.
-   Pairs inside a class need no test, so a group of copies costs one row each.
+4. Sets that share a part first meet the smallest one of theirs.  Then members of
+   different classes within a part are compared, in rounds that let through a few
+   pairs of each set, then more, at last all, and merge the classes that link in
+   between: what is linked already needs no test.  Each time a parity sketch of at least as many bits as the
+   set has shingles, whose Hamming distance bounds the symmetric difference from
+   below, rules pairs out (the longer of two is folded to the length of the other),
+   and the others are verified on whole sets.  Pairs inside a class need no test, so a group of copies
+   costs one row each.
 5. Connected components of the verified links.
 
 Nothing grows with the square of a group: a part's members are listed once, a
@@ -37,15 +40,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skuflow.llm.common import Words, components, mix, texts_of, written
 
-#: Bits of the sketch that is compared before whole sets are.
+#: Least bits of the sketch that is compared before whole sets are.
 SKETCH = 512
 #: Members of a hub, or of a mixed part, that one task compares at a time.
 BLOCK = 4096
+#: Pairs of a set that a chunk of parts lets through, round by round; the last round knows no bound.
+ROUNDS = (2, None)
 _M = [np.uint64(0x9E3779B97F4A7C15 + 2 * k * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF | 1) for k in range(16)]
 
 
@@ -153,7 +159,17 @@ def set_hash(owner: np.ndarray, codes: np.ndarray, n: int) -> tuple[np.ndarray,
         return mix(out + size.astype(np.uint64)).view(np.int64), size
 
 
-def _pieces(sizes: list[int], most: int = 2_000_000) -> Iterator[tuple[int, int]]:
+def sketches(owner: np.ndarray, codes: np.ndarray, size: np.ndarray) -> pa.ListArray:
+    """Parity sketch of each set: a power of two of bits, SKETCH at least and not fewer than shingles, as 64-bit numbers."""
+    bits = np.maximum(SKETCH, 2 ** np.ceil(np.log2(np.maximum(size, 1))).astype(np.int64))
+    stop = np.cumsum(bits)
+    place = (stop - bits)[owner] + (codes & (bits - 1).astype(np.uint64)[owner]).astype(np.int64)
+    odd = np.bincount(place, minlength=int(stop[-1]) if len(stop) else 0) & 1
+    words = np.packbits(odd.astype(bool)).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], stop // 64]).astype(np.int32)), pa.array(words))
+
+
+def _pieces(sizes: list[int], most: int = 500_000) -> Iterator[tuple[int, int]]:
     """Ranges of neighbouring texts of about ``most`` bytes."""
     at = 0
     while at < len(sizes):
@@ -165,7 +181,7 @@ def _pieces(sizes: list[int], most: int = 2_000_000) -> Iterator[tuple[int, int]
         at = to
 
 
-SIGNED = "key long, node long, doc_id long, text_hash long, n_shingles long, has_id boolean"
+SIGNED = "key long, node long, doc_id long, text_hash long, n_shingles long, sketch array<long>"
 
 
 def _signed(own: DataFrame, words: int, percent: int) -> DataFrame:
@@ -185,22 +201,21 @@ def _signed(own: DataFrame, words: int, percent: int) -> DataFrame:
                 node, size = set_hash(owner, codes, b - a)
                 if size.max(initial=0) >= bands.low[-2]:
                     bands = Bands(percent, int(size.max()) * 4)
-                nulls = pa.nulls(b - a, pa.bool_())
                 own_key = mix(np.arange(b - a, dtype=np.uint64) + np.uint64(hash((a, batch.num_rows)) & 0xFFFFFFFF) + node.view(np.uint64))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(own_key.view(np.int64)), pa.array(node), ids.slice(a, b - a), hashes.slice(a, b - a),
-                     pa.array(size.astype(np.int64)), pa.compute.is_valid(ids.slice(a, b - a)) if b > a else nulls], names)
+                     pa.array(size.astype(np.int64)), sketches(owner, codes, size)], names)
                 fresh = np.array([not (t in done or done.add(t)) for t in texts[a:b]], bool)
                 sets, keys = part_keys(owner, codes, np.where(fresh, size, 0), bands)
                 n = len(keys)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(node[sets]), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
-                                                  pa.nulls(n, pa.int64()), pa.nulls(n, pa.bool_())], names)
+                                                  pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.int64()))], names)
 
     return own.select("doc_id", "text_hash", "text").mapInArrow(run, SIGNED)
 
 
 def _sets(texts: DataFrame, words: int) -> DataFrame:
-    """(node, n, codes, sketch) of the texts' sets; codes ascend, 8 bytes each."""
+    """(node, codes) of the texts' sets; codes ascend, 8 bytes each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -208,23 +223,19 @@ def _sets(texts: DataFrame, words: int) -> DataFrame:
             for a, b in _pieces([len(t) for t in texts]):
                 owner, codes = shingle_sets(texts[a:b], words)
                 node, size = set_hash(owner, codes, b - a)
-                stop = np.cumsum(size)
-                sketches, held = [], []
-                for e, n in zip(stop, size):
-                    own = codes[e - n:e]
-                    bits = np.bincount((own & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH) & 1
-                    sketches.append(np.packbits(bits.astype(bool)).tobytes())
-                    held.append(own.tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(size.astype(np.int64)), pa.array(held, pa.binary()),
-                                                  pa.array(sketches, pa.binary())], ["node", "n", "codes", "sketch"])
-
-    return texts.select("text").mapInArrow(run, "node long, n long, codes binary, sketch binary")
-
-
-def _verified(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The edges (a, b) whose sets reach the threshold.  All partners ``a`` of a hub ``b`` come with
-    their sets, the hub's own set comes once per block of partners and is all that is held."""
-    whole = sets.select("node", "codes")
+                held = [codes[e - n:e].tobytes() for e, n in zip(np.cumsum(size), size)]
+                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(held, pa.binary())], ["node", "codes"])
+
+    return texts.select("text").mapInArrow(run, "node long, codes binary")
+
+
+def _verified(edges: DataFrame, nodes: DataFrame, own: DataFrame, words: int, percent: int) -> DataFrame:
+    """The edges (a, b) whose sets reach the threshold; writes them.  Sets are made anew from one
+    text of each node in ``edges``.  All partners ``a`` of a hub ``b`` come with their sets, the
+    hub's own set comes once per block of partners and is all that is held."""
+    chosen = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct().join(nodes, "node").select("text_hash")
+    texts = own.select("text_hash", "text").join(chosen, "text_hash").groupBy("text_hash").agg(F.first("text").alias("text"))
+    whole = written(_sets(texts, words), "shingle-sets")
     blocks = edges.groupBy("b").agg(F.count("*").alias("partners")).select(
         "b", F.ceil(F.col("partners") / BLOCK).cast("int").alias("blocks"))
     members = (edges.join(blocks, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int").alias("block"))
@@ -250,105 +261,162 @@ def _verified(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                     out_b.append(b)
             yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
 
-    return rows.select("b", "a", "codes").mapInArrow(run, "a long, b long")
-
-
-_BITS = np.array([bin(i).count("1") for i in range(256)], np.uint8)
-
-
-def _unlinked_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different classes within a part that their 512-bit sketches do not rule out.
-    ``members``: key, side_a, side_b, node, class, n, sketch; rows of one (key, side_a, side_b) are
-    one block (side_a = side_b), or two blocks to be compared with each other."""
+    return written(rows.select("b", "a", "codes").mapInArrow(run, "a long, b long"), "shingle-links")
+
+
+def _alike(percent: int) -> str:
+    """SQL condition on sizes and sketches (n_a, sketch_a, n_b, sketch_b) that every linked pair meets.
+    Sizes that pass the first part differ by less than a factor of two, so one fold is enough."""
+
+    def even(c: str, other: str) -> str:
+        half = f"size({c}) div 2"
+        return (f"case when size({c}) > size({other}) then zip_with(slice({c}, 1, {half}), slice({c}, {half} + 1, {half}), (p, q) -> p ^ q) else {c} end")
+
+    apart = (f"aggregate(zip_with({even('sketch_a', 'sketch_b')}, {even('sketch_b', 'sketch_a')}, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)")
+    return (f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b) "
+            f"and {apart} * {100 + percent} <= (n_a + n_b) * {100 - percent}")
+
+
+def _unlinked_pairs(members: DataFrame, percent: int, most: int | None) -> DataFrame:
+    """Pairs (a, b) of different classes within a part that their sketches do not rule out; of each
+    node at most ``most`` from one chunk of parts (None: all), chosen by a hash, and then also the
+    keys of the parts that had more.
+    ``members``: key, side_a, side_b, own, node, class, n, sketch; rows of one (key, side_a, side_b)
+    are one block (side_a = side_b), or two blocks to be compared with each other."""
+
+    def pairs(x: np.ndarray, y: np.ndarray, c: dict) -> np.ndarray:
+        """Of the row pairs (x, y) those that may link, as nodes."""
+        ok = c["class"][x] != c["class"][y]
+        x, y = x[ok], y[ok]
+        ok = 100 * np.minimum(c["n"][x], c["n"][y]) >= percent * np.maximum(c["n"][x], c["n"][y])
+        x, y = x[ok], y[ok]
+        ok = np.zeros(len(x), bool)
+        words = np.minimum(c["words"][x], c["words"][y])
+        for w in np.unique(words):
+            same = np.flatnonzero(words == w)
+            for k in range(0, len(same), max(1, 2_000_000 // int(w))):
+                p = same[k:k + max(1, 2_000_000 // int(w))]
+                # a quarter of the words alone rules most pairs out
+                apart = np.bitwise_count(folded(x[p], w, c, w // 4) ^ folded(y[p], w, c, w // 4)).sum(1, dtype=np.int64)
+                p = p[apart * (100 + percent) <= (c["n"][x[p]] + c["n"][y[p]]) * (100 - percent)]
+                apart = np.bitwise_count(folded(x[p], w, c) ^ folded(y[p], w, c)).sum(1, dtype=np.int64)
+                ok[p] = apart * (100 + percent) <= (c["n"][x[p]] + c["n"][y[p]]) * (100 - percent)
+        x, y = x[ok], y[ok]
+        return np.stack([np.maximum(c["node"][x], c["node"][y]), np.minimum(c["node"][x], c["node"][y]), c["key"][x]], 1)
+
+    def few(found: np.ndarray) -> np.ndarray:
+        """Which pairs are among the first ``most`` of their larger node, by a hash."""
+        with np.errstate(over="ignore"):
+            deal = mix(mix(found[:, 0].view(np.uint64)) + found[:, 1].view(np.uint64))
+        order = np.lexsort((deal, found[:, 0]))
+        node = found[order, 0]
+        new = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
+        out = np.zeros(len(found), bool)
+        out[order] = np.arange(len(order)) - np.repeat(new, np.diff(np.concatenate([new, [len(order)]]))) < most
+        return out
 
-    def pairs(x: dict, y: dict, same: bool) -> list[tuple[np.ndarray, np.ndarray]]:
-        out = []
-        for i in range(len(x["node"])):
-            j = np.arange(i + 1, len(y["node"])) if same else np.arange(len(y["node"]))
-            j = j[y["class"][j] != x["class"][i]]
-            small, large = np.minimum(y["n"][j], x["n"][i]), np.maximum(y["n"][j], x["n"][i])
-            j = j[100 * small >= percent * large]
-            if len(j):
-                apart = _BITS[x["sketch"][i] ^ y["sketch"][j]].sum(1, dtype=np.int64)
-                j = j[apart * (100 + percent) <= (x["n"][i] + y["n"][j]) * (100 - percent)]
-                out.append((np.full(len(j), x["node"][i]), y["node"][j]))
+    def folded(rows: np.ndarray, w: int, c: dict, n: int | None = None) -> np.ndarray:
+        """The first ``n`` (all when None) words of the rows' sketches at ``w`` words; they have as many or twice as many."""
+        place = c["first"][rows][:, None] + np.arange(w if n is None else n)
+        out = c["sketch"][place]
+        long = c["words"][rows] > w
+        out[long] ^= c["sketch"][place[long] + w]
         return out
 
-    def group(t: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
-        cols = {c: t.column(c).to_numpy() for c in ("own", "node", "class", "n")}
-        cols["sketch"] = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(t.num_rows, -1)
-        a, b = t.column("side_a")[0].as_py(), t.column("side_b")[0].as_py()
-        x = {k: v[cols["own"] == a] for k, v in cols.items()}
-        return pairs(x, x, True) if a == b else pairs(x, {k: v[cols["own"] == b] for k, v in cols.items()}, False)
+    def close(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(held).combine_chunks()
+        g = [t.column(k).to_numpy() for k in ("key", "side_a", "side_b")]
+        c = {k: t.column(k).to_numpy() for k in ("key", "own", "node", "class", "n")}
+        lists = t.column("sketch").combine_chunks()
+        c["sketch"], c["words"] = lists.flatten().to_numpy().view(np.uint64), pa.compute.list_value_length(lists).to_numpy().astype(np.int64)
+        c["first"] = np.cumsum(c["words"]) - c["words"]
+        cut = np.flatnonzero(np.concatenate([[True], np.any([x[1:] != x[:-1] for x in g], axis=0), [True]]))
+        start, size = cut[:-1], np.diff(cut)
+        out = [np.zeros((0, 3), np.int64)]
+        for s in np.unique(size[(size > 1) & (size <= 64)]):       # small groups: all of one size at once
+            i, j = np.triu_indices(s, 1)
+            at = start[size == s]
+            x, y = (at[:, None] + i).ravel(), (at[:, None] + j).ravel()
+            one = (g[1][x] == g[2][x]) | (c["own"][x] != c["own"][y])
+            out.append(pairs(x[one], y[one], c))
+        for at, s in zip(start[size > 64], size[size > 64]):
+            rows, same = np.arange(at, at + s), g[1][at] == g[2][at]
+            x, y = (rows, rows) if same else (rows[c["own"][rows] == g[1][at]], rows[c["own"][rows] == g[2][at]])
+            for k, i in enumerate(x):
+                other = y[k + 1:] if same else y
+                out.append(pairs(np.full(len(other), i), other, c))
+        found = np.concatenate(out)
+        both, place = np.unique(found[:, :2], axis=0, return_inverse=True)
+        kept = few(both) if most is not None and len(both) else np.ones(len(both), bool)
+        again = np.unique(found[~kept[place.ravel()], 2])               # parts that have more to say
+        names, none = ["a", "b", "key"], pa.nulls
+        yield pa.RecordBatch.from_arrays([pa.array(both[kept, 0]), pa.array(both[kept, 1]), none(int(kept.sum()), pa.int64())], names)
+        yield pa.RecordBatch.from_arrays([none(len(again), pa.int64()), none(len(again), pa.int64()), pa.array(again)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-
-        def close() -> pa.RecordBatch:
-            t = pa.Table.from_batches(held).combine_chunks()
-            g = [t.column(c).to_numpy() for c in ("key", "side_a", "side_b")]
-            cut = np.flatnonzero(np.concatenate([[True], np.any([x[1:] != x[:-1] for x in g], axis=0), [True]]))
-            out = [p for a, b in zip(cut, cut[1:]) for p in group(t.slice(a, b - a))]
-            x = np.concatenate([np.zeros(0, np.int64), *(p[0] for p in out)])
-            y = np.concatenate([np.zeros(0, np.int64), *(p[1] for p in out)])
-            both = np.unique(np.stack([np.maximum(x, y), np.minimum(x, y)], 1), axis=0)
-            return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
-
-        last = None
+        n, last = 0, None
         for batch in batches:
             if not batch.num_rows:
                 continue
             mark = np.stack([batch.column(k).to_numpy() for k in range(3)], 1)
-            if held and sum(b.num_rows for b in held) >= 2 * BLOCK:
+            if n >= 2 * BLOCK:
                 other = np.flatnonzero((mark != last).any(1))
                 if len(other):
-                    held.append(batch.slice(0, int(other[0])))
-                    yield close()
-                    held, batch, mark = [], batch.slice(int(other[0])), mark[other[0]:]
+                    yield from close([*held, batch.slice(0, int(other[0]))])
+                    held, n, batch, mark = [], 0, batch.slice(int(other[0])), mark[other[0]:]
             held.append(batch)
+            n += batch.num_rows
             last = mark[-1]
         if held:
-            yield close()
+            yield from close(held)
 
     return (members.repartition("key", "side_a", "side_b").sortWithinPartitions("key", "side_a", "side_b")
-            .select("key", "side_a", "side_b", "own", "node", "class", "n", "sketch").mapInArrow(run, "a long, b long").distinct())
+            .select("key", "side_a", "side_b", "own", "node", "class", "n", "sketch").mapInArrow(run, "a long, b long, key long").distinct())
 
 
 def link(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: doc_id, text_hash, node (hash of its set), n_shingles, component_id."""
+    if not 50 < percent <= 100:
+        raise ValueError("percent must be above 50 and at most 100")
     own = texts_of(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
     signed = _signed(own, words, percent)
     by_key = signed.withColumn("m", F.expr("min(node) over (partition by key)"))
-    kept = written(by_key.where("has_id is not null or node <> m"), "shingle-parts")
-    rows = kept.where("has_id is not null").select("doc_id", "text_hash", "node", "n_shingles")
-    parts = kept.where("has_id is null").select("key", "node", "m").distinct()
-
-    # whole sets of the nodes that share a part with another
-    nodes = parts.select("node").union(parts.select(F.col("m").alias("node"))).distinct()
-    chosen = rows.groupBy("node").agg(F.min("text_hash").alias("text_hash")).join(nodes, "node").select("text_hash")
-    texts = own.select("text_hash", "text").join(chosen, "text_hash").groupBy("text_hash").agg(F.first("text").alias("text"))
-    sets = written(_sets(texts, words).dropDuplicates(["node"]), "shingle-sets")
+    kept = written(by_key.where("sketch is not null or node <> m"), "shingle-parts")
+    rows = kept.where("sketch is not null").select("doc_id", "text_hash", "node", "n_shingles", "sketch")
+    parts = kept.where("sketch is null").select("key", "node", "m").distinct()
+    nodes = written(rows.groupBy("node").agg(F.min("text_hash").alias("text_hash"), F.min("n_shingles").alias("n"),
+                                             F.min("sketch").alias("sketch")), "shingle-nodes")
+    seen = [nodes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}")) for c in "ab"]
+
+    def meet(pairs: DataFrame, tried: DataFrame | None) -> DataFrame:
+        """The pairs (a, b) that may link by size and sketch and have not been tried."""
+        out = pairs.join(seen[0], "a").join(seen[1], "b").where(_alike(percent)).select("a", "b")
+        return written(out if tried is None else out.join(tried, ["a", "b"], "left_anti"), "shingle-tried")
 
     star = parts.groupBy("node").agg(F.min("m").alias("b")).select(F.col("node").alias("a"), "b")
-    links = written(_verified(star, sets, percent), "shingle-links")
+    tried = meet(star, None)
+    links = _verified(tried, nodes, own, words, percent)
     classes = components(links, "shingle-classes")
 
     # parts whose members are in different classes
-    size = sets.select("node", "n", "sketch")
-    listed = (parts.select("key", "node").union(parts.select("key", F.col("m").alias("node"))).distinct()
-              .join(classes, "node", "left").select("key", "node", F.coalesce("component", "node").alias("class")))
-    listed = written(listed, "shingle-members")
-    mixed = (listed.groupBy("key").agg(F.min("class").alias("c0"), F.max("class").alias("c1"), F.count("*").alias("members"))
-             .where("c0 <> c1").select("key", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")))
-    members = (listed.join(mixed, "key").join(size, "node")
-               .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-               .select("key", F.least("own", "other").alias("side_a"), F.greatest("own", "other").alias("side_b"),
-                       "own", "node", "class", "n", "sketch"))
-    pairs = written(_unlinked_pairs(members, percent), "shingle-pairs")
-    more = _verified(pairs.join(star, ["a", "b"], "left_anti"), sets, percent)
-    all_links = links.union(more)
-    classes = components(all_links, "shingle-classes")
+    members = parts.select("key", "node").union(parts.select("key", F.col("m").alias("node"))).distinct()
+    for most in ROUNDS:
+        listed = members.join(classes, "node", "left").select("key", "node", F.coalesce("component", "node").alias("class"))
+        mixed = (listed.groupBy("key").agg(F.min("class").alias("c0"), F.max("class").alias("c1"), F.count("*").alias("members"))
+                 .where("c0 <> c1").select("key", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")))
+        listed = written(listed.join(mixed, "key"), "shingle-members")
+        blocks = (listed.join(nodes, "node").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+                  .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                  .select("key", F.least("own", "other").alias("side_a"), F.greatest("own", "other").alias("side_b"),
+                          "own", "node", "class", "n", "sketch"))
+        out = written(_unlinked_pairs(blocks, percent, most), "shingle-pairs")
+        now = out.where("a is not null").select("a", "b").join(tried, ["a", "b"], "left_anti")
+        more = _verified(now, nodes, own, words, percent)
+        tried, links = tried.union(now), links.union(more)
+        # a part that has told all its pairs is done
+        members = listed.join(out.where("key is not null").select("key"), "key", "left_semi").select("key", "node")
+        classes = components(links, "shingle-classes")
 
     named = rows.join(classes, "node", "left").withColumn("class", F.coalesce("component", "node"))
     lowest = named.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("lowest"))
