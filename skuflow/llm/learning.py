@@ -7,10 +7,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skuflow.llm.common import texts_of
+from skuflow.llm.common import ship, texts_of
 
 
 def bucket(doc_id: Column, modulus: int) -> Column:
@@ -33,12 +34,17 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, train: C
 
 def fit(sample: DataFrame, learn: Callable[[list[bytes], np.ndarray], object]) -> object:
     """``learn(texts, labels)`` in one task over the bounded ``sample`` (ordered by id); runs now
-    and brings only the model to the driver."""
+    and brings only the model to the driver.  ``learn`` may empty the list of texts as it goes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = sorted((r for b in batches for r in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist())),
-                      key=lambda r: r[0])
-        model = learn([t.encode() for _, t, _ in rows], np.array([y for _, _, y in rows], np.int64))
+        ids, texts, labels = [], [], []
+        for batch in batches:
+            ids += batch.column(0).to_pylist()
+            texts += _bytes(batch.column(1))
+            labels += batch.column(2).to_pylist()
+        order = sorted(range(len(ids)), key=ids.__getitem__)
+        texts = [texts[i] for i in order]
+        model = learn(texts, np.array([labels[i] for i in order], np.int64))
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
     one = sample.select("doc_id", "text", "label").repartition(1)
@@ -46,41 +52,47 @@ def fit(sample: DataFrame, learn: Callable[[list[bytes], np.ndarray], object]) -
     return pickle.loads(row[0]) if row else learn([], np.zeros(0, np.int64))   # no rows: no task ran
 
 
+def _bytes(texts: pa.Array) -> list[bytes]:
+    """UTF-8 bytes of the texts; a null text is empty."""
+    return [t.as_buffer().to_pybytes() if t.is_valid else b"" for t in texts]
+
+
+def _chunks(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of neighbouring texts of about ``most`` bytes; a longer text is one of its own."""
+    sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_pylist()
+    at = 0
+    while at < len(sizes):
+        size, to = 0, at
+        while to < len(sizes) and (to == at or size + sizes[to] <= most):
+            size += sizes[to]
+            to += 1
+        yield at, to
+        at = to
+
+
 def score(docs: DataFrame, scorer: Callable[[list[bytes]], np.ndarray], id_col: str = "doc_id", text_col: str = "text",
-          chunk_bytes: int = 4_000_000) -> DataFrame:
+          chunk_bytes: int = 1_000_000) -> DataFrame:
     """(doc_id, score) for every row of ``docs``; ``scorer`` gets bounded lists of whole texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0), [t.encode() for t in batch.column(1).to_pylist()]
-            at = 0
-            while at < len(texts):
-                size, to = 0, at
-                while to < len(texts) and (to == at or size + len(texts[to]) <= chunk_bytes):
-                    size += len(texts[to])
-                    to += 1
-                values = np.asarray(scorer(texts[at:to]), float)
-                yield pa.RecordBatch.from_arrays([ids.slice(at, to - at), pa.array(values, pa.float64())], ["doc_id", "score"])
-                at = to
+            for at, to in _chunks(batch.column(1), chunk_bytes):
+                values = np.asarray(scorer(_bytes(batch.column(1).slice(at, to - at))), float)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, to - at), pa.array(values, pa.float64())], ["doc_id", "score"])
 
     return texts_of(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double")
 
 
-def keep(docs: DataFrame, accepts: Callable[[list[bytes]], np.ndarray], text_col: str = "text", chunk_bytes: int = 4_000_000) -> DataFrame:
+def keep(docs: DataFrame, accepts: Callable[[list[bytes]], np.ndarray], text_col: str = "text", chunk_bytes: int = 1_000_000) -> DataFrame:
     """The rows of ``docs``, all columns as they are, whose text ``accepts``; a null text is empty."""
+    ship(docs.sparkSession)
     place = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [(t or "").encode() for t in batch.column(place).to_pylist()]
-            ok, at = np.zeros(len(texts), bool), 0
-            while at < len(texts):
-                size, to = 0, at
-                while to < len(texts) and (to == at or size + len(texts[to]) <= chunk_bytes):
-                    size += len(texts[to])
-                    to += 1
-                ok[at:to] = accepts(texts[at:to])
-                at = to
+            ok = np.zeros(batch.num_rows, bool)
+            for at, to in _chunks(batch.column(place), chunk_bytes):
+                ok[at:to] = accepts(_bytes(batch.column(place).slice(at, to - at)))
             yield batch.filter(pa.array(ok))
 
     return docs.mapInArrow(run, docs.schema)

@@ -64,30 +64,41 @@ def indicators(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             grams.append((w.doc[k:][ok] if len(w.doc) > k else w.doc[:0], mix(run)[ok]))
     keys = np.concatenate([d.astype(np.uint64) * size + (h >> np.uint64(64 - BITS)) for d, h in grams])
     keys = np.unique(keys)
-    return (keys // size).astype(np.int64), (keys % size).astype(np.int64)
+    return (keys // size).astype(np.int32), (keys % size).astype(np.int32)
 
 
-def dual_coordinate_descent(doc: np.ndarray, col: np.ndarray, val: np.ndarray, y: np.ndarray, c: float = 1.0,
-                            epochs: int = 12, seed: int = 7) -> np.ndarray:
-    """Weights of the L1-loss linear SVM (Hsieh et al., 2008); the last weight is the intercept.
-    Rows are given as ascending (doc, col, val); labels are -1 and 1."""
+def _row_sums(doc: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sum of ``values`` for each of ``n`` rows; ``doc`` ascends."""
+    out = np.zeros(n)
+    if len(doc):
+        first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+        out[doc[first]] = np.add.reduceat(values, first, dtype=np.float64)
+    return out
+
+
+def dual_coordinate_descent(doc: np.ndarray, col: np.ndarray, val: np.ndarray, y: np.ndarray, rows: np.ndarray | None = None,
+                            c: float = 1.0, epochs: int = 12, seed: int = 7) -> np.ndarray:
+    """Weights of the L1-loss linear SVM (Hsieh et al., 2008) on ``rows`` (all when None); the last
+    weight is the intercept.  Rows are given as ascending (doc, col, val); labels are -1 and 1."""
     n = len(y)
     at = np.searchsorted(doc, np.arange(n + 1))
     w, alpha = np.zeros((1 << BITS) + 1), np.zeros(n)
-    rows = [(np.append(col[a:b], 1 << BITS), np.append(val[a:b], 1.0)) for a, b in zip(at, at[1:])]
-    norm = np.array([v @ v for _, v in rows])
+    norm = _row_sums(doc, val * val, n) + 1
     # the rarer class weighs more, so that both sides count alike
-    share = np.clip(np.array([(y < 0).mean(), (y > 0).mean()]), 1e-3, 1)
+    rows = np.arange(n) if rows is None else rows
+    share = np.clip(np.array([(y[rows] < 0).mean(), (y[rows] > 0).mean()]), 1e-3, 1)
     upper = np.where(y > 0, c * 0.5 / share[1], c * 0.5 / share[0])
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
         moved = 0.0
-        for i in rng.permutation(n):
-            cols, vals = rows[i]
-            g = y[i] * (w[cols] @ vals) - 1
+        for i in rng.permutation(rows):
+            cols, vals = col[at[i]:at[i + 1]], val[at[i]:at[i + 1]]
+            g = y[i] * (w[cols] @ vals + w[-1]) - 1
             new = min(max(alpha[i] - g / norm[i], 0.0), upper[i])
             if new != alpha[i]:
-                w[cols] += (new - alpha[i]) * y[i] * vals
+                step = (new - alpha[i]) * y[i]
+                w[cols] += step * vals
+                w[-1] += step
                 moved = max(moved, abs(new - alpha[i]))
                 alpha[i] = new
         if moved < 1e-3:
@@ -97,10 +108,11 @@ def dual_coordinate_descent(doc: np.ndarray, col: np.ndarray, val: np.ndarray, y
 
 def _scaled(doc: np.ndarray, col: np.ndarray, ratio: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     keep = ratio[col] != 0
-    doc, col = doc[keep], col[keep]
-    val = ratio[col]
-    length = np.sqrt(np.bincount(doc, val * val, n))
-    return doc, col, val / np.maximum(length, 1e-12)[doc]
+    if not keep.all():
+        doc, col = doc[keep], col[keep]
+    val = ratio[col].astype(np.float32)
+    val /= np.maximum(np.sqrt(_row_sums(doc, val * val, n)), 1e-12).astype(np.float32)[doc]
+    return doc, col, val
 
 
 def learn(texts: list[bytes], y: np.ndarray, beta: float = 0.75, min_texts: int = 4) -> dict:
@@ -108,27 +120,35 @@ def learn(texts: list[bytes], y: np.ndarray, beta: float = 0.75, min_texts: int
     prior = (ones + 1) / (n + 2)
     if ones < 2 or n - ones < 2:
         return {"prior": prior, "weights": None}
-    parts = [indicators(texts[a:a + 2000]) for a in range(0, n, 2000)]
-    doc = np.concatenate([d + 2000 * k for k, (d, _) in enumerate(parts)])
-    col = np.concatenate([c for _, c in parts])
     seen = np.arange(n) % 4 != 3                       # the rest is for the curve
     if len(set(y[~seen])) < 2:
         seen[:] = True
-    size = 1 << BITS
-    use = seen[doc]
-    pos = np.bincount(col[use & (y[doc] == 1)], minlength=size)
-    neg = np.bincount(col[use & (y[doc] != 1)], minlength=size)
+    size, step = 1 << BITS, 200
+    cols, counts, pos, neg = [], [], np.zeros(size, np.int64), np.zeros(size, np.int64)
+    for a in range(0, n, step):
+        doc, col = indicators(texts[a:a + step])
+        texts[a:a + step] = [b""] * len(texts[a:a + step])     # not needed any more
+        rows = a + doc
+        pos += np.bincount(col[seen[rows] & (y[rows] == 1)], minlength=size)
+        neg += np.bincount(col[seen[rows] & (y[rows] != 1)], minlength=size)
+        cols.append(col)
+        counts.append(np.bincount(doc, minlength=min(step, n - a)))
     ratio = np.log((pos + 1) / (pos.sum() + size)) - np.log((neg + 1) / (neg.sum() + size))
     ratio -= np.log(neg.sum() + size) - np.log(pos.sum() + size)
     ratio -= np.log((seen & (y == 1)).sum() / (seen & (y != 1)).sum())
     ratio[pos + neg < min(min_texts, 1 + n // 100)] = 0
+    used = ratio != 0
+    for k, (col, count) in enumerate(zip(cols, counts)):
+        keep = used[col]
+        counts[k] = np.bincount(np.repeat(np.arange(len(count)), count)[keep], minlength=len(count))
+        cols[k] = col[keep]
+    doc, col = np.repeat(np.arange(n, dtype=np.int32), np.concatenate(counts)), np.concatenate(cols)
+    del cols
     doc, col, val = _scaled(doc, col, ratio, n)
-    place = np.cumsum(seen) - 1
-    fitted = seen[doc]
-    w = dual_coordinate_descent(place[doc[fitted]], col[fitted], val[fitted], np.where(y[seen] == 1, 1.0, -1.0))
+    w = dual_coordinate_descent(doc, col, val, np.where(y == 1, 1.0, -1.0), np.flatnonzero(seen))
     mean = np.abs(w[:-1]).sum() / max(1, (w[:-1] != 0).sum())
     w[:-1] = (1 - beta) * mean + beta * w[:-1]
-    margin = np.bincount(doc, val * w[col], n) + w[-1]
+    margin = _row_sums(doc, val * w.astype(np.float32)[col], n) + w[-1]
     a, b = logistic_curve(margin[~seen] if not seen.all() else margin, y[~seen] if not seen.all() else y)
     return {"prior": prior, "weights": (w[:-1] * a).astype(np.float32), "bias": float(w[-1] * a + b), "ratio": ratio.astype(np.float32)}
 
@@ -138,7 +158,7 @@ def predict(model: dict, texts: list[bytes]) -> np.ndarray:
         return np.full(len(texts), model["prior"])
     doc, col = indicators(texts)
     doc, col, val = _scaled(doc, col, model["ratio"].astype(float), len(texts))
-    margin = np.bincount(doc, val * model["weights"][col], len(texts)) + model["bias"]
+    margin = _row_sums(doc, val * model["weights"][col], len(texts)) + model["bias"]
     return 1 / (1 + np.exp(-np.clip(margin, -35, 35)))
 
 
