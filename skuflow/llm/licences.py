@@ -7,7 +7,8 @@ on the executors.
 pairs of neighbouring words (sparse, hashed).  Multinomial logistic regression
 learns the licence families from ``TEMPLATES`` and variants of them (words left
 out, words of the corpus put around them), and the class ``unknown`` from at most
-``max_unknown`` paragraphs of the corpus that share no word triple with a template.
+``max_unknown`` paragraphs of the corpus that share no word triple with a template,
+half of them with a cue.
 
 *Calibration.*  On a held-out quarter of both, the lowest probability of a family
 is set so that at most one in ``1 / false_rate`` unknown paragraphs passes; below
@@ -16,8 +17,11 @@ it a paragraph is unknown.
 *Confirmation.*  A predicted family counts only if the paragraph contains at least
 ``least_share`` of the word pairs of one of the family's templates.
 
-Scoring is map-only over all paragraphs of all whole texts; only the counts per
-document are grouped.
+A paragraph that can be confirmed holds most of a template's word pairs, so it
+holds one of the words (``cues``) without which too few pairs are left.  Every
+paragraph of every whole text is searched for them, and those with one are scored:
+the others cannot pass the last step, whatever the classifier says.  All of this is
+map-only; only the counts per document are grouped.
 
 Cases: null and empty texts have no paragraphs; null ids, repeated rows and
 further columns are kept, row by row; an empty table gives no rows (and its
@@ -88,10 +92,32 @@ def _featured(df: DataFrame) -> DataFrame:
 
 
 def paragraphs(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` with one more column ``words`` for each line that has words."""
-    lines = F.split(F.coalesce(docs[text_col].cast("string"), F.lit("")), r"\R")
-    return (docs.select("*", F.explode(lines).alias("_line")).withColumn("words", _words(F.col("_line"))).drop("_line")
-            .where(F.size("words") > 0))
+    """The rows of ``docs`` with one more column ``line`` for each line that has letters or digits."""
+    lines = F.split(F.coalesce(docs[text_col].cast("string"), F.lit("")), r"[\r\n]+")
+    return docs.select("*", F.explode(lines).alias("line")).where(F.col("line").rlike(r"[\p{L}\p{N}]"))
+
+
+def cues(least_share: float) -> list[str]:
+    """Words of which every confirmed paragraph holds one: of each template the longest words,
+    until the pairs without them are fewer than a confirmation needs."""
+    out: set[str] = set()
+    for texts in TEMPLATES.values():
+        for text in texts:
+            words = _plain_words(text)
+            pairs = {p for p in zip(words, words[1:])}
+            own: set[str] = set()
+            for w in sorted(set(words), key=lambda w: (w not in out, -len(w), w)):
+                if sum(not own & set(p) for p in pairs) < least_share * len(pairs):
+                    break
+                own.add(w)
+            out |= own
+    return sorted(out)
+
+
+def _cued(line: Column, least_share: float) -> Column:
+    import re
+
+    return line.rlike(r"(?i)(?<![\p{L}\p{N}])(?:" + "|".join(map(re.escape, cues(least_share))) + ")")
 
 
 def _templates(spark: SparkSession) -> DataFrame:
@@ -107,13 +133,14 @@ class Model:
 
     def decide(self, rows: DataFrame) -> DataFrame:
         """``rows`` with ``family`` for each of their ``words``; null: no licence."""
-        scored = self.fitted.transform(_featured(rows)).withColumn("p", vector_to_array("probability"))
+        # written, so that the decision's many uses of the scores do not score again
+        scored = written(self.fitted.transform(_featured(rows)).select(*rows.columns, vector_to_array("probability").alias("p")), "licence-scores")
         known = F.array(*map(F.lit, self.families))
         best = F.array_max(F.slice("p", 2, len(self.families)))            # class 0 is unknown
         guess = F.element_at(known, F.array_position(F.slice("p", 2, len(self.families)), best).cast("int"))
         passed = (best >= self.least) & (best > F.element_at("p", 1))
         out = scored.withColumn("family", F.when(passed, guess))
-        return out.withColumn("family", F.when(self._confirmed(out), F.col("family"))).drop("features", "p", "probability", "rawPrediction", "prediction")
+        return out.withColumn("family", F.when(self._confirmed(out), F.col("family"))).drop("p")
 
     def _confirmed(self, rows: DataFrame) -> Column:
         """Whether the paragraph holds enough of the word pairs of one of its family's templates."""
@@ -139,10 +166,14 @@ def train(docs: DataFrame, text_col: str = "text", max_unknown: int = 4000, fals
     spark = docs.sparkSession
     templates = _templates(spark)
     marks = F.array(*(F.lit(t) for t in sorted({" ".join(w[k:k + 3]) for ts in TEMPLATES.values() for w in map(_plain_words, ts) for k in range(len(w) - 2)})))
-    lines = paragraphs(docs.select(docs[text_col].alias("_t")), "_t").select("words", F.xxhash64("words").alias("h"))
-    # paragraphs of the smallest hashes, whatever the order of the rows
-    unknown = written(lines.where(~F.arrays_overlap(_triples(F.col("words")), marks)).distinct().orderBy("h").limit(max_unknown)
-               .select(F.lit(UNKNOWN).alias("family"), F.slice("words", 1, 200).alias("words"), "h"), "licence-unknown")
+    lines = paragraphs(docs.select(docs[text_col].alias("_t")), "_t").select("line", F.xxhash64(F.lower("line")).alias("h"))
+    # paragraphs of the smallest hashes, whatever the order of the rows and however often they occur
+    half = max_unknown // 2
+    least = lines.select("h").distinct().orderBy("h").limit(half).union(
+        lines.where(_cued(F.col("line"), least_share)).select("h").distinct().orderBy("h").limit(half)).distinct()
+    unknown = written(lines.join(F.broadcast(least), "h").groupBy("h").agg(F.min("line").alias("line"))        # max_unknown rows
+                      .select(F.lit(UNKNOWN).alias("family"), F.slice(_words(F.col("line")), 1, 200).alias("words"), "h")
+                      .where(~F.arrays_overlap(_triples(F.col("words")), marks)), "licence-unknown")
     around = (unknown.orderBy("h").limit(VARIANTS)
               .select(F.row_number().over(Window.orderBy("h")).alias("variant"), F.slice("words", 1, 6).alias("near")))    # VARIANTS rows
     numbers = spark.range(1, VARIANTS + 1).select(F.col("id").cast("int").alias("variant")).join(around, "variant", "left")
@@ -173,10 +204,11 @@ def scan(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", te
     model = model or train(own)
     row = F.struct(F.xxhash64("text").alias("t1"), F.xxhash64("text", F.lit(7)).alias("t2"))
     own = own.withColumn("row", row)
-    found = (model.decide(paragraphs(own).select("row", "words")).where("family is not null")
+    held = paragraphs(own).where(_cued(F.col("line"), model.least_share)).select("row", _words(F.col("line")).alias("words"))
+    found = (model.decide(held).where("family is not null")
              .groupBy("row").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set("family")), ",").alias("licences")))
     rows = own.groupBy("row").agg(F.count("*").alias("copies"))
     per_text = written(found.join(rows, "row").select("row", (F.col("n") / F.col("copies")).cast("long").alias("n_licences"), "licences"), "licence-hits")
-    return (own.withColumn("n_paragraphs", F.size(F.filter(F.split(F.coalesce("text", F.lit("")), r"\R"), lambda p: p.rlike(r"[\p{L}\p{N}]"))).cast("long"))
+    return (own.withColumn("n_paragraphs", F.size(F.filter(F.split(F.coalesce("text", F.lit("")), r"[\r\n]+"), lambda p: p.rlike(r"[\p{L}\p{N}]"))).cast("long"))
             .select("doc_id", "row", "n_paragraphs").join(per_text, "row", "left")
             .select("doc_id", "n_paragraphs", F.coalesce("n_licences", F.lit(0).cast("long")).alias("n_licences"), F.coalesce("licences", F.lit("")).alias("licences")))
