@@ -39,30 +39,33 @@ from pyspark.sql import functions as F
 from skuflow.llm.common import written
 
 UNKNOWN = "unknown"
-# Families and the notices by which each is commonly given.
+# Families and the notices by which each is commonly given; a short notice has a
+# template of its own, as it holds too little of a longer one.  Three words and more.
 TEMPLATES = {
     "apache-2.0": ("Licensed under the Apache License, Version 2.0.",
                    "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
-                   "This project is released under the Apache 2.0 license."),
+                   "This project is released under the Apache 2.0 license.", "Apache License 2.0"),
     "bsd": ("Use of this source code is governed by a BSD-style license.",
-            "Licensed under the BSD 3-Clause License.",
+            "Licensed under the BSD 3-Clause License.", "BSD 2-Clause License",
             "Redistribution and use in source and binary forms, with or without modification, are permitted."),
-    "cc-by": ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "Licensed under CC BY 4.0."),
-    "cc-by-nc": ("Licensed under CC BY-NC 4.0.",
+    "cc-by": ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "Licensed under CC BY 4.0.", "CC BY 4.0"),
+    "cc-by-nc": ("Licensed under CC BY-NC 4.0.", "CC BY-NC 4.0",
                  "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
-    "cc-by-sa": ("Licensed under CC BY-SA 4.0.",
+    "cc-by-sa": ("Licensed under CC BY-SA 4.0.", "CC BY-SA 4.0",
                  "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
-    "cc0": ("Released into the public domain under CC0 1.0 Universal.",
+    "cc0": ("Released into the public domain under CC0 1.0 Universal.", "CC0 1.0 Universal",
             "To the extent possible under law, the author has waived all copyright and related rights to this work."),
-    "gpl": ("This work is licensed under the GNU General Public License, version 3.", "Licensed under the GNU GPL v3 or later.",
+    "gpl": ("This work is licensed under the GNU General Public License, version 3.", "Licensed under the GNU GPL v3 or later.", "GNU General Public License",
             "This program is free software: you can redistribute it and or modify it under the terms of the GNU General Public License."),
-    "lgpl": ("This library is licensed under the GNU Lesser General Public License, version 3.", "Licensed under the GNU LGPL v2.1 or later."),
-    "mit": ("Released under the MIT License.", "This project is licensed under the terms of the MIT license.",
+    "lgpl": ("This library is licensed under the GNU Lesser General Public License, version 3.", "Licensed under the GNU LGPL v2.1 or later.",
+             "GNU Lesser General Public License"),
+    "mit": ("Released under the MIT License.", "This project is licensed under the terms of the MIT license.", "The MIT License (MIT)",
             "Permission is hereby granted, free of charge, to any person obtaining a copy of this software."),
     "mpl-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-                "Licensed under the Mozilla Public License, version 2.0."),
+                "Licensed under the Mozilla Public License, version 2.0.", "Mozilla Public License"),
     "proprietary": ("All rights reserved. No part of this publication may be reproduced without prior written permission.",
-                    "This document is confidential and proprietary; redistribution is prohibited."),
+                    "This document is confidential and proprietary; redistribution is prohibited.",
+                    "All rights reserved.", "Confidential and proprietary.", "Strictly private and confidential."),
 }
 FEATURES = 1 << 13
 VARIANTS = 24

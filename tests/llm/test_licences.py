@@ -43,3 +43,42 @@ def test_messy_rows(model, docs_of):
 
 def test_empty_corpus_can_be_trained_on(docs_of):
     assert L.scan(docs_of([])).count() == 0
+
+
+# wordings that are not in TEMPLATES
+HELD_OUT = {
+    "apache-2.0": ["Copyright 2019 Example Corp. Licensed under the Apache License, Version 2.0", "Distributed under the Apache License 2.0.",
+                   "This library is released under the Apache 2.0 license, see LICENSE."],
+    "bsd": ["Distributed under the BSD 2-Clause License.", "The code is governed by a BSD-style license found in LICENSE.",
+            "Redistribution and use in source and binary forms are permitted, with or without modification."],
+    "cc-by": ["Text available under CC BY 4.0.", "This article is licensed under a Creative Commons Attribution 4.0 International License, unless noted."],
+    "cc-by-nc": ["Content is CC BY-NC 4.0 unless noted.", "This article is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
+    "cc-by-sa": ["Photos: CC BY-SA 4.0.", "The book is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
+    "cc0": ["The data is given away under CC0 1.0 Universal.", "To the extent possible under law, Jane Doe has waived all copyright and related rights to this dataset."],
+    "gpl": ["Distributed under the terms of the GNU General Public License v2.", "You may copy it under the GNU General Public License, version 3."],
+    "lgpl": ["Distributed under the GNU Lesser General Public License.", "You may copy it under the GNU LGPL v2.1 or later."],
+    "mit": ["Distributed under the MIT License.", "The MIT License (MIT) Copyright (c) 2015 Jane Doe", "Code is licensed under the terms of the MIT license, see LICENSE."],
+    "mpl-2.0": ["Distributed under the Mozilla Public License 2.0.", "This file is subject to the terms of the Mozilla Public License, v. 2.0."],
+    "proprietary": ["All Rights Reserved", "(c) 2021 Example Corp. All rights reserved.", "Copyright 2018 by the authors, all rights reserved worldwide.",
+                    "Confidential and proprietary information of Example Corp."],
+}
+
+
+def recall(model, docs_of):
+    """Per family: the found share of its held-out notices, each between lines of prose."""
+    rng = random.Random(17)
+    rows, want = [], []
+    for family, texts in HELD_OUT.items():
+        for text in texts:
+            rows.append((len(rows), f"{prose(rng, 20)}\n\n{text}\n\n{prose(rng, 20)}"))
+            want.append(family)
+    out = {r.doc_id: r.licences for r in L.scan(docs_of(rows), model).collect()}
+    return {f: sum(out[i] == f for i, w in enumerate(want) if w == f) / want.count(f) for f in HELD_OUT}
+
+
+def test_wordings_that_are_not_templates(model, docs_of):
+    found = recall(model, docs_of)
+    print(found)
+    assert not {t for ts in HELD_OUT.values() for t in ts} & {t for ts in L.TEMPLATES.values() for t in ts}
+    assert found["proprietary"] == 1.0
+    assert all(share >= 0.5 for share in found.values())
