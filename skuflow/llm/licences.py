@@ -3,8 +3,8 @@
 Everything is DataFrame functions and Spark ML's JVM-side models; no Python runs
 on the executors.
 
-*Classifier.*  A paragraph is a line; its features are its distinct words and
-pairs of neighbouring words (sparse, hashed).  Multinomial logistic regression
+*Classifier.*  Its features are the distinct words and pairs of neighbouring words
+of a paragraph (sparse, hashed); it learns from lines.  Multinomial logistic regression
 learns the licence families from ``TEMPLATES`` and variants of them (words left
 out, words of the corpus put around them), and the class ``unknown`` from at most
 ``max_unknown`` paragraphs of the corpus that share no word triple with a template,
@@ -14,14 +14,24 @@ half of them with a cue.
 is set so that at most one in ``1 / false_rate`` unknown paragraphs passes; below
 it a paragraph is unknown.
 
-*Confirmation.*  A predicted family counts only if the paragraph contains at least
-``least_share`` of the word pairs of one of the family's templates.
-
-A paragraph that can be confirmed holds most of a template's word pairs, so it
-holds one of the words (``cues``) without which too few pairs are left.  Every
-paragraph of every whole text is searched for them, and those with one are scored:
-the others cannot pass the last step, whatever the classifier says.  All of this is
-map-only; only the counts per document are grouped.
+*Spans.*  A notice may be wrapped, so not only each line is scored but also each
+run of neighbouring lines that a notice can stretch over: the lines between the
+first and the last have at most as many words as the longest template, and of these
+two the ``REACH`` words next to them count.  Blank lines end a run, marks of
+comments at the start of a line are left out.
+
+*Confirmation.*  A predicted family counts only if the span contains at least
+``least_share`` of the word pairs of one of the family's templates, and more than
+of any other family's, or else a pair that only this family's templates have: the
+first half of a wrapped notice that several families begin alike names none of them.
+Of overlapping spans of a family the one with the most word pairs of a template counts,
+the shortest of these.  A span has one family, so of two notices on one line one is named.
+
+A span that can be confirmed holds most of a template's word pairs, so it holds
+one of the words (``cues``) without which too few pairs are left.  Every line of
+every whole text is searched for them, and the spans with one are compared with the
+templates; those with enough of one are scored.  The others cannot be confirmed,
+whatever the classifier says.  All of this is map-only; only the spans found are grouped.
 
 Cases: null and empty texts have no paragraphs; null ids, repeated rows and
 further columns are kept, row by row; an empty table gives no rows (and its
@@ -69,6 +79,9 @@ TEMPLATES = {
 }
 FEATURES = 1 << 13
 VARIANTS = 24
+#: What ends a line, and what a line of a comment may begin with.
+BREAK = r"\r\n|\r|\n"
+MARK = r"^[^\p{L}\p{N}]+|^[^\p{L}\p{N}]*(?i:rem|dnl)\s+[^\p{L}\p{N}]*"
 #: What separates words: everything but letters, digits, and dots and hyphens between them.
 NOT_WORD = r"(?:[^\p{L}\p{N}.-]|[.-](?![\p{L}\p{N}]))+"
 
@@ -100,6 +113,44 @@ def paragraphs(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return docs.select("*", F.explode(lines).alias("line")).where(F.col("line").rlike(r"[\p{L}\p{N}]"))
 
 
+def _longest() -> int:
+    return max(len(_plain_words(text)) for texts in TEMPLATES.values() for text in texts)
+
+
+def spans(rows: DataFrame, least_share: float, text_col: str = "text") -> DataFrame:
+    """``rows`` with ``first``, ``last`` (numbers of lines) and ``words`` in place of the text: each line with
+    a cue, and each run of neighbouring lines with one that a notice may be wrapped over."""
+    longest = _longest()
+    reach = 2 * longest                                 # words of the outer lines of a run
+    line = F.transform(F.split(rows[text_col], BREAK), lambda t: F.struct(
+        _words(F.regexp_replace(t, MARK, "")).alias("w"), _cued(t, least_share).alias("c")))
+    none = F.expr("cast(array() as array<struct<first:int,last:int,words:array<string>>>)")
+    # through explode, so that the lines are made once and not for each of them
+    held = (rows.where(_cued(rows[text_col], least_share))
+            .select(*(c for c in rows.columns if c != text_col), F.explode(F.array(line)).alias("_lines")))
+
+    def from_line(a: Column, i: Column) -> Column:
+        def longer(acc: Column, b: Column) -> Column:
+            open_ = acc["open"] & (F.size(b["w"]) > 0) & (acc["n"] <= longest)
+            cued = acc["c"] | b["c"]
+            own = F.struct(i.cast("int").alias("first"), (acc["last"] + 1).alias("last"),
+                           F.concat(acc["words"], F.slice(b["w"], 1, reach)).alias("words"))
+            return F.struct((acc["last"] + 1).alias("last"), open_.alias("open"), cued.alias("c"), (acc["n"] + F.size(b["w"])).alias("n"),
+                            F.when(open_ & (acc["n"] + F.size(b["w"]) <= longest), F.concat(acc["words"], b["w"])).otherwise(acc["words"]).alias("words"),
+                            F.when(open_ & cued, F.concat(acc["out"], F.array(own))).otherwise(acc["out"]).alias("out"))
+
+        n = F.size(a["w"])
+        start = F.struct(i.cast("int").alias("last"), (n > 0).alias("open"), a["c"].alias("c"), F.lit(0).alias("n"),
+                         F.slice(a["w"], F.greatest(n - reach, F.lit(0)) + 1, F.lit(reach)).alias("words"),
+                         F.when(a["c"], F.array(F.struct(i.cast("int").alias("first"), i.cast("int").alias("last"), a["w"].alias("words"))))
+                         .otherwise(none).alias("out"))
+        # each line between has a word at least
+        after = F.slice("_lines", i + 2, F.lit(longest + 1))
+        return F.when(a["c"] | F.exists(after, lambda b: b["c"]), F.aggregate(after, start, longer, lambda acc: acc["out"])).otherwise(none)
+
+    return held.select(*(c for c in held.columns if c != "_lines"), F.inline(F.flatten(F.transform("_lines", from_line))))
+
+
 def cues(least_share: float) -> list[str]:
     """Words of which every confirmed paragraph holds one: of each template the longest words,
     until the pairs without them are fewer than a confirmation needs."""
@@ -135,27 +186,37 @@ class Model:
         self.fitted, self.families, self.least, self.least_share = fitted, families, least, least_share
 
     def decide(self, rows: DataFrame) -> DataFrame:
-        """``rows`` with ``family`` for each of their ``words``; null: no licence."""
-        # written, so that the decision's many uses of the scores do not score again
-        scored = written(self.fitted.transform(_featured(rows)).select(*rows.columns, vector_to_array("probability").alias("p")), "licence-scores")
-        known = F.array(*map(F.lit, self.families))
+        """``rows`` with ``family`` for each of their ``words`` (null: no licence) and ``held``, the most word pairs of one of its
+        templates.  Rows that no template confirms are left out."""
+        # written, so that the many uses of the shares and of the scores do not work them out again
+        near = written(rows.withColumn("_own", F.array_distinct(_pairs(F.col("words"))))
+                       .select(*rows.columns, *self._shares(), self._named().alias("named"))
+                       .where(F.array_max("share") >= self.least_share), "licence-spans")
+        scored = written(self.fitted.transform(_featured(near)).select(*near.columns, vector_to_array("probability").alias("p")), "licence-scores")
         best = F.array_max(F.slice("p", 2, len(self.families)))            # class 0 is unknown
-        guess = F.element_at(known, F.array_position(F.slice("p", 2, len(self.families)), best).cast("int"))
+        guess = F.array_position(F.slice("p", 2, len(self.families)), best).cast("int")
         passed = (best >= self.least) & (best > F.element_at("p", 1))
-        out = scored.withColumn("family", F.when(passed, guess))
-        return out.withColumn("family", F.when(self._confirmed(out), F.col("family"))).drop("p")
-
-    def _confirmed(self, rows: DataFrame) -> Column:
-        """Whether the paragraph holds enough of the word pairs of one of its family's templates."""
-        own = F.array_distinct(_pairs(F.col("words")))
-        share = F.lit(0.0)
-        for family, texts in TEMPLATES.items():
-            for text in texts:
-                words = _plain_words(text)
-                pairs = sorted({" ".join(p) for p in zip(words, words[1:])})
-                part = F.size(F.array_intersect(own, F.array(*map(F.lit, pairs)))) / F.lit(float(len(pairs)))
-                share = F.greatest(share, F.when(F.col("family") == family, part).otherwise(0.0))
-        return F.col("family").isNotNull() & (share >= self.least_share)
+        own = F.element_at("share", F.col("_guess"))
+        clear = F.element_at("named", F.col("_guess")) | (F.size(F.filter("share", lambda x: x >= own)) == 1)
+        known = F.array(*map(F.lit, self.families))
+        return (scored.withColumn("_guess", guess)
+                .withColumn("family", F.when(passed & (own >= self.least_share) & clear, F.element_at(known, F.col("_guess"))))
+                .withColumn("held", F.element_at("most", F.col("_guess"))).drop("p", "share", "most", "named", "_guess"))
+
+    def _shares(self) -> list[Column]:
+        """Per family: the largest share of a template's word pairs that ``_own`` holds, and the most pairs of a template confirmed."""
+        share, most = [], []
+        for family in self.families:
+            n = [(F.size(F.array_intersect("_own", F.array(*map(F.lit, pairs)))), float(len(pairs))) for pairs in map(_pairs_of, TEMPLATES[family])]
+            share.append(F.greatest(F.lit(0.0), *(k / F.lit(of) for k, of in n)))
+            most.append(F.greatest(F.lit(0), *(F.when(k / F.lit(of) >= self.least_share, k).otherwise(0) for k, of in n)))
+        return [F.array(*share).alias("share"), F.array(*most).alias("most")]
+
+    def _named(self) -> Column:
+        """Per family: whether ``_own`` holds a word pair that no other family's templates have."""
+        pairs = {family: {p for text in texts for p in _pairs_of(text)} for family, texts in TEMPLATES.items()}
+        only = [sorted(pairs[f] - {p for g in pairs if g != f for p in pairs[g]}) for f in self.families]
+        return F.array(*(F.arrays_overlap("_own", F.array(*map(F.lit, own))) for own in only))
 
 
 def _plain_words(text: str) -> list[str]:
@@ -164,6 +225,11 @@ def _plain_words(text: str) -> list[str]:
     return [w for w in re.split(r"(?:[^\w.-]|[.-](?!\w))+", text.lower()) if w]
 
 
+def _pairs_of(text: str) -> list[str]:
+    words = _plain_words(text)
+    return sorted({" ".join(p) for p in zip(words, words[1:])})
+
+
 def train(docs: DataFrame, text_col: str = "text", max_unknown: int = 4000, false_rate: float = 0.001, least_share: float = 0.6) -> Model:
     """Fit on the templates' variants and on at most ``max_unknown`` paragraphs of the corpus; runs now."""
     spark = docs.sparkSession
@@ -201,17 +267,25 @@ def train(docs: DataFrame, text_col: str = "text", max_unknown: int = 4000, fals
 
 
 def scan(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row of ``docs``: doc_id, n_paragraphs, n_licences (paragraphs with one) and ``licences``
-    (distinct families, sorted, comma-joined)."""
+    """Per row of ``docs``: doc_id, n_paragraphs (lines with letters or digits), n_licences (notices: spans
+    of a family that do not overlap) and ``licences`` (distinct families, sorted, comma-joined)."""
     own = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
     model = model or train(own)
     row = F.struct(F.xxhash64("text").alias("t1"), F.xxhash64("text", F.lit(7)).alias("t2"))
     own = own.withColumn("row", row)
-    held = paragraphs(own).where(_cued(F.col("line"), model.least_share)).select("row", _words(F.col("line")).alias("words"))
-    found = (model.decide(held).where("family is not null")
-             .groupBy("row").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set("family")), ",").alias("licences")))
-    rows = own.groupBy("row").agg(F.count("*").alias("copies"))
-    per_text = written(found.join(rows, "row").select("row", (F.col("n") / F.col("copies")).cast("long").alias("n_licences"), "licences"), "licence-hits")
+    held = spans(own.select("row", "text"), model.least_share)
+
+    def apart(acc: Column, s: Column) -> Column:
+        fresh, better = s["first"] > acc["end"], s["held"] > acc["held"]
+        return F.struct(F.when(fresh | better, s["last"]).otherwise(acc["end"]).alias("end"),
+                        F.when(fresh | better, s["held"]).otherwise(acc["held"]).alias("held"), (acc["n"] + fresh.cast("long")).alias("n"))
+
+    start = F.struct(F.lit(-1).alias("end"), F.lit(0).alias("held"), F.lit(0).cast("long").alias("n"))
+    # the shortest span of those that end together and hold as much; equal texts hold the same ones
+    found = (model.decide(held).where("family is not null").groupBy("row", "family", "last", "held").agg(F.max("first").alias("first"))
+             .groupBy("row", "family").agg(F.array_sort(F.collect_list(F.struct("last", "first", "held"))).alias("spans"))
+             .select("row", "family", F.aggregate("spans", start, apart, lambda acc: acc["n"]).alias("n")))
+    per_text = written(found.groupBy("row").agg(F.sum("n").alias("n_licences"), F.array_join(F.array_sort(F.collect_set("family")), ",").alias("licences")), "licence-hits")
     return (own.withColumn("n_paragraphs", F.size(F.filter(F.split(F.coalesce("text", F.lit("")), r"[\r\n]+"), lambda p: p.rlike(r"[\p{L}\p{N}]"))).cast("long"))
             .select("doc_id", "row", "n_paragraphs").join(per_text, "row", "left")
             .select("doc_id", "n_paragraphs", F.coalesce("n_licences", F.lit(0).cast("long")).alias("n_licences"), F.coalesce("licences", F.lit("")).alias("licences")))

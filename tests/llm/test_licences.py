@@ -82,3 +82,44 @@ def test_wordings_that_are_not_templates(model, docs_of):
     assert not {t for ts in HELD_OUT.values() for t in ts} & {t for ts in L.TEMPLATES.values() for t in ts}
     assert found["proprietary"] == 1.0
     assert all(share >= 0.5 for share in found.values())
+
+
+GPL = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"
+CC = "This work is licensed under a Creative Commons {} 4.0 International License."
+CC_FAMILIES = {"cc-by": "Attribution", "cc-by-nc": "Attribution-NonCommercial", "cc-by-sa": "Attribution-ShareAlike"}
+
+
+def test_wrapped_notices(model, docs_of):
+    import textwrap
+
+    rng = random.Random(23)
+    notices = [("gpl", GPL), *((f, CC.format(v)) for f, v in CC_FAMILIES.items())]
+    rows, want = [], {}
+    for family, text in notices:
+        for width in (20, 40, 70):
+            for mark, end in (("", "\n"), ("# ", "\n"), (" * ", "\r\n"), ("--", "\n"), ("REM ", "\r")):
+                lines = [mark + line for line in textwrap.wrap(text, width, break_on_hyphens=False, break_long_words=False)]
+                want[len(rows)] = family
+                rows.append((len(rows), end.join([prose(rng, 15), mark, *lines, mark, prose(rng, 15)])))
+    out = {r.doc_id: (r.n_licences, r.licences) for r in L.scan(docs_of(rows), model).collect()}
+    assert out == {i: (1, f) for i, f in want.items()}
+
+
+def test_spans_of_several_notices(model, docs_of):
+    half = CC.format("").split(" 4.0")[0]
+    rows = [(1, half), (2, f"{half}\n\nAttribution 4.0 International License."),        # the variant is not named, or stands apart
+            (3, "Released under the\nMIT License.\nReleased under the\nMIT License."),
+            (4, "Licensed under\nCC BY-NC 4.0.\nReleased under\nthe MIT License.")]
+    rows += [(6, rows[2][1]), (6, rows[2][1])]
+    out = sorted((r.doc_id, r.n_licences, r.licences) for r in L.scan(docs_of(rows), model).collect())
+    assert out == [(1, 0, ""), (2, 0, ""), (3, 2, "mit"), (4, 2, "cc-by-nc,mit"), (6, 2, "mit"), (6, 2, "mit")]
+
+
+def test_spans_are_all_that_a_notice_can_stretch_over(spark):
+    rng = random.Random(4)
+    longest = L._longest()
+    lines = [prose(rng, rng.choice([0, 1, 2, 5, 30])) for _ in range(80)]
+    got = sorted((r.first, r.last) for r in L.spans(spark.createDataFrame([(1, "\n".join(lines))], "doc_id long, text string"), 0.6).collect())
+    size, cued = [len(x.split()) for x in lines], [bool(set(x.split()) & {"license", "version", "under", "release"} & set(L.cues(0.6))) for x in lines]
+    want = [(i, j) for i in range(80) for j in range(i, 80) if any(cued[i:j + 1]) and (i == j or min(size[i:j + 1]) > 0 and sum(size[i + 1:j]) <= longest)]
+    assert got == want
