@@ -9,17 +9,22 @@ twice (possessive, anchored where a run of characters begins); texts without the
 tell-tale characters skip them.
 
 *Revealing terms* (Sánchez and Batet, C-sanitisation).  A protected entity is a
-value found by a pattern.  The words within ``REACH`` characters of it are its
-context.  With document counts over the whole corpus, the pointwise mutual
-information of entity ``e`` and term ``t`` is ``log2(N df(e,t) / (df(e) df(t)))``
-and the information in the entity itself is ``log2(N / df(e))``; their ratio is
-the share of the entity that the term discloses.  From ``generalise_at`` on a
-term near its entity is replaced by a placeholder, from ``remove_at`` on it is
-taken out.  A pair counts only if it is seen in ``min_contexts`` different
-contexts, so copies of one text are no evidence.  Words near no entity stay.
-
-Counts are aggregated before they are shuffled, entities and terms are joined by
-key, and texts do not travel for the spans.
+value found by a pattern, a term any word outside the values of its document (but
+for lower-case ``FUNCTION_WORDS``).  With counts ``df`` of documents over the whole
+corpus, ``df(e,t)`` those that hold both, the pointwise mutual information of
+entity ``e`` and term ``t`` is ``log2(N df(e,t) / (df(e) df(t)))`` and the
+information in the entity itself is ``log2(N / df(e))``; their ratio is the share
+of the entity that the term discloses.  From ``generalise_at`` on a term in a
+document of its entity is replaced by a placeholder, from ``remove_at`` on it is
+taken out.  Copies of one text are no evidence: a pair counts only if
+``min_contexts`` distinct texts hold it, and if so many of the entity's distinct
+texts would hold one of the entity's terms, at its frequency, with a chance of at
+most ``max_chance`` (Chernoff's bound on the binomial tail, times these terms).  Documents without an
+entity stay.
+
+Equal texts meet as one with their number.  Counts are aggregated before they are
+shuffled, a row a pair; nothing is collected but the entities of one text and the
+terms found in it.  Entities and terms are joined by key; only texts with a value travel.
 
 Cases: null is empty and has no spans; null ids, repeated rows and further
 columns are kept, row by row; an empty table gives no rows.
@@ -43,9 +48,10 @@ PATTERNS = {
 #: What a text must hold for a pattern to be tried at all.
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){13}", "phone": r"\+[0-9]"}
 PLACEHOLDERS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]"}
-#: A term: four or more letters or digits, the first a letter.
-NOT_TERM = r"[^\p{L}\p{N}]+"
-REACH = 60
+#: What separates terms, and a term.
+NOT_TERM, TERM = r"[^\p{L}\p{M}\p{N}]+", r"[\p{L}\p{M}\p{N}]+"
+#: Words that reveal nothing; with a capital (An, In) they may be names.
+FUNCTION_WORDS = ("a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "in", "is", "it", "of", "on", "or", "that", "the", "to", "was", "with")
 #: Matches whose offsets are summed up in one step; keeps the work linear for texts full of matches.
 STEP = 256
 
@@ -101,66 +107,90 @@ def _base(text: Column) -> Column:
     return F.array_sort(F.concat(*found))
 
 
-def _context(text: Column, base: Column) -> Column:
-    """array<(entity, term, start, end, context)>: the terms within REACH of each base span, outside all base spans."""
+def _blanked(text: Column, base: Column) -> Column:
+    """``text`` with blanks in place of the base spans: other offsets stay."""
+
+    def step(acc: Column, s: Column) -> Column:
+        start = F.greatest(s["start"], acc["at"])
+        put = F.concat(F.substring(text, (acc["at"] + 1).cast("int"), (start - acc["at"]).cast("int")),
+                       F.repeat(F.lit(" "), F.greatest(s["end"] - start, F.lit(0)).cast("int")))
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], F.array(put)).alias("out"))
+
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.expr("cast(array() as array<string>)").alias("out"))
+    return F.aggregate(base, start, step, lambda acc: F.concat(
+        F.array_join(acc["out"], ""), F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))))
 
-    def near(span: Column) -> Column:
-        lo = F.greatest(span["start"] - REACH, F.lit(0))
-        entity = F.concat_ws(":", span["rank"].cast("string"), F.lower(span["value"]))
-        window = F.substring(text, (lo + 1).cast("int"), (span["end"] + REACH - lo).cast("int"))
-        words = _located(window, r"[\p{L}\p{N}]+", len(KINDS) - 1)
 
-        def inside(w: Column) -> Column:
-            whole = ((w["start"] > 0) | (lo == 0)) & ((w["end"] < F.length(window)) | (lo + F.length(window) == F.length(text)))
-            clear = ~F.exists(base, lambda b: (b["start"] < w["end"] + lo) & (w["start"] + lo < b["end"]))
-            return whole & clear & (F.length(w["value"]) >= 4) & w["value"].rlike(r"^\p{L}")
+def _is_term(word: Column) -> Column:
+    return (word != "") & ~word.isin(*FUNCTION_WORDS)
 
-        # the context is told by its words, not by the entity's own value
-        kept = F.filter(words, inside)
-        context = F.xxhash64(F.array_join(F.transform(kept, lambda w: F.lower(w["value"])), " "))
-        return F.transform(kept, lambda w: F.struct(entity.alias("entity"), F.lower(w["value"]).alias("term"),
-                                                    (w["start"] + lo).alias("start"), (w["end"] + lo).alias("end"), context.alias("context")))
 
-    return F.flatten(F.transform(base, near))
+def _terms(text: Column) -> Column:
+    """The distinct terms of a text, in lower case."""
+    return F.array_distinct(F.transform(F.filter(F.split(text, NOT_TERM), _is_term), F.lower))
+
+
+def _entities(base: Column) -> Column:
+    return F.array_distinct(F.transform(base, lambda b: F.concat_ws(":", b["rank"].cast("string"), F.lower(b["value"]))))
 
 
 def _annotated(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     own = docs.select(docs[id_col].cast("long").alias("doc_id"), text.alias("text"))
     found = own.select("doc_id", "text", F.xxhash64("text").alias("t1"), F.xxhash64("text", F.lit(7)).alias("t2"), _base(F.col("text")).alias("base"))
-    return found.withColumn("near", F.when(F.size("base") > 0, _context(F.col("text"), F.col("base"))))
+    return found.withColumn("text", F.when(F.size("base") > 0, F.col("text")))
 
 
-def disclosures(near: DataFrame, docs: DataFrame, text_col: str = "text", min_contexts: int = 3,
+def disclosures(texts: DataFrame, docs: DataFrame, text_col: str = "text", min_contexts: int = 2, max_chance: float = 0.0001,
                 generalise_at: float = 0.7, remove_at: float = 0.9) -> DataFrame:
-    """(entity, term, share, action) of the terms that disclose an entity; ``near``: a row per
-    document with ``base`` and ``near``."""
+    """(entity, term, share, action) of the terms that disclose an entity; ``texts``: a row per distinct
+    text with a value: t1, t2, text, blank, base and the number of its ``copies``."""
     total = docs.agg(F.count("*").alias("n"))
-    df_e = (near.select(F.explode(F.array_distinct(F.transform("base", lambda b: F.concat_ws(":", b["rank"].cast("string"), F.lower(b["value"]))))).alias("entity"))
-            .groupBy("entity").agg(F.count("*").alias("df_e")))
-    seen = near.select(F.monotonically_increasing_id().alias("row"), F.explode("near").alias("x")).select("row", "x.entity", "x.term", "x.context")
-    df_et = (seen.groupBy("entity", "term", "row").agg(F.collect_set("context").alias("contexts"))
-             .groupBy("entity", "term").agg(F.count("*").alias("df_et"), F.array_distinct(F.flatten(F.collect_set("contexts"))).alias("contexts"))
-             .where(F.size("contexts") >= min_contexts).drop("contexts"))
-    text = F.lower(F.coalesce(docs[text_col].cast("string"), F.lit("")))
-    df_t = (docs.select(F.explode(F.array_distinct(F.split(text, NOT_TERM))).alias("term"))
-            .where(F.length("term") >= 4).groupBy("term").agg(F.count("*").alias("df_t")))
+    held = texts.select("t1", "t2", "copies", F.explode(_entities(F.col("base"))).alias("entity"))
+    df_e = (held.groupBy("entity").agg(F.sum("copies").alias("df_e"), F.count("*").alias("texts_e"))
+            .where(F.col("texts_e") >= min_contexts))
+    # the entities of a text together, so that its words are made once
+    owners = held.join(df_e, "entity").groupBy("t1", "t2").agg(F.collect_list("entity").alias("entities"))
+    df_et = (owners.join(texts, ["t1", "t2"]).select("copies", "entities", F.explode(_terms(F.col("blank"))).alias("term"))
+             .select("copies", "term", F.explode("entities").alias("entity"))
+             .groupBy("entity", "term").agg(F.sum("copies").alias("df_et"), F.count("*").alias("texts_et"))
+             .where(F.col("texts_et") >= min_contexts))
+    df_et = written(df_et, "pii-pairs")
+    df_e = df_e.join(df_et.groupBy("entity").agg(F.count("*").alias("tried")), "entity")
+    # terms of the whole texts, less those that stand only in values, and those that a value is part of
+    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
+    inside = F.array_except(_terms(F.col("text")), _terms(F.col("blank")))
+    parts = F.array_except(_terms(F.col("blank")), _terms(F.col("text")))
+    df_t = (docs.select(F.explode(_terms(text)).alias("term"), F.lit(1).cast("long").alias("k"))
+            .union(texts.select(F.explode(inside).alias("term"), -F.col("copies")))
+            .union(texts.select(F.explode(parts).alias("term"), "copies"))
+            .groupBy("term").agg(F.sum("k").alias("df_t")))
     info = F.log2(F.col("n") * F.col("df_et") / (F.col("df_e") * F.col("df_t")))
     own = F.log2(F.col("n") / F.col("df_e"))
+    p, r = F.col("df_t") / F.col("n"), F.col("texts_et") / F.col("texts_e")
+    rest = F.when(r < 1, (1 - r) * (F.log(1 - r) - F.log(1 - p))).otherwise(0.0)      # log(0) is null
+    chance = F.when(r > p, F.exp(-F.col("texts_e") * (r * (F.log(r) - F.log(p)) + rest))).otherwise(1.0)
     return (df_et.join(df_t, "term").join(df_e, "entity").crossJoin(F.broadcast(total))   # one row: the number of documents
-            .where(own > 0).withColumn("share", info / own).where(F.col("share") >= generalise_at)
+            .where(own > 0).withColumn("share", F.try_divide(info, own)).where((F.col("share") >= generalise_at) & (chance * F.col("tried") <= max_chance))
             .select("entity", "term", "share", F.when(F.col("share") >= remove_at, "remove").otherwise("generalise").alias("action")))
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **thresholds) -> DataFrame:
     """Per row of ``docs``: doc_id, t1, t2 (hashes of the text) and ``spans``, sorted:
     array<(start, rank of the kind, end, action)>."""
-    slim = written(_annotated(docs, id_col, text_col).select("doc_id", "t1", "t2", "base", "near"), "pii-spans")
-    shown = disclosures(slim, docs, text_col, **thresholds)
-    extra = (slim.where(F.size("near") > 0).select("t1", "t2", F.explode("near").alias("x"))
-             .select("t1", "t2", "x.*").join(shown, ["entity", "term"])
-             .groupBy("t1", "t2", "start", "end").agg(F.max("action").alias("action"))     # remove before generalise
-             .groupBy("t1", "t2").agg(F.collect_list(F.struct(F.col("start"), F.lit(len(KINDS) - 1).alias("rank"), F.col("end"), F.col("action"))).alias("extra")))
+    slim = written(_annotated(docs, id_col, text_col).select("doc_id", "t1", "t2", "text", "base"), "pii-spans")
+    texts = (slim.where(F.size("base") > 0).groupBy("t1", "t2")
+             .agg(F.first("text").alias("text"), F.first("base").alias("base"), F.count("*").alias("copies")))
+    texts = written(texts.withColumn("blank", _blanked(F.col("text"), F.col("base"))), "pii-texts")
+    shown = written(disclosures(texts, docs, text_col, **thresholds).select("entity", "term", "action"), "pii-shown")
+    held = texts.select("t1", "t2", F.explode(_entities(F.col("base"))).alias("entity"))
+    pairs = held.join(shown.select("entity").distinct(), "entity", "left_semi").groupBy("t1", "t2").agg(F.collect_list("entity").alias("entities"))
+    hits = (pairs.join(texts.select("t1", "t2", "blank"), ["t1", "t2"])
+            .select("t1", "t2", "entities", F.explode(_placed(F.col("blank"))).alias("w"))
+            .select("t1", "t2", "w.start", "w.end", F.col("w.term").alias("term"), F.explode("entities").alias("entity"))
+            .join(shown, ["entity", "term"])
+            .groupBy("t1", "t2", "start", "end").agg(F.max("action").alias("action")))    # remove before generalise
+    extra = hits.groupBy("t1", "t2").agg(F.collect_list(F.struct(F.col("start"), F.lit(len(KINDS) - 1).alias("rank"), F.col("end"), F.col("action"))).alias("extra"))
     extra = written(extra, "pii-terms")
     base = F.transform("base", lambda b: F.struct(b["start"].alias("start"), b["rank"].alias("rank"), b["end"].alias("end"), F.lit("replace").alias("action")))
     none = F.expr("cast(array() as array<struct<start:bigint,rank:int,end:bigint,action:string>>)")
@@ -168,6 +198,12 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **thre
             .select("doc_id", "t1", "t2", F.array_sort(F.concat(base, F.coalesce("extra", none))).alias("spans")))
 
 
+def _placed(blank: Column) -> Column:
+    """array<(term, start, end)>: every term of a text where it stands."""
+    words = F.filter(_located(blank, TERM, len(KINDS) - 1), lambda w: _is_term(w["value"]))
+    return F.transform(words, lambda w: F.struct(F.lower(w["value"]).alias("term"), w["start"].alias("start"), w["end"].alias("end")))
+
+
 def _said(spans: Column) -> Column:
     names = F.array(*map(F.lit, KINDS))
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s["rank"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")

@@ -102,3 +102,37 @@ def test_sanitised_text(spark, docs_of):
     over = spark.sql("select 'abcdef' t, array(named_struct('start', 1L, 'rank', 0, 'end', 4L, 'action', 'replace'), "
                      "named_struct('start', 2L, 'rank', 2, 'end', 5L, 'action', 'replace')) s")
     assert over.select(pii.sanitised(F.col("t"), F.col("s"))).first()[0] == "a[EMAIL]f"
+
+
+def test_terms_far_away_short_and_in_two_texts(docs_of):
+    rng = random.Random(8)
+    fill = lambda k: " ".join(rng.choice(["bado", "fide", "gulo", "mare", "nipo"]) for _ in range(k))
+    data = [(1000 + i, fill(30)) for i in range(600)]
+    data += [(200 + i, f"Ann {fill(30)} {fill(3)} x7@mail.example.com {fill(30 + i)} 李明") for i in range(2)]
+    data += [(300 + i, f"Bea {fill(1)} y8@mail.example.com") for i in range(1)] * 6         # copies of one text
+    out = [(r.doc_id, r.spans) for r in pii.find(docs_of(data)).collect()]
+    text = dict(data)
+    found = {(i, text[i][s.start:s.end]) for i, spans in out for s in spans if s.rank == 4}
+    assert found == {(i, w) for i in (200, 201) for w in ("Ann", "李明")}
+
+
+def test_counts_are_of_whole_documents(spark, docs_of):
+    rng = random.Random(5)
+    words = ["ka", "lo", "mi", "nu", "pe", "ro", "su", "ta", "vi", "wex"]
+    data = [(i, " ".join(rng.sample(words, 3)) + rng.choice([" ", " a@ka.de ", " b@lo.de ", " a@ka.de b@lo.de "]) + rng.choice(words)) for i in range(60)]
+    data += data[:7]
+    own = docs_of(data)
+    slim = pii._annotated(own, "doc_id", "text").where("size(base) > 0").groupBy("t1", "t2").agg(
+        F.first("text").alias("text"), F.first("base").alias("base"), F.count("*").alias("copies"))
+    texts = slim.withColumn("blank", pii._blanked(F.col("text"), F.col("base")))
+    got = {(r.entity, r.term): r.share for r in pii.disclosures(texts, own, max_chance=1e9, generalise_at=-100.0).collect()}
+    import math
+
+    outside = [(t, set(re.sub(r"\S+@\S+", " ", t).split())) for _, t in data]
+    want = {}
+    for e in ("a@ka.de", "b@lo.de"):
+        for w in words:
+            both, df_e, df_t = (sum(x) for x in zip(*((e in t and w in ws, e in t, w in ws) for t, ws in outside)))
+            if len({t for t, ws in outside if e in t and w in ws}) >= 2:
+                want["0:" + e, w] = math.log2(len(data) * both / (df_e * df_t)) / math.log2(len(data) / df_e)
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
