@@ -136,3 +136,12 @@ def test_counts_are_of_whole_documents(spark, docs_of):
             if len({t for t, ws in outside if e in t and w in ws}) >= 2:
                 want["0:" + e, w] = math.log2(len(data) * both / (df_e * df_t)) / math.log2(len(data) / df_e)
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_pairs_are_counted_without_collecting_the_corpus(docs_of, monkeypatch):
+    plans = {}
+    put = pii.written
+    monkeypatch.setattr(pii, "written", lambda df, label: (plans.setdefault(label, df._jdf.queryExecution().optimizedPlan().toString()), put(df, label))[1])
+    assert pii.find(docs_of(corpus())).count() == len(corpus())
+    assert "collect_set" not in "".join(plans.values())
+    assert "sum(copies" in plans["pii-pairs"] and "count(1)" in plans["pii-pairs"]
