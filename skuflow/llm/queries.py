@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skuflow.llm import learning, licences, packing, pii, quality, search, sentencepieces, shingle_join, substrings, toxicity, vector_join
+from skuflow.llm import exact_dedup, learning, licences, merkle, packing, pii, quality, search, sentencepieces, shingle_join, substrings, toxicity, vector_join, whitening
 from skuflow.llm.common import read_table
 
 
@@ -67,6 +67,20 @@ def op10_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("query").alias("item_id"), F.col("rank").cast("long"), "doc_id", F.round("score", search.DIGITS).alias("score"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.digest_columns(whitening.whiten(read_table(spark, sf_dir, "embeddings"), components=8))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose id's crc32 is divisible by 7 are checked after tampering."""
+    docs = read_table(spark, sf_dir, "documents")
+    return merkle.digest_columns(merkle.manifest(docs, tampered=learning.bucket(F.col("doc_id"), 7) == 0))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.digest_columns(exact_dedup.mark_copies(read_table(spark, sf_dir, "documents")))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -78,6 +92,9 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
     "op10_search": op10_search,
+    "op11_whitening": op11_whitening,
+    "op12_merkle": op12_merkle,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 
 _WORDS = r"""list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '')"""
@@ -93,4 +110,8 @@ ORACLE_SQL: dict[str, str] = {
               from q join df using (term) join tf using (term) join d using (row), stats group by all),
         r as (select item_id, row_number() over (partition by item_id order by score desc, doc_id nulls last) as rank, doc_id, score from s join d using (row))
         select item_id, rank, doc_id, score from r where rank <= 10""",
+    "op13_exact_dedup": """
+        select doc_id, max(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size,
+               row_number() over (partition by t order by doc_id desc nulls last) = 1 as kept, sha256(t) as text_sha256
+        from (select doc_id, coalesce(text, '') as t from documents)""",
 }
