@@ -29,7 +29,7 @@ from skuflow.plans import pipeline  # noqa: E402
 from skuflow.plans.queries import REGISTRY  # noqa: E402
 from skuflow.session import build_session, scratch_path  # noqa: E402
 from skuflow.sources import snapshot  # noqa: E402
-from skuflow.sources.fixtures import from_testdata  # noqa: E402
+from skuflow.sources.fixtures import shop_from_testdata  # noqa: E402
 
 HEADLINE = ("retention_table", "sunset_table", "report_non_bundle", "report_only_bundle", "report_merged")
 
@@ -46,7 +46,7 @@ def run_once(spark, sf_dir: str, name: str) -> tuple[float, float]:
 def refresh(spark, sf_dir: str) -> dict[str, float]:
     root = scratch_path(spark, "bench-refresh")
     t0 = time.perf_counter()
-    snapshot.snapshot_and_promote(spark, from_testdata(spark, sf_dir), f"{root}/stage")
+    snapshot.snapshot_and_promote(spark, shop_from_testdata(spark, sf_dir), f"{root}/stage")
     t1 = time.perf_counter()
     pipeline.run(spark, snapshot.read_live(spark, f"{root}/stage"), f"{root}/out")
     t2 = time.perf_counter()

@@ -23,7 +23,8 @@ from skuflow.operators import retention as R
 from skuflow.operators import stock_flow as SF
 from skuflow.operators import sunset as SU
 from skuflow.session import scratch_path
-from skuflow.sources.sinks import per_brand_exports, publish_version, read_report, write_table
+from skuflow.sources import manifest
+from skuflow.sources.sinks import publish_merged_view, publish_version, publish_views, write_table
 from skuflow.sources.snapshot import new_run_id
 from skuflow.sources.tables import Sources
 
@@ -99,34 +100,34 @@ def build_reports(sources: Sources, brands=None, cut_lineage: bool = False) -> R
     )
 
 
-def publish(spark: SparkSession, reports: Reports, out_root: str, brands=None, run_id: str | None = None) -> dict[str, int]:
+def publish(spark: SparkSession, reports: Reports, out_root: str, brands=None, run_id: str | None = None,
+            database: str = "default") -> dict[str, int]:
     """Write every report as a new version and make it current; returns the rows
     of each.  Stock-flow reports are replaced for every brand of the run, also
     by nothing; retention and sunset keep their rows where a run has none (S9).
-    The merged report is read from the published non-bundle report, as the
-    cross-brand merge runs after all brands; the per-brand exports and the
-    quality reports are written beside it."""
+    The per-brand exports and the cross-brand merge are views over the published
+    versions in ``database``: all five brands, or, for a run over some brands,
+    those published so far.  The quality reports are written beside them."""
     root, run_id = out_root.rstrip("/"), run_id or new_run_id()
     chosen = validate_brands(brands) if brands is not None else BRANDS
     counts: dict[str, int] = {}
-    for name, df in reports.as_dict().items():
+    frames = reports.as_dict()
+    for name, df in frames.items():
         if name != "report_merged":
             rows = publish_version(df, f"{root}/{name}", run_id, chosen, keep_old_when_empty=name in KEEP_OLD_WHEN_EMPTY,
                                    sort_within=["order_id"] if name.startswith("report_") else None)
             counts[name] = sum(rows.values())
-    for kind in ("non_bundle", "only_bundle"):
-        name = f"report_{kind}"
-        current = read_report(spark, f"{root}/{name}", reports.as_dict()[name].schema, chosen)
-        for table, df in per_brand_exports(current, kind, chosen).items():
-            write_table(df, f"{root}/exports/{table}", run_id)
-    current = read_report(spark, f"{root}/report_non_bundle", reports.report_non_bundle.schema)
-    merged = write_table(SF.report_merged(current), f"{root}/report_merged", run_id)
-    counts["report_merged"] = spark.read.parquet(merged).count()
+    heads = manifest.heads(spark, f"{root}/report_non_bundle")
+    merged = BRANDS if brands is None else tuple(b for b in BRANDS if b in heads)
+    for kind, own in (("non_bundle", merged), ("only_bundle", chosen)):
+        publish_views(spark, f"{root}/report_{kind}", kind, frames[f"report_{kind}"].schema, own, database)
+    publish_merged_view(spark, reports.report_merged.columns, merged, database)
+    counts["report_merged"] = sum(heads[b][2] for b in merged)
     for name, df in reports.quality.items():
         write_table(df, f"{root}/{name}", run_id)
     return counts
 
 
-def run(spark: SparkSession, sources: Sources, out_root: str, brands=None) -> dict[str, int]:
+def run(spark: SparkSession, sources: Sources, out_root: str, brands=None, database: str = "default") -> dict[str, int]:
     """Build and publish all reports; returns rows written per report."""
-    return publish(spark, build_reports(sources, brands, cut_lineage=True), out_root, brands)
+    return publish(spark, build_reports(sources, brands, cut_lineage=True), out_root, brands, database=database)

@@ -16,7 +16,7 @@ from skuflow.operators import orders as ops
 from skuflow.operators import retention as R
 from skuflow.operators import stock_flow as SF
 from skuflow.operators import sunset as SU
-from skuflow.sources.fixtures import from_testdata
+from skuflow.sources.fixtures import from_testdata, shop_from_testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -232,9 +232,13 @@ def report_merged(spark, sf_dir):
 
 
 # ------------------------------------------------------- snapshot / publish
+def _shop(spark, sf_dir):
+    return shop_from_testdata(spark, sf_dir)
+
+
 def _repeats(spark, sf_dir):
     from skuflow.sources.fixtures import with_repeats
-    return with_repeats(_src(spark, sf_dir))
+    return with_repeats(_shop(spark, sf_dir))
 
 
 @query
@@ -249,29 +253,60 @@ def snapshot_rows(spark, sf_dir):
     """A staged table's rows: all columns as found, a nested one as text, repeats gone."""
     from skuflow.session import scratch_path
     from skuflow.sources.snapshot import new_run_id, stage
-    from skuflow.sources.tables import Sources
     src = _repeats(spark, sf_dir)
     path = stage(spark, src, scratch_path(spark, "snapshot-rows"), new_run_id())["sylius_product_translation"]
     return spark.read.parquet(path).select("brand", "id", "translatable_id", "locale", "name", "origin")
 
 
+@query
+def snapshot_listed(spark, sf_dir):
+    """A whole run: the rows, as text, of the listed tables that no report reads, as staged."""
+    from skuflow.session import scratch_path
+    from skuflow.sources.snapshot import snapshot_and_promote
+    from skuflow.sources.tables import LISTED_TABLES, SOURCE_TABLES
+    root = scratch_path(spark, "snapshot-listed")
+    run_id, _ = snapshot_and_promote(spark, _repeats(spark, sf_dir), root)
+    out = None
+    for n in LISTED_TABLES:
+        if n not in SOURCE_TABLES:
+            t = spark.read.parquet(f"{root}/{run_id}/{n}")
+            text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in t.columns if c != "brand"])
+            own = t.select("brand", F.lit(n).alias("table_name"), text.alias("row_text"))
+            out = own if out is None else out.unionByName(own)
+    return out
+
+
 @query
 def snapshot_gate(spark, sf_dir):
     from skuflow.sources.snapshot import expected_tables, gate, snapshot_counts
-    return gate(snapshot_counts(_src(spark, sf_dir)), expected_tables(spark))
+    return gate(snapshot_counts(_shop(spark, sf_dir)), expected_tables(spark))
 
 
-def _without_pricing(spark, sf_dir, brand):
+def _without_pricing(spark, sf_dir, brand, src=None):
     """The sources after ``brand`` has lost its prices and price tiers."""
     gone = ("sylius_channel_pricing", "sylius_channel_pricing_item")
-    return _src(spark, sf_dir).map(lambda n, t: t.where(F.col("brand") != brand) if n in gone else t)
+    return (src or _src(spark, sf_dir)).map(lambda n, t: t.where(F.col("brand") != brand) if n in gone else t)
 
 
 @query
 def snapshot_gate_failing(spark, sf_dir):
-    """The gate when one brand's price tables are empty: that brand does not pass."""
+    """The gate when one brand's price tables are empty, and its and another's payments: those two do not pass."""
     from skuflow.sources.snapshot import expected_tables, gate, snapshot_counts
-    return gate(snapshot_counts(_without_pricing(spark, sf_dir, "DEF")), expected_tables(spark))
+    src = _without_pricing(spark, sf_dir, "DEF", _shop(spark, sf_dir))
+    src = src.map(lambda n, t: t.where(~F.col("brand").isin("DEF", "GHI")) if n == "sylius_payment" else t)
+    return gate(snapshot_counts(src), expected_tables(spark))
+
+
+@query
+def snapshot_audit(spark, sf_dir):
+    """A run that is given the report tables only, held against the ledger of all copied ones:
+    the audit of what landed."""
+    from skuflow.session import scratch_path
+    from skuflow.sources import snapshot
+    root, run_id = scratch_path(spark, "snapshot-audit"), "run-part"
+    snapshot.open_run(spark, root, run_id)
+    snapshot.stage(spark, _src(spark, sf_dir), root, run_id)
+    return snapshot.audit(spark, root, run_id)
 
 
 @query
@@ -309,6 +344,28 @@ def per_brand_exports(spark, sf_dir):
     return out
 
 
+@query
+def export_views(spark, sf_dir):
+    """The rows behind the catalogue views of a published run: each brand's exports and the merged target."""
+    import uuid
+
+    from skuflow.brands import BRANDS, export_table_name
+    from skuflow.session import scratch_path
+    from skuflow.sources.sinks import publish_merged_view, publish_version, publish_views
+    path, database = scratch_path(spark, "export-views"), f"views_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE `{database}` LOCATION '{path}/db'")
+    report = SF.report_non_bundle(_lines(spark, sf_dir))
+    publish_version(report, f"{path}/report_non_bundle", "run-1", sort_within=["order_id"])
+    publish_views(spark, f"{path}/report_non_bundle", "non_bundle", report.schema, database=database)
+    views = [export_table_name(b, "non_bundle") for b in BRANDS]
+    views.append(publish_merged_view(spark, ["order_id", "created_at", "quantity", "warehouse_sku"], database=database).split(".")[1])
+    out = None
+    for v in views:
+        own = spark.table(f"`{database}`.`{v}`").withColumn("view_name", F.lit(v))
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
 @query
 def stage_counts(spark, sf_dir):
     """Rows per brand after each stage of the refresh."""

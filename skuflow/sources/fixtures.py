@@ -173,6 +173,60 @@ def channel_pricing_items(part: DataFrame) -> DataFrame:
         .select("brand", "id", "channel_pricing_id", "promotion_warehouse_sku", "count")
 
 
+# ------------------------------------------------- listed tables no report reads
+def item_costs(part: DataFrame, divisor: int, factor: int) -> DataFrame:
+    """Handling cost of a product's first or second item."""
+    pk = F.col("p_partkey")
+    cost = F.round(F.col("p_retailprice") * factor).cast("bigint")
+    return _per_brand(part.where(pk % divisor == 0).select(pk.alias("id"), (pk - pk % 2).alias("product_id"), cost.alias("cost"))) \
+        .select("brand", "id", "product_id", "cost")
+
+
+def product_costs(part: DataFrame) -> DataFrame:
+    pk = F.col("p_partkey")
+    return _per_brand(part.where(pk % 2 == 0).select(pk.alias("id"), pk.alias("product_id"), F.col("p_brand").alias("supplier"),
+                                                     F.round(F.col("p_retailprice") * 60).cast("bigint").alias("cost"))) \
+        .select("brand", "id", "product_id", "supplier", "cost")
+
+
+def order_tasks(orders_t: DataFrame) -> DataFrame:
+    k = F.col("o_orderkey")
+    return orders_t.where(k % 13 == 0).select(brand_of(F.col("o_custkey")).alias("brand"), k.alias("id"), k.alias("order_id"),
+                                              F.col("o_orderpriority").alias("task"), (k % 2 == 0).alias("done"))
+
+
+def order_action_history(orders_t: DataFrame) -> DataFrame:
+    k = F.col("o_orderkey")
+    actions = F.when(k % 3 == 0, F.array(F.lit("placed"), F.lit("shipped"))).otherwise(F.array(F.lit("placed")))
+    out = orders_t.select(brand_of(F.col("o_custkey")).alias("brand"), k.alias("order_id"), F.col("o_orderdate").alias("performed_at"),
+                          F.posexplode(actions).alias("at", "action"))
+    return out.select("brand", (F.col("order_id") * 10 + F.col("at")).alias("id"), "order_id", "action", "performed_at")
+
+
+def admin_users(supplier: DataFrame) -> DataFrame:
+    return _per_brand(supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("username"), F.col("s_nationkey").cast("bigint").alias("role_id"))) \
+        .select("brand", "id", "username", "role_id")
+
+
+def promotion_coupons(customer: DataFrame) -> DataFrame:
+    k = F.col("c_custkey")
+    return customer.where(k % 4 != 0).select(brand_of(k).alias("brand"), k.alias("id"), F.concat(F.lit("C-"), F.col("c_mktsegment"), F.lit("-"), _s(k)).alias("code"),
+                                             F.when(k % 7 == 0, F.lit(None).cast("int")).otherwise((k % 5).cast("int")).alias("used"))
+
+
+def payments(orders_t: DataFrame) -> DataFrame:
+    """With a nested column: a snapshot lands it as text."""
+    k = F.col("o_orderkey")
+    return orders_t.select(brand_of(F.col("o_custkey")).alias("brand"), k.alias("id"), k.alias("order_id"),
+                           F.round(F.col("o_totalprice") * 100).cast("bigint").alias("amount"),
+                           F.struct(k.alias("order"), F.col("o_orderstatus").alias("status")).alias("details"))
+
+
+def administration_roles(nation: DataFrame) -> DataFrame:
+    return _per_brand(nation.select(F.col("n_nationkey").cast("bigint").alias("id"), F.col("n_name").alias("code"), F.col("n_regionkey").alias("level"))) \
+        .select("brand", "id", "code", "level")
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -195,6 +249,23 @@ def from_testdata(spark: SparkSession, sf_dir: str) -> Sources:
     )
 
 
+def shop_from_testdata(spark: SparkSession, sf_dir: str) -> Sources:
+    """:func:`from_testdata` and the listed tables that no report reads: everything a refresh copies."""
+    part, orders_t = read_table(spark, sf_dir, "part"), read_table(spark, sf_dir, "orders")
+    return Sources.of({
+        **from_testdata(spark, sf_dir).as_dict(),
+        "processing_first_item_cost": item_costs(part, 1, 10),
+        "processing_second_item_cost": item_costs(part, 3, 5),
+        "product_cost": product_costs(part),
+        "sylius_order_tasks": order_tasks(orders_t),
+        "sylius_order_action_history": order_action_history(orders_t),
+        "sylius_admin_user": admin_users(read_table(spark, sf_dir, "supplier")),
+        "sylius_promotion_coupon": promotion_coupons(read_table(spark, sf_dir, "customer")),
+        "sylius_payment": payments(orders_t),
+        "sylius_rbac_administration_role": administration_roles(read_table(spark, sf_dir, "nation")),
+    })
+
+
 def with_repeats(src: Sources) -> Sources:
     """The sources as a shop database may hold them: every fifth row twice, and
     a nested column on the translations (what a snapshot must normalise)."""

@@ -45,6 +45,9 @@ LISTED_TABLES = (
     "sylius_channel_pricing_item",
 )
 
+# Everything a refresh copies.
+COPIED_TABLES = (*LISTED_TABLES, "sylius_order")
+
 S, L, I, B, TS = T.StringType(), T.LongType(), T.IntegerType(), T.BooleanType(), T.TimestampNTZType()
 
 

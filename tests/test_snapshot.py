@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from skuflow.plans import pipeline
 from skuflow.sources import snapshot as S
-from skuflow.sources.fixtures import from_testdata
+from skuflow.sources.fixtures import from_testdata, shop_from_testdata
 from skuflow.sources.tables import SOURCE_TABLES, Sources
 
 
@@ -15,7 +15,7 @@ def _digest(df):
 
 
 def test_stage_gate_promote_read_live(spark, tmp_root):
-    src = from_testdata(spark, SF_SMALL)
+    src = shop_from_testdata(spark, SF_SMALL)
     run_id, g = S.snapshot_and_promote(spark, src, f"{tmp_root}/stage")
     assert all(r.passed for r in g.collect())
     live = S.read_live(spark, f"{tmp_root}/stage")
@@ -30,7 +30,7 @@ def test_stage_gate_promote_read_live(spark, tmp_root):
 
 
 def test_m17_empty_table_blocks_promotion(spark, tmp_root):
-    src = from_testdata(spark, SF_SMALL)
+    src = shop_from_testdata(spark, SF_SMALL)
     root = f"{tmp_root}/stage"
     first, _ = S.snapshot_and_promote(spark, src, root)
     tables = src.as_dict()
@@ -46,15 +46,15 @@ def test_m17_empty_table_blocks_promotion(spark, tmp_root):
 
 
 def test_missing_brands_and_tables_raise(spark, tmp_root):
-    src = from_testdata(spark, SF_SMALL)
+    src = shop_from_testdata(spark, SF_SMALL)
     root = f"{tmp_root}/stage"
     run_id, _ = S.snapshot_and_promote(spark, src, root, brands=["ABC"])
     assert S.read_live(spark, root, brands=["ABC"]).sylius_order.count() > 0
     for brands in (None, ["ABC", "DEF"]):
         with pytest.raises(ValueError, match="DEF"):
             S.read_live(spark, root, brands=brands)
-    with pytest.raises(S.TableMissing, match="product_cost"):
-        S.staged_counts(spark, root, run_id, (*SOURCE_TABLES, "product_cost")).count()
+    with pytest.raises(S.TableMissing, match="sylius_shipment"):
+        S.staged_counts(spark, root, run_id, (*SOURCE_TABLES, "sylius_shipment")).count()
 
 
 def test_entries_of_concurrent_runs_do_not_meet(spark, tmp_root):
@@ -69,10 +69,10 @@ def test_only_a_missing_path_counts_as_nothing_landed(spark, tmp_root):
     import os
 
     assert S.live_runs(spark, f"{tmp_root}/none") == {}
-    os.makedirs(f"{tmp_root}/bad/{S.MANIFEST}/brand=ABC/v=1")
-    with open(f"{tmp_root}/bad/{S.MANIFEST}/brand=ABC/v=1/part-0.parquet", "w") as f:
-        f.write("not parquet")
-    with pytest.raises(Exception, match="(?i)parquet|read"):
+    os.makedirs(f"{tmp_root}/bad/manifest/brand=ABC/v=1")
+    with open(f"{tmp_root}/bad/manifest/brand=ABC/v=1/entry.json", "w") as f:
+        f.write("{not json")
+    with pytest.raises(Exception, match="(?i)malformed|read"):
         S.live_runs(spark, f"{tmp_root}/bad")
 
 
@@ -80,7 +80,7 @@ def test_listed_tables_are_copied_with_all_columns(spark, tmp_root):
     src = from_testdata(spark, SF_SMALL)
     extra = src.sylius_customer.select("brand", "id", F.lit(1.5).alias("cost"), F.array(F.lit(1)).alias("parts"))
     both = Sources.of({**src.as_dict(), "product_cost": extra.unionByName(extra)})
-    run_id, g = S.snapshot_and_promote(spark, both, f"{tmp_root}/stage")
+    run_id, g = S.snapshot_and_promote(spark, both, f"{tmp_root}/stage", tables=(*SOURCE_TABLES, "product_cost"))
     assert {r.tables_expected for r in g.collect()} == {len(SOURCE_TABLES) + 1}
     back = spark.read.parquet(f"{tmp_root}/stage/{run_id}/product_cost")
     assert back.count() == extra.count() and dict(back.dtypes)["parts"] == "string"
@@ -92,7 +92,7 @@ def test_listed_tables_are_copied_with_all_columns(spark, tmp_root):
 
 
 def test_brand_list_prunes_and_validates(spark, tmp_root):
-    src = from_testdata(spark, SF_SMALL)
+    src = shop_from_testdata(spark, SF_SMALL)
     _, g = S.snapshot_and_promote(spark, src, f"{tmp_root}/stage", brands=["GHI"])
     assert [r.brand for r in g.collect()] == ["GHI"]
     with pytest.raises(ValueError):
@@ -101,7 +101,8 @@ def test_brand_list_prunes_and_validates(spark, tmp_root):
 
 def test_publish_writes_all_reports(spark, tmp_root):
     src = from_testdata(spark, SF_SMALL)
-    counts = pipeline.run(spark, src, f"{tmp_root}/out")
+    spark.sql(f"CREATE DATABASE all_reports LOCATION '{tmp_root}/db'")
+    counts = pipeline.run(spark, src, f"{tmp_root}/out", database="all_reports")
     reps = pipeline.build_reports(src)
     assert counts["report_merged"] == counts["report_non_bundle"] == reps.report_non_bundle.count()
     assert counts["retention_table"] == reps.retention_table.count()
@@ -109,10 +110,11 @@ def test_publish_writes_all_reports(spark, tmp_root):
 
     back = read_report(spark, f"{tmp_root}/out/report_only_bundle", reps.report_only_bundle.schema)
     assert _digest(back) == _digest(reps.report_only_bundle)
-    merged = spark.read.parquet(f"{tmp_root}/out/report_merged/*")
-    assert merged.columns == ["order_id", "created_at", "quantity", "warehouse_sku"]
-    exports = sum(spark.read.parquet(f"{tmp_root}/out/exports/report_{b}_non_bundle/*").count() for b in ("abc", "def", "ghi", "jkl", "mno"))
+    merged = spark.table("all_reports.report_merged_non_bundle")
+    assert merged.columns == ["order_id", "created_at", "quantity", "warehouse_sku"] and merged.count() == counts["report_non_bundle"]
+    exports = sum(spark.table(f"all_reports.report_{b}_non_bundle").count() for b in ("abc", "def", "ghi", "jkl", "mno"))
     assert exports == counts["report_non_bundle"]
+    assert spark.table("all_reports.report_abc_only_bundle").columns == reps.report_only_bundle.columns[1:]
     assert spark.read.parquet(f"{tmp_root}/out/retention_null_audit/*").count() == 5 * 13
     assert spark.read.parquet(f"{tmp_root}/out/stage_counts/*").where("stage = 'report_lines'").count() == 5
     assert "customer_id" in spark.read.parquet(f"{tmp_root}/out/retention_missing_first_items/*").columns
@@ -122,10 +124,12 @@ def test_second_run_replaces_stock_reports_and_keeps_empty_customer_reports(spar
     from skuflow.sources.sinks import read_report
 
     src = from_testdata(spark, SF_SMALL)
-    first = pipeline.run(spark, src, f"{tmp_root}/out")
+    spark.sql(f"CREATE DATABASE second_run LOCATION '{tmp_root}/db'")
+    first = pipeline.run(spark, src, f"{tmp_root}/out", database="second_run")
     gone = ("sylius_channel_pricing", "sylius_channel_pricing_item", "sylius_order_item")
     less = src.map(lambda n, t: t.where("brand <> 'ABC'") if n in gone else t)
-    second = pipeline.run(spark, less, f"{tmp_root}/out")
+    second = pipeline.run(spark, less, f"{tmp_root}/out", database="second_run")
+    assert spark.table("second_run.report_abc_non_bundle").count() == 0 < spark.table("second_run.report_def_non_bundle").count()
     reps = pipeline.build_reports(src)
     read = lambda n: read_report(spark, f"{tmp_root}/out/{n}", reps.as_dict()[n].schema)
     for n in ("report_non_bundle", "report_only_bundle"):
