@@ -1,11 +1,10 @@
 """Extracts (S8, J1-J4, P1-P5, P7, A10): the three row sets the reports start from.
 
-Joins to catalog tables (variant, product, translation, pricing) are done on the
-catalog first, so the large item table meets one pre-joined catalog once.  The
-catalog is broadcast only after its size has been measured below the session's
-broadcast threshold (:func:`skuflow.operators.joins.broadcast_if_bounded`);
-otherwise the join stays a sort-merge join and AQE splits skewed (hot
-variant) partitions.
+The items meet the catalogue (variant, product, translation, pricing, tiers) one table
+at a time.  Nothing is measured while a plan is built: each catalogue table is a scan
+whose size the optimiser knows, so it is broadcast when it is small, and otherwise
+joined by sort-merge, which adaptive execution still turns into a broadcast, or
+splits where a variant is hot, from the sizes it finds.
 """
 
 from __future__ import annotations
@@ -15,7 +14,6 @@ from pyspark.sql import functions as F
 
 from skuflow.functions.sku import effective_name
 from skuflow.operators import salting as S
-from skuflow.operators.joins import broadcast_if_bounded, is_bounded
 from skuflow.sources.tables import Sources
 
 # Order states and payment states the reports keep.
@@ -50,16 +48,14 @@ def extract_orders(src: Sources) -> DataFrame:
         "created_from_order_id", "email")
 
 
-def item_catalog(src: Sources) -> DataFrame:
-    """variant JOIN product LEFT JOIN translation, keyed by (brand, variant_id).
-
-    A product with several translations yields several rows (kept).
-    """
+def with_products(items: DataFrame, src: Sources) -> DataFrame:
+    """``items`` (brand, variant_id, ...) with their product_id and each of its translations'
+    names (translation_name); a product with several yields several rows (kept)."""
     v = src.sylius_product_variant.select("brand", F.col("id").alias("variant_id"), "product_id")
     p = src.sylius_product.select("brand", F.col("id").alias("product_id"))
     t = src.sylius_product_translation.select(
         "brand", F.col("translatable_id").alias("product_id"), F.col("name").alias("translation_name"))
-    return v.join(p, ["brand", "product_id"]).join(t, ["brand", "product_id"], "left")
+    return items.join(v, ["brand", "variant_id"]).join(p, ["brand", "product_id"]).join(t, ["brand", "product_id"], "left")
 
 
 def extract_items(src: Sources) -> DataFrame:
@@ -69,30 +65,30 @@ def extract_items(src: Sources) -> DataFrame:
     """
     items = src.sylius_order_item.select("brand", "order_id", "id", "variant_id", "product_name",
                                          "variant_name", "quantity")
-    return items.join(broadcast_if_bounded(item_catalog(src)), ["brand", "variant_id"]).select(
+    return with_products(items, src).select(
         "brand", "order_id", "id",
         effective_name("product_name", "translation_name").alias("product_name"),
         "variant_name", "quantity", "product_id")
 
 
-def stock_catalog(src: Sources) -> DataFrame:
-    """variant JOIN product(mint SKU set) LEFT pricing LEFT pricing tiers.
-
-    One row per (variant, pricing, tier); keyed by (brand, variant_id).
-    """
-    v = src.sylius_product_variant.select("brand", F.col("id").alias("variant_id"), "product_id")
-    p = (src.sylius_product.where(F.col("mint_soft_sku").isNotNull())
-         .select("brand", F.col("id").alias("product_id"), "mint_soft_sku"))
+def with_pricings(items: DataFrame, src: Sources) -> DataFrame:
+    """``items`` (brand, variant_id, ...), one row per pricing of the variant and price tier of
+    the pricing, one at least."""
     cp = src.sylius_channel_pricing.select(
         "brand", F.col("product_variant_id").alias("variant_id"), F.col("id").alias("channel_pricing_id"),
         F.col("promotion_warehouse_sku").alias("scp_promotion_warehouse_sku"))
     cpi = src.sylius_channel_pricing_item.select(
         "brand", "channel_pricing_id",
         F.col("promotion_warehouse_sku").alias("scpi_promotion_warehouse_sku"), "count")
-    return (v.join(p, ["brand", "product_id"])
-            .join(cp, ["brand", "variant_id"], "left")
-            .join(cpi, ["brand", "channel_pricing_id"], "left")
-            .drop("channel_pricing_id"))
+    return items.join(cp, ["brand", "variant_id"], "left").join(cpi, ["brand", "channel_pricing_id"], "left").drop("channel_pricing_id")
+
+
+def with_prices(items: DataFrame, src: Sources) -> DataFrame:
+    """:func:`with_pricings` of the items of products with a mint SKU: product_id, mint_soft_sku."""
+    v = src.sylius_product_variant.select("brand", F.col("id").alias("variant_id"), "product_id")
+    p = (src.sylius_product.where(F.col("mint_soft_sku").isNotNull())
+         .select("brand", F.col("id").alias("product_id"), "mint_soft_sku"))
+    return with_pricings(items.join(v, ["brand", "variant_id"]).join(p, ["brand", "product_id"]), src)
 
 
 STOCK_COLUMNS = ("brand", "order_id", "created_at", "updated_at", "payment_state", "quantity",
@@ -100,73 +96,36 @@ STOCK_COLUMNS = ("brand", "order_id", "created_at", "updated_at", "payment_state
                  "scp_promotion_warehouse_sku", "scpi_promotion_warehouse_sku", "count", "mint_soft_sku")
 
 
-def hot_orders(src: Sources) -> DataFrame | None:
-    """Orders with more stock lines than one task should hold, or None; measured
-    now, in one pass over the item keys.  A line counts once per price tier of
-    its variant."""
-    fan = stock_catalog(src).groupBy("brand", "variant_id").agg(F.count(F.lit(1)).alias("fan"))
-    return S.hot_table(src.sylius_order_item.select("brand", "order_id", "variant_id"), broadcast_if_bounded(fan))
+def hot_orders(src: Sources) -> DataFrame:
+    """Orders with more stock lines than one task should hold (brand, order_id, n_salts); a line
+    counts once per price tier of its variant.  Lazy: part of the report's plan."""
+    items = src.sylius_order_item.select("brand", "order_id", "variant_id")
+    return S.hot_table(with_pricings(items, src))
 
 
-def extract_stock_lines(src: Sources, hot: DataFrame | None | str = "measure") -> DataFrame:
+def extract_stock_lines(src: Sources) -> S.Routed:
     """Distinct stock lines (``ex``): one row per (item x pricing tier), paid
     orders, products with a mint SKU; the item id is not kept, so identical
-    lines collapse.  Columns :data:`STOCK_COLUMNS` (plus ``salt``/``n_salts``
-    when some order is hot).  ``hot``: the result of :func:`hot_orders`, or
-    ``"measure"`` to run it now.
-
-    Normally the line rows move once, hash-partitioned by (brand, order_id),
-    and every per-order step reuses that.  When an order exceeds the per-task
-    row limit (:mod:`skuflow.operators.salting`), identical lines are collapsed
-    first (on the map side, then over all tasks), the key is (brand, order_id,
-    salt), the orders are replicated to their salts for the join, and the
-    per-order steps combine partials across salts.  With a broadcastable
-    catalog the narrow item rows are shuffled *before* the catalog join fans
-    them out per tier; a catalog too large to broadcast is joined first
-    (sort-merge on variant, AQE skew split) and the result shuffled.
+    lines collapse.  Columns :data:`STOCK_COLUMNS` (the hot part has ``salt``
+    and ``n_salts`` besides).
+
+    Every item takes one of two ways, by its order (:mod:`skuflow.operators.salting`).
+    Ordinary ones move once, hash-partitioned by (brand, order_id) -- the narrow
+    rows, before the catalogue fans them out per tier -- and every per-order step
+    reuses that.  Those of hot orders meet their orders by broadcast, are collapsed
+    (on the map side, then over all tasks) and dealt by (brand, order_id, salt).
     """
     spark = src.sylius_order_item.sparkSession
     items = src.sylius_order_item.select("brand", "order_id", "variant_id", "product_name", "variant_name",
                                          "quantity", "unit_price", "units_total")
     o = (src.sylius_order.where(F.col("payment_state").isin(*STOCK_PAYMENT_STATES))
          .select("brand", F.col("id").alias("order_id"), "created_at", "updated_at", "payment_state"))
-    catalog = stock_catalog(src)
-    small_catalog = is_bounded(catalog)
-    if isinstance(hot, str):
-        hot = hot_orders(src)
-    if hot is None:                      # no hot order: co-locate each order, key (brand, order_id)
-        if small_catalog:
-            lines = items.repartition("brand", "order_id").join(F.broadcast(catalog), ["brand", "variant_id"])
-        else:
-            lines = items.join(catalog, ["brand", "variant_id"]).repartition("brand", "order_id")
-        return lines.join(o, ["brand", "order_id"]).select(*STOCK_COLUMNS).distinct()
-    n = S.partitions(spark)
-    # NULL keys never join; stating it here keeps every branch's line scan
-    # identical (no per-branch inferred filters), so the salted shuffle is reused.
-    # A hot order may be one line many times over: DISTINCT before the salts.
-    salted = S.assign_salts(items.where(F.col("brand").isNotNull() & F.col("order_id").isNotNull()).distinct(), hot)
-    if small_catalog:
-        lines = salted.repartition(n, *S.SALT_KEY).join(F.broadcast(catalog), ["brand", "variant_id"])
-    else:
-        lines = salted.join(catalog, ["brand", "variant_id"]).repartition(n, *S.SALT_KEY)
-    o_salted = S.replicate(o.join(hot, ["brand", "order_id"], "left")
-                           .withColumn("n_salts", F.coalesce(F.col("n_salts"), F.lit(1)))).drop("n_salts")
-    return lines.join(o_salted, S.SALT_KEY).select(*STOCK_COLUMNS, "salt", "n_salts").distinct()
-
-
-def order_tier_set(src: Sources, hot: DataFrame | None | str = "measure") -> DataFrame:
-    """Every (order, tier count, tier SKU) of the order's items, straight from
-    items x catalog on the map side and pre-aggregated before any shuffle:
-    brand, order_id, count, scpi_promotion_warehouse_sku, n_salts.  Tiers of
-    orders that fail the payment filter are harmless -- they meet no line."""
-    items = src.sylius_order_item.select("brand", "order_id", "variant_id")
-    catalog = stock_catalog(src).where(F.col("scpi_promotion_warehouse_sku").isNotNull()) \
-        .select("brand", "variant_id", "count", "scpi_promotion_warehouse_sku")
-    if isinstance(hot, str):
-        hot = hot_orders(src)
-    tiers = items.join(broadcast_if_bounded(catalog), ["brand", "variant_id"]) \
-        .groupBy("brand", "order_id", "count", "scpi_promotion_warehouse_sku").agg(F.lit(1).alias("_one"))
-    if hot is None:
-        return tiers.drop("_one").withColumn("n_salts", F.lit(1))
-    return tiers.drop("_one").join(hot, ["brand", "order_id"], "left") \
-        .withColumn("n_salts", F.coalesce(F.col("n_salts"), F.lit(1)))
+    hot = hot_orders(src)
+    key = ["brand", "order_id"]
+    ordinary = items.join(hot, key, "left").where(F.col("n_salts").isNull()).drop("n_salts").repartition(*key)
+    ordinary = with_prices(ordinary, src).join(o, key).select(*STOCK_COLUMNS).distinct()
+    # a hot order may be one line many times over: DISTINCT before the salts
+    hot_o = F.broadcast(o.join(hot, key))                    # at most as many rows as hot orders
+    salted = S.assign_salts(items.join(hot_o, key).distinct()).repartition(S.partitions(spark), *S.SALT_KEY)
+    salted = with_prices(salted, src).select(*STOCK_COLUMNS, "salt", "n_salts").distinct()
+    return S.Routed(ordinary, salted)

@@ -1,23 +1,28 @@
-"""Hot-order salting for the per-order stock-flow chain.
-
-An order whose line count exceeds ``spark.skuflow.orderRowsPerTask`` (default
-1,000,000) is spread over ``n_salts = ceil(lines / limit)`` tasks.  The hot
-orders come from one partial aggregate over (brand, order_id) of the raw
-items; there are at most ``total_lines / limit`` of them, and the table is
-broadcast only after measuring it.  Every other order keeps ``n_salts = 1``
-(salt 0), so for ordinary data the salted key is the order key.
-
-When no order is hot the lines carry no salt at all and the stock-flow
-operators use the co-located plan (one shuffle by order, window-attached
-facts).  A line's salt hashes the columns that identify it for DISTINCT and for the
+"""Hot orders in the per-order stock-flow chain.
+
+An order whose lines exceed ``spark.skuflow.orderRowsPerTask`` (default
+1,000,000) is spread over ``n_salts = ceil(lines / limit)`` tasks; all others stay
+whole.  Which orders are hot is part of each plan: one partial aggregate over
+(brand, order_id) of the items' keys, broadcast -- there are at most
+``total_lines / limit`` hot orders.  Rows are routed by it one by one into a pair of
+plans (:class:`Routed`): ordinary orders take the co-located one (one shuffle by order,
+window-attached facts), hot ones the salted one, and a report unites them at its end.
+Without a hot order adaptive execution finds the broadcast empty and drops the salted
+plan whole.
+
+A hot line's salt hashes the columns that identify it for DISTINCT and for the
 dedup (variant, prices, names), so identical lines and dedup groups never
 straddle salts.  Order-level facts are partial aggregates per (order, salt),
 combined per order, replicated to the order's salts and joined back on
-(brand, order_id, salt) -- the line rows themselves move once.
+(brand, order_id, salt).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +33,32 @@ SALT_KEY = ["brand", "order_id", "salt"]
 SALT_COLUMNS = ("variant_id", "unit_price", "units_total", "product_name", "variant_name")
 
 
+@dataclass(frozen=True)
+class Routed:
+    """Rows of ordinary and of hot orders, each in its own plan; no order is in both."""
+
+    ordinary: DataFrame
+    hot: DataFrame
+
+    def map(self, f: Callable[[DataFrame], DataFrame]) -> "Routed":
+        return Routed(f(self.ordinary), f(self.hot))
+
+    def rows(self, *columns) -> DataFrame:
+        """All rows, with ``columns`` (default: those of the ordinary part)."""
+        columns = columns or tuple(self.ordinary.columns)
+        return self.ordinary.select(*columns).unionByName(self.hot.select(*columns))
+
+
+def per_route(f: Callable[..., DataFrame]) -> Callable:
+    """A step on per-order rows that takes a :class:`Routed` as well, part by part."""
+
+    @wraps(f)
+    def step(rows):
+        return rows.map(f) if isinstance(rows, Routed) else f(rows)
+
+    return step
+
+
 def rows_per_task(spark: SparkSession) -> int:
     return int(spark.conf.get(ROWS_CONF, str(DEFAULT_ROWS)))
 
@@ -38,32 +69,18 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def hot_orders(order_keys: DataFrame, limit: int) -> DataFrame:
-    """Orders with more than ``limit`` rows (rows weigh ``fan`` where there is
-    such a column): brand, order_id, n_salts.  At most ``rows / limit`` rows by
-    construction."""
-    rows = F.sum("fan") if "fan" in order_keys.columns else F.count(F.lit(1))
-    counts = order_keys.groupBy("brand", "order_id").agg(rows.alias("_n"))
+def hot_orders(lines: DataFrame, limit: int) -> DataFrame:
+    """Orders with more than ``limit`` rows: brand, order_id, n_salts.  At most
+    ``rows / limit`` rows by construction."""
+    known = lines.where(F.col("brand").isNotNull() & F.col("order_id").isNotNull())     # null keys never join
+    counts = known.groupBy("brand", "order_id").agg(F.count(F.lit(1)).alias("_n"))
     return counts.where(F.col("_n") > limit).select(
         "brand", "order_id", F.ceil(F.col("_n") / F.lit(limit)).cast("int").alias("n_salts"))
 
 
-def hot_table(items: DataFrame, fan: DataFrame | None = None) -> DataFrame | None:
-    """The hot-order table for ``items``, or None when no order is hot.  ``fan``
-    (brand, variant_id, fan): the rows an item of a variant becomes.
-
-    One aggregate pass measures it; it is broadcast when within the broadcast
-    threshold (always, unless the limit is set absurdly low), else joined by
-    sort-merge."""
-    from skuflow.operators.joins import measured_bytes, _threshold
-
-    keys = items.select("brand", "order_id") if fan is None else \
-        items.join(fan, ["brand", "variant_id"]).select("brand", "order_id", "fan")
-    hot = hot_orders(keys, rows_per_task(items.sparkSession))
-    size = measured_bytes(hot)
-    if size == 0:
-        return None
-    return F.broadcast(hot) if size <= _threshold(hot) else hot
+def hot_table(lines: DataFrame) -> DataFrame:
+    """:func:`hot_orders` at the session's limit, broadcast: at most ``rows / limit`` rows."""
+    return F.broadcast(hot_orders(lines, rows_per_task(lines.sparkSession)))
 
 
 def line_salt(n_salts: Column) -> Column:
@@ -71,11 +88,9 @@ def line_salt(n_salts: Column) -> Column:
     return F.pmod(h, n_salts.cast("long")).cast("int")
 
 
-def assign_salts(lines: DataFrame, hot: DataFrame) -> DataFrame:
-    """Add ``n_salts`` (1 unless hot) and the line's ``salt``."""
-    x = lines.join(hot, ["brand", "order_id"], "left") \
-        .withColumn("n_salts", F.coalesce(F.col("n_salts"), F.lit(1)))
-    return x.withColumn("salt", line_salt(F.col("n_salts")))
+def assign_salts(lines: DataFrame) -> DataFrame:
+    """Add the ``salt`` of each line of a hot order (``n_salts`` column required)."""
+    return lines.withColumn("salt", line_salt(F.col("n_salts")))
 
 
 def replicate(per_order: DataFrame) -> DataFrame:
@@ -87,5 +102,5 @@ def replicate(per_order: DataFrame) -> DataFrame:
 
 
 def is_salted(df: DataFrame) -> bool:
-    """Lines carry ``salt`` only when some order was found hot."""
+    """Whether ``df`` holds lines of hot orders, dealt by salt."""
     return "salt" in df.columns

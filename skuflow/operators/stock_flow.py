@@ -1,14 +1,15 @@
 """Stock-flow reports (C3-C8): SKU resolution, line dedup, bundle explode,
 bundle flag, the per-brand non-bundle / only-bundle reports and the merge.
 
-Every step is keyed by (brand, order_id, salt) -- salt 0 unless the order is
-hot (:mod:`skuflow.operators.salting`).  The stock lines arrive hash-
-partitioned on that key (see :func:`skuflow.operators.extract.extract_stock_lines`)
-and never move again: order-level facts (the tier set, the summary) are
-partial aggregates combined per order and replicated back to the order's
-salts.  Per-order work is aggregates, a ``max_by`` dedup, one running-max
-window over (value, tier) entries and one ``lag`` in line order; nothing
-collects an order's rows into an array.
+Steps take lines of one kind, or both as a :class:`skuflow.operators.salting.Routed`
+pair.  Lines of ordinary orders arrive hash-partitioned by (brand, order_id), those of
+hot orders by (brand, order_id, salt), and stay there (see
+:func:`skuflow.operators.extract.extract_stock_lines`): order-level facts (the tier
+ladder, the summary) of a hot order are partial aggregates combined per order and
+replicated back to its salts; only the line before a line is looked up by variant.
+Per-order work is aggregates, a ``max_by`` dedup, one running-max window over
+(value, tier) entries and one ``lag`` in line order; nothing collects an order's rows
+into an array, and building a plan runs no job.
 
 Pinned orders (the source job leaves these to unstable sorts):
 
@@ -26,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skuflow.operators import salting as S
+from skuflow.operators.salting import per_route
 from skuflow.functions.sku import (clean_bundle_sku, has_pipe, nonzero_qty, override_quantity, sku_code,
                                    sku_priority, split_bundle)
 
@@ -42,6 +44,7 @@ RESOLVED_COLUMNS = ["brand", "order_id", "created_at", "updated_at", "payment_st
 
 
 # ------------------------------------------------------------------ tiers
+@per_route
 def order_tiers(ex: DataFrame) -> DataFrame:
     """The order's price tiers as rows (W9): every (count, tier SKU) of any line
     of the order, not only of the line's own variant.
@@ -53,18 +56,18 @@ def order_tiers(ex: DataFrame) -> DataFrame:
             .distinct())
 
 
-def tier_picks(ex: DataFrame, tiers: DataFrame | None = None) -> DataFrame:
+@per_route
+def tier_picks(ex: DataFrame) -> DataFrame:
     """For every line, the order's largest tier with ``count <= quantity``
     (J19, P17, O2): an as-of match inside the order.
 
     Lines and the order's tiers become entries ordered by value (tiers before
     lines on equal values); a running ``max(struct(count, sku))`` holds at
     each line the best reachable tier.  Linear, no pairs.  Co-located orders
-    get their tier entries from the lines themselves (one ``inline`` pass);
-    salted orders get the order's distinct tiers (a partial aggregate;
-    ``tiers`` from :func:`skuflow.operators.extract.order_tier_set` when
-    given, taken map-side before any shuffle) replicated to each salt, so the
-    line rows stay in place.
+    get their tier entries from the lines themselves (one ``inline`` pass).
+    Salted orders get a ladder: the largest SKU of each distinct count -- all
+    that can ever become the maximum -- built once by a partial aggregate and
+    replicated to each salt, so the line rows stay in place.
     ``any_tier_sku`` (A14): the order has a line with a tier SKU.
 
     Returns ``ex`` with ``pick`` (struct count, sku; NULL when none) and
@@ -74,10 +77,7 @@ def tier_picks(ex: DataFrame, tiers: DataFrame | None = None) -> DataFrame:
     no_tier = F.when(F.lit(False), tier)
     if S.is_salted(ex):
         key = S.SALT_KEY
-        if tiers is None:
-            tiers = (ex.where(F.col(SCPI).isNotNull())
-                     .groupBy(*KEY, "count", SCPI).agg(F.max("n_salts").alias("n_salts")))
-        entries = S.replicate(tiers).select(
+        entries = S.replicate(tier_ladder(ex)).select(
             *key, F.col("count").alias("_v"), F.lit(0).alias("_kind"),
             F.when(F.col("count").isNotNull(), tier).alias("_tier"))
         lines = ex.withColumn("_v", F.col("quantity")).withColumn("_kind", F.lit(1)).withColumn("_tier", no_tier)
@@ -98,19 +98,28 @@ def tier_picks(ex: DataFrame, tiers: DataFrame | None = None) -> DataFrame:
             .where(F.col("_kind") == 1).drop("_v", "_kind", "_tier"))
 
 
+def tier_ladder(ex: DataFrame) -> DataFrame:
+    """The tiers of salted orders that can be picked: per distinct count (a missing one
+    included, for ``any_tier_sku``) the largest SKU; a row per order and count."""
+    return (ex.where(F.col(SCPI).isNotNull()).groupBy(*KEY, "count")
+            .agg(F.max(SCPI).alias(SCPI), F.max("n_salts").alias("n_salts")))
+
+
 def _salt_cols(df: DataFrame) -> list[str]:
     return ["salt", "n_salts"] if S.is_salted(df) else []
 
 
-def tier_pick(ex: DataFrame, tiers: DataFrame | None = None) -> DataFrame:
+@per_route
+def tier_pick(ex: DataFrame) -> DataFrame:
     """Distinct (order, quantity) -> picked tier; brand, order_id, quantity,
     pick_count, pick_sku."""
-    return (tier_picks(ex, tiers).select(*KEY, "quantity", F.col("pick.count").alias("pick_count"),
+    return (tier_picks(ex).select(*KEY, "quantity", F.col("pick.count").alias("pick_count"),
                                   F.col("pick.sku").alias("pick_sku")).distinct())
 
 
 # -------------------------------------------------------------- resolution
-def resolve_skus(ex: DataFrame, tiers: DataFrame | None = None) -> DataFrame:
+@per_route
+def resolve_skus(ex: DataFrame) -> DataFrame:
     """C3 per line (F1, F2, F12, A14):
 
     1. no pricing SKU and no tier SKU anywhere in the order -> the mint SKU,
@@ -122,7 +131,7 @@ def resolve_skus(ex: DataFrame, tiers: DataFrame | None = None) -> DataFrame:
 
     Columns :data:`RESOLVED_COLUMNS`.
     """
-    x = tier_picks(ex, tiers)
+    x = tier_picks(ex)
     rule1 = F.col(SCP).isNull() & ~F.col("any_tier_sku")
     pick = F.col("pick")
     raw = F.when(pick.isNotNull(), pick["sku"]).otherwise(F.coalesce(F.col(SCP), F.col("mint_soft_sku")))
@@ -138,6 +147,7 @@ def resolve_skus(ex: DataFrame, tiers: DataFrame | None = None) -> DataFrame:
         "mint_soft_sku", "product_id", "variant_id", "product_name", "variant_name", *_salt_cols(x))
 
 
+@per_route
 def dedup_lines(resolved: DataFrame) -> DataFrame:
     """One line per (order, unit_price, units_total, product, variant,
     names, final_sku); NULL keys are equal.  The survivor has the greatest tier
@@ -201,11 +211,7 @@ def _header() -> Column:
                     clean_bundle_sku(bundle_source()).alias("bundle_sku"))
 
 
-def _fact_aggs() -> dict[str, Column]:
-    return {"is_bundle": F.bool_or(has_pipe(SCPI) | has_pipe(SCP)),
-            "kh": F.min(F.struct(_ordered(sku_priority(SCP, SCPI), line_key()).alias("k"), _header().alias("h")))}
-
-
+@per_route
 def order_summary(lines: DataFrame) -> DataFrame:
     """Per-order facts over deduped lines, one row per order:
 
@@ -213,69 +219,66 @@ def order_summary(lines: DataFrame) -> DataFrame:
     * ``header``: the bundle header line, lowest SKU priority then line order
       (F10, W6, A12).
 
-    Salted lines: a partial aggregate per (order, salt) in place, then one per
-    order over those partials (a few rows per order); plus ``n_salts``.
+    Co-located orders: the first line of a window in header order.  Salted
+    lines: a partial aggregate per (order, salt) in place, then one per
+    order over those partials (a few rows per order).
     """
-    aggs = [c.alias(n) for n, c in _fact_aggs().items()]
     if not S.is_salted(lines):
-        return lines.groupBy(*KEY).agg(*aggs).withColumn("header", F.col("kh.h")).drop("kh")
-    partial = lines.groupBy(*S.SALT_KEY).agg(*aggs, F.max("n_salts").alias("n_salts"))
-    return partial.groupBy(*KEY).agg(
-        F.bool_or("is_bundle").alias("is_bundle"),
-        F.min("kh").getField("h").alias("header"),
-        F.max("n_salts").alias("n_salts"))
+        x = lines.withColumn("_rn", F.row_number().over(header_order())).withColumn("is_bundle", F.bool_or(_piped()).over(Window.partitionBy(*KEY)))
+        return x.where(F.col("_rn") == 1).select(*KEY, "is_bundle", _header().alias("header"))
+    partial = lines.groupBy(*S.SALT_KEY).agg(F.bool_or(_piped()).alias("is_bundle"), _first_header().alias("kh"))
+    return partial.groupBy(*KEY).agg(F.bool_or("is_bundle").alias("is_bundle"), F.min("kh").getField("h").alias("header"))
+
+
+def _piped() -> Column:
+    return has_pipe(SCPI) | has_pipe(SCP)
+
+
+def _first_header() -> Column:
+    """Aggregate: the header line (``h``) with its sort key (``k``)."""
+    return F.min(F.struct(_ordered(sku_priority(SCP, SCPI), line_key()).alias("k"), _header().alias("h")))
 
 
 def _bare() -> Column:
     return F.col(SCPI).isNull() & F.col(SCP).isNull()
 
 
-def _previous_across_tasks(lines: DataFrame) -> DataFrame:
-    """``after_sku`` for lines whose orders may span tasks: the lines are dealt
-    over tasks by ranges of (brand, order, line order) and written; ``lag``
-    looks back inside a range, and the first line of a range takes the last
-    line of the range before it (one row per range)."""
-    from skuflow.session import scratch_path
-
-    spark = lines.sparkSession
-    told = F.struct("brand", "order_id", (~_bare()).alias("sku"))
-    ranged = (lines.repartitionByRange(S.partitions(spark), "brand", "order_id", *line_order())
-              .withColumn("_range", F.spark_partition_id()))
-    path = scratch_path(spark, "line-ranges")
-    ranged.write.mode("overwrite").parquet(path)
-    ranged = spark.read.schema(ranged.schema).parquet(path)
-    order = _ordered(F.col("brand"), F.col("order_id"), line_key())
-    ends = ranged.groupBy("_range").agg(F.max_by(told, order).alias("_end"))
-    before = ends.select("_range", F.lag("_end").over(Window.orderBy("_range")).alias("_end"))   # a row per range
-    local = F.lag(told).over(Window.partitionBy("_range").orderBy("brand", "order_id", *line_order()))
-    x = ranged.withColumn("_prev", local).join(F.broadcast(before), "_range")
-    prev = F.coalesce(F.col("_prev"), F.col("_end"))
-    same = (prev["brand"] == F.col("brand")) & (prev["order_id"] == F.col("order_id"))
-    return x.withColumn("after_sku", F.coalesce(same & prev["sku"], F.lit(False))).drop("_prev", "_end", "_range")
-
-
-def flag_lines(lines: DataFrame, summary: DataFrame | None = None) -> DataFrame:
+def _flag_salted(lines: DataFrame) -> DataFrame:
+    """``header``, ``is_bundle`` and ``after_sku`` (whether the line before a bare line has a SKU)
+    for lines of hot orders.  Lines with a tier SKU come first in line order, the others by
+    variant, so the line before is found among the variant's lines, else it is the last line of
+    the variant before, else the last line with a tier SKU.  An order's variants are one row each
+    before they meet; a task holds the distinct lines of one variant in one order."""
+    variant, order = [*KEY, "variant_id"], Window.partitionBy(*KEY)
+    no_tier = F.col(SCPI).isNull()
+    facts = lines.groupBy(*variant).agg(F.bool_or(_piped()).alias("_piped"), _first_header().alias("_kh"), F.bool_or(~no_tier).alias("_tier"),
+                                        F.max_by(~_bare(), F.when(no_tier, line_key())).alias("_sku"))
+    before = F.last("_sku", ignorenulls=True).over(order.orderBy("variant_id").rowsBetween(Window.unboundedPreceding, -1))
+    facts = facts.select(*variant, F.bool_or("_piped").over(order).alias("is_bundle"), F.min("_kh").over(order).getField("h").alias("header"),
+                         F.coalesce(before, F.bool_or("_tier").over(order)).alias("_before"))
+    own = F.lag(~_bare()).over(Window.partitionBy(*variant, no_tier).orderBy(*line_order()))
+    return lines.withColumn("_own", own).join(facts, variant).withColumn("after_sku", F.coalesce("_own", "_before")).drop("_own", "_before")
+
+
+@per_route
+def flag_lines(lines: DataFrame) -> DataFrame:
     """Deduped lines with the :func:`order_summary` facts attached and the
     adjacency reset decided (W4): a line with neither SKU whose predecessor in
     the pinned line order has one takes the mint SKU.  An order may hold several.
 
     Co-located orders: facts and predecessor are windows over the existing
-    (brand, order_id) partitioning (``summary`` is not needed).  Salted
-    orders: the combined facts are replicated to the order's salts and joined
-    on (brand, order_id, salt); the predecessor comes from
-    :func:`_previous_across_tasks`."""
-    if not S.is_salted(lines):
+    (brand, order_id) partitioning.  Salted orders: :func:`_flag_salted`."""
+    if S.is_salted(lines):
+        x = _flag_salted(lines)
+    else:
         w = Window.partitionBy(*KEY)
-        by_line = w.orderBy(*line_order())
-        x = lines.select("*", F.coalesce(F.lag(~_bare()).over(by_line), F.lit(False)).alias("after_sku"),
+        x = lines.select("*", F.coalesce(F.lag(~_bare()).over(w.orderBy(*line_order())), F.lit(False)).alias("after_sku"),
                          F.first(_header()).over(header_order()).alias("header"),
-                         F.bool_or(has_pipe(SCPI) | has_pipe(SCP)).over(w).alias("is_bundle"))
-    else:
-        s = order_summary(lines) if summary is None else summary
-        x = _previous_across_tasks(lines).join(S.replicate(s).drop("n_salts"), S.SALT_KEY)
+                         F.bool_or(_piped()).over(w).alias("is_bundle"))
     return x.withColumn("reset", _bare() & F.col("after_sku")).drop("after_sku")
 
 
+@per_route
 def explode_bundles(flagged: DataFrame) -> DataFrame:
     """E1 + C4 + C5: one row per bundle part for lines whose SKU holds ``|``
     (code before ``#``; non-zero ``#QTY`` replaces the quantity; ``bundle_sku``
@@ -297,19 +300,22 @@ def explode_bundles(flagged: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- reports
-def stock_lines(ex: DataFrame, tiers: DataFrame | None = None) -> DataFrame:
+@per_route
+def stock_lines(ex: DataFrame) -> DataFrame:
     """Resolved and deduped lines."""
-    return dedup_lines(resolve_skus(ex, tiers))
+    return dedup_lines(resolve_skus(ex))
 
 
-def report_non_bundle(lines: DataFrame, summary: DataFrame | None = None) -> DataFrame:
+@per_route
+def report_non_bundle(lines: DataFrame) -> DataFrame:
     """C6 (U1): every exploded line -- bundle orders included.
 
     brand, order_id, created_at, quantity, warehouse_sku
     """
-    return non_bundle_rows(flag_lines(lines, summary))
+    return non_bundle_rows(flag_lines(lines))
 
 
+@per_route
 def non_bundle_rows(flagged: DataFrame) -> DataFrame:
     """C6 from lines that already carry their order facts (:func:`flag_lines`)."""
     return explode_bundles(flagged).select(
@@ -338,6 +344,7 @@ def header_rows(orders: DataFrame) -> DataFrame:
                          h["bundle_quantity"].cast("int").alias("bundle_quantity"), h["bundle_sku"].alias("bundle_sku"))
 
 
+@per_route
 def report_only_bundle(summary: DataFrame) -> DataFrame:
     """One header row per bundle order, straight from the per-order
     summary.  ``bundle_sku`` is NULL when the header line is not itself a

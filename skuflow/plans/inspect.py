@@ -28,6 +28,14 @@ def plan_text(df: DataFrame, mode: str = "simple") -> str:
     return buf.getvalue()
 
 
+def final_plan_text(df: DataFrame) -> str:
+    """The adaptive plan that ran, after an action on ``df`` itself."""
+    text = plan_text(df)
+    if "== Final Plan ==" not in text:
+        raise ValueError("no action has run on this frame")
+    return text.split("== Final Plan ==")[1].split("== Initial Plan ==")[0]
+
+
 def hash_exchanges(plan: str) -> list[str]:
     """The hash-partitioning exchanges, one line each."""
     return [ln.strip() for ln in plan.splitlines() if re.search(r"Exchange hashpartitioning", ln)]

@@ -58,23 +58,22 @@ def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
 
 
 def build_reports(sources: Sources, brands=None, cut_lineage: bool = False) -> Reports:
-    """Report frames for ``brands`` (all when None).  Building them runs the size
-    checks of catalogues and orders; the reports themselves run when written.
+    """Report frames for ``brands`` (all when None).  Building them runs no job;
+    the reports run when they are written.
 
     With ``cut_lineage`` the stock lines with their per-order facts -- shared
-    by both stock-flow reports -- are written once into the shared folder,
+    by both stock-flow reports -- are written once into the shared folder, now,
     without the order's header on every line; the headers are a table of their own.
     """
     if brands is not None:
         sources = sources.for_brands(validate_brands(brands))
     ox, ix = X.extract_orders(sources), X.extract_items(sources)
-    hot = X.hot_orders(sources)
-    ex = X.extract_stock_lines(sources, hot)
-    lines = SF.stock_lines(ex, X.order_tier_set(sources, hot) if hot is not None else None)
+    ex = X.extract_stock_lines(sources)
+    lines = SF.stock_lines(ex)
     if cut_lineage:
-        spark = lines.sparkSession
+        flagged = SF.flag_lines(lines).rows()
+        spark = flagged.sparkSession
         path = scratch_path(spark, "stock-lines")
-        flagged = SF.flag_lines(lines)
         # the header stays on the order's lines of the lowest rank only
         head = F.row_number().over(SF.header_order()) == 1
         flagged = flagged.withColumn("header", F.when(F.col("is_bundle") & head, F.col("header")))
@@ -83,8 +82,8 @@ def build_reports(sources: Sources, brands=None, cut_lineage: bool = False) -> R
         non_bundle = SF.non_bundle_rows(flagged)
         only_bundle = SF.header_rows(flagged.where(F.col("header").isNotNull()))
     else:
-        summary = SF.order_summary(lines)
-        non_bundle, only_bundle = SF.report_non_bundle(lines, summary), SF.report_only_bundle(summary)
+        non_bundle = SF.report_non_bundle(lines).rows()
+        only_bundle = SF.report_only_bundle(SF.order_summary(lines)).rows()
     base = R.retention_base(ox, ix)
     retention = R.fill_retention(base)
     return Reports(
@@ -96,7 +95,7 @@ def build_reports(sources: Sources, brands=None, cut_lineage: bool = False) -> R
         quality={"retention_missing_first_items": R.missing_first_items(base),
                  "retention_null_audit": R.null_audit(retention),
                  "stage_counts": stage_counts({"orders": ox, "items": ix, "orders_with_items": O.orders_with_items(ox, ix),
-                                               "stock_lines": ex, "report_lines": lines})},
+                                               "stock_lines": ex.rows(), "report_lines": lines.rows()})},
     )
 
 

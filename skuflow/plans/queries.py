@@ -52,7 +52,7 @@ def extract_items(spark, sf_dir):
 
 @query
 def extract_stock_lines(spark, sf_dir):
-    return X.extract_stock_lines(_src(spark, sf_dir)).select(*X.STOCK_COLUMNS)
+    return X.extract_stock_lines(_src(spark, sf_dir)).rows(*X.STOCK_COLUMNS)
 
 
 # ------------------------------------------------------------ order blocks
@@ -149,86 +149,82 @@ def _ex(spark, sf_dir):
     return X.extract_stock_lines(_src(spark, sf_dir))
 
 
-def _tiers(spark, sf_dir, ex):
-    from skuflow.operators.salting import is_salted
-    return X.order_tier_set(_src(spark, sf_dir)) if is_salted(ex) else None
-
-
 def _lines(spark, sf_dir):
-    ex = _ex(spark, sf_dir)
-    return SF.stock_lines(ex, _tiers(spark, sf_dir, ex))
+    return SF.stock_lines(_ex(spark, sf_dir))
 
 
 @query
 def order_tiers(spark, sf_dir):
-    return SF.order_tiers(_ex(spark, sf_dir))
+    return SF.order_tiers(_ex(spark, sf_dir)).rows()
 
 
 @query
 def tier_pick(spark, sf_dir):
-    ex = _ex(spark, sf_dir)
-    return SF.tier_pick(ex, _tiers(spark, sf_dir, ex))
+    return SF.tier_pick(_ex(spark, sf_dir)).rows()
 
 
 @query
 def sku_resolve(spark, sf_dir):
-    ex = _ex(spark, sf_dir)
-    return SF.resolve_skus(ex, _tiers(spark, sf_dir, ex)).select(*SF.RESOLVED_COLUMNS)
+    return SF.resolve_skus(_ex(spark, sf_dir)).rows(*SF.RESOLVED_COLUMNS)
 
 
 @query
 def line_dedup(spark, sf_dir):
-    return _lines(spark, sf_dir).select(*SF.RESOLVED_COLUMNS)
+    return _lines(spark, sf_dir).rows(*SF.RESOLVED_COLUMNS)
 
 
 @query
 def adjacency_reset(spark, sf_dir):
-    return SF.flag_lines(_lines(spark, sf_dir)).select(
+    return SF.flag_lines(_lines(spark, sf_dir)).rows(
         "brand", "order_id", "variant_id", "product_id", "unit_price", "units_total", "product_name",
         "variant_name", "final_sku", "reset")
 
 
 @query
 def bundle_explode(spark, sf_dir):
-    return SF.explode_bundles(SF.flag_lines(_lines(spark, sf_dir))).select(
+    return SF.explode_bundles(SF.flag_lines(_lines(spark, sf_dir))).rows(
         "brand", "order_id", "created_at", F.col("quantity").cast("int").alias("quantity"), "warehouse_sku",
         "bundle_sku")
 
 
 @query
 def bundle_flag(spark, sf_dir):
-    return SF.order_summary(_lines(spark, sf_dir)).select("brand", "order_id", "is_bundle")
+    return SF.order_summary(_lines(spark, sf_dir)).rows("brand", "order_id", "is_bundle")
 
 
 @query
 def bundle_sku_clean(spark, sf_dir):
     from skuflow.functions.sku import clean_bundle_sku
-    b = SF.explode_bundles(SF.flag_lines(_lines(spark, sf_dir))).where(F.col("bundle_sku").isNotNull())
+    b = SF.explode_bundles(SF.flag_lines(_lines(spark, sf_dir))).rows("brand", "order_id", "bundle_sku").where(F.col("bundle_sku").isNotNull())
     return b.select("brand", "order_id", "bundle_sku",
                     clean_bundle_sku("bundle_sku").alias("clean_bundle_sku")).distinct()
 
 
 @query
 def bundle_header_pick(spark, sf_dir):
-    s = SF.order_summary(_lines(spark, sf_dir)).where(F.col("is_bundle"))
+    s = SF.order_summary(_lines(spark, sf_dir)).rows("brand", "order_id", "is_bundle", "header").where(F.col("is_bundle"))
     return s.select("brand", "order_id", F.col("header.bundle_variant_id").alias("bundle_variant_id"),
                     F.col("header.bundle_product_id").alias("bundle_product_id"),
                     F.col("header.bundle_quantity").cast("int").alias("bundle_quantity"))
 
 
+def _non_bundle(spark, sf_dir):
+    return SF.report_non_bundle(_lines(spark, sf_dir)).rows()
+
+
 @query
 def report_non_bundle(spark, sf_dir):
-    return SF.report_non_bundle(_lines(spark, sf_dir))
+    return _non_bundle(spark, sf_dir)
 
 
 @query
 def report_only_bundle(spark, sf_dir):
-    return SF.report_only_bundle(SF.order_summary(_lines(spark, sf_dir)))
+    return SF.report_only_bundle(SF.order_summary(_lines(spark, sf_dir))).rows()
 
 
 @query
 def report_merged(spark, sf_dir):
-    return SF.report_merged(SF.report_non_bundle(_lines(spark, sf_dir)))
+    return SF.report_merged(_non_bundle(spark, sf_dir))
 
 
 # ------------------------------------------------------- snapshot / publish
@@ -315,7 +311,7 @@ def publish_roundtrip(spark, sf_dir):
     from skuflow.session import scratch_path
     from skuflow.sources.sinks import publish_version, read_report
     path = scratch_path(spark, "publish-roundtrip")
-    report = SF.report_non_bundle(_lines(spark, sf_dir))
+    report = _non_bundle(spark, sf_dir)
     publish_version(report, path, "run-1", sort_within=["order_id"])
     return read_report(spark, path, report.schema)
 
@@ -328,7 +324,7 @@ def publish_twice(spark, sf_dir):
     from skuflow.sources.sinks import publish_version, read_report
     path = scratch_path(spark, "publish-twice")
     for run_id, src in (("run-1", _src(spark, sf_dir)), ("run-2", _without_pricing(spark, sf_dir, "ABC"))):
-        report = SF.report_only_bundle(SF.order_summary(SF.stock_lines(X.extract_stock_lines(src))))
+        report = SF.report_only_bundle(SF.order_summary(SF.stock_lines(X.extract_stock_lines(src)))).rows()
         publish_version(report, path, run_id)
     return read_report(spark, path, report.schema)
 
@@ -338,7 +334,7 @@ def per_brand_exports(spark, sf_dir):
     """The per-brand export tables of the non-bundle report, under their names."""
     from skuflow.sources.sinks import per_brand_exports as exports
     out = None
-    for name, df in exports(SF.report_non_bundle(_lines(spark, sf_dir)), "non_bundle").items():
+    for name, df in exports(_non_bundle(spark, sf_dir), "non_bundle").items():
         own = df.select(F.lit(name).alias("table_name"), "order_id", "created_at", "quantity", "warehouse_sku")
         out = own if out is None else out.unionByName(own)
     return out
@@ -354,7 +350,7 @@ def export_views(spark, sf_dir):
     from skuflow.sources.sinks import publish_merged_view, publish_version, publish_views
     path, database = scratch_path(spark, "export-views"), f"views_{uuid.uuid4().hex[:12]}"
     spark.sql(f"CREATE DATABASE `{database}` LOCATION '{path}/db'")
-    report = SF.report_non_bundle(_lines(spark, sf_dir))
+    report = _non_bundle(spark, sf_dir)
     publish_version(report, f"{path}/report_non_bundle", "run-1", sort_within=["order_id"])
     publish_views(spark, f"{path}/report_non_bundle", "non_bundle", report.schema, database=database)
     views = [export_table_name(b, "non_bundle") for b in BRANDS]

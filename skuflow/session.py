@@ -20,6 +20,7 @@ DEFAULT_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.ui.enabled": "false",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",       # no call site for every column: plans are built faster
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
