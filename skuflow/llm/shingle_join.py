@@ -50,6 +50,8 @@ from skuflow.llm.common import Words, components, mix, texts_of, written
 SKETCH = 512
 #: Members of a hub, or of a mixed part, that one task compares at a time.
 BLOCK = 4096
+#: Parts a class is dealt into when its sets get their smallest id.
+SALTS = 16
 #: Pairs of a set that a chunk of parts lets through, round by round; the last round knows no bound.
 ROUNDS = (2, None)
 _M = [np.uint64(0x9E3779B97F4A7C15 + 2 * k * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF | 1) for k in range(16)]
@@ -229,12 +231,28 @@ def _sets(texts: DataFrame, words: int) -> DataFrame:
     return texts.select("text").mapInArrow(run, "node long, codes binary")
 
 
+def _once_a_task(own: DataFrame) -> DataFrame:
+    """(text_hash, text), one row for all copies of a text that a task reads: before any shuffle,
+    so that a group of copies of any size moves as a row a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = np.zeros(0, np.int64)
+        for batch in batches:
+            hashes = batch.column(0).to_numpy()
+            _, first = np.unique(hashes, return_index=True)
+            first = np.sort(first[~np.isin(hashes[first], done)])
+            done = np.concatenate([done, hashes[first]])
+            yield batch.take(pa.array(first))
+
+    return own.select("text_hash", "text").mapInArrow(run, "text_hash long, text string")
+
+
 def _verified(edges: DataFrame, nodes: DataFrame, own: DataFrame, words: int, percent: int) -> DataFrame:
     """The edges (a, b) whose sets reach the threshold; writes them.  Sets are made anew from one
     text of each node in ``edges``.  All partners ``a`` of a hub ``b`` come with their sets, the
     hub's own set comes once per block of partners and is all that is held."""
     chosen = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct().join(nodes, "node").select("text_hash")
-    texts = own.select("text_hash", "text").join(chosen, "text_hash").groupBy("text_hash").agg(F.first("text").alias("text"))
+    texts = _once_a_task(own).join(chosen, "text_hash").groupBy("text_hash").agg(F.first("text").alias("text"))
     whole = written(_sets(texts, words), "shingle-sets")
     blocks = edges.groupBy("b").agg(F.count("*").alias("partners")).select(
         "b", F.ceil(F.col("partners") / BLOCK).cast("int").alias("blocks"))
@@ -376,7 +394,8 @@ def _unlinked_pairs(members: DataFrame, percent: int, most: int | None) -> DataF
 
 
 def link(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row of ``docs``: doc_id, text_hash, node (hash of its set), n_shingles, component_id."""
+    """Per row of ``docs``: doc_id, text_hash, node (hash of its set), n_shingles, component_id
+    (smallest id of its class), class (smallest set of its class; rows of one id may be in several)."""
     if not 50 < percent <= 100:
         raise ValueError("percent must be above 50 and at most 100")
     own = texts_of(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
@@ -418,8 +437,15 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_
         members = listed.join(out.where("key is not null").select("key"), "key", "left_semi").select("key", "node")
         classes = components(links, "shingle-classes")
 
-    named = rows.join(classes, "node", "left").withColumn("class", F.coalesce("component", "node"))
-    lowest = named.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("lowest"))
-    return (named.join(lowest, "class", "left")
+    # a row per set and class before the documents' rows come in; a class of very many sets is dealt by salt
+    low = rows.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("low"))
+    linked = written(classes.join(low, "node").select("node", F.col("component").alias("class"), "low",
+                                                      F.pmod(F.xxhash64("node"), F.lit(SALTS)).alias("salt")), "shingle-linked")
+    lowest = (linked.groupBy("class").agg(F.min("low").alias("lowest"))
+              .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))))
+    named = linked.join(lowest, ["class", "salt"]).select("node", "class", "lowest")
+    single = low.join(classes, "node", "left_anti").select("node", F.col("node").alias("class"), F.col("low").alias("lowest"))
+    return (rows.join(named.union(single), "node", "left")
             .select("doc_id", "text_hash", "node", "n_shingles",
-                    F.when(F.col("n_shingles") > 0, F.col("lowest")).otherwise(F.col("doc_id")).alias("component_id")))
+                    F.when(F.col("n_shingles") > 0, F.col("lowest")).otherwise(F.col("doc_id")).alias("component_id"),
+                    F.coalesce("class", "node").alias("class")))

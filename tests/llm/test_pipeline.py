@@ -95,3 +95,33 @@ def test_messy_rows_pass_every_stage(spark):
     empty = docs.limit(0)
     for _, stage in P.STAGES:
         assert stage(spark, empty, SF).count() == 0
+
+
+def near_kept(spark, rows):
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    return sorted(((r.doc_id, r.text) for r in STAGES["near"](spark, docs.repartition(3), SF).collect()), key=str)
+
+
+def sentence(k, words=60, changed=()):
+    return " ".join(f"x{k}" if j in changed else f"w{k}-{j}" for j in range(words))
+
+
+def test_near_loses_no_group_when_an_id_stands_on_unrelated_texts(spark):
+    a, b, b2 = sentence(1), sentence(2), sentence(2, changed=(59,))
+    assert near_kept(spark, [(1, a), (1, b), (2, b2)]) == sorted([(1, a), (1, b)], key=str)
+    # the group's smallest id is not the one that clashes
+    c, c2 = sentence(3), sentence(3, changed=(0,))
+    assert near_kept(spark, [(5, a), (5, c), (4, c2), (6, b)]) == sorted([(5, a), (4, c2), (6, b)], key=str)
+
+
+def test_near_rows_without_an_id(spark):
+    a, a2, b = sentence(1), sentence(1, changed=(59,)), sentence(2)
+    out = near_kept(spark, [(None, a), (None, a2), (None, b), (None, b), (7, None), (7, ""), (None, " ")])
+    assert len([t for _, t in out if t in (a, a2)]) == 1 and (None, b) in out and len(out) == 4
+    assert near_kept(spark, [(None, a), (9, a2), (None, a)]) == [(9, a2)]
+
+
+def test_near_many_copies(spark):
+    a, near = sentence(1), [sentence(1, changed=(k,)) for k in (0, 59)]
+    rows = [(100 + k, a) for k in range(200)] + [(400 + k, near[k % 2]) for k in range(100)] + [(3, sentence(2))]
+    assert near_kept(spark, rows) == sorted([(100, a), (3, sentence(2))], key=str)
