@@ -40,16 +40,16 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest id of each group; of rows that share this id and group,
-    one.  Rows without an id stay only in groups in which no row has one; empty texts stay."""
+    """Keeps one document of each group: the one of the smallest id (rows without an id come
+    last), of several texts of that id the one of the smallest hash, of equal rows one.  A group is
+    a class of linked sets, whatever ids stand on its rows.  Empty texts stay, once for each id."""
     linked = shingle_join.link(docs, words=5, percent=80)
-    keep = linked.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    # the group's first set: rows of one id may hold several of its texts
-    firsts = keep.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id", "component_id").agg(F.min("text_hash").alias("t1")).select("doc_id", "t1")
-    firsts = firsts.union(keep.where("n_shingles = 0 or doc_id is null").select("doc_id", F.col("text_hash").alias("t1")))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), F.col("doc_id").alias("id"), F.col("text_hash").alias("t1"))).alias("k")
+    keep = linked.where("n_shingles > 0").groupBy("class").agg(first).select(F.col("k.id").alias("doc_id"), F.col("k.t1").alias("t1"))
+    keep = keep.union(linked.where("n_shingles = 0").select("doc_id", F.col("text_hash").alias("t1")))
     row = F.xxhash64("doc_id", "t1").alias("row")                 # null ids are equal here
-    firsts = written(firsts.select("t1", row).distinct(), "near-kept")
-    kept = _hashes(docs).select("*", row).join(firsts, ["t1", "row"], "left_semi").dropDuplicates(["t1", "row"])
+    keep = written(keep.select("t1", row).distinct(), "near-kept")
+    kept = _hashes(docs).select("*", row).join(keep, ["t1", "row"], "left_semi").dropDuplicates(["t1", "row"])
     return kept.select(*COLUMNS)
 
 
