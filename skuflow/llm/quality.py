@@ -80,10 +80,15 @@ def dual_coordinate_descent(doc: np.ndarray, col: np.ndarray, val: np.ndarray, y
                             c: float = 1.0, epochs: int = 12, seed: int = 7) -> np.ndarray:
     """Weights of the L1-loss linear SVM (Hsieh et al., 2008) on ``rows`` (all when None); the last
     weight is the intercept.  Rows are given as ascending (doc, col, val); labels are -1 and 1."""
+    at = np.searchsorted(doc, np.arange(len(y) + 1))
+    return _descend(lambda i: (col[at[i]:at[i + 1]], val[at[i]:at[i + 1]]), _row_sums(doc, val * val, len(y)) + 1, y, rows, c, epochs, seed)
+
+
+def _descend(row, norm: np.ndarray, y: np.ndarray, rows: np.ndarray | None = None, c: float = 1.0, epochs: int = 12, seed: int = 7) -> np.ndarray:
+    """:func:`dual_coordinate_descent` with ``row(i)`` giving a row's (columns, values), so that the
+    values need not be held; ``norm``: the rows' squared lengths plus one."""
     n = len(y)
-    at = np.searchsorted(doc, np.arange(n + 1))
     w, alpha = np.zeros((1 << BITS) + 1), np.zeros(n)
-    norm = _row_sums(doc, val * val, n) + 1
     # the rarer class weighs more, so that both sides count alike
     rows = np.arange(n) if rows is None else rows
     share = np.clip(np.array([(y[rows] < 0).mean(), (y[rows] > 0).mean()]), 1e-3, 1)
@@ -92,7 +97,7 @@ def dual_coordinate_descent(doc: np.ndarray, col: np.ndarray, val: np.ndarray, y
     for _ in range(epochs):
         moved = 0.0
         for i in rng.permutation(rows):
-            cols, vals = col[at[i]:at[i + 1]], val[at[i]:at[i + 1]]
+            cols, vals = row(i)
             g = y[i] * (w[cols] @ vals + w[-1]) - 1
             new = min(max(alpha[i] - g / norm[i], 0.0), upper[i])
             if new != alpha[i]:
@@ -137,18 +142,30 @@ def learn(texts: list[bytes], y: np.ndarray, beta: float = 0.75, min_texts: int
     ratio -= np.log(neg.sum() + size) - np.log(pos.sum() + size)
     ratio -= np.log((seen & (y == 1)).sum() / (seen & (y != 1)).sum())
     ratio[pos + neg < min(min_texts, 1 + n // 100)] = 0
-    used = ratio != 0
-    for k, (col, count) in enumerate(zip(cols, counts)):
-        keep = used[col]
-        counts[k] = np.bincount(np.repeat(np.arange(len(count)), count)[keep], minlength=len(count))
-        cols[k] = col[keep]
-    doc, col = np.repeat(np.arange(n, dtype=np.int32), np.concatenate(counts)), np.concatenate(cols)
-    del cols
-    doc, col, val = _scaled(doc, col, ratio, n)
-    w = dual_coordinate_descent(doc, col, val, np.where(y == 1, 1.0, -1.0), np.flatnonzero(seen))
+    # held are the rows' columns alone: a value is the column's ratio over the row's length
+    used, ratio32 = ratio != 0, ratio.astype(np.float32)
+    length, norm, blocks = np.zeros(n, np.float32), np.zeros(n), []
+    for k, a in enumerate(range(0, n, step)):
+        col, rows = cols[k], np.repeat(np.arange(len(counts[k])), counts[k])
+        col, rows = col[used[col]], rows[used[col]]
+        cols[k] = None
+        own = slice(a, a + len(counts[k]))
+        val = ratio32[col]
+        length[own] = np.maximum(np.sqrt(_row_sums(rows, val * val, len(counts[k]))), 1e-12).astype(np.float32)
+        val /= length[own][rows]
+        norm[own] = _row_sums(rows, val * val, len(counts[k])) + 1
+        blocks.append((col, np.searchsorted(rows, np.arange(len(counts[k]) + 1))))
+
+    def row(i: int) -> tuple[np.ndarray, np.ndarray]:
+        col, at = blocks[i // step]
+        own = col[at[i % step]:at[i % step + 1]]
+        return own, ratio32[own] / length[i]
+
+    w = _descend(row, norm, np.where(y == 1, 1.0, -1.0), np.flatnonzero(seen))
     mean = np.abs(w[:-1]).sum() / max(1, (w[:-1] != 0).sum())
     w[:-1] = (1 - beta) * mean + beta * w[:-1]
-    margin = _row_sums(doc, val * w.astype(np.float32)[col], n) + w[-1]
+    w32 = w.astype(np.float32)
+    margin = np.array([float((vals * w32[own]).sum(dtype=np.float64)) for own, vals in map(row, range(n))]) + w[-1]
     a, b = logistic_curve(margin[~seen] if not seen.all() else margin, y[~seen] if not seen.all() else y)
     return {"prior": prior, "weights": (w[:-1] * a).astype(np.float32), "bias": float(w[-1] * a + b), "ratio": ratio.astype(np.float32)}
 

@@ -231,28 +231,18 @@ def _sets(texts: DataFrame, words: int) -> DataFrame:
     return texts.select("text").mapInArrow(run, "node long, codes binary")
 
 
-def _once_a_task(own: DataFrame) -> DataFrame:
-    """(text_hash, text), one row for all copies of a text that a task reads: before any shuffle,
-    so that a group of copies of any size moves as a row a task."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done = np.zeros(0, np.int64)
-        for batch in batches:
-            hashes = batch.column(0).to_numpy()
-            _, first = np.unique(hashes, return_index=True)
-            first = np.sort(first[~np.isin(hashes[first], done)])
-            done = np.concatenate([done, hashes[first]])
-            yield batch.take(pa.array(first))
-
-    return own.select("text_hash", "text").mapInArrow(run, "text_hash long, text string")
+def _pick(doc_id: str = "doc_id"):
+    """The id of a row as a key; rows without one share a key of their own."""
+    return F.coalesce(F.col(doc_id), F.lit(-(1 << 63)))
 
 
 def _verified(edges: DataFrame, nodes: DataFrame, own: DataFrame, words: int, percent: int) -> DataFrame:
     """The edges (a, b) whose sets reach the threshold; writes them.  Sets are made anew from one
     text of each node in ``edges``.  All partners ``a`` of a hub ``b`` come with their sets, the
     hub's own set comes once per block of partners and is all that is held."""
-    chosen = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct().join(nodes, "node").select("text_hash")
-    texts = _once_a_task(own).join(chosen, "text_hash").groupBy("text_hash").agg(F.first("text").alias("text"))
+    chosen = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct().join(nodes, "node").select("text_hash", "pick")
+    # by hash and id: of a group of copies one row is looked for, and the group's rows are dealt by their ids
+    texts = own.select("text_hash", _pick().alias("pick"), "text").join(chosen, ["text_hash", "pick"]).groupBy("text_hash").agg(F.first("text").alias("text"))
     whole = written(_sets(texts, words), "shingle-sets")
     blocks = edges.groupBy("b").agg(F.count("*").alias("partners")).select(
         "b", F.ceil(F.col("partners") / BLOCK).cast("int").alias("blocks"))
@@ -404,8 +394,9 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_
     kept = written(by_key.where("sketch is not null or node <> m"), "shingle-parts")
     rows = kept.where("sketch is not null").select("doc_id", "text_hash", "node", "n_shingles", "sketch")
     parts = kept.where("sketch is null").select("key", "node", "m").distinct()
-    nodes = written(rows.groupBy("node").agg(F.min("text_hash").alias("text_hash"), F.min("n_shingles").alias("n"),
-                                             F.min("sketch").alias("sketch")), "shingle-nodes")
+    nodes = rows.groupBy("node").agg(F.min(F.struct("text_hash", _pick().alias("pick"))).alias("one"), F.min("n_shingles").alias("n"),
+                                     F.min("sketch").alias("sketch"))
+    nodes = written(nodes.select("node", "one.text_hash", "one.pick", "n", "sketch"), "shingle-nodes")
     seen = [nodes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}")) for c in "ab"]
 
     def meet(pairs: DataFrame, tried: DataFrame | None) -> DataFrame:
