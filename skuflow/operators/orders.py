@@ -41,17 +41,18 @@ def orders_per_email(orders_x: DataFrame) -> DataFrame:
             .groupBy("brand", "email").agg(F.count(F.lit(1)).alias("order_count")))
 
 
-def email_first_orders(orders: DataFrame, eligible: Column) -> DataFrame:
+def email_first_orders(orders: DataFrame, eligible: Column, carry: Column | None = None, also: tuple[Column, ...] = ()) -> DataFrame:
     """First eligible order per email, plus the email's total order count.
 
     One partial aggregate over all of the email's orders (A1 + A2 + J7):
     ``first_order_id`` = min id and ``first_order_date`` = min created_at, taken
     independently, over rows where ``eligible`` holds; ``customer_id`` and
     ``first_is_subscription`` come from the min-id eligible order;
-    ``order_count`` counts all rows.  Emails without an eligible order are dropped.
+    ``order_count`` counts all rows; ``carry`` is taken from the min-id eligible
+    order as well, ``also`` are further aggregates over all rows.  Emails without an eligible order are dropped.
 
     brand, email, first_order_id, first_order_date, customer_id,
-    first_is_subscription, order_count
+    first_is_subscription, order_count, carried (with ``carry``), ``also``
     """
     ok = F.coalesce(eligible, F.lit(False))
     eligible_id = F.when(ok, F.col("id"))
@@ -61,7 +62,8 @@ def email_first_orders(orders: DataFrame, eligible: Column) -> DataFrame:
                 _min_where(ok, F.col("created_at")).alias("first_order_date"),
                 F.min_by("customer_id", eligible_id).alias("customer_id"),
                 F.min_by("is_subscription", eligible_id).alias("first_is_subscription"),
-                F.count(F.lit(1)).alias("order_count")))
+                F.count(F.lit(1)).alias("order_count"),
+                *([] if carry is None else [F.min_by(carry, eligible_id).alias("carried")]), *also))
     return agg.where(F.col("first_order_id").isNotNull())
 
 
@@ -131,6 +133,51 @@ def first_two_items(items_x: DataFrame) -> DataFrame:
                       F.col("_f.quantity").alias("first_product_quantity"), "second_product_name")
 
 
+def second_item_names(items_x: DataFrame) -> DataFrame:
+    """Name of every order's second item (W1); at most two rows of an order leave a task.
+
+    brand, order_id, second_product_name
+    """
+    return (ranked_items(items_x.select("brand", "order_id", "id", "product_name", F.lit(None).alias("variant_name"), F.lit(None).alias("quantity")), 2)
+            .where(F.col("rn") == 2).select("brand", "order_id", F.col("product_name").alias("second_product_name")))
+
+
+def item_facts(items_x: DataFrame) -> DataFrame:
+    """All per-order item facts of the two customer reports (A3, A6-A8, J10-J13, W1), from one pass
+    over the items: an aggregate per (order, name), then one per order, both with partial
+    aggregation, so that an order of any size moves as a row per name.
+
+    brand, order_id, total_items_count, and as structs:
+    ``first``: product_name, product_variant, product_quantity of the first item in item order,
+    ``same_product`` (another item id has its name; NULL equals NULL);
+    ``nonnull``: the first non-NULL product_name, product_variant, product_quantity, column by
+    column, ``same_product`` (more than one row has that name).
+    """
+    idc, name = F.col("id"), F.col("product_name")
+    names = items_x.groupBy("brand", "order_id", "product_name").agg(
+        F.count(F.lit(1)).alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi"),
+        F.min(F.struct(idc, "variant_name", "quantity")).alias("row"),
+        F.min(F.when(F.col("variant_name").isNotNull(), F.struct(idc, F.col("variant_name").alias("value")))).alias("v"),
+        F.min(F.when(F.col("quantity").isNotNull(), F.struct(idc, F.col("quantity").alias("value")))).alias("q"))
+
+    def first(at: Column, value: Column, there: Column) -> Column:
+        """``value`` of the name whose row ``at`` comes first in item order, of those that have one."""
+        return F.min(F.when(there, F.struct(at.alias("at"), name.isNull().alias("none"), name.alias("name"), value.alias("value"))))["value"]
+
+    lo, row = F.col("lo"), F.col("row")
+    own = F.struct(name.alias("product_name"), row["variant_name"].alias("product_variant"), row["quantity"].alias("product_quantity"),
+                   (lo != F.col("hi")).alias("same_product"))
+    out = names.groupBy("brand", "order_id").agg(
+        F.sum("n").alias("total_items_count"), first(lo, own, F.lit(True)).alias("first"),
+        first(lo, F.struct(name.alias("name"), F.col("n").alias("n")), name.isNotNull()).alias("named"),
+        first(F.col("v.id"), F.col("v.value"), F.col("v").isNotNull()).alias("variant"),
+        first(F.col("q.id"), F.col("q.value"), F.col("q").isNotNull()).alias("quantity"))
+    return out.select("brand", "order_id", "total_items_count", "first",
+                      F.struct(F.col("named.name").alias("product_name"), F.col("variant").alias("product_variant"),
+                               F.col("quantity").alias("product_quantity"),
+                               F.coalesce(F.col("named.n") > 1, F.lit(False)).alias("same_product")).alias("nonnull"))
+
+
 def same_product_by_id(items_x: DataFrame, firsts: DataFrame, keep=()) -> DataFrame:
     """Retention's same-product test (J10, J11, W7): does the order hold another
     item id whose name equals the first item's name?  NULL equals NULL here.

@@ -1,12 +1,11 @@
 """C1 ``retention_table``: one row per (brand, email) that has an order with items.
 
-Plan shape: one partial aggregate per email over all valid orders (first
-order with items, order count, subscription of the first order), a top-2
-window per email for the second order, and per-order item facts from partial
-aggregates and a top-2 window over the item table, joined to the email rows
-by order id.  The item side does not depend on the order side, so each input
-is scanned and shuffled once (AQE reuses identical stages).  No Python, no
-pairs, no unbounded group collection.
+Plan shape: the items become one row of facts per order (an aggregate per name, one
+per order, and the second item's name from a top-2 window); the orders take their
+facts in one join by order id; then one partial aggregate per email finds the first
+order with items, its facts and the order count, and a top-2 window the second
+order with its facts.  No order is looked up again by id.  No Python, no pairs, no
+unbounded group collection.
 """
 
 from __future__ import annotations
@@ -24,51 +23,31 @@ RETENTION_COLUMNS = (
 )
 
 
-def first_order_item_facts(items_x: DataFrame) -> DataFrame:
-    """Per-order item facts retention needs, from three partial aggregates
-    over the item table (no dependency on the order side):
-
-    brand, order_id, first_product_name, first_product_variant,
-    first_product_quantity, second_product_name, same_product,
-    total_items_count
-    """
-    two = ops.first_two_items(items_x)
-    same = ops.same_product_by_id(items_x, two, keep=["first_product_variant", "first_product_quantity",
-                                                      "second_product_name"])
-    return same.join(ops.item_order_counts(items_x), ["brand", "order_id"])
-
-
 def retention_base(orders_x: DataFrame, items_x: DataFrame) -> DataFrame:
     """Retention rows before missing values are filled.
 
     Columns of :data:`RETENTION_COLUMNS`, with NULL where the reference has
     NaN, plus ``second_order_id``.
     """
-    counts = ops.item_order_counts(items_x).withColumnRenamed("order_id", "id")
-    firsts = ops.email_first_orders(orders_x.join(counts, ["brand", "id"], "left"),
-                                    F.col("total_items_count").isNotNull())
-    base = firsts.join(ops.second_order_by_email(orders_x), ["brand", "email"], "left")
-
-    facts = first_order_item_facts(items_x)
-    keep = ["customer_id", "first_order_date", "order_count", "first_order_id", "first_is_subscription",
-            "second_order_id"]
-    x = ops.attach_order_facts(base, ["brand", "email"], {1: "first_order_id", 2: "second_order_id"},
-                               facts, keep, how="left")
-    f, s = F.col("role_1"), F.col("role_2")
-    total = F.coalesce(f["total_items_count"], F.lit(0))
-    in_first = F.coalesce(f["second_product_name"], F.lit(""))
-    from_second = F.coalesce(s["first_product_name"], F.lit(""))
+    facts = ops.item_facts(items_x).select("brand", F.col("order_id").alias("id"), "total_items_count", "first")
+    names = ops.second_item_names(items_x).withColumnRenamed("order_id", "id")
+    second = ops.second_order_by_email(orders_x).select("brand", F.col("second_order_id").alias("id"), F.lit(True).alias("is_second"))
+    key = ["brand", "id"]
+    told = orders_x.join(facts.join(names, key, "left"), key, "left").join(second, key, "left")
+    x = ops.email_first_orders(
+        told, F.col("total_items_count").isNotNull(), F.struct("total_items_count", "first", "second_product_name"),
+        (F.max(F.when(F.col("is_second"), F.struct(F.col("id").alias("id"), F.col("first.product_name").alias("name")))).alias("second"),))
+    f, total = F.col("carried.first"), F.col("carried.total_items_count")
+    in_first = F.coalesce(F.col("carried.second_product_name"), F.lit(""))
     return x.select(
         "brand", "email", "customer_id", "first_order_date", "order_count", "first_order_id",
-        f["first_product_name"].alias("first_product_name"),
-        f["first_product_variant"].alias("first_product_variant"),
-        f["first_product_quantity"].alias("first_product_quantity"),
-        f["total_items_count"].alias("first_order_total_item_count"),
+        f["product_name"].alias("first_product_name"), f["product_variant"].alias("first_product_variant"),
+        f["product_quantity"].alias("first_product_quantity"), total.alias("first_order_total_item_count"),
         F.col("first_is_subscription").alias("first_order_subscription"),
-        ((total > 1) & F.coalesce(f["same_product"], F.lit(False))).alias("bought_upsell_more_of_the_same"),
+        ((total > 1) & f["same_product"]).alias("bought_upsell_more_of_the_same"),
         (total > 1).alias("bought_any_upsell"),
-        F.when(in_first != "", in_first).otherwise(from_second).alias("second_item_product_name"),
-        "second_order_id")
+        F.when(in_first != "", in_first).otherwise(F.coalesce(F.col("second.name"), F.lit(""))).alias("second_item_product_name"),
+        F.col("second.id").alias("second_order_id"))
 
 
 def fill_retention(base: DataFrame) -> DataFrame:

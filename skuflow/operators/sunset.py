@@ -52,8 +52,7 @@ def sunset_table(orders_x: DataFrame, items_x: DataFrame, orders: DataFrame | No
     aggregates over the whole item table, attached to both orders of a pair
     in one join (:func:`skuflow.operators.orders.attach_order_facts`)."""
     pairs = order_pairs(orders_x, orders)
-    facts = ops.same_product_by_rows(items_x, ops.first_nonnull_item(items_x),
-                                     keep=["first_product_variant", "first_product_quantity"])
+    facts = ops.item_facts(items_x).select("brand", "order_id", "total_items_count", "nonnull")
     keep = ["customer_id", "first_order_date", "second_order_date", "days_between_first_and_second_order",
             "first_order_id", "second_order_id", "order_count", "second_is_subscription"]
     x = ops.attach_order_facts(pairs, ["brand", "email"], {1: "first_order_id", 2: "second_order_id"},
@@ -62,10 +61,10 @@ def sunset_table(orders_x: DataFrame, items_x: DataFrame, orders: DataFrame | No
     return x.where(f.isNotNull() & s.isNotNull()).select(
         "brand", "email", "customer_id", "first_order_date", "second_order_date",
         "days_between_first_and_second_order", "first_order_id", "second_order_id", "order_count",
-        f["first_product_name"].alias("first_product_name"),
-        f["first_product_variant"].alias("first_product_variant"),
-        f["first_product_quantity"].alias("first_product_quantity"),
-        f["first_order_total_item_count"].alias("first_order_total_item_count"),
+        f["nonnull"]["product_name"].alias("first_product_name"),
+        f["nonnull"]["product_variant"].alias("first_product_variant"),
+        f["nonnull"]["product_quantity"].alias("first_product_quantity"),
+        f["total_items_count"].alias("first_order_total_item_count"),
         F.col("second_is_subscription").alias("first_order_subscription"),
-        s["first_product_name"].alias("second_order_first_product_name"),
-        f["same_product"].alias("bought_upsell_more_of_the_same"))
+        s["nonnull"]["product_name"].alias("second_order_first_product_name"),
+        (f["nonnull"]["same_product"] & (f["total_items_count"] > 1)).alias("bought_upsell_more_of_the_same"))

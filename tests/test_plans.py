@@ -49,3 +49,36 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "PushedFilters" in plan
     orders_scan = [ln for ln in plan.splitlines() if "ReadSchema" in ln and "o_orderkey" in ln]
     assert orders_scan and "o_clerk" not in orders_scan[0]
+
+
+@pytest.mark.parametrize("name, most", [("retention_table", 9), ("sunset_table", 7)])
+def test_customer_reports_share_one_frame_of_item_facts(reports, name, most):
+    plan = PI.plan_text(reports.as_dict()[name])
+    assert PI.distinct_shuffles(plan) <= most           # the fixture's item ids among them
+    by_name = {e for e in PI.hash_exchanges(plan) if "order_id" in e and "product_name" in e}
+    assert len(by_name) == 1
+
+
+def test_item_facts_equal_the_single_blocks(spark):
+    from pyspark.sql import functions as F
+
+    from skuflow.operators import orders as O
+    from skuflow.operators.extract import extract_items
+
+    items = extract_items(from_testdata(spark, SF_MID))
+    key = ["brand", "order_id"]
+    facts = O.item_facts(items).join(O.second_item_names(items), key, "left")
+    two = O.first_two_items(items)
+    by_id = O.same_product_by_id(items, two, keep=["first_product_variant", "first_product_quantity", "second_product_name"])
+    by_rows = O.same_product_by_rows(items, O.first_nonnull_item(items), keep=["first_product_variant", "first_product_quantity"])
+    counts = O.item_order_counts(items)
+
+    def hashed(df, *cols):
+        return df.agg(F.count("*"), F.sum(F.xxhash64(*key, *cols).cast("decimal(38,0)"))).first()
+
+    assert hashed(facts, "total_items_count") == hashed(counts, "total_items_count")
+    assert hashed(facts, "first.product_name", "first.product_variant", "first.product_quantity", "first.same_product", "second_product_name") == \
+        hashed(by_id, "first_product_name", "first_product_variant", "first_product_quantity", "same_product", "second_product_name")
+    assert hashed(facts, "total_items_count", "nonnull.product_name", "nonnull.product_variant", "nonnull.product_quantity",
+                  F.col("nonnull.same_product") & (F.col("total_items_count") > 1)) == \
+        hashed(by_rows, "first_order_total_item_count", "first_product_name", "first_product_variant", "first_product_quantity", "same_product")
