@@ -50,6 +50,8 @@ from skuflow.llm.common import Words, components, mix, texts_of, written
 SKETCH = 512
 #: Members of a hub, or of a mixed part, that one task compares at a time.
 BLOCK = 4096
+#: Words of sketches that are compared at a time: few, so that they stay in the cache.
+WORDS = 1 << 17
 #: Parts a class is dealt into when its sets get their smallest id.
 SALTS = 16
 #: Pairs of a set that a chunk of parts lets through, round by round; the last round knows no bound.
@@ -302,8 +304,8 @@ def _unlinked_pairs(members: DataFrame, percent: int, most: int | None) -> DataF
         words = np.minimum(c["words"][x], c["words"][y])
         for w in np.unique(words):
             same = np.flatnonzero(words == w)
-            for k in range(0, len(same), max(1, 2_000_000 // int(w))):
-                p = same[k:k + max(1, 2_000_000 // int(w))]
+            for k in range(0, len(same), max(1, WORDS // int(w))):
+                p = same[k:k + max(1, WORDS // int(w))]
                 # a quarter of the words alone rules most pairs out
                 apart = np.bitwise_count(folded(x[p], w, c, w // 4) ^ folded(y[p], w, c, w // 4)).sum(1, dtype=np.int64)
                 p = p[apart * (100 + percent) <= (c["n"][x[p]] + c["n"][y[p]]) * (100 - percent)]
