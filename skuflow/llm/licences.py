@@ -14,18 +14,21 @@ half of them with a cue.
 is set so that at most one in ``1 / false_rate`` unknown paragraphs passes; below
 it a paragraph is unknown.
 
-*Spans.*  A notice may be wrapped, so not only each line is scored but also each
-run of neighbouring lines that a notice can stretch over: the lines between the
+*Spans.*  A line may hold several notices, so it is cut where a sentence ends and before
+an "and" or "or" behind a licence; a tag ``SPDX-License-Identifier`` with several
+licences counts as a tag for each.  A notice may be wrapped, so not only each such piece is
+scored but also each run of neighbouring ones that a notice can stretch over: those between the
 first and the last have at most as many words as the longest template, and of these
-two the ``REACH`` words next to them count.  Blank lines end a run, marks of
+two as many words next to them as two such templates count.  Blank lines end a run, marks of
 comments at the start of a line are left out.
 
 *Confirmation.*  A predicted family counts only if the span contains at least
-``least_share`` of the word pairs of one of the family's templates, and more than
-of any other family's, or else a pair that only this family's templates have: the
-first half of a wrapped notice that several families begin alike names none of them.
-Of overlapping spans of a family the one with the most word pairs of a template counts,
-the shortest of these.  A span has one family, so of two notices on one line one is named.
+``least_share`` of the word pairs of one of the family's templates, and a pair that only
+this family's templates have, or else more of its templates than of any other family's and
+no pair that only another family's have: the first half of a wrapped notice that several
+families begin alike names none of them, and words between a template's that name another licence
+rule it out.  Of overlapping spans of a family the one with the most word pairs of a template counts,
+the shortest of these.
 
 A span that can be confirmed holds most of a template's word pairs, so it holds
 one of the words (``cues``) without which too few pairs are left.  Every line of
@@ -35,11 +38,14 @@ whatever the classifier says.  All of this is map-only; only the spans found are
 
 Cases: null and empty texts have no paragraphs; null ids, repeated rows and
 further columns are kept, row by row; an empty table gives no rows (and its
-model knows no unknown paragraphs).
+model knows no unknown paragraphs).  Of families with equal probability the first by name is
+predicted; of spans that hold equally many pairs the one that ends first counts.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
@@ -50,8 +56,11 @@ from skuflow.llm.common import written
 
 UNKNOWN = "unknown"
 # Families and the notices by which each is commonly given; a short notice has a
-# template of its own, as it holds too little of a longer one.  Three words and more.
+# template of its own, as it holds too little of a longer one.
 TEMPLATES = {
+    "agpl": ("This work is licensed under the GNU Affero General Public License, version 3.", "Licensed under the GNU AGPL v3 or later.",
+             "GNU Affero General Public License",
+             "This program is free software: you can redistribute it and or modify it under the terms of the GNU Affero General Public License."),
     "apache-2.0": ("Licensed under the Apache License, Version 2.0.",
                    "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
                    "This project is released under the Apache 2.0 license.", "Apache License 2.0"),
@@ -61,14 +70,25 @@ TEMPLATES = {
     "cc-by": ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "Licensed under CC BY 4.0.", "CC BY 4.0"),
     "cc-by-nc": ("Licensed under CC BY-NC 4.0.", "CC BY-NC 4.0",
                  "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    "cc-by-nc-nd": ("Licensed under CC BY-NC-ND 4.0.", "CC BY-NC-ND 4.0",
+                    "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
+    "cc-by-nc-sa": ("Licensed under CC BY-NC-SA 4.0.", "CC BY-NC-SA 4.0",
+                    "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    "cc-by-nd": ("Licensed under CC BY-ND 4.0.", "CC BY-ND 4.0",
+                 "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
     "cc-by-sa": ("Licensed under CC BY-SA 4.0.", "CC BY-SA 4.0",
                  "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     "cc0": ("Released into the public domain under CC0 1.0 Universal.", "CC0 1.0 Universal",
             "To the extent possible under law, the author has waived all copyright and related rights to this work."),
+    "epl-2.0": ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.",
+                "Licensed under the Eclipse Public License, version 2.0.", "Eclipse Public License"),
     "gpl": ("This work is licensed under the GNU General Public License, version 3.", "Licensed under the GNU GPL v3 or later.", "GNU General Public License",
             "This program is free software: you can redistribute it and or modify it under the terms of the GNU General Public License."),
+    "isc": ("Permission to use, copy, modify, and or distribute this software for any purpose with or without fee is hereby granted.",
+            "Licensed under the ISC License.", "The ISC License"),
     "lgpl": ("This library is licensed under the GNU Lesser General Public License, version 3.", "Licensed under the GNU LGPL v2.1 or later.",
-             "GNU Lesser General Public License"),
+             "GNU Lesser General Public License",
+             "This library is free software: you can redistribute it and or modify it under the terms of the GNU Lesser General Public License."),
     "mit": ("Released under the MIT License.", "This project is licensed under the terms of the MIT license.", "The MIT License (MIT)",
             "Permission is hereby granted, free of charge, to any person obtaining a copy of this software."),
     "mpl-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
@@ -76,11 +96,36 @@ TEMPLATES = {
     "proprietary": ("All rights reserved. No part of this publication may be reproduced without prior written permission.",
                     "This document is confidential and proprietary; redistribution is prohibited.",
                     "All rights reserved.", "Confidential and proprietary.", "Strictly private and confidential."),
+    "unlicense": ("This is free and unencumbered software released into the public domain.", "Released under the Unlicense.",
+                  "Dedicated to the public domain under the Unlicense."),
+}
+# The names of the families in SPDX tags.
+SPDX = {
+    "agpl": ("AGPL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later"), "apache-2.0": ("Apache-2.0",), "bsd": ("BSD-2-Clause", "BSD-3-Clause"),
+    "cc-by": ("CC-BY-3.0", "CC-BY-4.0"), "cc-by-nc": ("CC-BY-NC-3.0", "CC-BY-NC-4.0"), "cc-by-nc-nd": ("CC-BY-NC-ND-3.0", "CC-BY-NC-ND-4.0"),
+    "cc-by-nc-sa": ("CC-BY-NC-SA-3.0", "CC-BY-NC-SA-4.0"), "cc-by-nd": ("CC-BY-ND-3.0", "CC-BY-ND-4.0"), "cc-by-sa": ("CC-BY-SA-3.0", "CC-BY-SA-4.0"),
+    "cc0": ("CC0-1.0",), "epl-2.0": ("EPL-2.0",),
+    "gpl": ("GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later"), "isc": ("ISC",),
+    "lgpl": ("LGPL-2.1", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0", "LGPL-3.0-only", "LGPL-3.0-or-later"),
+    "mit": ("MIT",), "mpl-2.0": ("MPL-2.0",), "unlicense": ("Unlicense",),
 }
+TAG = "SPDX-License-Identifier"
+
+
+def notices(family: str) -> tuple[str, ...]:
+    """The templates of a family, its tags included."""
+    return (*TEMPLATES[family], *(f"{TAG}: {name}" for name in SPDX.get(family, ())))
+
+
 FEATURES = 1 << 13
 VARIANTS = 24
 #: What ends a line, and what a line of a comment may begin with.
 BREAK = r"\r\n|\r|\n"
+#: Where a line is cut: behind a sentence, and before a second licence.
+CUT = r"(?<=[.;!?])[\x20\t]+(?=\p{Lu})|(?<=(?i:licen[cs]e)|[0-9])[\x20\t]+(?=(?i:and|or)[\x20\t])"
+#: A tag, and what stands between its names.
+TAGGED = rf"(?i)^.*?{TAG}:[\x20\t]*"
+BETWEEN = r"[\x20\t]*[()]+[\x20\t]*|[\x20\t]+(?i:and|or|with)[\x20\t]+"
 MARK = r"^[^\p{L}\p{N}]+|^[^\p{L}\p{N}]*(?i:rem|dnl)\s+[^\p{L}\p{N}]*"
 #: What separates words: everything but letters, digits, and dots and hyphens between them.
 NOT_WORD = r"(?:[^\p{L}\p{N}.-]|[.-](?![\p{L}\p{N}]))+"
@@ -114,15 +159,25 @@ def paragraphs(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def _longest() -> int:
-    return max(len(_plain_words(text)) for texts in TEMPLATES.values() for text in texts)
+    return max(len(_plain_words(text)) for family in TEMPLATES for text in notices(family))
+
+
+def pieces(text: Column) -> Column:
+    """The lines of a text, cut where several notices may stand on one; a tag with several names as one for each."""
+    def tags(line: Column) -> Column:
+        names = F.filter(F.split(F.regexp_replace(line, TAGGED, ""), BETWEEN), lambda x: x != "")
+        return F.transform(names, lambda x: F.concat(F.lit(TAG + ": "), x))
+
+    cut = lambda line: F.when(line.rlike(TAGGED), tags(line)).otherwise(F.split(line, CUT))
+    return F.flatten(F.transform(F.split(text, BREAK), cut))
 
 
 def spans(rows: DataFrame, least_share: float, text_col: str = "text") -> DataFrame:
-    """``rows`` with ``first``, ``last`` (numbers of lines) and ``words`` in place of the text: each line with
-    a cue, and each run of neighbouring lines with one that a notice may be wrapped over."""
+    """``rows`` with ``first``, ``last`` (numbers of pieces) and ``words`` in place of the text: each piece with
+    a cue, and each run of neighbouring pieces with one that a notice may be wrapped over."""
     longest = _longest()
     reach = 2 * longest                                 # words of the outer lines of a run
-    line = F.transform(F.split(rows[text_col], BREAK), lambda t: F.struct(
+    line = F.transform(pieces(rows[text_col]), lambda t: F.struct(
         _words(F.regexp_replace(t, MARK, "")).alias("w"), _cued(t, least_share).alias("c")))
     none = F.expr("cast(array() as array<struct<first:int,last:int,words:array<string>>>)")
     # through explode, so that the lines are made once and not for each of them
@@ -155,8 +210,8 @@ def cues(least_share: float) -> list[str]:
     """Words of which every confirmed paragraph holds one: of each template the longest words,
     until the pairs without them are fewer than a confirmation needs."""
     out: set[str] = set()
-    for texts in TEMPLATES.values():
-        for text in texts:
+    for family in TEMPLATES:
+        for text in notices(family):
             words = _plain_words(text)
             pairs = {p for p in zip(words, words[1:])}
             own: set[str] = set()
@@ -175,7 +230,7 @@ def _cued(line: Column, least_share: float) -> Column:
 
 
 def _templates(spark: SparkSession) -> DataFrame:
-    rows = [(family, text) for family, texts in TEMPLATES.items() for text in texts]
+    rows = [(family, text) for family in TEMPLATES for text in notices(family)]
     return spark.createDataFrame(rows, "family string, notice string").select("family", "notice", _words(F.col("notice")).alias("words"))
 
 
@@ -189,34 +244,50 @@ class Model:
         """``rows`` with ``family`` for each of their ``words`` (null: no licence) and ``held``, the most word pairs of one of its
         templates.  Rows that no template confirms are left out."""
         # written, so that the many uses of the shares and of the scores do not work them out again
-        near = written(rows.withColumn("_own", F.array_distinct(_pairs(F.col("words"))))
-                       .select(*rows.columns, *self._shares(), self._named().alias("named"))
-                       .where(F.array_max("share") >= self.least_share), "licence-spans")
+        own = rows.withColumn("_own", F.array_distinct(_pairs(F.col("words"))))
+        own = own.select("*", self._held().alias("_held"))
+        # through inline, so that the filter does not work the shares out once more
+        near = own.select(*rows.columns, F.inline(F.array(F.struct(*self._shares(), self._named().alias("named")))))
+        near = written(near.where(F.array_max("share") >= self.least_share), "licence-spans")
         scored = written(self.fitted.transform(_featured(near)).select(*near.columns, vector_to_array("probability").alias("p")), "licence-scores")
         best = F.array_max(F.slice("p", 2, len(self.families)))            # class 0 is unknown
         guess = F.array_position(F.slice("p", 2, len(self.families)), best).cast("int")
         passed = (best >= self.least) & (best > F.element_at("p", 1))
         own = F.element_at("share", F.col("_guess"))
-        clear = F.element_at("named", F.col("_guess")) | (F.size(F.filter("share", lambda x: x >= own)) == 1)
+        alone = (F.size(F.filter("share", lambda x: x >= own)) == 1) & ~F.exists("named", lambda x: x)
+        clear = F.element_at("named", F.col("_guess")) | alone
         known = F.array(*map(F.lit, self.families))
         return (scored.withColumn("_guess", guess)
                 .withColumn("family", F.when(passed & (own >= self.least_share) & clear, F.element_at(known, F.col("_guess"))))
                 .withColumn("held", F.element_at("most", F.col("_guess"))).drop("p", "share", "most", "named", "_guess"))
 
+    def _held(self) -> Column:
+        """Per template: its family's number, its word pairs, and how many of them ``_own`` holds."""
+        rows = [{"f": i, "pairs": pairs} for i, family in enumerate(self.families) for pairs in map(_pairs_of, notices(family))]
+        templates = F.from_json(F.lit(json.dumps(rows)), "array<struct<f:int,pairs:array<string>>>")
+        return F.transform(templates, lambda t: F.struct(t["f"].alias("f"), F.size(t["pairs"]).alias("of"),
+                                                         F.size(F.array_intersect("_own", t["pairs"])).alias("k")))
+
     def _shares(self) -> list[Column]:
-        """Per family: the largest share of a template's word pairs that ``_own`` holds, and the most pairs of a template confirmed."""
-        share, most = [], []
-        for family in self.families:
-            n = [(F.size(F.array_intersect("_own", F.array(*map(F.lit, pairs)))), float(len(pairs))) for pairs in map(_pairs_of, TEMPLATES[family])]
-            share.append(F.greatest(F.lit(0.0), *(k / F.lit(of) for k, of in n)))
-            most.append(F.greatest(F.lit(0), *(F.when(k / F.lit(of) >= self.least_share, k).otherwise(0) for k, of in n)))
-        return [F.array(*share).alias("share"), F.array(*most).alias("most")]
+        """Per family: the largest share of a template's word pairs that a span holds, and the most pairs of a template confirmed."""
+        numbers = F.sequence(F.lit(0), F.lit(len(self.families) - 1))
+
+        def best(value) -> Column:
+            return F.transform(numbers, lambda f: F.array_max(F.transform(F.filter("_held", lambda h: h["f"] == f), value)))
+
+        confirmed = lambda h: F.when(h["k"] / h["of"] >= self.least_share, h["k"]).otherwise(0)
+        return [best(lambda h: h["k"] / h["of"]).alias("share"), best(confirmed).alias("most")]
 
     def _named(self) -> Column:
         """Per family: whether ``_own`` holds a word pair that no other family's templates have."""
-        pairs = {family: {p for text in texts for p in _pairs_of(text)} for family, texts in TEMPLATES.items()}
-        only = [sorted(pairs[f] - {p for g in pairs if g != f for p in pairs[g]}) for f in self.families]
-        return F.array(*(F.arrays_overlap("_own", F.array(*map(F.lit, own))) for own in only))
+        only = F.from_json(F.lit(json.dumps(only_pairs(self.families))), "array<array<string>>")
+        return F.transform(only, lambda own: F.arrays_overlap("_own", own))
+
+
+def only_pairs(families: list[str]) -> list[list[str]]:
+    """Per family the word pairs that only its templates have."""
+    pairs = {family: {p for text in notices(family) for p in _pairs_of(text)} for family in families}
+    return [sorted(pairs[f] - {p for g in families if g != f for p in pairs[g]}) for f in families]
 
 
 def _plain_words(text: str) -> list[str]:
@@ -234,7 +305,7 @@ def train(docs: DataFrame, text_col: str = "text", max_unknown: int = 4000, fals
     """Fit on the templates' variants and on at most ``max_unknown`` paragraphs of the corpus; runs now."""
     spark = docs.sparkSession
     templates = _templates(spark)
-    marks = F.array(*(F.lit(t) for t in sorted({" ".join(w[k:k + 3]) for ts in TEMPLATES.values() for w in map(_plain_words, ts) for k in range(len(w) - 2)})))
+    marks = F.array(*(F.lit(t) for t in sorted({" ".join(w[k:k + 3]) for f in TEMPLATES for w in map(_plain_words, notices(f)) for k in range(len(w) - 2)})))
     lines = paragraphs(docs.select(docs[text_col].alias("_t")), "_t").select("line", F.xxhash64(F.lower("line")).alias("h"))
     # paragraphs of the smallest hashes, whatever the order of the rows and however often they occur
     half = max_unknown // 2
@@ -242,7 +313,7 @@ def train(docs: DataFrame, text_col: str = "text", max_unknown: int = 4000, fals
         lines.where(_cued(F.col("line"), least_share)).select("h").distinct().orderBy("h").limit(half)).distinct()
     unknown = written(lines.join(F.broadcast(least), "h").groupBy("h").agg(F.min("line").alias("line"))        # max_unknown rows
                       .select(F.lit(UNKNOWN).alias("family"), F.slice(_words(F.col("line")), 1, 200).alias("words"), "h")
-                      .where(~F.arrays_overlap(_triples(F.col("words")), marks)), "licence-unknown")
+                      .where(~F.arrays_overlap(_triples(F.col("words")), marks) & ~F.array_contains("words", TAG.lower())), "licence-unknown")
     around = (unknown.orderBy("h").limit(VARIANTS)
               .select(F.row_number().over(Window.orderBy("h")).alias("variant"), F.slice("words", 1, 6).alias("near")))    # VARIANTS rows
     numbers = spark.range(1, VARIANTS + 1).select(F.col("id").cast("int").alias("variant")).join(around, "variant", "left")
