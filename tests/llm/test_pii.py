@@ -145,3 +145,100 @@ def test_pairs_are_counted_without_collecting_the_corpus(docs_of, monkeypatch):
     assert pii.find(docs_of(corpus())).count() == len(corpus())
     assert "collect_set" not in "".join(plans.values())
     assert "sum(copies" in plans["pii-pairs"] and "count(1)" in plans["pii-pairs"]
+
+
+def test_parts_of_values_are_entities(docs_of):
+    rng = random.Random(12)
+    words = ["bado", "fide", "gulo", "mare", "nipo", "rute"]
+    fill = lambda k: " ".join(rng.choice(words) for _ in range(k))
+    data = [(i, fill(20)) for i in range(400)]
+    # no value occurs twice, but the domain's documents name its firm, and the network's its site
+    data += [(1000 + i, f"{fill(4)} Quorvex {fill(3)} u{i}@hq.quorvex.example {fill(5 + i)}") for i in range(6)]
+    data += [(2000 + i, f"{fill(4)} 10.20.30.{i} {fill(3)} Tolmir {fill(5 + i)}") for i in range(6)]
+    data += [(3000 + i, f"{fill(9 + i)} zz{i}q@mail{i}.example") for i in range(6)]
+    text = dict(data)
+    hidden = lambda **kw: {(r.doc_id, text[r.doc_id][s.start:s.end]) for r in pii.find(docs_of(data), **kw).collect() for s in r.spans if s.rank == 4}
+    assert hidden() == {(1000 + i, "Quorvex") for i in range(6)} | {(2000 + i, "Tolmir") for i in range(6)}
+    assert hidden(parts=False) == set()
+
+
+def plain_disclosures(data, min_contexts=2, max_chance=0.0001, least=0.7):
+    """(entity, term) by the definition, over lists of documents."""
+    import math
+    from collections import Counter, defaultdict
+
+    def parts(kind, v):
+        v = v.lower()
+        digits = re.sub("[^0-9]", "", v)
+        more = {"email": ["domain:" + v.split("@")[-1]] + ["name:" + w for w in re.split("[^a-z]+", v.split("@")[0]) if len(w) >= 3 and w not in pii.FUNCTION_WORDS],
+                "ip": ["net:" + ".".join(v.split(".")[:3])], "card": ["issuer:" + digits[:6]], "phone": ["area:" + digits[:-7]]}[kind]
+        return {f"{list(PLAIN).index(kind)}:{v}", *more}
+
+    def seen(t):
+        base, chars = base_of(t), list(t)
+        for a, _, b, _ in base:
+            chars[a:b] = " " * (b - a)
+        terms = {w.lower() for w in re.findall(r"[^\W_]+", "".join(chars)) if w not in pii.FUNCTION_WORDS and not (len(w) == 1 and w.isascii())}
+        return set().union(*(parts(k, t[a:b]) for a, _, b, k in base)) if base else set(), terms
+
+    n, docs = len(data), [(t, *seen(t)) for _, t in data]
+    df_e, df_t, both = Counter(), Counter(), Counter()
+    texts_e, texts_et = defaultdict(set), defaultdict(set)
+    for t, es, ws in docs:
+        df_t.update(ws)
+        for e in es:
+            df_e[e] += 1
+            texts_e[e].add(t)
+            for w in ws:
+                both[e, w] += 1
+                texts_et[e, w].add(t)
+    close = [k for k, ts in texts_et.items() if len(ts) >= min_contexts and
+             math.log(df_t[k[1]]) <= (1 - least) * math.log(n) + least * math.log(df_e[k[0]]) + 1e-9]
+    out = set()
+    for e, w in close:
+        own = math.log2(n / df_e[e])
+        p, r, m = df_t[w] / n, len(texts_et[e, w]) / len(texts_e[e]), len(texts_e[e])
+        kl = r * math.log(r / p) + ((1 - r) * math.log((1 - r) / (1 - p)) if r < 1 else 0)
+        chance = math.exp(-m * kl) if r > p else 1.0
+        if own > 0 and math.log2(n * both[e, w] / (df_e[e] * df_t[w])) / own >= least and chance * len(close) <= max_chance:
+            out.add((e, w))
+    return out
+
+
+def test_disclosures_are_those_of_a_plain_version(docs_of, monkeypatch):
+    rng = random.Random(77)
+    words = ["".join(rng.choice("bdfgl") + rng.choice("aeiou") for _ in range(3)) for _ in range(60)]
+    firms = [(f"f{w}", f"hq.{w}.example") for w in words[:5]]
+    data = []
+    for i in range(500):
+        w = [rng.choice(words) for _ in range(rng.randint(1, 12))]
+        if i % 6 == 0:
+            name, domain = firms[i // 6 % 5]
+            w += [f"{rng.choice(words)}.{i}@{domain}"] + [name] * (rng.random() < 0.8)
+        elif i % 9 == 0:
+            w += [f"+44 20 794{i % 3} {1000 + i}", "ulmo" * (i % 3 == 0)]
+        rng.shuffle(w)
+        data.append((i, " ".join(w)))
+    data += data[:40]
+    own = docs_of(data)
+    slim = pii._annotated(own, "doc_id", "text").where("size(base) > 0").groupBy("t1", "t2").agg(
+        F.first("text").alias("text"), F.first("base").alias("base"), F.count("*").alias("copies"))
+    texts = slim.withColumn("blank", pii._blanked(F.col("text"), F.col("base")))
+    want = plain_disclosures(data)
+    for most in (pii.MAX_HASHES, 3):                     # terms counted where they are read, or joined afterwards
+        monkeypatch.setattr(pii, "MAX_HASHES", most)
+        assert {(r.entity, r.term) for r in pii.disclosures(texts, own, parts=True).collect()} == want
+    assert len(want) >= 5
+
+
+def test_random_rows_hide_no_terms(docs_of):
+    assert all(s.rank < 4 for r in pii.find(docs_of(rows())).collect() for s in r.spans)
+
+
+def test_a_text_full_of_values_and_words(docs_of):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("bdfglmnprst") + rng.choice("aeiou") for _ in range(4))
+    full = " ".join(f"{word()} {word()} u{i}@d{i}.example {word()}" for i in range(1500))
+    data = [(i, " ".join(word() for _ in range(20))) for i in range(50)] + [(900, full), (901, full)]
+    out = {r.doc_id: r.spans for r in pii.find(docs_of(data)).collect()}
+    assert all(len(out[i]) == 1500 and all(s.rank == 0 for s in out[i]) for i in (900, 901))
