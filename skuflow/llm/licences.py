@@ -226,7 +226,12 @@ def cues(least_share: float) -> list[str]:
 def _cued(line: Column, least_share: float) -> Column:
     import re
 
-    return line.rlike(r"(?i)(?<![\p{L}\p{N}])(?:" + "|".join(map(re.escape, cues(least_share))) + ")")
+    by_letter: dict[str, list[str]] = {}
+    for cue in cues(least_share):
+        by_letter.setdefault(cue[0], []).append(re.escape(cue[1:]))
+    # the first letter decides most places, before anything else is looked at
+    branches = "|".join(f"{re.escape(letter)}(?:{'|'.join(rest)})" for letter, rest in by_letter.items())
+    return F.lower(line).rlike(rf"(?=[{''.join(by_letter)}])(?<![\p{{L}}\p{{N}}])(?:{branches})")
 
 
 def _templates(spark: SparkSession) -> DataFrame:
@@ -243,12 +248,12 @@ class Model:
     def decide(self, rows: DataFrame) -> DataFrame:
         """``rows`` with ``family`` for each of their ``words`` (null: no licence) and ``held``, the most word pairs of one of its
         templates.  Rows that no template confirms are left out."""
-        # written, so that the many uses of the shares and of the scores do not work them out again
-        own = rows.withColumn("_own", F.array_distinct(_pairs(F.col("words"))))
-        own = own.select("*", self._held().alias("_held"))
-        # through inline, so that the filter does not work the shares out once more
-        near = own.select(*rows.columns, F.inline(F.array(F.struct(*self._shares(), self._named().alias("named")))))
-        near = written(near.where(F.array_max("share") >= self.least_share), "licence-spans")
+        # each step behind a generator or written, so that its many uses do not work it out again; a span
+        # without a pair of any template goes first, and of the others only such pairs are compared
+        own = rows.select("*", F.explode(F.array(F.array_intersect(_pairs(F.col("words")), self._known()))).alias("_own")).where(F.size("_own") > 0)
+        own = own.select("*", F.explode(F.array(self._held())).alias("_held"))
+        near = own.select(*rows.columns, "_own", F.inline(F.array(F.struct(*self._shares())))).where(F.array_max("share") >= self.least_share)
+        near = written(near.withColumn("named", self._named()).drop("_own"), "licence-spans")
         scored = written(self.fitted.transform(_featured(near)).select(*near.columns, vector_to_array("probability").alias("p")), "licence-scores")
         best = F.array_max(F.slice("p", 2, len(self.families)))            # class 0 is unknown
         guess = F.array_position(F.slice("p", 2, len(self.families)), best).cast("int")
@@ -261,29 +266,35 @@ class Model:
                 .withColumn("family", F.when(passed & (own >= self.least_share) & clear, F.element_at(known, F.col("_guess"))))
                 .withColumn("held", F.element_at("most", F.col("_guess"))).drop("p", "share", "most", "named", "_guess"))
 
+    def _known(self) -> Column:
+        """The word pairs of all templates."""
+        return _constant(sorted({p for family in self.families for text in notices(family) for p in _pairs_of(text)}), "array<string>")
+
     def _held(self) -> Column:
-        """Per template: its family's number, its word pairs, and how many of them ``_own`` holds."""
-        rows = [{"f": i, "pairs": pairs} for i, family in enumerate(self.families) for pairs in map(_pairs_of, notices(family))]
-        templates = F.from_json(F.lit(json.dumps(rows)), "array<struct<f:int,pairs:array<string>>>")
-        return F.transform(templates, lambda t: F.struct(t["f"].alias("f"), F.size(t["pairs"]).alias("of"),
-                                                         F.size(F.array_intersect("_own", t["pairs"])).alias("k")))
+        """Per family and template: the share of its word pairs that ``_own`` holds, and their number where that confirms it."""
+        templates = _constant([[_pairs_of(text) for text in notices(family)] for family in self.families], "array<array<array<string>>>")
 
-    def _shares(self) -> list[Column]:
-        """Per family: the largest share of a template's word pairs that a span holds, and the most pairs of a template confirmed."""
-        numbers = F.sequence(F.lit(0), F.lit(len(self.families) - 1))
+        def one(pairs: Column) -> Column:
+            k = F.size(F.array_intersect("_own", pairs))
+            return F.transform(F.array(k / F.size(pairs)), lambda share: F.struct(
+                share.alias("share"), F.when(share >= self.least_share, F.round(share * F.size(pairs)).cast("int")).otherwise(0).alias("most")))[0]
 
-        def best(value) -> Column:
-            return F.transform(numbers, lambda f: F.array_max(F.transform(F.filter("_held", lambda h: h["f"] == f), value)))
+        return F.transform(templates, lambda family: F.transform(family, one))
 
-        confirmed = lambda h: F.when(h["k"] / h["of"] >= self.least_share, h["k"]).otherwise(0)
-        return [best(lambda h: h["k"] / h["of"]).alias("share"), best(confirmed).alias("most")]
+    def _shares(self) -> list[Column]:
+        """Per family: the largest share of a template's word pairs that a span holds, and the most pairs of a template confirmed."""
+        return [F.transform("_held", lambda family: F.array_max(F.transform(family, lambda h: h[name]))).alias(name) for name in ("share", "most")]
 
     def _named(self) -> Column:
         """Per family: whether ``_own`` holds a word pair that no other family's templates have."""
-        only = F.from_json(F.lit(json.dumps(only_pairs(self.families))), "array<array<string>>")
+        only = _constant(only_pairs(self.families), "array<array<string>>")
         return F.transform(only, lambda own: F.arrays_overlap("_own", own))
 
 
+def _constant(value: list, of_type: str) -> Column:
+    return F.from_json(F.lit(json.dumps(value)), of_type)
+
+
 def only_pairs(families: list[str]) -> list[list[str]]:
     """Per family the word pairs that only its templates have."""
     pairs = {family: {p for text in notices(family) for p in _pairs_of(text)} for family in families}
