@@ -119,6 +119,8 @@ def notices(family: str) -> tuple[str, ...]:
 
 FEATURES = 1 << 13
 VARIANTS = 24
+#: Lines behind a line that are looked at first.
+FEW = 4
 #: What ends a line, and what a line of a comment may begin with.
 BREAK = r"\r\n|\r|\n"
 #: Where a line is cut: behind a sentence, and before a second licence.
@@ -199,8 +201,9 @@ def spans(rows: DataFrame, least_share: float, text_col: str = "text") -> DataFr
                          F.slice(a["w"], F.greatest(n - reach, F.lit(0)) + 1, F.lit(reach)).alias("words"),
                          F.when(a["c"], F.array(F.struct(i.cast("int").alias("first"), i.cast("int").alias("last"), a["w"].alias("words"))))
                          .otherwise(none).alias("out"))
-        # each line between has a word at least
-        after = F.slice("_lines", i + 2, F.lit(longest + 1))
+        # each line between has a word at least; mostly a few lines hold more words than a run may
+        few = F.aggregate(F.slice("_lines", i + 2, F.lit(FEW)), F.lit(0), lambda n, b: n + F.size(b["w"]))
+        after = F.slice("_lines", i + 2, F.when(few > longest, FEW).otherwise(longest + 1))
         return F.when(a["c"] | F.exists(after, lambda b: b["c"]), F.aggregate(after, start, longer, lambda acc: acc["out"])).otherwise(none)
 
     return held.select(*(c for c in held.columns if c != "_lines"), F.inline(F.flatten(F.transform("_lines", from_line))))
@@ -250,7 +253,7 @@ class Model:
         templates.  Rows that no template confirms are left out."""
         # each step behind a generator or written, so that its many uses do not work it out again; a span
         # without a pair of any template goes first, and of the others only such pairs are compared
-        own = rows.select("*", F.explode(F.array(F.array_intersect(_pairs(F.col("words")), self._known()))).alias("_own")).where(F.size("_own") > 0)
+        own = rows.select("*", F.explode(F.array(self._known(_pairs(F.col("words"))))).alias("_own")).where(F.size("_own") > 0)
         own = own.select("*", F.explode(F.array(self._held())).alias("_held"))
         near = own.select(*rows.columns, "_own", F.inline(F.array(F.struct(*self._shares())))).where(F.array_max("share") >= self.least_share)
         near = written(near.withColumn("named", self._named()).drop("_own"), "licence-spans")
@@ -266,9 +269,10 @@ class Model:
                 .withColumn("family", F.when(passed & (own >= self.least_share) & clear, F.element_at(known, F.col("_guess"))))
                 .withColumn("held", F.element_at("most", F.col("_guess"))).drop("p", "share", "most", "named", "_guess"))
 
-    def _known(self) -> Column:
-        """The word pairs of all templates."""
-        return _constant(sorted({p for family in self.families for text in notices(family) for p in _pairs_of(text)}), "array<string>")
+    def _known(self, pairs: Column) -> Column:
+        """Those of ``pairs`` that a template has, each once."""
+        known = sorted({p for family in self.families for text in notices(family) for p in _pairs_of(text)})
+        return F.array_distinct(F.filter(pairs, lambda p: p.isin(known)))            # looked up in a set made once
 
     def _held(self) -> Column:
         """Per family and template: the share of its word pairs that ``_own`` holds, and their number where that confirms it."""
@@ -317,11 +321,14 @@ def train(docs: DataFrame, text_col: str = "text", max_unknown: int = 4000, fals
     spark = docs.sparkSession
     templates = _templates(spark)
     marks = F.array(*(F.lit(t) for t in sorted({" ".join(w[k:k + 3]) for f in TEMPLATES for w in map(_plain_words, notices(f)) for k in range(len(w) - 2)})))
-    lines = paragraphs(docs.select(docs[text_col].alias("_t")), "_t").select("line", F.xxhash64(F.lower("line")).alias("h"))
+    texts = docs.select(docs[text_col].alias("_t"))
+    hashed = lambda rows: paragraphs(rows, "_t").select("line", F.xxhash64(F.lower("line")).alias("h"))
+    # a line with a cue stands in a text with one
+    lines, cued = hashed(texts), hashed(texts.where(_cued(F.col("_t").cast("string"), least_share)))
     # paragraphs of the smallest hashes, whatever the order of the rows and however often they occur
     half = max_unknown // 2
     least = lines.select("h").distinct().orderBy("h").limit(half).union(
-        lines.where(_cued(F.col("line"), least_share)).select("h").distinct().orderBy("h").limit(half)).distinct()
+        cued.where(_cued(F.col("line"), least_share)).select("h").distinct().orderBy("h").limit(half)).distinct()
     unknown = written(lines.join(F.broadcast(least), "h").groupBy("h").agg(F.min("line").alias("line"))        # max_unknown rows
                       .select(F.lit(UNKNOWN).alias("family"), F.slice(_words(F.col("line")), 1, 200).alias("words"), "h")
                       .where(~F.arrays_overlap(_triples(F.col("words")), marks) & ~F.array_contains("words", TAG.lower())), "licence-unknown")
