@@ -11,7 +11,7 @@ import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skuflow.llm.common import ship, texts_of
+from skuflow.llm.common import ship, small_batches, texts_of
 
 
 def bucket(doc_id: Column, modulus: int) -> Column:
@@ -48,7 +48,8 @@ def fit(sample: DataFrame, learn: Callable[[list[bytes], np.ndarray], object]) -
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
     one = sample.select("doc_id", "text", "label").repartition(1)
-    row = one.mapInArrow(run, "model binary").first()
+    with small_batches(sample.sparkSession):
+        row = one.mapInArrow(run, "model binary").first()
     return pickle.loads(row[0]) if row else learn([], np.zeros(0, np.int64))   # no rows: no task ran
 
 

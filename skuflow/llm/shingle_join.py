@@ -52,6 +52,8 @@ SKETCH = 512
 BLOCK = 4096
 #: Words of sketches that are compared at a time: few, so that they stay in the cache.
 WORDS = 1 << 17
+#: Sets that a task remembers, so that their copies do not give their parts again.
+SEEN = 100_000
 #: Parts a class is dealt into when its sets get their smallest id.
 SALTS = 16
 #: Pairs of a set that a chunk of parts lets through, round by round; the last round knows no bound.
@@ -190,16 +192,16 @@ SIGNED = "key long, node long, doc_id long, text_hash long, n_shingles long, ske
 
 def _signed(own: DataFrame, words: int, percent: int) -> DataFrame:
     """Two kinds of rows from one pass: per document (text_hash not null) its set's hash and size,
-    under a key of its own; per part of a set a key that equal parts share.  Equal texts of a
-    batch give their parts once."""
+    under a key of its own; per part of a set a key that equal parts share.  Equal sets of a
+    task give their parts once (the last SEEN of them are known)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent, 1 << 16)
         names = [c.split()[0] for c in SIGNED.split(", ")]
+        done: set[int] = set()
         for batch in batches:
             texts = [t.as_buffer().to_pybytes() for t in batch.column("text")]
             ids, hashes = batch.column("doc_id"), batch.column("text_hash")
-            done: set[bytes] = set()
             for a, b in _pieces([len(t) for t in texts]):
                 owner, codes = shingle_sets(texts[a:b], words)
                 node, size = set_hash(owner, codes, b - a)
@@ -209,7 +211,9 @@ def _signed(own: DataFrame, words: int, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(own_key.view(np.int64)), pa.array(node), ids.slice(a, b - a), hashes.slice(a, b - a),
                      pa.array(size.astype(np.int64)), sketches(owner, codes, size)], names)
-                fresh = np.array([not (t in done or done.add(t)) for t in texts[a:b]], bool)
+                if len(done) > SEEN:
+                    done.clear()
+                fresh = np.array([not (s in done or done.add(s)) for s in node.tolist()], bool)
                 sets, keys = part_keys(owner, codes, np.where(fresh, size, 0), bands)
                 n = len(keys)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(node[sets]), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),

@@ -1,6 +1,8 @@
 import random
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
 from skuflow.llm import common as C
 
 
@@ -35,3 +37,15 @@ def test_words():
     assert len(set(code.values())) == len(code)
     assert C.range_hash(np.frombuffer(b"abcabc", np.uint8), np.array([0, 3]), np.array([3, 6])).tolist()[0] == \
         C.range_hash(np.frombuffer(b"xxabc", np.uint8), np.array([2]), np.array([5])).tolist()[0]
+
+
+def test_python_gets_batches_of_few_bytes(spark):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["rows", "bytes"])
+
+    texts = spark.range(3000).select(F.repeat(F.lit("x"), 8000).alias("text")).coalesce(1)
+    before = spark.conf.get(C.BATCH_CONF)
+    rows, most = C.written(texts.mapInArrow(sizes, "rows long, bytes long"), "sizes").agg(F.sum("rows"), F.max("bytes")).first()
+    assert rows == 3000 and most < 2 * C.BATCH_BYTES
+    assert spark.conf.get(C.BATCH_CONF) == before

@@ -2,6 +2,8 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
+from skuflow.llm import common as C
 from skuflow.llm import shingle_join as J
 from tests.llm.conftest import MESSY
 
@@ -63,6 +65,19 @@ def test_large_parts_go_block_by_block(docs_of, monkeypatch):
     assert got(J.link(docs_of(rows), 4, 85)) == brute(rows, 4, 85)
 
 
+def test_copies_give_their_parts_once_a_task(spark):
+    C.ship(spark)
+    text = " ".join(f"w{k}" for k in range(60))
+    own = spark.range(0, 12_000, 1, 1).select(F.col("id").alias("doc_id"), F.lit(7).cast("long").alias("text_hash"), F.lit(text).alias("text"))
+
+    def parts(n):
+        rows = J._signed(own.limit(n), 5, 80)
+        return rows.where("sketch is null").count(), rows.where("sketch is not null").count()
+
+    (one, _), (many, rows) = parts(1), parts(12_000)         # more than a batch
+    assert one == many > 0 and rows == 12_000
+
+
 def test_messy_rows(messy, docs_of):
     assert got(J.link(messy, 4, 85)) == brute(MESSY, 4, 85)
     assert got(J.link(docs_of([]))) == []
