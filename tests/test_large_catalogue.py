@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from skuflow.operators import extract as X
+from skuflow.operators import orders as O
 from skuflow.plans import inspect as PI
 from skuflow.plans.queries import REGISTRY
 from skuflow.sources import fixtures, tables
@@ -68,3 +69,22 @@ def test_estimates_are_read_without_a_job(spark):
     assert tables.is_small(part) and not tables.is_small(part, most=1)
     assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("estimates")) == []
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_second_item_names_read_the_shuffles_of_the_item_facts(spark, many_parts):
+    """Below the per-order steps of retention the items are made once."""
+    items = X.extract_items(from_testdata(spark, many_parts))
+    facts = PI.distinct_shuffles(PI.plan_text(O.item_facts(items)))
+    key = ["brand", "order_id"]
+    both = PI.distinct_shuffles(PI.plan_text(O.item_facts(items).join(O.second_item_names(items), key)))
+    assert both == facts + 1                            # the window's own, by order
+
+
+def test_second_item_names_where_ids_repeat(spark):
+    """The second row in the order of id and name, whatever variants and quantities rows of one item have."""
+    rows = [("A", 1, 5, "b", "v1", 2), ("A", 1, 5, "b", None, 9), ("A", 1, 5, "a", "v2", None),
+            ("A", 2, 7, None, "v", 1), ("A", 2, 7, "z", None, None), ("A", 3, 9, "only", "v", 1),
+            ("A", None, 1, "n1", "v", 1), ("A", None, 2, "n2", None, 1)]
+    items = spark.createDataFrame(rows, "brand string, order_id long, id long, product_name string, variant_name string, quantity int")
+    got = {(r.order_id, r.second_product_name) for r in O.second_item_names(items).collect()}
+    assert got == {(1, "b"), (2, None), (None, "n2")}
