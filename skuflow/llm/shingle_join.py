@@ -50,8 +50,8 @@ from skuflow.llm.common import Words, components, mix, texts_of, written
 SKETCH = 512
 #: Members of a hub, or of a mixed part, that one task compares at a time.
 BLOCK = 4096
-#: Words of sketches that are compared at a time: few, so that they stay in the cache.
-WORDS = 1 << 17
+#: Pairs whose sketches are compared at a time, word by word: few, so that they stay in the cache.
+PAIRS = 1 << 13
 #: Sets that a task remembers, so that their copies do not give their parts again.
 SEEN = 100_000
 #: Parts a class is dealt into when its sets get their smallest id.
@@ -302,19 +302,24 @@ def _unlinked_pairs(members: DataFrame, percent: int, most: int | None) -> DataF
         """Of the row pairs (x, y) those that may link, as nodes."""
         ok = c["class"][x] != c["class"][y]
         x, y = x[ok], y[ok]
-        ok = 100 * np.minimum(c["n"][x], c["n"][y]) >= percent * np.maximum(c["n"][x], c["n"][y])
+        n_x, n_y = c["n"][x], c["n"][y]
+        ok = 100 * np.minimum(n_x, n_y) >= percent * np.maximum(n_x, n_y)
         x, y = x[ok], y[ok]
+        most_apart = (n_x[ok] + n_y[ok]) * (100 - percent) // (100 + percent)
         ok = np.zeros(len(x), bool)
         words = np.minimum(c["words"][x], c["words"][y])
-        for w in np.unique(words):
+        for w, (place, columns) in c["folded"].items():
             same = np.flatnonzero(words == w)
-            for k in range(0, len(same), max(1, WORDS // int(w))):
-                p = same[k:k + max(1, WORDS // int(w))]
-                # a quarter of the words alone rules most pairs out
-                apart = np.bitwise_count(folded(x[p], w, c, w // 4) ^ folded(y[p], w, c, w // 4)).sum(1, dtype=np.int64)
-                p = p[apart * (100 + percent) <= (c["n"][x[p]] + c["n"][y[p]]) * (100 - percent)]
-                apart = np.bitwise_count(folded(x[p], w, c) ^ folded(y[p], w, c)).sum(1, dtype=np.int64)
-                ok[p] = apart * (100 + percent) <= (c["n"][x[p]] + c["n"][y[p]]) * (100 - percent)
+            for k in range(0, len(same), PAIRS):
+                p = same[k:k + PAIRS]
+                at_x, at_y, left, apart = place[x[p]], place[y[p]], most_apart[p], np.zeros(len(p), np.int64)
+                # half of the words rules most pairs out, of sparse sketches a quarter does
+                for words_from, words_to in ((0, w // 4), (w // 4, w // 2), (w // 2, w)):
+                    for column in columns[words_from:words_to]:
+                        apart += np.bitwise_count(column[at_x] ^ column[at_y])
+                    stay = apart <= left
+                    p, at_x, at_y, left, apart = p[stay], at_x[stay], at_y[stay], left[stay], apart[stay]
+                ok[p] = True
         x, y = x[ok], y[ok]
         return np.stack([np.maximum(c["node"][x], c["node"][y]), np.minimum(c["node"][x], c["node"][y]), c["key"][x]], 1)
 
@@ -329,12 +334,20 @@ def _unlinked_pairs(members: DataFrame, percent: int, most: int | None) -> DataF
         out[order] = np.arange(len(order)) - np.repeat(new, np.diff(np.concatenate([new, [len(order)]]))) < most
         return out
 
-    def folded(rows: np.ndarray, w: int, c: dict, n: int | None = None) -> np.ndarray:
-        """The first ``n`` (all when None) words of the rows' sketches at ``w`` words; they have as many or twice as many."""
-        place = c["first"][rows][:, None] + np.arange(w if n is None else n)
-        out = c["sketch"][place]
-        long = c["words"][rows] > w
-        out[long] ^= c["sketch"][place[long] + w]
+    def folded(c: dict) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        """By number of words: each row's place among the sketches of as many or, folded, of twice as
+        many words, and those sketches word by word."""
+        out = {}
+        for w in np.unique(c["words"]).tolist():
+            own, twice = np.flatnonzero(c["words"] == w), np.flatnonzero(c["words"] == 2 * w)
+            place = np.full(len(c["words"]), -1, np.int64)
+            place[np.concatenate([own, twice])] = np.arange(len(own) + len(twice))
+            columns = np.empty((w, len(own) + len(twice)), np.uint64)
+            at, long = c["first"][own], c["first"][twice]
+            for k in range(w):
+                columns[k, :len(own)] = c["sketch"][at + k]
+                columns[k, len(own):] = c["sketch"][long + k] ^ c["sketch"][long + k + w]
+            out[w] = place, columns
         return out
 
     def close(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -344,6 +357,7 @@ def _unlinked_pairs(members: DataFrame, percent: int, most: int | None) -> DataF
         lists = t.column("sketch").combine_chunks()
         c["sketch"], c["words"] = lists.flatten().to_numpy().view(np.uint64), pa.compute.list_value_length(lists).to_numpy().astype(np.int64)
         c["first"] = np.cumsum(c["words"]) - c["words"]
+        c["folded"] = folded(c)
         cut = np.flatnonzero(np.concatenate([[True], np.any([x[1:] != x[:-1] for x in g], axis=0), [True]]))
         start, size = cut[:-1], np.diff(cut)
         out = [np.zeros((0, 3), np.int64)]
@@ -356,9 +370,11 @@ def _unlinked_pairs(members: DataFrame, percent: int, most: int | None) -> DataF
         for at, s in zip(start[size > 64], size[size > 64]):
             rows, same = np.arange(at, at + s), g[1][at] == g[2][at]
             x, y = (rows, rows) if same else (rows[c["own"][rows] == g[1][at]], rows[c["own"][rows] == g[2][at]])
-            for k, i in enumerate(x):
-                other = y[k + 1:] if same else y
-                out.append(pairs(np.full(len(other), i), other, c))
+            step = max(1, 4 * PAIRS // s)
+            for k in range(0, len(x), step):
+                some, other = x[k:k + step], y[k + 1:] if same else y
+                a, b = np.repeat(some, len(other)), np.tile(other, len(some))
+                out.append(pairs(a[a < b], b[a < b], c) if same else pairs(a, b, c))
         found = np.concatenate(out)
         both, place = np.unique(found[:, :2], axis=0, return_inverse=True)
         kept = few(both) if most is not None and len(both) else np.ones(len(both), bool)

@@ -1,7 +1,9 @@
 import random
 import re
+import time
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 from skuflow.llm import common as C
 from skuflow.llm import shingle_join as J
@@ -104,3 +106,63 @@ def test_every_linked_pair_shares_a_part():
             _, keys = J.part_keys(np.zeros(len(s), np.int64), s, np.array([len(s)]), bands)
             found.append(set(keys.tolist()))
         assert found[0] & found[1]
+
+
+class Members:
+    """Stands for the members' frame: keeps the function that its tasks run."""
+
+    def __getattr__(self, name):
+        return lambda *args, **_: setattr(self, "run", args[0]) or self if name == "mapInArrow" else self
+
+
+def compared(rows, percent):
+    """What a task tells of ``rows`` (key, side_a, side_b, own, node, class, n, sketch): pairs, keys with more."""
+    frame = Members()
+    J._unlinked_pairs(frame, percent, None)
+    names = ["key", "side_a", "side_b", "own", "node", "class", "n", "sketch"]
+    batch = pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.int64()) if n == "sketch" else pa.int64()) for n, x in zip(names, zip(*rows))], names)
+    out = pa.Table.from_batches(list(frame.run(iter([batch.slice(k, 500) for k in range(0, len(rows), 500)]))))
+    return {(a, b) for a, b in zip(out["a"].to_pylist(), out["b"].to_pylist()) if a is not None}
+
+
+def sketched(sets):
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    return J.sketches(owner, np.concatenate(sets), np.array([len(s) for s in sets])).to_pylist()
+
+
+def test_sketches_of_all_lengths_are_compared_as_one_by_one():
+    """Parts of few and of many members, one block or two, lengths that differ by a fold, near copies in between."""
+    rng, rows, want, node = np.random.default_rng(5), [], set(), 0
+    for key, (size, sides) in enumerate([(2, (0, 0)), (3, (0, 0)), (9, (0, 1)), (70, (0, 0)), (90, (1, 2)), (1, (0, 0))]):
+        sets = []
+        for _ in range(size):
+            if sets and rng.random() < 0.5:
+                s = sets[rng.integers(len(sets))]
+                s = np.unique(np.concatenate([s[rng.integers(0, 1 + len(s) // 8):], rng.integers(0, 2 ** 63, rng.integers(0, 1 + len(s) // 8), dtype=np.uint64)]))
+            else:
+                s = np.unique(rng.integers(0, 2 ** 63, rng.choice([3, 300, 500, 530, 900, 1100, 2500]), dtype=np.uint64))
+            sets.append(s)
+        told = [(key, *sides, int(rng.choice(sides)), node + k, int(rng.integers(node, node + size // 2 + 1)), len(s), sk)
+                for k, (s, sk) in enumerate(zip(sets, sketched(sets)))]
+        node += size
+        rows += told
+        for x in told:
+            for y in told:
+                if x[4] <= y[4] or x[5] == y[5] or (sides[0] != sides[1] and x[3] == y[3]) or 100 * min(x[6], y[6]) < 80 * max(x[6], y[6]):
+                    continue
+                short, long = sorted((x[7], y[7]), key=len)
+                if len(long) > len(short):
+                    long = [p ^ q for p, q in zip(long[:len(short)], long[len(short):])]
+                apart = sum(((p ^ q) & (2 ** 64 - 1)).bit_count() for p, q in zip(short, long))
+                if apart * 180 <= (x[6] + y[6]) * 20:
+                    want.add((x[4], y[4]))
+    assert compared(rows, 80) == want and want
+
+
+def test_a_large_mixed_part_is_compared_many_pairs_at_a_time():
+    rng = np.random.default_rng(6)
+    sets = [np.unique(rng.integers(0, 2 ** 63, 480, dtype=np.uint64)) for _ in range(3000)]
+    rows = [(1, 0, 0, 0, k, k, len(s), sk) for k, (s, sk) in enumerate(zip(sets, sketched(sets)))]
+    began = time.process_time()
+    assert compared(rows, 80) == set()
+    assert time.process_time() - began < 1.2              # 4.5 million pairs
