@@ -11,7 +11,7 @@ import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skuflow.llm.common import ship, small_batches, texts_of
+from skuflow.llm.common import give_back, ship, small_batches, texts_of
 
 
 def bucket(doc_id: Column, modulus: int) -> Column:
@@ -36,7 +36,7 @@ def fit(sample: DataFrame, learn: Callable[[list[bytes], np.ndarray], object]) -
     """``learn(texts, labels)`` in one task over the bounded ``sample`` (ordered by id); runs now
     and brings only the model to the driver.  ``learn`` may empty the list of texts as it goes."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def learnt(batches: Iterator[pa.RecordBatch]) -> bytes:
         ids, texts, labels = [], [], []
         for batch in batches:
             ids += batch.column(0).to_pylist()
@@ -44,8 +44,12 @@ def fit(sample: DataFrame, learn: Callable[[list[bytes], np.ndarray], object]) -
             labels += batch.column(2).to_pylist()
         order = sorted(range(len(ids)), key=ids.__getitem__)
         texts = [texts[i] for i in order]
-        model = learn(texts, np.array([labels[i] for i in order], np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+        return pickle.dumps(learn(texts, np.array([labels[i] for i in order], np.int64)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = learnt(batches)
+        give_back()
+        yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], ["model"])
 
     one = sample.select("doc_id", "text", "label").repartition(1)
     with small_batches(sample.sparkSession):

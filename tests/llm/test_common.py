@@ -49,3 +49,15 @@ def test_python_gets_batches_of_few_bytes(spark):
     rows, most = C.written(texts.mapInArrow(sizes, "rows long, bytes long"), "sizes").agg(F.sum("rows"), F.max("bytes")).first()
     assert rows == 3000 and most < 2 * C.BATCH_BYTES
     assert spark.conf.get(C.BATCH_CONF) == before
+
+
+def test_memory_let_go_is_handed_back():
+    def resident():
+        return int(open("/proc/self/statm").read().split()[1]) * 4096
+
+    held = [np.ones(1 << 12) for _ in range(8000)]        # 32 KB each
+    kept = held[::100]
+    del held
+    before = resident()
+    C.give_back()
+    assert before - resident() > 100 << 20 and len(kept) == 80
