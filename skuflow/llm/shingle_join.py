@@ -11,9 +11,13 @@ Two documents link when ``100 * intersection >= percent * union``.
    sketch; each shingle flips one bit, so the sketches' Hamming distance is at
    most ``t`` and at least ``T - t`` parts are equal (pigeonhole).  The bits of a
    part are so many that its parity vector is kept as the XOR of 64-bit codes.
-   Parts of no or one shingle would meet by chance; ``T`` has some slack, and a
-   set with fewer such parts than the slack leaves them out: any partner then
-   shares one of the other parts as well.
+   Parts that many sets share (none but common shingles, or no shingle) would
+   bring together sets that have no more than a passage in common.  So all parts
+   have an order, the commonest first; a set whose partners differ from it in ``d``
+   parts at most leaves out its ``T - 1 - d`` first ones.  The last one that two
+   linked sets share has as many shared ones before it, so both keep it.  What
+   counts as common is read from all texts beforehand; it decides what is left
+   out, never what links.
 4. Sets that share a part first meet the smallest one of theirs.  Then members of
    different classes within a part are compared, in rounds that let through a few
    pairs of each set, then more, at last all, and merge the classes that link in
@@ -54,6 +58,10 @@ BLOCK = 4096
 PAIRS = 1 << 13
 #: Sets that a task remembers, so that their copies do not give their parts again.
 SEEN = 100_000
+#: Shingles that a task counts at a time; those of one set alone are not told.
+COUNTED = 1 << 20
+#: Common shingles that tasks know, at most.
+COMMON = 1 << 15
 #: Parts a class is dealt into when its sets get their smallest id.
 SALTS = 16
 #: Pairs of a set that a chunk of parts lets through, round by round; the last round knows no bound.
@@ -104,7 +112,7 @@ class Bands:
         self.low = np.array(bounds)
         widest = 2 * (self.low[1:] - 1)
         self.t = widest * (100 - percent) // (100 + percent)
-        self.slack = (self.t + 1) * 12 // 100
+        self.slack = (self.t + 1) // 2
         self.parts = self.t + 1 + self.slack
 
     def of(self, size: np.ndarray) -> np.ndarray:
@@ -113,12 +121,36 @@ class Bands:
     def joins_next(self, size: np.ndarray) -> np.ndarray:
         return 100 * size >= self.percent * self.low[self.of(size) + 1]
 
+    def apart(self, size: np.ndarray, level: np.ndarray) -> np.ndarray:
+        """Largest symmetric difference of a set and one that it links with in the band ``level``."""
+        partner = np.minimum(size * 100 // self.percent, self.low[level + 1] - 1)
+        return np.minimum((size + partner) * (100 - self.percent) // (100 + self.percent), self.t[level])
 
-def part_keys(owner: np.ndarray, codes: np.ndarray, size: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
+
+class Common:
+    """How many sets hold a shingle, of the common ones."""
+
+    def __init__(self, codes: np.ndarray, times: np.ndarray):
+        order = np.argsort(codes)
+        self.codes, self.times = codes[order], times[order]
+        self.some = np.zeros(1 << 20, bool)
+        self.some[codes >> np.uint64(44)] = True
+
+    def of(self, codes: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(codes), np.int64)
+        if len(self.codes):
+            at = np.flatnonzero(self.some[codes >> np.uint64(44)])     # few go on to the search
+            place = np.minimum(np.searchsorted(self.codes, codes[at]), len(self.codes) - 1)
+            out[at] = np.where(self.codes[place] == codes[at], self.times[place], 0)
+        return out
+
+
+def part_keys(owner: np.ndarray, codes: np.ndarray, size: np.ndarray, bands: Bands, common: Common | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(set index, key) of the parts that each set offers in its band and, if it joins it, the next.
     ``codes`` ascend within a set, so the shingles of a part are neighbours."""
     keys, sets = [], []
     band = bands.of(size)
+    times = np.zeros(len(codes), np.int64) if common is None else common.of(codes)
     # a part without shingles is known by its number alone
     for step in (0, 1):
         use = (size > 0) if step == 0 else (size > 0) & bands.joins_next(size)
@@ -138,17 +170,21 @@ def part_keys(owner: np.ndarray, codes: np.ndarray, size: np.ndarray, bands: Ban
             xor = np.bitwise_xor.reduceat(mix(c ^ np.uint64(0xA5A5A5A5)), at)
             name = lambda lv, p: mix((lv.astype(np.uint64) << np.uint64(40)) + p.astype(np.uint64) + np.uint64(1))
             key = mix(xor ^ name(level[o], part))
-        n = len(size)
-        filled = np.bincount(o, minlength=n)
-        weak = np.where(use, bands.parts[level] - filled + np.bincount(o[held == 1], minlength=n), 0)
-        all_parts = weak > bands.slack[level]
-        keep = (held > 1) | all_parts[o]
+        # the order: parts without a shingle by number, then by the rarest shingle's sets, those of one shingle, by key
+        filled = np.bincount(o, minlength=len(size))
+        out = np.where(use, bands.parts[level] - 1 - bands.apart(size, level), 0)
+        empty = np.where(use, bands.parts[level] - filled, 0)
+        first = np.minimum(np.minimum.reduceat(times[rows], at), (1 << 23) - 1).astype(np.uint64) << np.uint64(41)
+        first |= (held == 1).astype(np.uint64) << np.uint64(40) | key >> np.uint64(24)
+        order = np.lexsort((~first, o))
+        rank = np.arange(len(o)) - (np.cumsum(filled) - filled)[o]
+        keep = order[rank >= (out - empty)[o]]
         keys.append(key[keep])
         sets.append(o[keep])
-        for s in np.flatnonzero(use & all_parts):       # few sets: those with more weak parts than the slack
-            empty = np.setdiff1d(np.arange(bands.parts[level[s]]), part[o == s])
-            keys.append(mix(name(np.full(len(empty), level[s]), empty)))
-            sets.append(np.full(len(empty), s))
+        for s in np.flatnonzero(empty > out):       # few sets
+            rest = np.setdiff1d(np.arange(bands.parts[level[s]]), part[o == s])[out[s]:]
+            keys.append(mix(name(np.full(len(rest), level[s]), rest)))
+            sets.append(np.full(len(rest), s))
     if not keys:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     return np.concatenate(sets), np.concatenate(keys)
@@ -190,7 +226,43 @@ def _pieces(sizes: list[int], most: int = 500_000) -> Iterator[tuple[int, int]]:
 SIGNED = "key long, node long, doc_id long, text_hash long, n_shingles long, sketch array<long>"
 
 
-def _signed(own: DataFrame, words: int, percent: int) -> DataFrame:
+def _common(own: DataFrame, words: int) -> Common:
+    """The commonest shingles, at most COMMON, by how many sets hold them.  Tasks count what they read,
+    some COUNTED shingles at a time, and tell those that two sets of them hold."""
+
+    def told(held: list[np.ndarray]) -> pa.RecordBatch:
+        codes, times = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(codes[times > 1].view(np.int64)), pa.array(times[times > 1])], ["code", "times"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n, done = [], 0, set()
+        for batch in batches:
+            texts = [t.as_buffer().to_pybytes() for t in batch.column("text")]
+            for a, b in _pieces([len(t) for t in texts]):
+                owner, codes = shingle_sets(texts[a:b], words)
+                node, _ = set_hash(owner, codes, b - a)
+                fresh = np.array([not (s in done or done.add(s)) for s in node.tolist()], bool)
+                held.append(codes[fresh[owner]])
+                n += len(held[-1])
+                if n >= COUNTED or len(done) > SEEN:
+                    yield told(held)
+                    held, n, done = [], 0, set()
+        if held:
+            yield told(held)
+
+    counts = own.select("text").mapInArrow(run, "code long, times long").groupBy("code").agg(F.sum("times").alias("times"))
+    counts = written(counts, "shingle-common")
+    total, least = 0, 62
+    for power, n in sorted(counts.groupBy(F.floor(F.log2("times")).alias("power")).count().collect(), reverse=True):
+        total += n
+        if total > COMMON:
+            break
+        least = power
+    found = np.array([tuple(r) for r in counts.where(F.col("times") >= F.lit(2 ** least)).collect()], np.int64).reshape(-1, 2)
+    return Common(found[:, 0].copy().view(np.uint64), found[:, 1])
+
+
+def _signed(own: DataFrame, words: int, percent: int, common: Common | None = None) -> DataFrame:
     """Two kinds of rows from one pass: per document (text_hash not null) its set's hash and size,
     under a key of its own; per part of a set a key that equal parts share.  Equal sets of a
     task give their parts once (the last SEEN of them are known)."""
@@ -214,7 +286,7 @@ def _signed(own: DataFrame, words: int, percent: int) -> DataFrame:
                 if len(done) > SEEN:
                     done.clear()
                 fresh = np.array([not (s in done or done.add(s)) for s in node.tolist()], bool)
-                sets, keys = part_keys(owner, codes, np.where(fresh, size, 0), bands)
+                sets, keys = part_keys(owner, codes, np.where(fresh, size, 0), bands, common)
                 n = len(keys)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(node[sets]), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
                                                   pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.int64()))], names)
@@ -368,13 +440,18 @@ def _unlinked_pairs(members: DataFrame, percent: int, most: int | None) -> DataF
             one = (g[1][x] == g[2][x]) | (c["own"][x] != c["own"][y])
             out.append(pairs(x[one], y[one], c))
         for at, s in zip(start[size > 64], size[size > 64]):
-            rows, same = np.arange(at, at + s), g[1][at] == g[2][at]
+            rows, same = at + np.argsort(c["class"][at:at + s], kind="stable"), g[1][at] == g[2][at]
             x, y = (rows, rows) if same else (rows[c["own"][rows] == g[1][at]], rows[c["own"][rows] == g[2][at]])
+            first, last = (np.searchsorted(c["class"][y], c["class"][x], side) for side in ("left", "right"))
             step = max(1, 4 * PAIRS // s)
             for k in range(0, len(x), step):
-                some, other = x[k:k + step], y[k + 1:] if same else y
+                some = np.arange(k, min(k + step, len(x)))
+                # a class stands together: its rows are not paired with each other
+                other = np.arange(last[k], len(y)) if same else np.concatenate([np.arange(first[k]), np.arange(last[k] if first[k] == first[some[-1]] else first[k], len(y))])
                 a, b = np.repeat(some, len(other)), np.tile(other, len(some))
-                out.append(pairs(a[a < b], b[a < b], c) if same else pairs(a, b, c))
+                if same:
+                    a, b = a[a < b], b[a < b]
+                out.append(pairs(x[a], y[b], c))
         found = np.concatenate(out)
         both, place = np.unique(found[:, :2], axis=0, return_inverse=True)
         kept = few(both) if most is not None and len(both) else np.ones(len(both), bool)
@@ -411,7 +488,7 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_
     if not 50 < percent <= 100:
         raise ValueError("percent must be above 50 and at most 100")
     own = texts_of(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
-    signed = _signed(own, words, percent)
+    signed = _signed(own, words, percent, _common(own, words))
     by_key = signed.withColumn("m", F.expr("min(node) over (partition by key)"))
     kept = written(by_key.where("sketch is not null or node <> m"), "shingle-parts")
     rows = kept.where("sketch is not null").select("doc_id", "text_hash", "node", "n_shingles", "sketch")

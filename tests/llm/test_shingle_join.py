@@ -166,3 +166,78 @@ def test_a_large_mixed_part_is_compared_many_pairs_at_a_time():
     began = time.process_time()
     assert compared(rows, 80) == set()
     assert time.process_time() - began < 1.2              # 4.5 million pairs
+
+
+def with_a_passage(rng, n, copies):
+    """``n`` texts that have a passage in common and are otherwise their own, then near copies of some."""
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(7))
+    passage = [word() for _ in range(60)]
+    rows = [(i, " ".join([word() for _ in range(30)] + passage + [word() for _ in range(30)])) for i in range(n)]
+    for i in range(copies):
+        w = rng.choice(rows[:n])[1].split()
+        w[rng.randrange(len(w))] = word()
+        rows.append((n + i, " ".join(w)))
+    return rows
+
+
+def test_a_common_passage_does_not_bring_its_texts_together(docs_of, monkeypatch):
+    """Parts that only common shingles fill are left out: what is compared does not grow with the passage's texts."""
+    sizes = {}
+    keep = J.written
+
+    def counted(df, label):
+        out = keep(df, label)
+        sizes.setdefault(label, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(J, "written", counted)
+    rows = with_a_passage(random.Random(11), 250, 25)
+    assert got(J.link(docs_of(rows).repartition(3), 5, 80)) == brute(rows, 5, 80)
+    assert sizes["shingle-members"][0] < 500          # 275 texts; with those parts it is thousands
+
+
+def test_every_linked_pair_shares_a_part_whatever_is_common():
+    """Also where most or all shingles of a set are common, or what is counted as common is far off."""
+    rng = np.random.default_rng(7)
+    linked = 0
+    for k in range(400):
+        pool = np.unique(rng.integers(0, 2 ** 63, 300, dtype=np.uint64))
+        common = J.Common(pool, rng.integers(1, 1 << int(rng.integers(1, 30)), len(pool)))
+        percent = int(rng.choice([60, 80, 85, 100]))
+        bands = J.Bands(percent, 3000)
+        held = rng.permutation(pool)[:int(rng.integers(0, 300))]
+        codes = np.unique(np.concatenate([held, rng.integers(0, 2 ** 63, int(rng.integers(1, 200)) if k % 3 else 1, dtype=np.uint64)]))
+        most = len(codes) * (100 - percent) // 100
+        gone = int(rng.integers(0, most + 1))
+        other = np.unique(np.concatenate([rng.permutation(codes)[gone:], rng.integers(0, 2 ** 63, int(rng.integers(0, most - gone + 1)), dtype=np.uint64)]))
+        if 100 * len(np.intersect1d(codes, other)) < percent * len(np.union1d(codes, other)):
+            continue
+        linked += 1
+        owner, both = np.repeat([0, 1], [len(codes), len(other)]), np.concatenate([codes, other])
+        sets, keys = J.part_keys(owner, both, np.bincount(owner), bands, common)
+        assert set(keys[sets == 0].tolist()) & set(keys[sets == 1].tolist())
+    assert linked > 200
+
+
+def test_common_shingles_are_counted_once_a_set(docs_of, monkeypatch):
+    rows = with_a_passage(random.Random(12), 40, 0) + [(100 + k, "one two three four five six seven") for k in range(9)]
+    own = C.texts_of(docs_of(rows).repartition(1)).withColumn("text_hash", F.xxhash64("text"))
+    assert sorted(J._common(own, 5).times.tolist()) == [40] * 56
+    monkeypatch.setattr(J, "COMMON", 10)
+    assert len(J._common(own, 5).times) == 0                  # all are as common: none can be chosen
+    assert len(J._common(C.texts_of(docs_of([])).withColumn("text_hash", F.xxhash64("text")), 5).times) == 0
+
+
+def test_a_large_class_is_not_compared_with_itself():
+    """A part of one large class and a few others, in one block and in two."""
+    rng = np.random.default_rng(8)
+    base = np.unique(rng.integers(0, 2 ** 63, 480, dtype=np.uint64))
+    sets = [np.unique(np.concatenate([base[1:], rng.integers(0, 2 ** 63, 1, dtype=np.uint64)])) for _ in range(3000)]
+    sk = sketched(sets)
+    label = [1] * 2990 + [2] * 5 + list(range(3, 8))
+    near = lambda x, y: {(max(a, b), min(a, b)) for a in x for b in y if label[a] != label[b]}
+    began = time.process_time()
+    assert compared([(1, 0, 0, 0, k, label[k], len(s), sk[k]) for k, s in enumerate(sets)], 80) == near(range(3000), range(2990, 3000))
+    left, right = range(0, 3000, 2), range(1, 3000, 2)
+    assert compared([(1, 0, 1, k % 2, k, label[k], len(s), sk[k]) for k, s in enumerate(sets)], 80) == near(left, right)
+    assert time.process_time() - began < 5
